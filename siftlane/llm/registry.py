@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftlane.llm import token_counts, token_ids
+from siftlane.llm import simhash, token_counts, token_ids
 from siftlane.llm.common import shared_path
 from siftlane.session import table
 
@@ -37,5 +37,11 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.read_token_files(spark, path, ids_crc32, "ids_crc32 long")
 
 
-QUERIES = {f.__name__: f for f in (op7_token_counts, op9_token_ids)}
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: four-word shingles, radius 4."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4, confirm_sum=None)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op7_token_counts, op9_token_ids, op10_simhash)}
 ORACLE_SQL: dict[str, str] = {}
