@@ -21,6 +21,7 @@ Repeated rows are written once for each row. An empty table gives an index witho
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 from collections.abc import Callable, Iterator
@@ -38,7 +39,7 @@ from siftlane.llm.common import slices, whole_text, words_of
 NO_ID = -(2**63)
 PART = "part int, name string, docs long, ids long"
 #: Bytes of text whose words are looked up together.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 16 << 20
 
 
 @functools.lru_cache(maxsize=2)
@@ -64,18 +65,66 @@ def splits_at_spaces(path: str) -> bool:
     return bool(drops) and not any(x["lstrip"] or x["rstrip"] or x["single_word"] for x in spec.get("added_tokens", []))
 
 
-def encode_rows(texts: pa.Array, tokenizer, end_id: int, by_word: bool) -> tuple[np.ndarray, np.ndarray]:
+#: Marks that form a piece of their own behind letters; the apostrophe may not, as in 's.
+TAIL_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+@functools.lru_cache(maxsize=2)
+def ends_word(path: str) -> tuple[bytes, str]:
+    """Whether each id ends a word (a byte for each id), and the mark of a word's end in the vocabulary."""
+    with open(path, encoding="utf-8") as f:
+        mark = (json.load(f).get("model") or {}).get("end_of_word_suffix") or ""
+    tokenizer = load_tokenizer(path)
+    flags = bytearray(tokenizer.get_vocab_size(with_added_tokens=True))
+    for piece, i in tokenizer.get_vocab().items():
+        flags[i] = bool(mark) and piece.endswith(mark)
+    return bytes(flags), mark
+
+
+def encode_letters(words: list[str], path: str, a_line: int = 64) -> list[list[int]]:
+    """Ids of words that are letters only. Many are encoded as one line, which is then cut behind each
+    id that ends a word; a line that doesn't come apart in as many words is encoded word by word."""
+    tokenizer, (flags, mark) = load_tokenizer(path), ends_word(path)
+    plain = lambda some: [x.ids for x in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+    if not mark:
+        return plain(words)
+    out: list[list[int]] = []
+    lines = [words[i : i + a_line] for i in range(0, len(words), a_line)]
+    for some, ids in zip(lines, plain([" ".join(x) for x in lines])):
+        cuts = [i + 1 for i, x in enumerate(ids) if flags[x]]
+        out += [ids[i:j] for i, j in zip([0, *cuts], cuts)] if len(cuts) == len(some) and cuts[-1] == len(ids) else plain(some)
+    return out
+
+
+def encode_words(words: list[str], path: str) -> list[list[int]]:
+    """Ids of distinct words: letters, letters with marks behind them, and others."""
+    letters: dict[str, int] = {}
+    others: dict[str, int] = {}
+    parts = []
+    for word in words:
+        stem = word.rstrip(TAIL_MARKS)
+        if stem.isalpha():
+            tail = word[len(stem) :]
+            parts.append((letters.setdefault(stem, len(letters)), others.setdefault(tail, len(others)) if tail else -1))
+        else:
+            parts.append((-1, others.setdefault(word, len(others))))
+    of_letters = encode_letters(list(letters), path)
+    of_others = [x.ids for x in load_tokenizer(path).encode_batch_fast(list(others), add_special_tokens=False)]
+    return [of_letters[i] if j < 0 else of_others[j] if i < 0 else of_letters[i] + of_others[j] for i, j in parts]
+
+
+def encode_rows(texts: pa.Array, path: str, end_id: int, by_word: bool) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows back to back, each row closed by end_id, and the rows' ends."""
     if by_word:
         words, index, bounds = words_of(texts)
-        own = [x.ids for x in tokenizer.encode_batch_fast(words, add_special_tokens=False)] + [[end_id]]
+        own = [*encode_words(words, path), [end_id]]
         index = np.insert(index, bounds[1:], len(words))
         row_ends = bounds[1:] + np.arange(1, len(bounds))
     else:
-        own = [[*x.ids, end_id] for x in tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+        own = [[*x.ids, end_id] for x in load_tokenizer(path).encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
         index, row_ends = np.arange(len(own)), np.arange(1, len(own) + 1)
     sizes = np.fromiter(map(len, own), dtype=np.int64, count=len(own))
-    flat = np.fromiter((i for ids in own for i in ids), dtype=np.uint32, count=int(sizes.sum()))
+    flat = np.fromiter(itertools.chain.from_iterable(own), dtype=np.uint32, count=int(sizes.sum()))
     starts, each = np.cumsum(sizes) - sizes, sizes[index]
     ends = np.cumsum(each)
     at = np.repeat(starts[index] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)
@@ -100,11 +149,11 @@ def write_token_files(
         context = TaskContext.get()
         store, root = fs.FileSystem.from_uri(path)
         name = f"part-{context.partitionId():05d}-{context.taskAttemptId()}"
-        outs, docs_seen, ids_seen, encoder = None, 0, 0, load_tokenizer(tokenizer_file)
+        outs, docs_seen, ids_seen = None, 0, 0
         for batch in batches:
             for rows in slices(batch, "text", SLICE_BYTES):
                 outs = outs or [store.open_output_stream(f"{root}/{name}.{x}") for x in ("ids", "off", "doc")]
-                ids, ends = encode_rows(rows["text"], encoder, end_id, by_word)
+                ids, ends = encode_rows(rows["text"], tokenizer_file, end_id, by_word)
                 outs[0].write(ids.astype(kind).tobytes())
                 outs[1].write((ends + ids_seen).astype("<u8").tobytes())
                 outs[2].write(np.asarray(rows["id"].fill_null(NO_ID), dtype="<i8").tobytes())

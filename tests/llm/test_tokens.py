@@ -83,3 +83,10 @@ def test_token_counts_match_single_words(spark, texts):
 def test_very_long_word_is_counted(spark):
     counts = token_counts.trie_counts(["x" * 5000, "x" * 4999, "y"], *token_counts.piece_scores(registry.vocabulary("piece_bpe_32k.model")))
     assert counts[0] >= counts[1] > counts[2] >= 1
+
+
+def test_words_encode_as_by_themselves():
+    file = registry.vocabulary("word_bpe_49k.json")
+    tokenizer = token_ids.load_tokenizer(file)
+    words = ["plain", "Caps.", "tail***", "it's", "'s", "s'", "don't.", "é́x", "İstanbul,", "ﬁn", "a1", "1a", "12", "ⅷ", "x²", "漢字", "漢字。", "ab-cd", "-ab", "ªº", "Ⅷ", "ŉ.", "ß", "ẞ!", "a" * 300, "ά", "ΑΣ", "ﷺ", "<|endoftext|>", "x<|endoftext|>", "ẞ", "á", "ॐ", "नि"]
+    assert token_ids.encode_words(words, file) == [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
