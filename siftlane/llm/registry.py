@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftlane.llm import simhash, token_counts, token_ids
+from siftlane.llm import pii, secrets, simhash, token_counts, token_ids
 from siftlane.llm.common import shared_path
 from siftlane.session import table
 
@@ -20,6 +20,35 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: the rules' counts and digest, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = secrets.train(secrets.labelled_samples(docs))
+    found = secrets.find_secrets(docs, model).select("doc_id", "secrets")
+    base = F.filter("secrets", lambda s: s["rank"] < 3)
+    count = lambda i: F.size(F.filter("secrets", lambda s: s["rank"] == i)).cast("long")
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.spans_text(base), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("secrets")).alias("spans"),
+    )
+
+
+#: A key for these synthetic tables; a user gives a secret one.
+PII_KEY = "synthetic tables"
+
+
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with format-preserving pseudonyms, and what was replaced."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.pseudonymise(docs, PII_KEY)
+    count = lambda k: F.size(F.filter("pii", lambda m: m["kind"] == k)).cast("long").alias(f"n_{k}")
+    return found.select("doc_id", "text", *[count(k) for k in pii.KINDS], F.transform("pii", lambda m: m["pseudonym"]).alias("pseudonyms"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram token counts of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -43,5 +72,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op7_token_counts, op9_token_ids, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op4_secrets, op6_pseudonyms, op7_token_counts, op9_token_ids, op10_simhash)}
 ORACLE_SQL: dict[str, str] = {}
