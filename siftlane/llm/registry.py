@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftlane.llm import pii, secrets, simhash, token_counts, token_ids
+from siftlane.llm import decontaminate, pii, secrets, simhash, token_counts, token_ids
 from siftlane.llm.common import shared_path
 from siftlane.session import table
 
@@ -55,6 +55,13 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, vocabulary("piece_bpe_32k.model")).select("doc_id", "n_pretokens", "n_tokens")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document: one row for each document, item and window."""
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.contaminated(docs, benchmark)
+    return found.select("doc_id", "item_id", F.col("start").cast("long"), F.col("n_words").cast("long"), F.col("hamming").cast("long"), F.round("similarity", 6).alias("similarity"))
+
+
 def ids_crc32(ids: np.ndarray) -> dict:
     return {"ids_crc32": zlib.crc32(ids.astype("<u4").tobytes())}
 
@@ -72,5 +79,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_secrets, op6_pseudonyms, op7_token_counts, op9_token_ids, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op4_secrets, op6_pseudonyms, op7_token_counts, op8_decontaminate, op9_token_ids, op10_simhash)}
 ORACLE_SQL: dict[str, str] = {}
