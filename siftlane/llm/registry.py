@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftlane.llm import decontaminate, pii, secrets, simhash, token_counts, token_ids
+from siftlane.llm import decontaminate, pii, quality, secrets, simhash, token_counts, token_ids
 from siftlane.llm.common import shared_path
 from siftlane.session import table
 
@@ -20,6 +20,13 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity, its limit and the decision for every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    judged = quality.train(docs, labels).judge(docs.select("doc_id", "lang", "text"))
+    return judged.select("doc_id", "lang", F.round("perplexity", 6).alias("perplexity"), F.round("limit", 6).alias("limit"), "keep")
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: the rules' counts and digest, and all spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -79,5 +86,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_secrets, op6_pseudonyms, op7_token_counts, op8_decontaminate, op9_token_ids, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op2_quality, op4_secrets, op6_pseudonyms, op7_token_counts, op8_decontaminate, op9_token_ids, op10_simhash)}
 ORACLE_SQL: dict[str, str] = {}
