@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftlane.llm import decontaminate, pii, quality, secrets, simhash, token_counts, token_ids
+from siftlane.llm import decontaminate, matroska, packing, pii, quality, secrets, simhash, token_counts, token_ids, urls
 from siftlane.llm.common import shared_path
 from siftlane.session import table
 
@@ -20,6 +20,13 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document stored as an audio track and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sized = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "text")
+    return matroska.file_facts(matroska.store_texts(sized))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity, its limit and the decision for every document."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -27,6 +34,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "lang", F.round("perplexity", 6).alias("perplexity"), F.round("limit", 6).alias("limit"), "keep")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of 512, 1024 or 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: the rules' counts and digest, and all spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -44,6 +56,25 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The rules of the url query.
+URL_RULES = (
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+)
+
+
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page; a page's outcome is the label of its number."""
+    pages, labels = table(spark, sf_dir, "pages").select("page_id", "url"), table(spark, sf_dir, "labels")
+    outcome = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max((F.col("quality") == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("bad"))
+    labelled = pages.select(F.col("page_id").alias("doc_id"), urls.host_of(F.col("url")).alias("host")).join(outcome, "doc_id")
+    known = urls.reputation(labelled.select("host", "bad"))
+    return urls.filter_urls(pages, known, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 #: A key for these synthetic tables; a user gives a secret one.
 PII_KEY = "synthetic tables"
 
@@ -86,5 +117,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality, op4_secrets, op6_pseudonyms, op7_token_counts, op8_decontaminate, op9_token_ids, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_matroska, op2_quality, op3_packing, op4_secrets, op5_urls, op6_pseudonyms, op7_token_counts, op8_decontaminate, op9_token_ids, op10_simhash)}
 ORACLE_SQL: dict[str, str] = {}
