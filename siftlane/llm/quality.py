@@ -183,10 +183,13 @@ def of_counts(counts: DataFrame, broadcast_rows: int) -> Model:
     arrays: dict = {r.lang: {"unseen": r.logp, "grams": {}, "contexts": {}} for r in made.unseen.collect()}
     for kind, key, value in (("grams", "gram", "logp"), ("contexts", "context", "logw")):
         for k, t in getattr(made, kind).items():
-            frame = t.toPandas()
-            frame[key] = frame[key].to_numpy(dtype=np.int64).view(np.uint64)
-            for lang, own in frame.sort_values(key).groupby("lang"):
-                arrays[lang][kind][k] = (own[key].to_numpy(), own[value].to_numpy(dtype=np.float64))
+            rows = t.select("lang", key, value).toArrow()
+            langs = rows["lang"].combine_chunks().dictionary_encode()
+            keys = rows[key].to_numpy().view(np.uint64)
+            order = np.argsort(keys)
+            keys, values, index = keys[order], rows[value].to_numpy().astype(np.float64)[order], np.asarray(langs.indices)[order]
+            for i, lang in enumerate(langs.dictionary.to_pylist()):
+                arrays[lang][kind][k] = (keys[index == i], values[index == i])
     return Model(made, arrays)
 
 
@@ -312,9 +315,9 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     own = docs.select(F.col(id_col).alias("doc_id"), language(lang_col).alias("lang"), F.col(text_col).alias("text"))
     half = F.pmod(F.xxhash64(whole_text("text")), F.lit(2))
     good = trusted_ids(labels.withColumnRenamed(id_col, "doc_id"))
-    counts = checkpointed(gram_counts(own.join(good, "doc_id", "left_semi").withColumn("lang", in_half(F.col("lang"), 1 - half))))
+    halves = checkpointed(gram_counts(own.join(good, "doc_id", "left_semi").withColumn("lang", in_half(F.col("lang"), 1 - half))))
     name = F.expr(f"substring(lang, 1, length(lang) - {len(HALF) + 1})")
-    model = of_counts(counts.groupBy(name.alias("lang"), "gram").agg(F.sum("n").alias("n")), broadcast_rows)
-    halves = of_counts(counts, broadcast_rows)
-    scored = score(own.withColumn("lang", in_half(F.col("lang"), half)), halves).select("doc_id", name.alias("lang"), *SCORED)
+    whole = halves.groupBy(name.alias("lang"), "gram").agg(F.sum("n").alias("n"))
+    model = of_counts(halves.unionByName(whole), broadcast_rows)
+    scored = score(own.withColumn("lang", in_half(F.col("lang"), half)), model).select("doc_id", name.alias("lang"), *SCORED)
     return Classifier(model, checkpointed(thresholds(scored.join(good, "doc_id", "left_semi"), **quantiles)))
