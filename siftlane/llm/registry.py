@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftlane.llm import decontaminate, matroska, packing, pii, quality, secrets, simhash, token_counts, token_ids, urls
+from siftlane.llm import decontaminate, matroska, packing, pii, quality, secrets, simhash, sql, token_counts, token_ids, urls
 from siftlane.llm.common import shared_path
 from siftlane.session import table
 
@@ -118,4 +118,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_matroska, op2_quality, op3_packing, op4_secrets, op5_urls, op6_pseudonyms, op7_token_counts, op8_decontaminate, op9_token_ids, op10_simhash)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_urls": sql.OP5_URLS}
