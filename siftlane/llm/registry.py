@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from siftlane.llm import decontaminate, matroska, packing, pii, quality, secrets, simhash, sql, token_counts, token_ids, urls
 from siftlane.llm.common import shared_path
 from siftlane.session import table
@@ -100,6 +101,11 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", F.col("start").cast("long"), F.col("n_words").cast("long"), F.col("hamming").cast("long"), F.round("similarity", 6).alias("similarity"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline's rows."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def ids_crc32(ids: np.ndarray) -> dict:
     return {"ids_crc32": zlib.crc32(ids.astype("<u4").tobytes())}
 
@@ -117,5 +123,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_matroska, op2_quality, op3_packing, op4_secrets, op5_urls, op6_pseudonyms, op7_token_counts, op8_decontaminate, op9_token_ids, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_matroska, op2_quality, op3_packing, op4_secrets, op5_urls, op6_pseudonyms, op7_token_counts, op8_decontaminate, op9_token_ids, op10_simhash, pipeline)}
 ORACLE_SQL: dict[str, str] = {"op5_urls": sql.OP5_URLS}

@@ -307,20 +307,37 @@ def near_duplicates(
     agree: int | None = None,
     confirm_sum: int | None = 22,
     cell_rows: int = 16384,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row for each row of docs: doc_id, fingerprint (long) and component_id (the least id reachable).
+    """One row for each row of docs: doc_id, the carried columns, fingerprint (long), component (a fingerprint that
+    all of a component have in common) and component_id (the least id reachable).
 
     The defaults link texts whose estimated similarity on five-word shingles is 0.8 or more: at
     Jaccard 0.8 two fingerprints differ in 9.7 of 64 bits on average, two pairs in 19.4 of 128.
     """
     second = confirm_sum is not None
-    prints = fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), shingle=shingle, second=second)
-    prints = prints.select("doc_id", "fingerprint", (F.col("confirm") if second else F.lit(0).cast("long")).alias("confirm"))
-    prints = checkpointed(prints)
+    own = docs.select(F.col(id_col).alias("doc_id"), *carry, F.col(text_col).alias("text"))
+    prints = fingerprints(own, shingle=shingle, second=second)
+    prints = checkpointed(prints.select("doc_id", *carry, "fingerprint", (F.col("confirm") if second else F.lit(0).cast("long")).alias("confirm")))
     nodes = checkpointed(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"), F.min("confirm").alias("confirm")))
     links = near_links(nodes, radius=radius, segment_bits=segment_bits, agree=agree, confirm_sum=confirm_sum, cell_rows=cell_rows)
     found = connected_components(links)
     named = nodes.join(found, nodes.fingerprint == found.node, "left").select("fingerprint", "least", F.coalesce("component", "fingerprint").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of = named.join(least, "component").select("fingerprint", "component_id")
-    return prints.select("doc_id", "fingerprint").join(of, "fingerprint", "left").select("doc_id", "fingerprint", "component_id")
+    of = named.join(least, "component").select("fingerprint", "component", "component_id")
+    return prints.select("doc_id", *carry, "fingerprint").join(of, "fingerprint", "left").select("doc_id", *carry, "fingerprint", "component", "component_id")
+
+
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **search) -> DataFrame:
+    """docs with one row of each component: that of the least id (nulls last), of equal ids that of the
+    least hash of the text. Of rows that are repeated, one stays."""
+    keyed = docs.withColumn("__key", F.xxhash64(F.col(id_col), whole_text(text_col)))
+    found = near_duplicates(keyed, id_col=id_col, text_col=text_col, carry=("__key",), **search)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("__key").alias("__key")))
+    kept = checkpointed(found.groupBy("component").agg(first.alias("s")).select(F.col("s.__key").alias("__key")))
+    repeated = found.groupBy("__key").agg(F.count("*").alias("n")).where("n > 1").join(kept, "__key", "left_semi").select("__key")
+    repeated = checkpointed(repeated)
+    rows = keyed.join(kept, "__key", "left_semi")
+    if not repeated.isEmpty():
+        rows = rows.join(repeated, "__key", "left_anti").unionByName(rows.join(repeated, "__key", "left_semi").dropDuplicates(["__key"]))
+    return rows.select(*docs.columns)
