@@ -14,8 +14,9 @@ under the Manhattan distance is thus an equi-join on grid cells: one cell for ea
 In a cell the Manhattan bound is tested first (counts are held in unary, so the distance is
 the bit count of an exclusive or), then the Hamming distance.
 
-Size: equal fingerprints are one node. A cell gives at most one link for each member (to the
-least member that it is connected with inside the cell), never its pairs. A cell of more than
+Size: equal fingerprints are one node. A pair counts in the first cell that it meets in, and a cell
+gives at most one link for each member (with the first member that it is connected with there),
+never its pairs. A cell of more than
 ``cell_rows`` rows is dealt again into blocks, and each two blocks meet in a task of their own.
 With more nodes ``agree`` grows, which changes the number and size of cells but no result.
 
@@ -110,16 +111,21 @@ def embedding(fingerprint: Column, segment_bits: int) -> Column:
     return out
 
 
-def cell_masks(radius: int, agree: int, segment_bits: int) -> list[int]:
-    """For each choice of ``agree`` of the radius + agree groups, the bits of their segments."""
-    segments = 64 // segment_bits
-    groups = radius + agree
+def group_masks(radius: int, agree: int, segment_bits: int) -> list[int]:
+    """The bits of the segments of each of the radius + agree groups."""
+    segments, groups = 64 // segment_bits, radius + agree
     if groups > segments:
         raise ValueError(f"{groups} groups need as many segments; there are {segments}")
     bits = [0] * groups
     for s in range(segments):
         bits[s * groups // segments] |= ((1 << segment_bits) - 1) << (s * segment_bits)
-    return [sum(bits[g] for g in chosen) for chosen in combinations(range(groups), agree)]
+    return bits
+
+
+def cell_masks(radius: int, agree: int, segment_bits: int) -> list[int]:
+    """For each choice of ``agree`` of the groups, the bits of their segments."""
+    bits = group_masks(radius, agree, segment_bits)
+    return [sum(bits[g] for g in chosen) for chosen in combinations(range(radius + agree), agree)]
 
 
 def agreeing_groups(nodes: int, radius: int, segment_bits: int) -> int:
@@ -145,29 +151,40 @@ def unary(fps: np.ndarray, segment_bits: int) -> np.ndarray:
 
 
 class Links:
-    """Links inside cells: for rows sorted by cell, each member's link to the least member it hangs with."""
+    """Links inside cells. A pair that meets in several cells is a link in the first of them alone, that of its first
+    agreeing groups; then each member is linked with the first member of its cell that it is connected with."""
 
-    def __init__(self, radius: int, segment_bits: int, confirm_sum: int | None):
+    def __init__(self, radius: int, segment_bits: int, agree: int, confirm_sum: int | None):
         self.radius, self.segment_bits, self.confirm_sum = radius, segment_bits, confirm_sum
-
-    def near(self, a, b, ea, eb, ca, cb) -> np.ndarray:
-        """Where two arrays are linked: the Manhattan bound, then the Hamming distance, then the second fingerprint."""
-        hit = np.bitwise_count(ea ^ eb) <= self.radius
+        self.groups = [np.uint64(g) for g in group_masks(radius, agree, segment_bits)]
+        chosen = list(combinations(range(radius + agree), agree))
+        self.own = np.array([sum(1 << g for g in c) for c in chosen], dtype=np.uint64)  # groups of each choice
+        self.upto = np.array([(2 << c[-1]) - 1 for c in chosen], dtype=np.uint64)  # groups up to its last
+
+    def near(self, i: np.ndarray, j: np.ndarray, rows: tuple) -> np.ndarray:
+        """Whether rows i and j (broadcast) are linked: the Manhattan bound, the Hamming distance, the second fingerprint,
+        and that their cell is the pair's first."""
+        fps, emb, confirms, choices = rows
+        hit = np.bitwise_count(emb[i] ^ emb[j]) <= self.radius
         if hit.any():
             at = np.nonzero(hit)
-            x = np.bitwise_count(np.broadcast_to(a, hit.shape)[at] ^ np.broadcast_to(b, hit.shape)[at]).astype(np.int64)
+            i, j = np.broadcast_to(i, hit.shape)[at], np.broadcast_to(j, hit.shape)[at]
+            x = np.bitwise_count(fps[i] ^ fps[j]).astype(np.int64)
             ok = x <= self.radius
             if self.confirm_sum is not None:
-                ok &= x + np.bitwise_count(np.broadcast_to(ca, hit.shape)[at] ^ np.broadcast_to(cb, hit.shape)[at]) <= self.confirm_sum
-            hit[at] = ok
+                ok &= x + np.bitwise_count(confirms[i] ^ confirms[j]) <= self.confirm_sum
+            apart, agreeing = emb[i] ^ emb[j], np.zeros(len(i), dtype=np.uint64)
+            for g, mask in enumerate(self.groups):
+                agreeing |= ((apart & mask) == 0).astype(np.uint64) << np.uint64(g)
+            hit[at] = ok & ((agreeing & self.upto[choices[i]]) == self.own[choices[i]])
         return hit
 
-    def of(self, cells: np.ndarray, fps: np.ndarray, confirms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Links (rows, rows) of whole cells."""
-        n, emb = len(cells), unary(fps, self.segment_bits)
+    def of(self, cells: np.ndarray, fps: np.ndarray, confirms: np.ndarray, choices: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Links (rows, rows) of whole cells, each of a row with the first of its part."""
+        n, rows = len(cells), (fps, unary(fps, self.segment_bits), confirms, choices)
         starts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
         sizes = np.diff(np.r_[starts, n])
-        one, two = [], []
+        one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         size_of = np.repeat(sizes, sizes)
         rest = np.repeat(starts + sizes, sizes) - np.arange(n)
         at = np.flatnonzero((size_of > 1) & (size_of <= 48))
@@ -176,81 +193,97 @@ class Links:
             step += 1
             at = at[rest[at] > step]
             if len(at):
-                hit = self.near(fps[at], fps[at + step], emb[at], emb[at + step], confirms[at], confirms[at + step])
+                hit = self.near(at, at + step, rows)
                 one.append(at[hit])
                 two.append(at[hit] + step)
         for start, size in zip(starts[sizes > 48].tolist(), sizes[sizes > 48].tolist()):
-            a, b = self.within(fps[start : start + size], emb[start : start + size], confirms[start : start + size])
-            one.append(a + start)
-            two.append(b + start)
-        return np.concatenate([np.zeros(0, np.int64), *one]), np.concatenate([np.zeros(0, np.int64), *two])
+            a, b = self.within(np.arange(start, start + size), rows)
+            one.append(a)
+            two.append(b)
+        return stars(np.concatenate(one), np.concatenate(two), n)
 
-    def within(self, fps, emb, confirms) -> tuple[np.ndarray, np.ndarray]:
-        """Links of one large cell: its linked pairs if they are few, else a breadth-first tree of each part."""
+    def within(self, own: np.ndarray, rows: tuple) -> tuple[np.ndarray, np.ndarray]:
+        """Links of one large cell: its linked pairs if they are few, else a tree of each part."""
         one, two, found = [], [], 0
-        for i in range(0, len(fps), 256):
-            j = min(i + 256, len(fps))
-            hit = self.near(fps[i:j, None], fps[None, i:], emb[i:j, None], emb[None, i:], confirms[i:j, None], confirms[None, i:])
-            a, b = np.nonzero(hit)
+        for i in range(0, len(own), 256):
+            a, b = np.nonzero(self.near(own[i : i + 256, None], own[None, i:], rows))
             up = b > a
-            one.append(a[up] + i)
-            two.append(b[up] + i)
+            one.append(own[a[up] + i])
+            two.append(own[b[up] + i])
             found += int(up.sum())
-            if found > 8 * len(fps):
-                return self.trees(fps, emb, confirms)
+            if found > 8 * len(own):
+                return self.trees(own, rows)
         return np.concatenate(one), np.concatenate(two)
 
-    def trees(self, fps, emb, confirms) -> tuple[np.ndarray, np.ndarray]:
-        left, one, two = np.arange(len(fps)), [], []
+    def trees(self, left: np.ndarray, rows: tuple) -> tuple[np.ndarray, np.ndarray]:
+        one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         while len(left):
             front, left = [int(left[0])], left[1:]
             while front and len(left):
                 at = front.pop()
-                hit = self.near(fps[at], fps[left], emb[at], emb[left], confirms[at], confirms[left])
+                hit = self.near(np.array(at), left, rows)
                 new = left[hit]
                 left = left[~hit]
                 one.append(np.full(len(new), at))
                 two.append(new)
                 front.extend(new.tolist())
-        return np.concatenate([np.zeros(0, np.int64), *one]), np.concatenate([np.zeros(0, np.int64), *two])
+        return np.concatenate(one), np.concatenate(two)
+
+
+def stars(one: np.ndarray, two: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of connected rows with the least row of their part, in place of links between them."""
+    part = np.arange(n)
+    while len(one):
+        least = np.minimum(part[one], part[two])
+        before = part.copy()
+        np.minimum.at(part, one, least)
+        np.minimum.at(part, two, least)
+        part = part[part]
+        if (part == before).all():
+            break
+    member = np.flatnonzero(part != np.arange(n))
+    return part[member], member
 
 
-LINK = "cell long, src long, dst long, confirm long"
+LINK = "cell long, src long, dst long, confirm long, choice int"
 
 
 def cell_links(cells: DataFrame, links: Links, cell_rows: int) -> DataFrame:
-    """Links (src, dst) of rows (cell, fp, confirm) sorted by cell within partitions.
+    """Links (src, dst) of rows (cell, fp, confirm, choice) sorted by cell and fp within partitions.
 
     A cell of more than cell_rows rows comes back as it is, its rows having a null dst.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, large = [np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)], None
-
-        def put(cell, src, dst, confirm, whole):
-            if whole:  # the same link from several cells is one row
-                src, dst, cell, confirm = np.minimum(src, dst), np.maximum(src, dst), np.zeros_like(cell), np.zeros_like(confirm)
-            ends = pa.array(dst.view(np.int64), mask=np.full(len(dst), not whole))
-            return pa.RecordBatch.from_arrays([pa.array(cell), pa.array(src.view(np.int64)), ends, pa.array(confirm.view(np.int64))], names=["cell", "src", "dst", "confirm"])
-
-        def done(cell, fp, confirm):
-            bounds = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-            sizes = np.diff(np.r_[bounds, len(cell)])
+        held, large = [np.zeros(0, k) for k in (np.int64, np.uint64, np.uint64, np.int32)], None
+
+        def put(rows, dst=None):
+            """Links, the same one from several cells being the same row, or rows of a large cell."""
+            cell, src, confirm, choice = rows
+            if dst is not None:
+                cell, confirm, choice = np.zeros_like(cell), np.zeros_like(confirm), np.zeros_like(choice)
+                src, dst = np.minimum(src, dst), np.maximum(src, dst)
+            ends = pa.nulls(len(src), pa.int64()) if dst is None else pa.array(dst.view(np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(cell), pa.array(src.view(np.int64)), ends, pa.array(confirm.view(np.int64)), pa.array(choice)], names=["cell", "src", "dst", "confirm", "choice"])
+
+        def done(rows):
+            bounds = np.flatnonzero(np.r_[True, rows[0][1:] != rows[0][:-1]])
+            sizes = np.diff(np.r_[bounds, len(rows[0])])
             over = np.repeat(sizes, sizes) > cell_rows
             if over.any():
-                yield put(cell[over], fp[over], fp[over], confirm[over], False)
-                cell, fp, confirm = cell[~over], fp[~over], confirm[~over]
-            if len(cell):
-                a, b = links.of(cell, fp, confirm)
+                yield put([x[over] for x in rows])
+                rows = [x[~over] for x in rows]
+            if len(rows[0]):
+                a, b = links.of(*rows)
                 if len(a):
-                    yield put(cell[a], fp[a], fp[b], confirm[a], True)
+                    yield put([x[a] for x in rows], rows[1][b])
 
         for batch in batches:
-            rows = [np.asarray(batch["cell"]), np.asarray(batch["fp"]).view(np.uint64), np.asarray(batch["confirm"]).view(np.uint64)]
+            rows = [np.asarray(batch["cell"]), np.asarray(batch["fp"]).view(np.uint64), np.asarray(batch["confirm"]).view(np.uint64), np.asarray(batch["choice"])]
             if large is not None:
                 same = rows[0] == large
                 if same.any():
-                    yield put(rows[0][same], rows[1][same], rows[1][same], rows[2][same], False)
+                    yield put([x[same] for x in rows])
                     rows = [x[~same] for x in rows]
                 if not len(rows[0]):
                     continue
@@ -260,14 +293,14 @@ def cell_links(cells: DataFrame, links: Links, cell_rows: int) -> DataFrame:
                 continue
             last = int(np.searchsorted(rows[0], rows[0][-1]))
             if last:
-                yield from done(*(x[:last] for x in rows))
+                yield from done([x[:last] for x in rows])
             held = [x[last:] for x in rows]
             if len(held[0]) > cell_rows:
                 large = held[0][0]
-                yield put(held[0], held[1], held[1], held[2], False)
+                yield put(held)
                 held = [x[:0] for x in held]
         if len(held[0]):
-            yield from done(*held)
+            yield from done(held)
 
     return cells.mapInArrow(run, LINK)
 
@@ -279,20 +312,20 @@ def near_links(nodes: DataFrame, *, radius: int, segment_bits: int = 2, agree: i
     fingerprints and confirming fingerprints may add up to.
     """
     agree = agree or agreeing_groups(nodes.count(), radius, segment_bits)
-    masks, links = cell_masks(radius, agree, segment_bits), Links(radius, segment_bits, confirm_sum)
+    masks, links = cell_masks(radius, agree, segment_bits), Links(radius, segment_bits, agree, confirm_sum)
     placed = nodes.select(F.col("fingerprint").alias("fp"), "confirm", embedding(F.col("fingerprint"), segment_bits).alias("e"))
-    choice = F.explode(F.array(*[F.xxhash64(F.lit(i), F.col("e").bitwiseAND(F.lit(signed(m)))) for i, m in enumerate(masks)]))
-    cells = placed.select(choice.alias("cell"), "fp", "confirm")
+    choice = F.posexplode(F.array(*[F.xxhash64(F.lit(i), F.col("e").bitwiseAND(F.lit(signed(m)))) for i, m in enumerate(masks)]))
+    cells = placed.select("fp", "confirm", choice.alias("choice", "cell"))
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = checkpointed(cell_links(cells.repartition(parts, "cell").sortWithinPartitions("cell"), links, cell_rows).distinct())
+    first = checkpointed(cell_links(cells.repartition(parts, "cell").sortWithinPartitions("cell", "fp"), links, cell_rows).distinct())
     found, large = first.where("dst is not null").select("src", "dst"), first.where("dst is null")
     sizes = large.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(cell_rows / 2)).cast("int").alias("blocks"))
     if sizes.isEmpty():
         return found.distinct()
     own = F.pmod(F.xxhash64("src"), F.col("blocks")).cast("int")
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.xxhash64("cell", F.least(b, F.col("own")), F.greatest(b, F.col("own"))))
-    dealt = large.join(sizes, "cell").withColumn("own", own).select(F.explode(meets).alias("cell"), F.col("src").alias("fp"), "confirm")
-    more = cell_links(dealt.repartition(parts, "cell").sortWithinPartitions("cell"), links, 1 << 40)
+    dealt = large.join(sizes, "cell").withColumn("own", own).select(F.explode(meets).alias("cell"), F.col("src").alias("fp"), "confirm", "choice")
+    more = cell_links(dealt.repartition(parts, "cell").sortWithinPartitions("cell", "fp"), links, 1 << 40)
     return found.unionByName(more.select("src", "dst")).distinct()
 
 
