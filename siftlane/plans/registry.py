@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from siftlane.plans.collected import ORACLE_SQL, QUERIES
+from siftlane.plans import contacts, gating, merging, scoring, tables  # noqa: F401  they register their queries
 
 FLAGSHIP = "lead_pipeline"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
