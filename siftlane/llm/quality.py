@@ -315,7 +315,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     own = docs.select(F.col(id_col).alias("doc_id"), language(lang_col).alias("lang"), F.col(text_col).alias("text"))
     half = F.pmod(F.xxhash64(whole_text("text")), F.lit(2))
     good = trusted_ids(labels.withColumnRenamed(id_col, "doc_id"))
-    halves = checkpointed(gram_counts(own.join(good, "doc_id", "left_semi").withColumn("lang", in_half(F.col("lang"), 1 - half))))
+    # the texts are dealt by id at every size, as the ids that are trusted grow with them
+    halves = checkpointed(gram_counts(own.join(good.hint("merge"), "doc_id", "left_semi").withColumn("lang", in_half(F.col("lang"), 1 - half))))
     name = F.expr(f"substring(lang, 1, length(lang) - {len(HALF) + 1})")
     whole = halves.groupBy(name.alias("lang"), "gram").agg(F.sum("n").alias("n"))
     model = of_counts(halves.unionByName(whole), broadcast_rows)
