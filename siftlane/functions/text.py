@@ -48,7 +48,7 @@ def parse_list(c: str | Column) -> Column:
     """array<string> of a JSON or single-quoted list, of , and ; separated text, or of one value."""
     t = clean(c)
     parsed = F.from_json(t, "array<string>")
-    split = F.filter(F.transform(F.split(t, "[,;]"), F.trim), lambda x: x != "")
+    split = F.filter(F.transform(F.split(t, "[,;]"), lambda x: F.trim(x)), lambda x: x != "")
     return F.when(t.isNull(), F.array().cast("array<string>")).when(t.startswith("[") & parsed.isNotNull(), parsed).otherwise(split)
 
 

@@ -79,7 +79,7 @@ def mailtos(html: str | Column) -> Column:
 
 
 def telephones(html: str | Column) -> Column:
-    return sorted_distinct(F.transform(F.regexp_extract_all(text_of(html), F.lit(TEL), F.lit(1)), F.trim))
+    return sorted_distinct(F.transform(F.regexp_extract_all(text_of(html), F.lit(TEL), F.lit(1)), lambda x: F.trim(x)))
 
 
 def hrefs(html: str | Column) -> Column:

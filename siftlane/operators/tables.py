@@ -185,3 +185,37 @@ def known_entities(spark: SparkSession, regions: dict[str, dict[str, list[str]]]
 
 
 COUNTRIES = D.GATE_COUNTRIES
+
+
+def sales_priority(leads: DataFrame) -> DataFrame:
+    """leads with priority 1 to 5: ready, website and e-mail, e-mail, website, neither."""
+    from siftlane.functions.web import blocked
+    from siftlane.operators.gates import has_value
+
+    site, mail = has_value("website") & ~blocked("website", D.DOMAIN_BLOCKLIST), F.size("emails") > 0
+    return leads.withColumn("priority", F.when(F.col("sales_ready"), 1).when(site & mail, 2).when(mail, 3).when(site, 4).otherwise(5))
+
+
+ANGLES = {"brazil": "fast delivery", "argentina": "fast delivery", "turkey": "local service"}  # fixed values: what to stress, by country
+
+
+def golden_records(leads: DataFrame, angles: dict[str, str] = ANGLES, other: str = "quality and price") -> DataFrame:
+    """leads with best_email, hs_code, why_customer and sales_angle."""
+    table = F.create_map(*[F.lit(x) for kv in angles.items() for x in kv])
+    brand = F.col("oem_brand") if "oem_brand" in leads.columns else F.lit(None).cast("string")
+    why = F.when(F.coalesce(brand, F.lit("")) != "", F.concat(brand, F.lit(" is on a reference list"))).otherwise("process words on its site")
+    return leads.withColumns({
+        "best_email": F.coalesce(F.get("emails", F.lit(0)), F.lit("")),
+        "hs_code": F.lit("8451.90"),
+        "why_customer": why,
+        "sales_angle": F.coalesce(F.try_element_at(table, F.lower("country")), F.lit(other)),
+    })
+
+
+def quality_report(leads: DataFrame) -> DataFrame:
+    """One row: rows, website coverage, share of sales-ready leads, countries, and what to do about them."""
+    from siftlane.operators.gates import has_value
+
+    out = leads.agg(F.count("*").alias("n"), F.avg(has_value("website").cast("int")).alias("website_coverage"), F.avg(F.col("sales_ready").cast("int")).alias("sales_ready_ratio"), F.count_distinct("country").alias("n_countries"))
+    advice = F.array_compact(F.array(F.when(F.col("website_coverage") < 0.7, "run enrichment"), F.when(F.col("sales_ready_ratio") < 0.3, "look for better sources"), F.when(F.col("n_countries") < 5, "add collectors")))
+    return out.withColumn("recommendations", advice)

@@ -98,7 +98,7 @@ def table_records(df: DataFrame, rows: str = "rows") -> DataFrame:
     kept = [c for c in df.columns if c != rows]
     work = df.withColumn("__at", at).where("__at > 0").withColumn("__head", F.get(heads, F.col("__at") - 1))
     body = work.select(*kept, "__head", F.posexplode(F.slice(rows, F.col("__at") + 1, F.size(rows))).alias("row", "cells"))
-    pairs = F.filter(F.arrays_zip(F.col("__head").alias("k"), F.transform("cells", F.trim).alias("v")), lambda x: x["k"].isNotNull() & (x["k"] != "") & x["v"].isNotNull() & (x["v"] != ""))
+    pairs = F.filter(F.arrays_zip(F.col("__head").alias("k"), F.transform("cells", lambda x: F.trim(x)).alias("v")), lambda x: x["k"].isNotNull() & (x["k"] != "") & x["v"].isNotNull() & (x["v"] != ""))
     firsts = F.aggregate(pairs, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")), lambda m, x: F.when(F.map_contains_key(m, x["k"]), m).otherwise(F.map_concat(m, F.create_map(x["k"], x["v"]))))
     return body.select(*kept, "row", firsts.alias("record")).where("record['company'] is not null")
 
