@@ -305,7 +305,7 @@ def cell_links(cells: DataFrame, links: Links, cell_rows: int) -> DataFrame:
     return cells.mapInArrow(run, LINK)
 
 
-def near_links(nodes: DataFrame, *, radius: int, segment_bits: int = 2, agree: int | None = None, confirm_sum: int | None = None, cell_rows: int = 16384) -> DataFrame:
+def near_links(nodes: DataFrame, *, radius: int, segment_bits: int = 2, agree: int | None = None, confirm_sum: int | None = None, cell_rows: int = 1 << 16) -> DataFrame:
     """Links (src, dst) that connect all fingerprints within the radius, and none other.
 
     nodes: distinct (fingerprint, confirm). confirm_sum: the most that the distances of
@@ -336,17 +336,19 @@ def near_duplicates(
     text_col: str = "text",
     shingle: int = 5,
     radius: int = 12,
-    segment_bits: int = 2,
+    segment_bits: int = 1,
     agree: int | None = None,
     confirm_sum: int | None = 22,
-    cell_rows: int = 16384,
+    cell_rows: int = 1 << 16,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row for each row of docs: doc_id, the carried columns, fingerprint (long), component (a fingerprint that
     all of a component have in common) and component_id (the least id reachable).
 
     The defaults link texts whose estimated similarity on five-word shingles is 0.8 or more: at
-    Jaccard 0.8 two fingerprints differ in 9.7 of 64 bits on average, two pairs in 19.4 of 128.
+    Jaccard 0.8 two fingerprints differ in 9.7 of 64 bits on average, two pairs in 19.4 of 128. So wide a
+    radius leaves groups of few bits, and the bound tells most apart with segments of one bit;
+    for radii up to 5 or so segments of two bits do.
     """
     second = confirm_sum is not None
     own = docs.select(F.col(id_col).alias("doc_id"), *carry, F.col(text_col).alias("text"))

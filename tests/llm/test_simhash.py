@@ -53,7 +53,7 @@ EDGE = [(4, None), (3, ""), (7, " \n "), (None, "one two"), (9, "ONE two"), (9,
 @pytest.mark.parametrize("rows", [EDGE, [], [(None, None)]])
 def test_edge_cases(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "1 as fingerprint", "'c' as component")
-    got = simhash.near_duplicates(docs, shingle=4, radius=4, confirm_sum=None)
+    got = simhash.near_duplicates(docs, shingle=4, radius=4, segment_bits=2, confirm_sum=None)
     prints = [plain_fingerprint(t, 4) for _, t in rows]
     want = list(zip([i for i, _ in rows], prints, plain_components([i for i, _ in rows], prints, 4)))
     assert sorted(map(repr, ((r.doc_id, r.fingerprint % (1 << 64), r.component_id) for r in got.collect()))) == sorted(map(repr, want))
