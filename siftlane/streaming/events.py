@@ -9,7 +9,9 @@ from siftlane.sources.sinks import upserted
 
 
 def event_stream(spark: SparkSession, path: str, schema, files_a_batch: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).parquet(path)
+    """Events of a folder's files; a time without a zone is taken as the session's."""
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).parquet(path)
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def window_counts(events: DataFrame, window: str = "1 hour", late: str = "10 minutes") -> DataFrame:
