@@ -255,3 +255,41 @@ def contract_report(leads: DataFrame) -> DataFrame:
     key = F.struct(F.col("company"), F.col("country"))
     repeated = (1 - F.count_distinct(key) / F.count("*")).alias("duplicate_rate")
     return leads.agg(F.count("*").alias("n_rows"), missing("company"), missing("country"), missing("website"), repeated)
+
+
+# --- schema repair and name noise of fetched lists ----------------------------------------------------------------------------------------
+
+#: Phrases that are page furniture, and menu words, in names taken from pages.
+PAGE_PHRASES = r"(?iu)^(view basket|add to cart|read more|learn more|click here|sign in|log in|contact us|about us|home|privacy policy|cookie policy|terms.*|all rights reserved.*)$"
+NAVIGATION = ("cookie", "javascript", "skip to", "toggle", "subscribe", "newsletter", "copyright")
+
+
+def repaired(leads: DataFrame, countries: dict[str, Iterable[str]]) -> DataFrame:
+    """leads whose country, where it is a web address, is the first of the table's countries with a word in address or context (else null),
+    and whose website is null where it is an e-mail or no address."""
+    t = F.lower(F.concat_ws(" ", col_or_empty(leads, "address"), text_of("context")))
+    known = F.coalesce(*[F.when(contains_any(t, w), c) for c, w in countries.items()])
+    site = clean("website")
+    return leads.withColumn("country", F.when(F.col("country").rlike(URL_LIKE), known).otherwise(F.col("country"))).withColumn("website", F.when(site.contains("@") | ~site.contains("."), F.lit(None).cast("string")).otherwise(site))
+
+
+def is_page_noise(name: Column) -> Column:
+    """Whether a name taken from a page is furniture: a known phrase, generic, short, holding a navigation word or a line break."""
+    t = F.lower(F.trim(text_of(name)))
+    return t.rlike(PAGE_PHRASES) | t.isin(*D.GATE_GENERIC) | (F.length(t) < 3) | contains_any(t, NAVIGATION) | text_of(name).contains("\n")
+
+
+def target_filter(leads: DataFrame, regions: Iterable[str], roles: Iterable[str] = ("CUSTOMER", "UNKNOWN")) -> DataFrame:
+    """Leads of the regions with a website that is no directory's; a role that is there must be one of those listed."""
+    site = has_value("website") & ~blocked("website", D.DOMAIN_BLOCKLIST)
+    role = F.col("role").isNull() | F.col("role").isin(*roles) if "role" in leads.columns else F.lit(True)
+    return leads.where(F.col("region").isin(*regions) & site & role)
+
+
+def same_host_evidence(leads: DataFrame, details: str = "evidence_details") -> DataFrame:
+    """leads with n_own and n_external: evidence items (url, type) on the lead's own host and on others."""
+    own = host("website")
+    there = F.coalesce(F.col(details), F.array().cast("array<struct<url:string,type:string>>"))
+    same = lambda d: (host(d["url"]) == own) & (own != "")
+    other = lambda d: (host(d["url"]) != own) & (host(d["url"]) != "") & (own != "")
+    return leads.withColumn("n_own", F.size(F.filter(there, same))).withColumn("n_external", F.size(F.filter(there, other)))

@@ -219,3 +219,15 @@ def quality_report(leads: DataFrame) -> DataFrame:
     out = leads.agg(F.count("*").alias("n"), F.avg(has_value("website").cast("int")).alias("website_coverage"), F.avg(F.col("sales_ready").cast("int")).alias("sales_ready_ratio"), F.count_distinct("country").alias("n_countries"))
     advice = F.array_compact(F.array(F.when(F.col("website_coverage") < 0.7, "run enrichment"), F.when(F.col("sales_ready_ratio") < 0.3, "look for better sources"), F.when(F.col("n_countries") < 5, "add collectors")))
     return out.withColumn("recommendations", advice)
+
+
+def global_rank(df: DataFrame, score: str) -> DataFrame:
+    """df with rank: one more than the rows of a greater score, nulls last.
+
+    The window runs over the distinct scores with their counts, not over the rows; use it for scores of
+    bounded variety, as all models here give.
+    """
+    own = df.groupBy(score).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy(F.desc_nulls_last(score)).rowsBetween(Window.unboundedPreceding, -1))
+    ranked = own.select(F.col(score).alias("__score"), (F.coalesce(before, F.lit(0)) + 1).alias("rank"))
+    return df.join(ranked, F.col(score).eqNullSafe(F.col("__score"))).drop("__score")

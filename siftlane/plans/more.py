@@ -272,3 +272,104 @@ def f18_sales_ready(spark, sf):
     t = scores.joined(F.col("company"), F.col("context"), F.lit(""), F.lit(""))
     own = own.withColumn("e1", F.least(F.lit(1.0), scores.hits(t, D.SCE_E1) * 0.4)).withColumn("e2", F.lit(0.0)).withColumn("e3", F.lit(0.0))
     return more_scores.sales_ready(own).where("sales_ready").select("_ord")
+
+
+PLACES = {"Germany": (" der ", " und "), "France": (" les ", " des "), "Spain": (" los ", " las ")}
+
+
+@query(
+    f"""{WITH}, b AS (SELECT _ord, CASE WHEN _ord % 2 = 0 THEN 'https://x.com' ELSE country END AS country, lower(' ' || context) AS t, CASE WHEN _ord % 3 = 0 THEN 'a@b.co' ELSE {SITE} END AS w FROM leads)
+SELECT _ord, CASE WHEN country = 'https://x.com' THEN CASE WHEN {sql_any("t", PLACES["Germany"])} THEN 'Germany' WHEN {sql_any("t", PLACES["France"])} THEN 'France' WHEN {sql_any("t", PLACES["Spain"])} THEN 'Spain' END ELSE country END AS country,
+  CASE WHEN contains(w, '@') OR NOT contains(w, '.') THEN NULL ELSE w END AS website FROM b"""
+)
+def f2_repaired(spark, sf):
+    own = leads(spark, sf).withColumn("country", F.when(F.col("_ord") % 2 == 0, "https://x.com").otherwise(F.col("country"))).withColumn("website", F.when(F.col("_ord") % 3 == 0, "a@b.co").otherwise(F.col("website")))
+    return gates.repaired(own, PLACES).select("_ord", "country", "website")
+
+
+@query(
+    f"""SELECT page_id, place, name, length(name) < 3 OR list_contains({sql_list(D.GATE_GENERIC)}, lower(name)) OR {sql_any("lower(name)", gates.NAVIGATION)} OR regexp_matches(lower(name), '^(view basket|add to cart|read more|home|about us|contact us)$') AS noise
+FROM (SELECT page_id, trim(unnest(regexp_extract_all(html, '<li><a href="[^"]+">([^<]*)</a>', 1)), ' ') AS name, generate_subscripts(regexp_extract_all(html, '<li><a href="[^"]+">([^<]*)</a>', 1), 1) - 1 AS place FROM pages)"""
+)
+def f5_page_noise(spark, sf):
+    found = F.posexplode(F.regexp_extract_all("html", F.lit('<li><a href="[^"]+">([^<]*)</a>'), F.lit(1))).alias("place", "name")
+    own = table(spark, sf, "pages").select("page_id", found).select("page_id", F.col("place").cast("long").alias("place"), F.trim("name").alias("name"))
+    return own.withColumn("noise", gates.is_page_noise(F.col("name")))
+
+
+@query(f"{WITH} SELECT _ord FROM leads WHERE score >= 40")
+def f19_at_least(spark, sf):
+    own = leads(spark, sf).withColumn("sce_confidence", F.when(F.col("score") >= 60, "high").when(F.col("score") >= 40, "medium").otherwise("low"))
+    return more_scores.at_least(own, "medium").select("_ord")
+
+
+@query(f"{WITH} SELECT _ord FROM leads WHERE country IN ('Brazil', 'Peru', 'Chile', 'Colombia', 'Argentina', 'Ecuador') AND {SITE} IS NOT NULL AND NOT {sql_any(SITE_HOST, D.DOMAIN_BLOCKLIST)}")
+def f24_targets(spark, sf):
+    own = leads(spark, sf).withColumn("region", O.region_of(F.col("country")))
+    return gates.target_filter(own, ["south_america"]).select("_ord")
+
+
+@query(f"{WITH} SELECT _ord, CAST({SITE} IS NOT NULL AS INT) AS n_own, CAST({SITE} IS NOT NULL AND regexp_extract(lower(website), '://([^/?#]*)', 1) <> 'other.org' AS INT) AS n_external FROM leads")
+def j12_evidence_hosts(spark, sf):
+    item = lambda u: F.struct(u.alias("url"), F.lit("x").alias("type"))
+    own = leads(spark, sf).withColumn("evidence_details", F.array(item(F.col("website")), item(F.lit("https://other.org/a"))))
+    return gates.same_host_evidence(own).select("_ord", "n_own", "n_external")
+
+
+@query(f"{WITH}, s AS (SELECT _ord, lower(company) AS n, lang FROM leads) SELECT n AS name, lang, min(_ord) AS _ord FROM s WHERE n <> '' GROUP BY ALL")
+def d6_composite_key(spark, sf):
+    from siftlane.operators.dedupe import first_seen
+
+    own = leads(spark, sf).select("_ord", F.lower("company").alias("name"), "lang").where("name != ''")
+    return first_seen(own, F.concat("name", F.lit("\x1f"), "lang"))
+
+
+@query(f"{WITH} SELECT _ord, coalesce(CASE WHEN len(regexp_split_to_array(trim(p, ' '), '\\s+')) <= 5 AND trim(p, ' ') <> '' THEN trim(p, ' ') END, nullif(trim(w, ' '), '')) AS name FROM (SELECT _ord, regexp_split_to_array(company, '\\s+[|\\-–:»]\\s+')[1] AS p, regexp_extract(company, '^((?:[A-Z][\\w&.\\-]*\\s*){{1,3}})', 1) AS w FROM leads)")
+def s22_title_names(spark, sf):
+    return leads(spark, sf).select("_ord", extract.title_company(F.col("company")).alias("name"))
+
+
+@query()
+def s21_legal_names(spark, sf):
+    """Names with a legal form; its letter classes are Java's, and samples hold it."""
+    return leads(spark, sf).select("_ord", extract.legal_names(F.col("context")).alias("names"))
+
+
+WORDS = ("the", "und", "les", "los", "token")
+
+
+@query(
+    f"""SELECT doc_id, CASE WHEN n_chars BETWEEN 50 AND 1000000 THEN least(50, {sql_hits("lower(text)", WORDS)} * 10) ELSE 0 END AS relevance FROM documents"""
+)
+def n4_relevance(spark, sf):
+    t = F.lower("text")
+    score = F.least(F.lit(50), scores.hits(t, WORDS) * 10)
+    return table(spark, sf, "documents").select("doc_id", F.when(F.col("n_chars").between(50, 1_000_000), score).otherwise(0).cast("long").alias("relevance"))
+
+
+@query("SELECT s_name AS name, s_acctbal AS balance, NULL::VARCHAR AS segment FROM supplier UNION ALL SELECT c_name, c_acctbal, c_mktsegment FROM customer")
+def u1_ragged_union(spark, sf):
+    one = table(spark, sf, "supplier").select(F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
+    two = table(spark, sf, "customer").select(F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"))
+    return one.unionByName(two, allowMissingColumns=True).select("name", "balance", "segment")
+
+
+@query("SELECT p_partkey, array_to_string(list_sort(list_distinct(list_concat(string_split(p_name, ' '), [p_type]))), ',') AS words FROM part")
+def u2_set_union(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", F.array_join(F.array_sort(F.array_union(F.split("p_name", " "), F.array("p_type"))), ",").alias("words"))
+
+
+@query(f"{WITH} SELECT _ord, rank() OVER (ORDER BY score DESC NULLS LAST) AS r FROM leads")
+def w3_global_rank(spark, sf):
+    """Rank over all leads: scores are few, so they are counted and ranked, and joined back to the leads."""
+    return O.global_rank(leads(spark, sf).select("_ord", "score"), "score").select("_ord", F.col("rank").alias("r"))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
+def t2_largest(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20)
+
+
+@query(f"{WITH} SELECT source_type, country, n FROM (SELECT source_type, country, count(*) AS n FROM leads GROUP BY ROLLUP (source_type, country))")
+def g13_rollup(spark, sf):
+    return leads(spark, sf).rollup("source_type", "country").agg(F.count("*").alias("n"))
