@@ -97,20 +97,20 @@ def composite(
 
     priority: (country, value), one row for each country; it is broadcast, as countries are few and fixed.
     """
-    top = priority.agg(F.max("value").alias("__top"))
+    top = priority.agg(F.max("value")).scalar()
     known = priority.select(F.lower("country").alias("__country"), F.col("value").alias("__value"))
     out = heuristic(leads).withColumn("__country", F.lower(F.trim(text_of("country"))))
-    out = out.join(F.broadcast(known), "__country", "left").join(F.broadcast(top))
+    out = out.join(F.broadcast(known), "__country", "left")
     t = joined(text_of("context"), text_of("company"), col_or_empty(leads, "source_name"))
     out = out.withColumn("fit_score", F.greatest(F.lit(0), F.least(F.lit(40), F.col("heuristic_score"))).cast("double"))
     out = out.withColumn("capacity_score", proportional(t, capacity_words, 20))
-    out = out.withColumn("import_score", F.when(F.col("__top") > 0, F.least(F.lit(20.0), F.coalesce(F.col("__value"), F.lit(0.0)) / F.col("__top") * 20)).otherwise(0.0))
+    out = out.withColumn("import_score", F.when(top > 0, F.least(F.lit(20.0), F.coalesce(F.col("__value"), F.lit(0.0)) / top * 20)).otherwise(0.0))
     out = out.withColumn("reach_score", reachability(leads).cast("double"))
     out = out.withColumn("product_bonus", F.least(F.lit(15), hits(t, product_words) * 3)).withColumn("brand_bonus", F.least(F.lit(20), hits(t, brand_words) * 5))
     base = sum((F.col(c) * w for c, w in zip(("fit_score", "capacity_score", "import_score", "reach_score"), weights)), F.lit(0.0))
     rival = F.least(F.lit(35), F.when(has_value("competitor_reference"), 25).otherwise(0)) if "competitor_reference" in leads.columns else F.lit(0)
     score = F.least(F.lit(150.0), F.least(F.lit(100.0), base * 2.5) + F.col("product_bonus") + F.col("brand_bonus") + rival)
-    return out.withColumn("score", score).drop("__country", "__value", "__top")
+    return out.withColumn("score", score).drop("__country", "__value")
 
 
 def hundred_points(leads: DataFrame, *, grades: tuple[float, float, float] = (80, 65, 50), bonuses: tuple[int, int, int, int] = (10, 5, 5, 5)) -> DataFrame:

@@ -58,8 +58,8 @@ def counts(df: DataFrame, key: str, top: int | None = None) -> DataFrame:
 
     The total is summed over the counts, one row for each value, so no row of df is gathered."""
     own = df.groupBy(key).agg(F.count("*").alias("n"))
-    total = own.agg(F.sum("n").alias("__all"))
-    out = own.join(F.broadcast(total)).select(key, "n", F.round(F.col("n") / F.col("__all"), 6).alias("share")).orderBy(F.desc("n"), key)
+    total = own.agg(F.sum("n")).scalar()
+    out = own.select(key, "n", F.round(F.col("n") / total, 6).alias("share")).orderBy(F.desc("n"), key)
     return out.limit(top) if top else out
 
 
@@ -72,9 +72,9 @@ def source_yield(leads: DataFrame, least: int = 50, least_yield: float = 0.10) -
 
 
 def max_share(df: DataFrame, value: str, most: float, name: str) -> DataFrame:
-    """value as a share of its greatest, times ``most``; the greatest is one aggregated row."""
-    top = df.agg(F.max(value).alias("__top"))
-    return df.join(F.broadcast(top)).withColumn(name, F.when(F.col("__top") > 0, F.round(F.col(value) / F.col("__top") * most, 6)).otherwise(0.0)).drop("__top")
+    """value as a share of its greatest, times ``most``; the greatest is a scalar subquery."""
+    top = df.agg(F.max(value)).scalar()
+    return df.withColumn(name, F.when(top > 0, F.round(F.col(value) / top * most, 6)).otherwise(0.0))
 
 
 REGIONS = {  # fixed values: the regions of the quotas, their countries and shares

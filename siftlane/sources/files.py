@@ -29,8 +29,7 @@ def read_csv(spark: SparkSession, path: str, schema: str, *, bad_lines: str = "s
 def read_latest(spark: SparkSession, glob: str, kind: str = "parquet") -> DataFrame:
     """The rows of the last file by name among those a pattern finds. File names are compared, rows are not moved."""
     rows = spark.read.format(kind).load(glob).withColumn("__file", F.col("_metadata.file_path"))
-    last = rows.agg(F.max("__file").alias("__last"))
-    return rows.join(F.broadcast(last), F.col("__file") == F.col("__last")).drop("__file", "__last")
+    return rows.where(F.col("__file") == rows.agg(F.max("__file")).scalar()).drop("__file")
 
 
 def sheet_rows(data: bytes) -> list[list[str]]:
