@@ -40,6 +40,8 @@ from siftlane.llm.common import checkpointed, slices, whole_text
 from siftlane.operators.components import connected_components
 
 SLICE_BYTES = 8 << 20
+#: Pairs of a large cell that are compared at once.
+BLOCK_PAIRS = 1 << 19
 
 
 def shingle_hashes(text: str, shingle: int) -> np.ndarray:
@@ -205,8 +207,9 @@ class Links:
     def within(self, own: np.ndarray, rows: tuple) -> tuple[np.ndarray, np.ndarray]:
         """Links of one large cell: its linked pairs if they are few, else a tree of each part."""
         one, two, found = [], [], 0
-        for i in range(0, len(own), 256):
-            a, b = np.nonzero(self.near(own[i : i + 256, None], own[None, i:], rows))
+        some = max(1, BLOCK_PAIRS // len(own))
+        for i in range(0, len(own), some):
+            a, b = np.nonzero(self.near(own[i : i + some, None], own[None, i:], rows))
             up = b > a
             one.append(own[a[up] + i])
             two.append(own[b[up] + i])
