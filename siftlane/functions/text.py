@@ -52,6 +52,11 @@ def parse_list(c: str | Column) -> Column:
     return F.when(t.isNull(), F.array().cast("array<string>")).when(t.startswith("[") & parsed.isNotNull(), parsed).otherwise(split)
 
 
+def let(value: Column, f) -> Column:
+    """f of a value that is computed once a row, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def listed(words: Iterable[str]) -> Column:
     return F.array(*[F.lit(w) for w in words])
 

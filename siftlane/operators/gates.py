@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftlane import dictionaries as D
-from siftlane.functions.text import clean, clean_email, contains_any, first_word, low, normalize_country, squeezed, text_of
+from siftlane.functions.text import clean, clean_email, contains_any, first_word, let, low, normalize_country, squeezed, text_of
 from siftlane.functions.web import blocked, host
 from siftlane.operators.rules import Rule, banded, first_reason, reasons
 
@@ -120,8 +120,8 @@ def is_non_customer(name: Column, context: Column, indicators: Iterable[str] = D
     """Whether an indicator stands in name or context; institute with technology and chamber with reaction don't count."""
     t = F.lower(F.concat_ws(" ", text_of(name), text_of(context)))
     plain = [w for w in indicators if w not in ("institute", "chamber")]
-    special = (t.contains("institute") & ~t.contains("technology")) | (t.contains("chamber") & ~t.contains("reaction"))
-    return contains_any(t, plain) | special
+    special = lambda t: (t.contains("institute") & ~t.contains("technology")) | (t.contains("chamber") & ~t.contains("reaction"))
+    return let(t, lambda t: contains_any(t, plain) | special(t))
 
 
 def clean_dataset(leads: DataFrame, domains: Iterable[str] = D.DOMAIN_BLOCKLIST) -> DataFrame:
@@ -138,7 +138,8 @@ def fast_filter(leads: DataFrame) -> DataFrame:
     path = F.regexp_extract(url, r"^(?:[a-z][a-z0-9+.-]*://)?[^/?#]*([^?#]*)", 1)
     meta = F.lower(col_or_empty(leads, "meta_description"))
     named = lambda kind, word: F.when(word.isNotNull(), F.concat(F.lit(f"{kind}_blacklist:"), word))
-    reason = F.coalesce(named("domain", first_word(url, D.FAST_DOMAINS)), named("path", first_word(path, D.FAST_PATHS)), named("meta", first_word(meta, D.FAST_META)))
+    found = lambda x, words: let(x, lambda t: first_word(t, words))
+    reason = F.coalesce(named("domain", found(url, D.FAST_DOMAINS)), named("path", found(path, D.FAST_PATHS)), named("meta", found(meta, D.FAST_META)))
     return leads.withColumn("reject_reason", F.when(~low("source_type").isin(*D.FAST_TRUSTED), reason))
 
 
@@ -146,7 +147,7 @@ def fast_filter(leads: DataFrame) -> DataFrame:
 
 
 def is_parts_supplier(company: Column, context: Column) -> Column:
-    return F.lower(company).rlike(PARTS_SUPPLIER) | contains_any(F.lower(context), D.GATE_PARTS_SIGNALS)
+    return F.lower(company).rlike(PARTS_SUPPLIER) | let(F.lower(context), lambda t: contains_any(t, D.GATE_PARTS_SIGNALS))
 
 
 def gate_rules(company: Column, source_url: Column) -> list[Rule]:
@@ -203,11 +204,12 @@ def entity_gate(leads: DataFrame) -> DataFrame:
 
 def entity_type(leads: DataFrame) -> DataFrame:
     """leads with entity_type (associations first, then intermediaries, end users, brands), should_process and entity_priority."""
-    t = F.lower(F.concat_ws(" ", text_of("company"), text_of("context"), col_or_empty(leads, "website_content")))
+    work = leads.withColumn("__t", F.lower(F.concat_ws(" ", text_of("company"), text_of("context"), col_or_empty(leads, "website_content"))))
+    t = F.col("__t")
     kind = F.when(contains_any(t, D.ENTITY_ASSOCIATION), "association").when(contains_any(t, D.ENTITY_INTERMEDIARY), "intermediary")
     kind = kind.when(contains_any(t, D.ENTITY_END_USER), "end_user").when(contains_any(t, D.ENTITY_BRAND), "brand").otherwise("unknown")
     table = F.create_map(*[F.lit(x) for kv in ENTITY_PRIORITY.items() for x in kv])
-    out = leads.withColumn("entity_type", kind)
+    out = work.withColumn("entity_type", kind).drop("__t")
     return out.withColumn("should_process", ~F.col("entity_type").isin("association", "intermediary")).withColumn("entity_priority", table[F.col("entity_type")])
 
 
@@ -268,7 +270,7 @@ def repaired(leads: DataFrame, countries: dict[str, Iterable[str]]) -> DataFrame
     """leads whose country, where it is a web address, is the first of the table's countries with a word in address or context (else null),
     and whose website is null where it is an e-mail or no address."""
     t = F.lower(F.concat_ws(" ", col_or_empty(leads, "address"), text_of("context")))
-    known = F.coalesce(*[F.when(contains_any(t, w), c) for c, w in countries.items()])
+    known = let(t, lambda t: F.coalesce(*[F.when(contains_any(t, w), c) for c, w in countries.items()]))
     site = clean("website")
     return leads.withColumn("country", F.when(F.col("country").rlike(URL_LIKE), known).otherwise(F.col("country"))).withColumn("website", F.when(site.contains("@") | ~site.contains("."), F.lit(None).cast("string")).otherwise(site))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftlane import dictionaries as D
-from siftlane.functions.text import contains_any, first_word, hits, low, text_of
+from siftlane.functions.text import contains_any, first_word, hits, let, low, text_of
 from siftlane.functions.web import host
 from siftlane.operators.gates import col_or_empty, has_value
 from siftlane.operators.rules import Rule, banded, first_reason
@@ -49,11 +49,11 @@ def gate_v1(leads: DataFrame) -> DataFrame:
 
 def role_by_majority(leads: DataFrame) -> DataFrame:
     """majority_role: three points for a pattern, one for each word, one for a source's hint; the most points, two at least."""
-    t, source = joined(text_of("company"), text_of("context")), low("source_type")
+    work, t, source = leads.withColumn("__t", joined(text_of("company"), text_of("context"))), F.col("__t"), low("source_type")
     words = {"CUSTOMER": D.ENTITY_END_USER, "INTERMEDIARY": D.ENTITY_INTERMEDIARY, "BRAND": D.ENTITY_BRAND}
     hint = {"CUSTOMER": source.isin(*D.QUALIFY_SOURCES, "gots", "oekotex"), "INTERMEDIARY": source == "comtrade", "BRAND": F.lit(False)}
     votes = [F.struct((F.when(t.rlike(p), 3).otherwise(0) + hits(t, words[k]) + hint[k].cast("int")).alias("n"), F.lit(-i).alias("i"), F.lit(k).alias("role")) for i, (k, p) in enumerate(ROLE_PATTERNS.items())]
-    out = leads.withColumn("__best", F.array_max(F.array(*votes)))
+    out = work.withColumn("__best", F.array_max(F.array(*votes))).drop("__t")
     return out.withColumn("majority_role", F.when(F.col("__best.n") >= 2, F.col("__best.role")).otherwise("UNKNOWN")).withColumn("majority_points", F.col("__best.n")).drop("__best")
 
 
@@ -61,7 +61,7 @@ def role_override(leads: DataFrame, words: dict[str, Iterable[str]] | None = Non
     """role, set anew where a strong word of another role stands in the text; brands come first, then intermediaries, then customers."""
     words = words or {"BRAND": D.ROLE_BRAND, "INTERMEDIARY": D.ROLE_STRONG_INTERMEDIARY, "CUSTOMER": D.ROLE_STRONG_CUSTOMER}
     t = joined(text_of("company"), text_of("context"))
-    new = F.coalesce(*[F.when(contains_any(t, w), k) for k, w in words.items()])
+    new = let(t, lambda t: F.coalesce(*[F.when(contains_any(t, w), k) for k, w in words.items()]))
     return leads.withColumn("role", F.coalesce(new, "role"))
 
 
@@ -70,7 +70,7 @@ def additive_tier(leads: DataFrame) -> DataFrame:
     t = joined(text_of("company"), text_of("context"))
     score = F.when(F.col("role") == "CUSTOMER", 30).when(F.col("role") == "UNKNOWN", 10).otherwise(0)
     score = score + F.when(F.col("entity_grade") == "A", 30).when(F.col("entity_grade") == "B", 20).when(F.col("entity_grade") == "C", 10).otherwise(0)
-    score = score + has_value("website").cast("int") * 15 + (F.size("emails") > 0).cast("int") * 15 + F.when(contains_any(t, D.V10_TIER1), 10).otherwise(0)
+    score = score + has_value("website").cast("int") * 15 + (F.size("emails") > 0).cast("int") * 15 + F.when(let(t, lambda t: contains_any(t, D.V10_TIER1)), 10).otherwise(0)
     out = leads.withColumn("v4_score", score)
     return out.withColumn("v4_tier", banded(F.col("v4_score"), [(80, 1), (60, 2), (40, 3), (20, 4)], 5))
 
@@ -78,7 +78,7 @@ def additive_tier(leads: DataFrame) -> DataFrame:
 def potential(leads: DataFrame) -> DataFrame:
     """potential: high, medium or low by how many process, machine and product words a text holds."""
     t = joined(text_of("company"), text_of("context"))
-    n = hits(t, D.QUALIFY_MACHINERY) * 2 + hits(t, D.QUALIFY_OPERATIONS) + hits(t, D.QUALIFY_PRODUCT_CATEGORIES)
+    n = let(t, lambda t: hits(t, D.QUALIFY_MACHINERY) * 2 + hits(t, D.QUALIFY_OPERATIONS) + hits(t, D.QUALIFY_PRODUCT_CATEGORIES))
     return leads.withColumn("potential_hits", n).withColumn("potential", banded(F.col("potential_hits"), [(4, "high"), (2, "medium")], "low"))
 
 
@@ -86,26 +86,28 @@ def weighted_detector(leads: DataFrame) -> DataFrame:
     """detector_score: hits of each signal times its weight; detector_confidence at 30, 15 and 8."""
     t = low("context")
     groups = {"finishing": D.SIGNAL_FINISHING, "stenter": D.SIGNAL_STENTER, "parts": D.SIGNAL_PARTS, "facility": D.SIGNAL_FACILITY}
-    score = sum((hits(t, w) * D.SIGNAL_WEIGHTS[k] for k, w in groups.items()), F.lit(0))
+    score = let(t, lambda t: sum((hits(t, w) * D.SIGNAL_WEIGHTS[k] for k, w in groups.items()), F.lit(0)))
     return leads.withColumn("detector_score", score).withColumn("detector_confidence", banded(F.col("detector_score"), [(30, "high"), (15, "medium"), (8, "low")], "none"))
 
 
 def fetched_layers(pages: DataFrame, text: str = "content") -> DataFrame:
     """The evidence layers for fetched text: weights 0.3, 0.2 and 0.15, ready from 0.3 in the first or 0.4 in the second."""
-    t = low(text)
+    work, t = pages.withColumn("__t", low(text)), F.col("__t")
     e1, e2, e3 = (F.least(F.lit(1.0), hits(t, w) * x) for w, x in ((D.SCE_E1, 0.3), (D.SCE_E2, 0.2), (D.SCE_E3, 0.15)))
-    out = pages.withColumn("e1", e1).withColumn("e2", e2).withColumn("e3", e3)
-    return out.withColumn("ready", ((F.col("e1") >= 0.3) | ((F.col("e2") >= 0.4) & (F.col("e3") >= 0.15))) & ~contains_any(t, D.V10_NEGATIVE))
+    out = work.withColumn("e1", e1).withColumn("e2", e2).withColumn("e3", e3)
+    return out.withColumn("ready", ((F.col("e1") >= 0.3) | ((F.col("e2") >= 0.4) & (F.col("e3") >= 0.15))) & ~contains_any(t, D.V10_NEGATIVE)).drop("__t")
 
 
 def snippet_score(leads: DataFrame, snippets: str = "snippets") -> DataFrame:
     """snippet_score (1 at most) of an array of snippets: brands, process words, and snippets that hold both."""
-    t = F.lower(F.array_join(snippets, "\n"))
+    work, t = leads.withColumn("__t", F.lower(F.array_join(snippets, "\n"))), F.col("__t")
     brands, words = hits(t, (*D.V10_TIER1, *D.V10_TIER2)), hits(t, D.SCE_E2)
-    both = F.size(F.filter(snippets, lambda s: contains_any(F.lower(s), (*D.V10_TIER1, *D.V10_TIER2)) & contains_any(F.lower(s), D.SCE_E2)))
+    both = F.size(F.filter(F.transform(snippets, lambda s: F.lower(s)), lambda s: contains_any(s, (*D.V10_TIER1, *D.V10_TIER2)) & contains_any(s, D.SCE_E2)))
+    work = work.withColumns({"__b": brands, "__w": words})
+    brands, words = F.col("__b"), F.col("__w")
     score = F.when(brands > 0, 0.3 + F.least(brands, F.lit(3)) * 0.1).otherwise(0.0) + F.when(words > 0, 0.2 + F.least(words, F.lit(4)) * 0.05).otherwise(0.0)
     score = score + F.when((brands > 0) & (words > 0), 0.2).otherwise(0.0) + both * 0.1
-    out = leads.withColumn("snippet_score", F.least(F.lit(1.0), score))
+    out = work.withColumn("snippet_score", F.least(F.lit(1.0), score)).drop("__t", "__b", "__w")
     return out.withColumn("snippet_ready", F.col("snippet_score") >= 0.5)
 
 
@@ -114,7 +116,8 @@ def first_evidence(results: DataFrame, key: str = "_ord") -> DataFrame:
 
     results: key, rank, url, title, description. One aggregation, combined on the map side."""
     t = joined(text_of("title"), text_of("description"))
-    strong, medium = first_word(t, D.SCE_E1), first_word(t, D.SCE_E2)
+    results = results.withColumn("__strong", let(t, lambda t: first_word(t, D.SCE_E1))).withColumn("__medium", let(t, lambda t: first_word(t, D.SCE_E2)))
+    strong, medium = F.col("__strong"), F.col("__medium")
     level = F.when(strong.isNotNull(), 0).when(medium.isNotNull(), 1).otherwise(2)
     own = results.select(key, level.alias("level"), "rank", F.coalesce(strong, medium).alias("word"), "url")
     best = own.groupBy(key).agg(F.min(F.struct("level", "rank", "word", "url")).alias("s"))
@@ -124,10 +127,10 @@ def first_evidence(results: DataFrame, key: str = "_ord") -> DataFrame:
 
 def site_tier(leads: DataFrame, page: str = "page_text") -> DataFrame:
     """site_tier 1 (machines or brands and process words), 2 (process words), 3 (industry words) or null (parked, empty or none)."""
-    t = low(page)
+    work, t = leads.withColumn("__t", low(page)), F.col("__t")
     n, brand = hits(t, SITE_STRONG), contains_any(t, (*D.V10_TIER1, *D.V10_TIER2, "stenter", "ram makine"))
     tier = F.when((t == "") | contains_any(t, PARKED), F.lit(None)).when(brand & (n >= 1), 1).when(n >= 1, 2).when(contains_any(t, SITE_WEAK), 3)
-    return leads.withColumn("site_tier", tier)
+    return work.withColumn("site_tier", tier).drop("__t")
 
 
 def sales_ready(leads: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftlane import dictionaries as D
-from siftlane.functions.text import contains_any, first_word, fold_accents, found, hits, low, near, proportional, text_of
+from siftlane.functions.text import contains_any, first_word, fold_accents, found, hits, let, low, near, proportional, text_of
 from siftlane.operators.gates import col_or_empty, has_value
 from siftlane.operators.rules import banded
 
@@ -52,10 +52,11 @@ def joined(*columns: Column) -> Column:
 
 def evidence_layers(leads: DataFrame) -> DataFrame:
     """Three layers of evidence: e1, e2, e3, sce_score, sce_ready, sce_confidence, and the first five words of each layer."""
-    t = joined(text_of("company"), text_of("context"), col_or_empty(leads, "website_content"), col_or_empty(leads, "source_name"))
+    work = leads.withColumn("__t", joined(text_of("company"), text_of("context"), col_or_empty(leads, "website_content"), col_or_empty(leads, "source_name")))
+    t = F.col("__t")
     cut = F.when(contains_any(t, D.SCE_SUPPLIER), 0.3).otherwise(1.0)
     layer = lambda words, weight: F.least(F.lit(1.0), hits(t, words) * weight) * F.col("__cut")
-    out = leads.withColumn("__cut", cut).withColumn("__e1", layer(D.SCE_E1, 0.4)).withColumn("__e2", layer(D.SCE_E2, 0.25)).withColumn("__e3", layer(D.SCE_E3, 0.2))
+    out = work.withColumn("__cut", cut).withColumn("__e1", layer(D.SCE_E1, 0.4)).withColumn("__e2", layer(D.SCE_E2, 0.25)).withColumn("__e3", layer(D.SCE_E3, 0.2))
     e1, e2, e3 = F.col("__e1"), F.col("__e2"), F.col("__e3")
     out = out.withColumn("__total", F.greatest(e1, e2 * 0.6 + e3 * 0.4, e1 * 0.5 + e2 * 0.3 + e3 * 0.2))
     total = F.col("__total")
@@ -69,11 +70,11 @@ def evidence_layers(leads: DataFrame) -> DataFrame:
 def heuristic(leads: DataFrame, url: str = "website") -> DataFrame:
     """Keyword score of a text: heuristic_score (may be negative), is_lead, heuristic_confidence."""
     address = col_or_empty(leads, url)
-    t = joined(text_of("company"), text_of("context"), address)
+    work, t = leads.withColumn("__t", joined(text_of("company"), text_of("context"), address)), F.col("__t")
     score = F.least(F.lit(40), hits(t, D.HEURISTIC_POSITIVE) * 10) + F.when(near(t, NEAR_MACHINES, NEAR_PARTS), 20).otherwise(0)
     score = score + F.when(contains_any(t, FACILITY), 15).otherwise(0) - hits(t, D.HEURISTIC_NEGATIVE) * 20
     score = score - F.when(address.contains("linkedin.com/in/") & ~address.contains("linkedin.com/company"), 30).otherwise(0)
-    out = leads.withColumn("heuristic_score", score)
+    out = work.withColumn("heuristic_score", score).drop("__t")
     return out.withColumn("is_lead", F.col("heuristic_score") >= 25).withColumn("heuristic_confidence", banded(F.col("heuristic_score"), [(60, "high"), (30, "medium")], "low"))
 
 
@@ -101,7 +102,7 @@ def composite(
     known = priority.select(F.lower("country").alias("__country"), F.col("value").alias("__value"))
     out = heuristic(leads).withColumn("__country", F.lower(F.trim(text_of("country"))))
     out = out.join(F.broadcast(known), "__country", "left")
-    t = joined(text_of("context"), text_of("company"), col_or_empty(leads, "source_name"))
+    out, t = out.withColumn("__t", joined(text_of("context"), text_of("company"), col_or_empty(leads, "source_name"))), F.col("__t")
     out = out.withColumn("fit_score", F.greatest(F.lit(0), F.least(F.lit(40), F.col("heuristic_score"))).cast("double"))
     out = out.withColumn("capacity_score", proportional(t, capacity_words, 20))
     out = out.withColumn("import_score", F.when(top > 0, F.least(F.lit(20.0), F.coalesce(F.col("__value"), F.lit(0.0)) / top * 20)).otherwise(0.0))
@@ -110,24 +111,25 @@ def composite(
     base = sum((F.col(c) * w for c, w in zip(("fit_score", "capacity_score", "import_score", "reach_score"), weights)), F.lit(0.0))
     rival = F.least(F.lit(35), F.when(has_value("competitor_reference"), 25).otherwise(0)) if "competitor_reference" in leads.columns else F.lit(0)
     score = F.least(F.lit(150.0), F.least(F.lit(100.0), base * 2.5) + F.col("product_bonus") + F.col("brand_bonus") + rival)
-    return out.withColumn("score", score).drop("__country", "__value")
+    return out.withColumn("score", score).drop("__country", "__value", "__t")
 
 
 def hundred_points(leads: DataFrame, *, grades: tuple[float, float, float] = (80, 65, 50), bonuses: tuple[int, int, int, int] = (10, 5, 5, 5)) -> DataFrame:
     """The 100-point model: activity, machines, profile, signals and bonuses; disqualified leads have 0 and grade X."""
-    company, context, source = low("company"), low("context"), low("source_type")
+    columns, names = leads.columns, ("__c", "__x", "__s", "__t")
+    leads = leads.withColumns({"__c": low("company"), "__x": low("context"), "__s": low("source_type")}).withColumn("__t", F.concat_ws(" ", "__x", "__c"))
+    company, context, source, text = map(F.col, names)
     flag = lambda c: F.coalesce(F.col(c).cast("boolean"), F.lit(False)) if c in leads.columns else F.lit(False)
     listed = lambda c: F.coalesce(F.col(c), F.array().cast("array<string>")) if c in leads.columns else F.array().cast("array<string>")
-    negative = F.coalesce(first_word(F.concat_ws("\n", context, company), D.V10_NEGATIVE), F.lit(None))
+    negative = let(F.concat_ws("\n", context, company), lambda t: first_word(t, D.V10_NEGATIVE))
     reason = F.coalesce(
         F.when(flag("is_machinery_supplier"), "Machinery supplier"),
         F.when(flag("is_parts_supplier"), "Spare parts supplier"),
         F.when(flag("is_trading_company"), "Trading company"),
         F.when(F.lower(col_or_empty(leads, "entity_type")).isin("supplier", "distributor", "trader", "agent"), F.concat(F.lit("Entity type: "), F.lower(col_or_empty(leads, "entity_type")))),
-        F.when(negative.isNotNull(), F.concat(F.lit("Negative signal: "), negative)),
+        F.concat(F.lit("Negative signal: "), negative),
     )
-    text = F.concat_ws(" ", context, company)
-    evidence = hits(F.concat_ws(" ", text, F.lower(col_or_empty(leads, "segment"))), D.V10_FINISHING) + flag("has_finishing_context").cast("int") + F.least(F.lit(5), F.size(listed("finishing_signals")))
+    evidence = let(F.concat_ws(" ", text, F.lower(col_or_empty(leads, "segment"))), lambda t: hits(t, D.V10_FINISHING)) + flag("has_finishing_context").cast("int") + F.least(F.lit(5), F.size(listed("finishing_signals")))
     role = F.lower(col_or_empty(leads, "role")).isin("end_user", "customer", "manufacturer")
     activity = F.when(evidence >= 3, 30).when(evidence >= 2, 25).when(evidence >= 1, 15).when(role, 10).otherwise(5)
     brands = F.transform(listed("oem_brands"), F.lower)
@@ -151,6 +153,7 @@ def hundred_points(leads: DataFrame, *, grades: tuple[float, float, float] = (80
         out = out.withColumn(f"v10_{name}", value)
     total = F.least(F.lit(100), F.greatest(F.lit(0), F.expr("v10_activity + v10_machine + v10_profile + v10_signal + v10_bonus")))
     out = out.withColumn("v10_score", F.when(F.col("v10_reason").isNotNull(), 0).otherwise(total))
+    out = out.select(*columns, *[c for c in out.columns if c not in columns and c not in names])
     return out.withColumn("v10_grade", F.when(F.col("v10_reason").isNotNull(), "X").otherwise(banded(F.col("v10_score"), list(zip(grades, "ABC")), "D")))
 
 
@@ -159,44 +162,45 @@ def role(leads: DataFrame) -> DataFrame:
 
     The score is held in hundredths, so sums are exact and the limits are met as they are written.
     """
-    t = joined(text_of("company"), text_of("context"), col_or_empty(leads, "website"))
+    work, t = leads.withColumn("__t", joined(text_of("company"), text_of("context"), col_or_empty(leads, "website"))), F.col("__t")
     weights = F.create_map(*[F.lit(x) for k, v in D.ROLE_SOURCE_WEIGHTS.items() for x in (k, float(v))])
     source = F.coalesce(F.try_element_at(weights, low("source_type")), F.lit(0.3))
     score = hits(t, D.ROLE_STRONG_CUSTOMER) * 30 - hits(t, D.ROLE_STRONG_INTERMEDIARY) * 40 + hits(t, D.ROLE_CUSTOMER) * 10 - hits(t, D.ROLE_INTERMEDIARY) * 15
-    out = leads.withColumn("__s", score + F.round((source - 0.5) * 50)).withColumn("__b", hits(t, D.ROLE_BRAND) * 20)
+    out = work.withColumn("__s", score + F.round((source - 0.5) * 50)).withColumn("__b", hits(t, D.ROLE_BRAND) * 20)
     s, b = F.col("__s"), F.col("__b")
     kind = F.when((b >= 40) & (s < 30), "BRAND").when(s >= 30, "CUSTOMER").when(s <= -20, "INTERMEDIARY").otherwise("UNKNOWN")
     out = out.withColumn("role", kind)
     sure = F.when(F.col("role") == "BRAND", 50 + b).when(F.col("role") == "CUSTOMER", 50 + s).when(F.col("role") == "INTERMEDIARY", 50 - s).otherwise(30)
-    return out.withColumn("role_score", s / 100).withColumn("role_confidence", F.least(F.lit(90), sure) / 100).drop("__s", "__b")
+    return out.withColumn("role_score", s / 100).withColumn("role_confidence", F.least(F.lit(90), sure) / 100).drop("__s", "__b", "__t")
 
 
 def qualification(leads: DataFrame) -> DataFrame:
     """qualification_score (0 to 100) and is_qualified: a source, one word of each group, the disqualifying words, the country."""
-    t = joined(text_of("company"), text_of("context"))
+    work, t = leads.withColumn("__t", joined(text_of("company"), text_of("context"))), F.col("__t")
     some = lambda words, points: F.when(contains_any(t, words), points).otherwise(0)
     score = F.when(low("source_type").isin(*D.QUALIFY_SOURCES), 60).otherwise(0)
     score = score + some(D.QUALIFY_OEM_BRANDS, 25) + some(D.QUALIFY_MACHINERY, 20) + some(D.QUALIFY_OPERATIONS, 15) + some(D.QUALIFY_PRODUCT_CATEGORIES, 10)
     score = score - hits(t, D.QUALIFY_NOT) * 30 + F.when(contains_any(low("country"), D.QUALIFY_COUNTRIES), 10).otherwise(0)
-    out = leads.withColumn("qualification_score", F.greatest(F.lit(0), F.least(F.lit(100), score)))
+    out = work.withColumn("qualification_score", F.greatest(F.lit(0), F.least(F.lit(100), score))).drop("__t")
     return out.withColumn("is_qualified", F.col("qualification_score") >= 50)
 
 
 def signals(leads: DataFrame) -> DataFrame:
     """Weighted signals of a text: signals (names), signal_words (the first word of each), signal_score, signal_confidence."""
-    t = fold_accents(text_of("context"))
     words = {"finishing": D.SIGNAL_FINISHING, "stenter": D.SIGNAL_STENTER, "parts": D.SIGNAL_PARTS, "facility": D.SIGNAL_FACILITY}
-    firsts = F.array_compact(F.array(*[F.when(first_word(t, w).isNotNull(), F.struct(F.lit(k).alias("name"), first_word(t, w).alias("word"), F.lit(float(D.SIGNAL_WEIGHTS[k])).alias("weight"))) for k, w in words.items()]))
-    out = leads.withColumn("__s", firsts)
+    work, t = leads.withColumn("__t", fold_accents(text_of("context"))), F.col("__t")
+    work = work.withColumns({f"__{k}": first_word(t, w) for k, w in words.items()})
+    named = [F.when(F.col(f"__{k}").isNotNull(), F.struct(F.lit(k).alias("name"), F.col(f"__{k}").alias("word"), F.lit(float(D.SIGNAL_WEIGHTS[k])).alias("weight"))) for k in words]
+    out = work.withColumn("__s", F.array_compact(F.array(*named)))
     plain = F.aggregate("__s", F.lit(0.0), lambda acc, x: acc + x["weight"])
     score = F.when((F.size("__s") > 0) & contains_any(t, D.SIGNAL_NEGATIVE), F.greatest(F.lit(0.0), plain - 1.5)).otherwise(plain)
     out = out.withColumn("signals", F.transform("__s", lambda x: x["name"])).withColumn("signal_words", F.transform("__s", lambda x: x["word"])).withColumn("signal_score", score)
-    return out.drop("__s").withColumn("signal_confidence", banded(F.col("signal_score"), [(6, "high"), (3, "medium")], "low"))
+    return out.drop("__s", "__t", *[f"__{k}" for k in words]).withColumn("signal_confidence", banded(F.col("signal_score"), [(6, "high"), (3, "medium")], "low"))
 
 
 def triggers(leads: DataFrame, now: str = "2024-02-01 00:00:00") -> DataFrame:
     """Events that call for action: triggers (type, priority, bonus, action), trigger_count, trigger_bonus, trigger_priority, trigger_actions."""
-    t, source = joined(text_of("company"), text_of("context")), low("source_type")
+    work, t, source = leads.withColumn("__t", joined(text_of("company"), text_of("context"))), F.col("__t"), low("source_type")
     volume = F.coalesce(F.col("import_volume_tons"), F.lit(0.0)) >= 20 if "import_volume_tons" in leads.columns else F.lit(False)
     recent = F.coalesce(F.col("last_updated") > F.lit(now).cast("timestamp") - F.expr("INTERVAL 90 DAYS"), F.lit(False)) if "last_updated" in leads.columns else F.lit(False)
     changed = F.coalesce(F.col("website_changed").cast("boolean"), F.lit(False)) if "website_changed" in leads.columns else F.lit(False)
@@ -209,7 +213,7 @@ def triggers(leads: DataFrame, now: str = "2024-02-01 00:00:00") -> DataFrame:
         "website_change": changed,
     }
     made = [F.when(when[k], F.struct(F.lit(k).alias("type"), F.lit(p).alias("priority"), F.lit(b).alias("bonus"), F.lit(a).alias("action"))) for k, (p, b, a) in TRIGGERS.items()]
-    out = leads.withColumn("triggers", F.array_compact(F.array(*made)))
+    out = work.withColumn("triggers", F.array_compact(F.array(*made))).drop("__t")
     out = out.withColumn("trigger_count", F.size("triggers")).withColumn("trigger_bonus", F.aggregate("triggers", F.lit(0), lambda acc, x: acc + x["bonus"]))
     high = F.exists("triggers", lambda x: x["priority"] == "high")
     return out.withColumn("trigger_priority", F.when(high, "high").when(F.col("trigger_count") > 0, "medium")).withColumn("trigger_actions", F.array_sort(F.array_distinct(F.transform("triggers", lambda x: x["action"]))))
@@ -217,10 +221,10 @@ def triggers(leads: DataFrame, now: str = "2024-02-01 00:00:00") -> DataFrame:
 
 def hs_codes(leads: DataFrame) -> DataFrame:
     """hs_primary, hs_secondary, hs_reason and hs_words of the first rule one of whose words stands in the text."""
-    t = joined(text_of("context"), text_of("company"))
+    work, t = leads.withColumn("__t", joined(text_of("context"), text_of("company"))), F.col("__t")
     pick = lambda i: [F.when(contains_any(t, r[0]), r[i]) for r in HS_RULES]
     words = F.coalesce(*[F.when(contains_any(t, r[0]), found(t, r[0])) for r in HS_RULES], F.array().cast("array<string>"))
-    return leads.withColumn("hs_primary", F.coalesce(*pick(1), F.lit(HS_DEFAULT[0]))).withColumn("hs_secondary", F.coalesce(*pick(2), F.lit(HS_DEFAULT[1]))).withColumn("hs_reason", F.coalesce(*pick(3), F.lit(HS_DEFAULT[2]))).withColumn("hs_words", words)
+    return work.withColumn("hs_primary", F.coalesce(*pick(1), F.lit(HS_DEFAULT[0]))).withColumn("hs_secondary", F.coalesce(*pick(2), F.lit(HS_DEFAULT[1]))).withColumn("hs_reason", F.coalesce(*pick(3), F.lit(HS_DEFAULT[2]))).withColumn("hs_words", words).drop("__t")
 
 
 def email_points(mail: Column) -> Column:
