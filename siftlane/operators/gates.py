@@ -223,8 +223,7 @@ def role_filter(leads: DataFrame) -> DataFrame:
         (is_noise(F.col("company")), "noise"),
         (is_non_customer(F.col("company"), F.col("context")), "non_customer"),
     ]
-    found = reasons(rules)
-    return leads.withColumn("drop_reason", F.when(F.size(found) > 0, F.array_join(found, "+")))
+    return leads.withColumn("drop_reason", let(reasons(rules), lambda x: F.when(F.size(x) > 0, F.array_join(x, "+"))))
 
 
 def enrichment_need(leads: DataFrame) -> DataFrame:

@@ -166,12 +166,16 @@ def role(leads: DataFrame) -> DataFrame:
     weights = F.create_map(*[F.lit(x) for k, v in D.ROLE_SOURCE_WEIGHTS.items() for x in (k, float(v))])
     source = F.coalesce(F.try_element_at(weights, low("source_type")), F.lit(0.3))
     score = hits(t, D.ROLE_STRONG_CUSTOMER) * 30 - hits(t, D.ROLE_STRONG_INTERMEDIARY) * 40 + hits(t, D.ROLE_CUSTOMER) * 10 - hits(t, D.ROLE_INTERMEDIARY) * 15
-    out = work.withColumn("__s", score + F.round((source - 0.5) * 50)).withColumn("__b", hits(t, D.ROLE_BRAND) * 20)
-    s, b = F.col("__s"), F.col("__b")
-    kind = F.when((b >= 40) & (s < 30), "BRAND").when(s >= 30, "CUSTOMER").when(s <= -20, "INTERMEDIARY").otherwise("UNKNOWN")
-    out = out.withColumn("role", kind)
-    sure = F.when(F.col("role") == "BRAND", 50 + b).when(F.col("role") == "CUSTOMER", 50 + s).when(F.col("role") == "INTERMEDIARY", 50 - s).otherwise(30)
-    return out.withColumn("role_score", s / 100).withColumn("role_confidence", F.least(F.lit(90), sure) / 100).drop("__s", "__b", "__t")
+    both = F.struct((score + F.round((source - 0.5) * 50)).alias("s"), (hits(t, D.ROLE_BRAND) * 20).alias("b"))
+
+    def decided(x: Column) -> Column:
+        kind = F.when((x["b"] >= 40) & (x["s"] < 30), "BRAND").when(x["s"] >= 30, "CUSTOMER").when(x["s"] <= -20, "INTERMEDIARY").otherwise("UNKNOWN")
+        sure = F.when(kind == "BRAND", 50 + x["b"]).when(kind == "CUSTOMER", 50 + x["s"]).when(kind == "INTERMEDIARY", 50 - x["s"]).otherwise(30)
+        return F.struct(kind.alias("role"), (x["s"] / 100).alias("score"), (F.least(F.lit(90), sure) / 100).alias("confidence"))
+
+    # the sums are bound once, so that a filter on the role that is pushed down doesn't repeat them
+    out = work.withColumn("__r", let(both, decided))
+    return out.withColumns({"role": F.col("__r.role"), "role_score": F.col("__r.score"), "role_confidence": F.col("__r.confidence")}).drop("__r", "__t")
 
 
 def qualification(leads: DataFrame) -> DataFrame:
