@@ -148,41 +148,78 @@ def similar_names(leads: DataFrame, threshold: float = 92.0, block_rows: int = 5
     return names.join(known, "name").select("_ord", "seed_ord")
 
 
-def blocked_pairs(leads: DataFrame, most: int = 1000) -> DataFrame:
-    """Pairs (a, b), a < b, of leads of one company name or one website; values of more than ``most`` leads are linked in a
-    chain by _ord instead, which connects the same leads without all their pairs."""
+def blocked_pairs(leads: DataFrame) -> DataFrame:
+    """All pairs (a, b), a < b, of leads of one company name or one website."""
     keys = leads.select("_ord", F.explode(F.array(F.concat(F.lit("n:"), name_key()), F.concat(F.lit("w:"), F.lower(text_of("website"))))).alias("key")).where("length(key) > 2")
-    sizes = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("_ord").alias("first")).where("n > 1")
-    own = keys.join(sizes, "key")
-    small = own.where(F.col("n") <= most).select("key", "_ord")
-    pairs = small.select("key", F.col("_ord").alias("a")).join(small.select("key", F.col("_ord").alias("b")), "key").where("a < b").select("a", "b")
-    chain = own.where((F.col("n") > most) & (F.col("_ord") != F.col("first"))).select(F.col("first").alias("a"), F.col("_ord").alias("b"))
-    return pairs.unionByName(chain).distinct()
+    return keys.select("key", F.col("_ord").alias("a")).join(keys.select("key", F.col("_ord").alias("b")), "key").where("a < b").select("a", "b").distinct()
 
 
 #: M and u probabilities of agreement levels (name equal, name within two edits, country equal, website equal).
 LINK_WEIGHTS = {"name_equal": (0.9, 0.001), "name_close": (0.05, 0.002), "name_other": (0.05, 0.997), "country_equal": (0.95, 0.1), "country_other": (0.05, 0.9), "site_equal": (0.8, 0.001), "site_other": (0.2, 0.999)}
 
 
-def linked(leads: DataFrame, threshold: float = 0.8, prior: float = 0.01) -> DataFrame:
-    """(a, b, match_weight, match_probability) of blocked pairs that reach the threshold, by a Fellegi-Sunter sum of log ratios."""
+PROFILE = ("name", "country", "website")
+
+
+def profiled(leads: DataFrame) -> DataFrame:
+    """(_ord, name, country, website) as linkage compares them."""
+    return leads.select("_ord", name_key().alias("name"), low("country").alias("country"), F.lower(text_of("website")).alias("website"))
+
+
+def match_weight(a: str, b: str, prior: float) -> Column:
+    """The Fellegi-Sunter sum of log ratios of two structs of a profile's columns."""
     from math import log2
 
-    side = lambda x: leads.select(F.col("_ord").alias(x), name_key().alias(f"n{x}"), low("country").alias(f"c{x}"), F.lower(text_of("website")).alias(f"w{x}"))
-    pairs = blocked_pairs(leads).join(side("a"), "a").join(side("b"), "b")
     w = {k: log2(m / u) for k, (m, u) in LINK_WEIGHTS.items()}
-    name = F.when(F.col("na") == F.col("nb"), w["name_equal"]).when(F.levenshtein("na", "nb", 2).between(0, 2), w["name_close"]).otherwise(w["name_other"])
-    country = F.when((F.col("ca") == "") | (F.col("cb") == ""), 0.0).when(F.col("ca") == F.col("cb"), w["country_equal"]).otherwise(w["country_other"])
-    site = F.when((F.col("wa") == "") | (F.col("wb") == ""), 0.0).when(F.col("wa") == F.col("wb"), w["site_equal"]).otherwise(w["site_other"])
-    total = name + country + site + log2(prior / (1 - prior))
-    out = pairs.select("a", "b", F.round(total, 6).alias("match_weight"))
-    return out.withColumn("match_probability", F.round(1 / (1 + F.pow(F.lit(2.0), -F.col("match_weight"))), 6)).where(F.col("match_probability") >= threshold)
-
-
-def resolved(leads: DataFrame, score: str = "score", threshold: float = 0.8) -> DataFrame:
-    """leads with entity_id (the least _ord of its linked leads), one row of each entity: the best score, the first seen of equal ones."""
-    found = connected_components(linked(leads, threshold), "a", "b")
-    own = leads.join(found.withColumnRenamed("node", "_ord"), "_ord", "left").withColumn("entity_id", F.coalesce("component", "_ord")).drop("component")
-    return one_of_each(own.withColumn("__e", F.col("entity_id").cast("string")), "__e", [(-F.coalesce(F.col(score), F.lit(0.0))).alias("a"), F.col("_ord").alias("b")]).drop("__e")
+    of = lambda c: (F.col(f"{a}.{c}"), F.col(f"{b}.{c}"))
+    (na, nb), (ca, cb), (wa, wb) = map(of, PROFILE)
+    name = F.when(na == nb, w["name_equal"]).when(F.levenshtein(na, nb, 2).between(0, 2), w["name_close"]).otherwise(w["name_other"])
+    country = F.when((ca == "") | (cb == ""), 0.0).when(ca == cb, w["country_equal"]).otherwise(w["country_other"])
+    site = F.when((wa == "") | (wb == ""), 0.0).when(wa == wb, w["site_equal"]).otherwise(w["site_other"])
+    return F.round(name + country + site + log2(prior / (1 - prior)), 6)
+
 
+def match_probability(weight: Column) -> Column:
+    return F.round(1 / (1 + F.pow(F.lit(2.0), -weight)), 6)
 
+
+def profile_links(leads: DataFrame, threshold: float, prior: float) -> tuple[DataFrame, DataFrame]:
+    """(profiles, links): each distinct profile with its least _ord, the weight of two leads that share it, and whether that
+    reaches the threshold; and the pairs (p, q, match_weight) of profiles of one name or one website that reach it.
+
+    Leads of one profile are scored as one, so only different profiles of a key make pairs, whatever the number of leads.
+    A pair of one name and one website is taken from the name's key only.
+    """
+    own = profiled(leads).groupBy(*PROFILE).agg(F.min("_ord").alias("p")).withColumn("x", F.struct(*PROFILE))
+    alike = match_weight("x", "x", prior)
+    blocked = (F.col("name") != "") | (F.col("website") != "")
+    profiles = own.select("p", *PROFILE, alike.alias("match_weight"), (blocked & (match_probability(alike) >= threshold)).alias("alike"))
+    keys = own.select("p", "x", F.explode(F.array(F.concat(F.lit("n:"), "name"), F.concat(F.lit("w:"), "website"))).alias("key")).where("length(key) > 2")
+    pairs = keys.join(keys.select("key", F.col("p").alias("q"), F.col("x").alias("y")), "key").where("p < q and (key like 'n:%' or x.name != y.name or x.name = '')")
+    scored = pairs.select("p", "q", match_weight("x", "y", prior).alias("match_weight"))
+    return profiles, scored.where(match_probability(F.col("match_weight")) >= threshold)
+
+
+def linked(leads: DataFrame, threshold: float = 0.8, prior: float = 0.01) -> DataFrame:
+    """(a, b, match_weight, match_probability) of all blocked pairs that reach the threshold, by a Fellegi-Sunter sum of log ratios.
+
+    The result has every pair of a group of copies; ``resolved`` needs none of them."""
+    profiles, links = profile_links(leads, threshold, prior)
+    members = profiled(leads).join(profiles, [*PROFILE]).select("_ord", "p", "match_weight", "alike")
+    one, two = members.select("p", F.col("_ord").alias("a")), members.select(F.col("p").alias("q"), F.col("_ord").alias("b"))
+    within = members.where("alike").select("p", F.col("_ord").alias("a"), "match_weight").join(one.withColumnRenamed("a", "b"), "p").where("a < b")
+    across = links.join(one, "p").join(two, "q").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "match_weight")
+    return within.select("a", "b", "match_weight").unionByName(across).withColumn("match_probability", match_probability(F.col("match_weight")))
+
+
+def resolved(leads: DataFrame, score: str = "score", threshold: float = 0.8, prior: float = 0.01) -> DataFrame:
+    """leads with entity_id (the least _ord of its linked leads), one row of each entity: the best score, the first seen of equal ones.
+
+    Components are those of ``linked``, found on profiles: all leads of two linked profiles are linked across, so they
+    are connected even where leads of one profile don't reach the threshold between themselves."""
+    profiles, links = profile_links(leads, threshold, prior)
+    found = connected_components(links, "p", "q")
+    entities = profiles.join(found.withColumnRenamed("node", "p"), "p", "left").select(*PROFILE, F.coalesce("component", F.when(F.col("alike"), F.col("p"))).alias("__entity"))
+    of = profiled(leads).join(entities, [*PROFILE]).select("_ord", F.coalesce("__entity", "_ord").alias("entity_id"))
+    own = leads.drop("entity_id").join(of, "_ord")
+    return one_of_each(own.withColumn("__e", F.col("entity_id").cast("string")), "__e", [(-F.coalesce(F.col(score), F.lit(0.0))).alias("a"), F.col("_ord").alias("b")]).drop("__e")

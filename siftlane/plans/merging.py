@@ -79,7 +79,7 @@ p AS (SELECT DISTINCT a._ord AS a, b._ord AS b FROM k a JOIN k b ON a.k = b.k AN
 
 @query(f"{WITH}, {PAIRS} SELECT a, b FROM p")
 def j4_blocked_pairs(spark, sf):
-    return dedupe.blocked_pairs(leads(spark, sf), most=1_000_000)
+    return dedupe.blocked_pairs(leads(spark, sf))
 
 
 @query(

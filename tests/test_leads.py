@@ -103,6 +103,27 @@ def test_resolution(spark):
     assert set(got) == {2, 3} and got[2] == 1 and got[3] == 3
 
 
+def test_large_groups_are_linked_exactly(spark):
+    """One name of 1401 leads: the first alone in its country, the others of one country and without websites."""
+    own = spark.range(1401).select(F.col("id").alias("_ord"), F.lit("Mega").alias("company"), F.when(F.col("id") == 0, "Egypt").otherwise("Turkey").alias("country"), F.lit(None).cast("string").alias("website"), F.lit(1.0).alias("score"))
+    assert dedupe.linked(own).count() == 1400 * 1399 // 2
+    assert sorted((r._ord, r.entity_id) for r in dedupe.resolved(own).collect()) == [(0, 0), (1, 1)]
+
+
+def test_resolution_is_components_of_links(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["Mega", "Megaa", "Alfa", "", None]), rng.choice(["Turkey", "Egypt", "", None]), rng.choice(["m.com", "M.com", "a.com", "", None]), 1.0) for i in range(60)]
+    own = spark.createDataFrame(rows, "_ord long, company string, country string, website string, score double")
+    for threshold in (0.2, 0.8, 0.95, 0.999):
+        root = list(range(60))
+        for a, b in sorted((r.a, r.b) for r in dedupe.linked(own, threshold).collect()):
+            x, y = sorted((root[a], root[b]))
+            root = [x if r == y else r for r in root]
+        assert {r.entity_id for r in dedupe.resolved(own, threshold=threshold).collect()} == set(root)
+
+
 def test_extraction(spark):
     text = "Visit us\nAksa Akrilik GmbH opened a mill\nService for Denim Works in Cairo\nJohn Smith, Manager of textile sales\nThe Green River Fabrics mill\n" + "x" * 300
     own = spark.createDataFrame([(1, text), (2, None), (3, "")], "_ord long, context string")
