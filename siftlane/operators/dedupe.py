@@ -7,7 +7,7 @@ window over a key's rows, so a key with a third of the rows is no task of its ow
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from siftlane import dictionaries as D
 from siftlane.functions.text import clean, low, normalize_company, text_of
 from siftlane.functions.web import domain_key
-from siftlane.operators.components import connected_components
+from siftlane.operators.components import _kept, connected_components
 
 
 def one_of_each(df: DataFrame, key: Column | str, order: Iterable[Column], keep_empty: bool = True) -> DataFrame:
@@ -104,46 +104,59 @@ def indel_ratio(a: str, b: str) -> float:
     return 200.0 * (len(b) - state.bit_count()) / (len(a) + len(b))
 
 
-def similar_names(leads: DataFrame, threshold: float = 92.0, block_rows: int = 5000) -> DataFrame:
-    """(_ord, seed_ord): each lead's seed, the earliest lead whose name it resembles; seeds absorb in order and not through others.
+def name_candidates(names: DataFrame, threshold: float) -> DataFrame:
+    """(seed, other), seed < other: a superset of the pairs of distinct names (name, _ord) that reach the ratio.
 
-    Names are compared inside blocks of one first letter and lengths that the threshold allows together: a
-    ratio of t needs lengths of at least t / (200 - t) of each other, so lengths are cut into steps of
-    that ratio and a name is read in its own step and the next one below. A block of more than
-    block_rows different names is split by the first two, then three letters and so on.
+    Two names of ratio t are insertions and deletions of (1 - t / 100) of both lengths apart. A deletion spoils three of a
+    name's trigrams at most, an insertion two; the other trigrams stand in both names, in order and moved by no more
+    than the distance. So if at most D of a name's trigrams are spoiled, the rarest one that both have in common is among
+    the D + 1 rarest of either. Names of which all trigrams may be spoiled also meet under an empty one.
     """
+    ratio, apart = (200 - threshold) / threshold, 1 - threshold / 100
+    spoiled = max(3 * (1 - 1 / ratio), 2 * (ratio - 1))
+    n = F.length("name")
+    sized = names.select("_ord", n.alias("n"), F.floor(n * spoiled + 1e-9).cast("int").alias("d"), F.floor(F.log(n.cast("double")) / F.log(F.lit(ratio))).cast("int").alias("step"), "name")
+    at = F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1)))
+    grams = sized.select("_ord", "n", "d", "step", F.posexplode(F.transform(at, lambda i: F.substring("name", i, F.lit(3)))).alias("at", "gram"))
+    counts = grams.groupBy("gram").agg(F.count("*").alias("rows"))
+    own = grams.join(counts, "gram").groupBy("_ord", "n", "d", "step").agg(F.sort_array(F.collect_list(F.struct("rows", "gram", "at"))).alias("grams"))
+    none = F.array(F.struct(F.lit(0).cast("long").alias("rows"), F.lit("").alias("gram"), F.lit(0).alias("at")))
+    rarest = F.concat(F.slice("grams", F.lit(1), F.col("d") + 1), F.when(F.col("d") >= F.size("grams"), none).otherwise(F.slice(none, 1, 0)))
+    keyed = own.select("_ord", "n", "step", F.explode(rarest).alias("g")).select("_ord", "n", "step", "g.gram", "g.at")
+    other = keyed.select(F.col("_ord").alias("other"), F.col("n").alias("m"), F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)).alias("step"), "gram", F.col("at").alias("to"))
+    near = (F.col("_ord") < F.col("other")) & (F.least("n", "m") * ratio >= F.greatest("n", "m") - 1e-9) & (F.abs(F.col("at") - F.col("to")) <= (F.col("n") + F.col("m")) * apart + 1e-9)
+    return keyed.join(other, ["gram", "step"]).where(near).select(F.col("_ord").alias("seed"), "other").distinct()
+
+
+def first_seeds(near: DataFrame) -> DataFrame:
+    """(_ord, seed_ord) of each absorbed row of near (seed, other), seed < other.
+
+    A row that no earlier one may absorb is a seed and absorbs its later ones, which absorb none; so on in rounds
+    of joins, until no links are left. Each absorbed row goes to its earliest seed."""
+    near = _kept(near)
+    left, gone = near, near.select("other").limit(0)
+    while not left.isEmpty():
+        later = left.select(F.col("other").alias("seed")).distinct()
+        new = _kept(left.join(later, "seed", "left_anti").select("other").distinct())
+        gone = gone.unionByName(new)
+        left = _kept(left.join(new, "other", "left_anti").join(new.withColumnRenamed("other", "seed"), "seed", "left_anti"))
+    return near.join(gone.withColumnRenamed("other", "seed"), "seed", "left_anti").groupBy(F.col("other").alias("_ord")).agg(F.min("seed").alias("seed_ord"))
+
+
+def similar_names(leads: DataFrame, threshold: float = 92.0) -> DataFrame:
+    """(_ord, seed_ord): each lead's seed, the earliest lead whose name it resembles; seeds absorb in order and not through others.
+
+    All pairs of names that reach the ratio are found, wherever they differ (``name_candidates``), and checked exactly."""
     names = leads.select("_ord", normalize_company("company").alias("name")).where("name != ''")
     firsts = names.groupBy("name").agg(F.min("_ord").alias("_ord"))
-    ratio = (200 - threshold) / threshold
-    step = F.floor(F.log(F.length("name").cast("double")) / F.log(F.lit(ratio))).cast("int")
-    sized = firsts.withColumn("step", step)
-    letters = 1
-    while letters < 6 and sized.groupBy(F.substring("name", 1, letters).alias("l"), "step").count().where(F.col("count") > block_rows).limit(1).count():
-        letters += 1
-    block = F.substring("name", 1, letters)
-    both = sized.select("name", F.col("_ord").alias("ord"), block.alias("block"), F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("step"), F.col("step").alias("own"))
-
-    def pairs(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = frame.sort_values("ord").itertuples(index=False)
-        seen: list = []
-        out = []
-        for r in rows:
-            out += [(s.ord, r.ord) for s in seen if max(s.own, r.own) == r.step and min(len(s.name), len(r.name)) * ratio >= max(len(s.name), len(r.name)) - 1e-9 and indel_ratio(s.name, r.name) >= threshold]
-            seen.append(r)
-        return pd.DataFrame(out, columns=["seed", "other"])
-
-    near = both.groupBy("block", "step").applyInPandas(pairs, "seed long, other long").distinct()
-    groups = connected_components(near, "seed", "other").withColumnRenamed("node", "_ord")
-    linked = groups.join(near.groupBy(F.col("other").alias("_ord")).agg(F.collect_set("seed").alias("seeds")), "_ord", "left")
-
-    def absorb(frame: pd.DataFrame) -> pd.DataFrame:
-        taken: dict[int, int] = {}
-        for o, seeds in sorted(zip(frame["_ord"], frame["seeds"])):
-            own = [s for s in sorted(seeds if seeds is not None else []) if taken.get(s) == s]
-            taken[o] = own[0] if own else o
-        return pd.DataFrame({"_ord": list(taken), "seed_ord": list(taken.values())})
-
-    seeds = linked.groupBy("component").applyInPandas(absorb, "_ord long, seed_ord long")
+    one, two = firsts.select(F.col("_ord").alias("seed"), F.col("name").alias("a")), firsts.select(F.col("_ord").alias("other"), F.col("name").alias("b"))
+    pairs = name_candidates(firsts, threshold).join(one, "seed").join(two, "other").select("seed", "other", "a", "b")
+
+    def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield f.loc[[indel_ratio(a, b) >= threshold for a, b in zip(f["a"], f["b"])], ["seed", "other"]]
+
+    seeds = first_seeds(pairs.mapInPandas(check, "seed long, other long"))
     known = firsts.join(seeds, "_ord", "left").select("name", F.coalesce("seed_ord", "_ord").alias("seed_ord"))
     return names.join(known, "name").select("_ord", "seed_ord")
 

@@ -73,6 +73,12 @@ def d8_d9_similar_names(spark, sf):
     return dedupe.similar_names(own)
 
 
+@query()
+def d8_d9_lead_names(spark, sf):
+    """Seeds of the leads' company names; held against plain code in the tests."""
+    return dedupe.similar_names(leads(spark, sf).select("_ord", "company"))
+
+
 PAIRS = """k AS (SELECT _ord, 'n:' || lower(trim(company, ' ')) AS k FROM leads WHERE lower(trim(company, ' ')) <> '' UNION ALL SELECT _ord, 'w:' || lower(website) FROM leads WHERE website <> ''),
 p AS (SELECT DISTINCT a._ord AS a, b._ord AS b FROM k a JOIN k b ON a.k = b.k AND a._ord < b._ord)"""
 

@@ -78,6 +78,31 @@ def test_similar_names(spark):
     assert {r._ord: r.seed_ord for r in dedupe.similar_names(own).collect()} == want and want[1] == 0
 
 
+def test_similar_names_that_differ_early(spark):
+    import random
+
+    rng = random.Random(7)
+    names = ["korteks mensucat sanayi", "corteks mensucat sanayi"]
+    for _ in range(25):
+        base = "".join(rng.choice("abcde ") for _ in range(rng.randrange(4, 40))).strip() or "x"
+        for _ in range(5):
+            own = list(base)
+            for _ in range(rng.randrange(4)):
+                at = rng.randrange(len(own))
+                own[at : at + 1] = rng.choice([[], [rng.choice("abcde")], [own[at], rng.choice("abcde")]]) or own[at : at + 1][:0]
+                own = own or ["x"]
+            names.append("".join(own))
+    own = spark.createDataFrame(list(enumerate(names)), "_ord long, company string")
+    norm = dict(own.select("_ord", dedupe.normalize_company("company")).collect())
+    for threshold in (92.0, 75.0):
+        want, seeds = {}, []
+        for i in sorted(norm):
+            if norm[i]:
+                want[i] = next((s for s in seeds if dedupe.indel_ratio(norm[s], norm[i]) >= threshold), i)
+                seeds += [i] if want[i] == i else []
+        assert {r._ord: r.seed_ord for r in dedupe.similar_names(own, threshold).collect()} == want and want[1] == 0
+
+
 def test_indel_ratio_is_lcs():
     def lcs(a, b):
         row = [0] * (len(b) + 1)
