@@ -63,14 +63,18 @@ def merge_leads(leads: DataFrame, priorities: dict[str, int] = D.SOURCE_PRIORITY
 
     The row of the most trusted source stays (the first seen of equal ones) with the union of the
     list columns, the greatest score and the first context that is there. The audit has a row for
-    each lead that was merged away: kept_company, merged_company, reason. Leads with neither key stay
-    as they are; ``similar_names`` can merge those.
+    each lead that was merged away: kept_company, merged_company, reason. Leads with neither key are merged by
+    ``similar_names``: there the seed's row stays, whatever its source.
     """
     table = F.create_map(*[F.lit(x) for kv in priorities.items() for x in kv])
     site, name, country = domain_key(clean("website")), normalize_company("company"), F.lower(F.trim(text_of("country")))
     key = F.when(site != "", F.concat(F.lit("same_domain:"), site)).when((name != "") & (country != ""), F.concat(F.lit("norm_country:"), name, F.lit("|"), country))
-    work = leads.withColumn("__key", F.coalesce(key, F.concat(F.lit("alone:"), F.col("_ord").cast("string"))))
-    rank = F.struct(F.coalesce(F.try_element_at(table, low("source_type")), F.lit(0)).alias("p"), (-F.col("_ord")).alias("o"))
+    keyed = leads.withColumn("__key", key)
+    seeds = similar_names(_kept(keyed.where("__key is null").select("_ord", "company"))).withColumn("seed_ord", F.concat(F.lit("name_similarity:"), F.col("seed_ord").cast("string")))
+    rest = keyed.where("__key is null").join(seeds, "_ord", "left").withColumn("__key", F.coalesce("seed_ord", F.concat(F.lit("alone:"), F.col("_ord").cast("string"))))
+    work = keyed.where("__key is not null").unionByName(rest.drop("seed_ord"))
+    by_name = F.col("__key").startswith("name_similarity:")
+    rank = F.struct(F.when(by_name, 0).otherwise(F.coalesce(F.try_element_at(table, low("source_type")), F.lit(0))).alias("p"), (-F.col("_ord")).alias("o"))
     lists = [c for c in LISTS if c in leads.columns]
     plain = [c for c in leads.columns if c not in (*lists, "score", "context")]
     aggs = [F.max_by(F.struct(*plain), rank).alias("s")]
@@ -85,7 +89,7 @@ def merge_leads(leads: DataFrame, priorities: dict[str, int] = D.SOURCE_PRIORITY
     merged = groups.select(*[F.col(f"s.{c}").alias(c) if c in plain else F.col(c) for c in leads.columns])
     kept = groups.select("__key", F.col("s._ord").alias("__kept"), F.col("s.company").alias("kept_company"))
     gone = work.where("__key not like 'alone:%'").select("__key", "_ord", F.col("company").alias("merged_company"))
-    audit = gone.join(kept, "__key").where("_ord != __kept").select("kept_company", "merged_company", F.col("__key").alias("reason"))
+    audit = gone.join(kept, "__key").where("_ord != __kept").select("kept_company", "merged_company", F.when(by_name, "name_similarity").otherwise(F.col("__key")).alias("reason"))
     return merged, audit
 
 

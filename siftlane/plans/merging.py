@@ -66,6 +66,15 @@ def d7_audit(spark, sf):
     return dedupe.merge_leads(own)[1]
 
 
+@query()
+def d7_by_name(spark, sf):
+    """Merged leads of which every other one has neither website nor country; held against a sample in the tests."""
+    bare = lambda c: F.when(F.col("_ord") % 2 == 0, F.col(c)).alias(c)
+    own = leads(spark, sf).select("_ord", "company", bare("country"), "source_type", bare("website"), "score", F.array(F.col("_ord").cast("string")).alias("websites"))
+    merged, _ = dedupe.merge_leads(own)
+    return merged.select("_ord", "score", F.size("websites").cast("long").alias("n"))
+
+
 @query()
 def d8_d9_similar_names(spark, sf):
     """Seeds of names that resemble each other; held against plain code in the tests."""

@@ -66,6 +66,14 @@ def test_merge(spark):
     assert sorted(map(tuple, audit.collect())) == [("Mega Textil", "Mega", "same_domain:mega.com"), ("Ürün Ltd.", "ürün ltd", "norm_country:ürün|egypt")]
 
 
+def test_merge_by_name(spark):
+    rows = [(1, "Korteks Mensucat Sanayi", None, None, "brave_search", 1.0, None), (2, "Corteks Mensucat Sanayi", "", "", "gots", 4.0, "b"), (3, "korteks mensucat sanayi", None, "", "gots", None, "c"), (4, "Zeta", None, None, "gots", 2.0, "d"), (5, "", None, None, "gots", 0.0, "e"), (6, None, None, None, "gots", 0.0, "f"), (7, "Zeta", "Egypt", None, "gots", 2.0, "g")]
+    own = spark.createDataFrame(rows, "_ord long, company string, country string, website string, source_type string, score double, context string")
+    merged, audit = dedupe.merge_leads(own)
+    assert {r._ord: (r.company, r.score, r.context) for r in merged.collect()} == {1: ("Korteks Mensucat Sanayi", 4.0, "b"), 4: ("Zeta", 2.0, "d"), 5: ("", 0.0, "e"), 6: (None, 0.0, "f"), 7: ("Zeta", 2.0, "g")}
+    assert sorted(map(tuple, audit.collect())) == [("Korteks Mensucat Sanayi", n, "name_similarity") for n in ("Corteks Mensucat Sanayi", "korteks mensucat sanayi")]
+
+
 def test_similar_names(spark):
     names = ["Akdeniz Tekstil Sanayi", "Akdeniz Tekstil Sanayii", "Akdeniz Textil Sanayii", "Bursa Boya", "Bursa Boyaa", "Zeta", "akdeniz tekstil sanayi ltd", None, ""]
     own = spark.createDataFrame(list(enumerate(names)), "_ord long, company string")
