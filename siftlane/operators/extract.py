@@ -75,19 +75,19 @@ def title_company(title: Column) -> Column:
 
 
 def mentions(pages: DataFrame, key: str, text: str, url: str | None = None, brands: Iterable[str] = D.V10_TIER1) -> DataFrame:
-    """(key, company, country, event, oem_brand, evidence_snippet, confidence): sentences that tell of a company's purchase.
+    """(key, company, country, event, oem_brand, evidence_snippet, confidence): all purchases by companies that sentences tell of.
 
     Confidence: 0.4, and 0.2 for a country, a brand or a process word in the sentence each. The surest mention of each
     company of a page stays; it is chosen by an aggregation."""
     sentence = pages.select(key, F.explode(F.split(squeezed(text_of(text)), r"(?<=[.!?])\s+")).alias("sentence"))
-    hit = sentence.withColumn("company", F.regexp_extract("sentence", MENTION, 1)).where("company != ''")
-    country, brand = F.regexp_extract("sentence", MENTION, 2), first_word(F.lower("sentence"), brands)
+    hit = sentence.select(key, "sentence", F.posexplode(F.regexp_extract_all("sentence", F.lit(MENTION), F.lit(0))).alias("at", "mention")).withColumn("company", F.regexp_extract("mention", MENTION, 1))
+    country, brand = F.regexp_extract("mention", MENTION, 2), first_word(F.lower("sentence"), brands)
     process = contains_any(F.lower("sentence"), D.SCE_E2)
     sure = 0.4 + (country != "").cast("int") * 0.2 + brand.isNotNull().cast("int") * 0.2 + process.cast("int") * 0.2
-    own = hit.select(key, "company", F.when(country != "", country).alias("country"), F.regexp_extract("sentence", MENTION, 3).alias("event"), brand.alias("oem_brand"), F.substring("sentence", 1, 300).alias("evidence_snippet"), F.round(sure, 2).alias("confidence"))
+    own = hit.select(key, "at", "company", F.when(country != "", country).alias("country"), F.regexp_extract("mention", MENTION, 3).alias("event"), brand.alias("oem_brand"), F.substring("sentence", 1, 300).alias("evidence_snippet"), F.round(sure, 2).alias("confidence"))
     own = own.where(valid_company(F.col("company"), single=True))
-    fields = [c for c in own.columns if c not in (key, "company")]
-    best = own.groupBy(key, "company").agg(F.max_by(F.struct(*fields), F.struct("confidence", F.reverse("evidence_snippet"))).alias("s"))
+    fields = [c for c in own.columns if c not in (key, "company", "at")]
+    best = own.groupBy(key, "company").agg(F.max_by(F.struct(*fields), F.struct("confidence", F.reverse("evidence_snippet"), -F.col("at"))).alias("s"))
     return best.select(key, "company", "s.*")
 
 

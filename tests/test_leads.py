@@ -169,6 +169,12 @@ def test_extraction(spark):
     assert tuple(extract.profiles(page, "k", "t").first()) == (1, "Alfa Textil", "a@alfa.com", "Street 1, Town")
 
 
+def test_all_mentions_of_a_sentence(spark):
+    body = "Alpha Mills has installed a line and Beta Tekstil of Turkey has ordered two stenters and Alpha Mills has ordered more"
+    found = {(r.company, r.country, r.event) for r in extract.mentions(spark.createDataFrame([(1, body)], "k long, t string"), "k", "t").collect()}
+    assert found == {("Alpha Mills", None, "installed"), ("Beta Tekstil", "Turkey", "ordered")}
+
+
 def test_best_website(spark):
     own = spark.createDataFrame([(1, "Alfa Textil", "Brazil"), (2, "Beta", "Egypt")], "_ord long, company string, country string")
     results = spark.createDataFrame([(1, 1, "https://facebook.com/alfa", "Alfa", ""), (1, 2, "https://www.alfa.com.br/x", "Alfa", "textil"), (1, 3, "https://alfa.com", "", ""), (2, 1, "https://kompass.com/b", "Beta", "")], "_ord long, rank int, url string, title string, description string")
