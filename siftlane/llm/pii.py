@@ -5,7 +5,8 @@ permutation of their own format, so equal values have equal pseudonyms in every
 pseudonym passes the same checks as the value:
 
 * ``card``: 13 to 19 digits with a right Luhn digit; all digits but the last are permuted, the
-  last is computed again.
+  last is computed again. Of a run of digits that has none, its first part between separators
+  that is such a number, the longest of those that begin together.
 * ``iban``: right remainder modulo 97; country kept, account characters permuted within their
   class, check digits computed again.
 * ``ssn``: three, two and four digits; ``phone``: ten digits with an optional country code, which
@@ -123,7 +124,7 @@ def mod97(text: Column) -> Column:
 
 
 def pseudonym(kind: str, m: Column, key: str) -> Column:
-    """What stands for a match of a kind's pattern; the match itself if it fails the kind's check."""
+    """What stands for a match of a kind's pattern; null if it fails the kind's check."""
     digits = F.regexp_replace(m, "[^0-9]", "")
     if kind == "email":
         local = F.substring_index(m, "@", 1)
@@ -131,12 +132,12 @@ def pseudonym(kind: str, m: Column, key: str) -> Column:
     if kind == "card":
         body = F.substring(digits, F.lit(1), F.length(digits) - 1)
         new = permuted_symbols(body, key, kind)
-        return F.when(F.right(digits, F.lit(1)) == luhn_digit(body), laid_in(m, F.concat(new, luhn_digit(new)))).otherwise(m)
+        return F.when(F.right(digits, F.lit(1)) == luhn_digit(body), laid_in(m, F.concat(new, luhn_digit(new))))
     if kind == "iban":
         country, account = F.substring(m, 1, 2), F.substring(m, F.lit(5), F.length(m))
         new = permuted_symbols(account, key, kind)
         check = F.lpad((F.lit(98) - mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-        return F.when(mod97(F.concat(account, country, F.substring(m, 3, 2))) == 1, F.concat(country, check, new)).otherwise(m)
+        return F.when(mod97(F.concat(account, country, F.substring(m, 3, 2))) == 1, F.concat(country, check, new))
     if kind == "ssn":
         return laid_in(m, permuted_symbols(digits, key, kind))
     if kind == "phone":
@@ -147,12 +148,12 @@ def pseudonym(kind: str, m: Column, key: str) -> Column:
         number = F.aggregate(parts, F.lit(0).cast("long"), lambda acc, p: acc * 256 + p)
         new = permuted_number(number, 1 << 16, 1 << 16, key, kind)
         out = F.concat_ws(".", *[F.pmod(F.shiftright(new, s), F.lit(256)).cast("string") for s in (24, 16, 8, 0)])
-        return F.when(F.forall(parts, lambda p: p < 256), out).otherwise(m)
-    out = m
+        return F.when(F.forall(parts, lambda p: p < 256), out)
+    out = F.lit(None).cast("string")
     for like, form in ((r"^\d{4}-", "yyyy-MM-dd"), (r"/", "MM/dd/yyyy"), (r"^\d{2}[.]", "dd.MM.yyyy")):
         day = F.datediff(F.try_to_timestamp(m, F.lit(form)).cast("date"), F.lit(DATE_FIRST).cast("date"))
         new = F.date_add(F.lit(DATE_FIRST).cast("date"), permuted_number(day, DATE_A, DATE_B, key, kind).cast("int"))
-        out = F.when(m.rlike(like), F.when((day >= 0) & (day < DATE_A * DATE_B), F.date_format(new, form)).otherwise(m)).otherwise(out)
+        out = F.when(m.rlike(like), F.when((day >= 0) & (day < DATE_A * DATE_B), F.date_format(new, form))).otherwise(out)
     return out
 
 
@@ -170,22 +171,52 @@ def kind_of(m: Column) -> Column:
     )
 
 
-def replaced(m: Column, key: str) -> Column:
-    kind, out = kind_of(m), m
+def card_span(m: Column) -> Column:
+    """(at, n): where in a run of digits the card number lies; null if there is none."""
+    mark = lambda i: F.substring(m, i, F.lit(1)).isin(" ", "-")
+    places = F.sequence(F.lit(1), F.length(m))
+    starts = F.filter(places, lambda i: (i == 1) | mark(i - 1))
+    ends = F.reverse(F.filter(places, lambda i: (i == F.length(m)) | mark(i + 1)))
+    spans = F.flatten(F.transform(starts, lambda i: F.transform(ends, lambda j: F.struct(i.alias("at"), (j - i + 1).alias("n")))))
+
+    def valid(s: Column) -> Column:
+        digits = F.regexp_replace(F.substring(m, s["at"], s["n"]), "[^0-9]", "")
+        return F.when((s["n"] > 12) & F.length(digits).between(13, 19), F.right(digits, F.lit(1)) == luhn_digit(F.substring(digits, F.lit(1), F.length(digits) - 1))).otherwise(False)
+
+    return F.get(F.filter(spans, valid), F.lit(0))
+
+
+def replaced(kind: Column, m: Column, key: str) -> Column:
+    """The pseudonym of a value; null if it fails its check."""
+    out = F.lit(None).cast("string")
     for k in KINDS:
         out = F.when(kind == k, pseudonym(k, m, key)).otherwise(out)
     return out
 
 
 def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFrame:
-    """docs with pseudonyms in the text, and pii: array of (kind, value, pseudonym), checked values only, in order."""
+    """docs with pseudonyms in the text, and pii: array of (kind, value, pseudonym), checked values only, in order.
+
+    A value that is its own pseudonym is listed too."""
     kept = [c for c in docs.columns if c != "pii"]
     text = F.col(text_col)
-    none = F.from_json(F.lit("[]"), "array<struct<kind:string,value:string,pseudonym:string>>")
-    found = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: F.struct(kind_of(m).alias("kind"), m.alias("value"), replaced(m, key).alias("pseudonym")))
+    none = F.from_json(F.lit("[]"), "array<struct<kind:string,value:string,pseudonym:string,before:string,after:string>>")
+    hits = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: F.struct(kind_of(m).alias("kind"), m.alias("m"), F.when(kind_of(m) == "card", card_span(m)).alias("span")))
+    part = lambda h, at, n: F.substring(h["m"], at, n)
+    parts = F.transform(
+        hits,
+        lambda h: F.struct(
+            h["kind"].alias("kind"),
+            F.coalesce(part(h, h["span"]["at"], h["span"]["n"]), h["m"]).alias("value"),
+            F.coalesce(part(h, F.lit(1), h["span"]["at"] - 1), F.lit("")).alias("before"),
+            F.coalesce(part(h, h["span"]["at"] + h["span"]["n"], F.length(h["m"])), F.lit("")).alias("after"),
+        ),
+    )
+    found = F.transform(parts, lambda p: F.struct(p["kind"].alias("kind"), p["value"].alias("value"), replaced(p["kind"], p["value"], key).alias("pseudonym"), p["before"].alias("before"), p["after"].alias("after")))
     has = F.coalesce(F.rlike(text, F.lit(ANY)), F.lit(False))
     work = docs.select(*kept, F.when(has, found).otherwise(none).alias("__m"))
-    laid = F.array_join(F.zip_with(F.split(text, ANY, -1), F.col("__m"), lambda g, m: F.concat(g, F.coalesce(m["pseudonym"], F.lit("")))), "")
+    new_of = lambda m: F.coalesce(F.concat(m["before"], F.coalesce(m["pseudonym"], m["value"]), m["after"]), F.lit(""))
+    laid = F.array_join(F.zip_with(F.split(text, ANY, -1), F.col("__m"), lambda g, m: F.concat(g, new_of(m))), "")
     new = F.when(F.size("__m") == 0, text).otherwise(laid)
-    checked = F.filter("__m", lambda m: m["pseudonym"] != m["value"])
+    checked = F.transform(F.filter("__m", lambda m: m["pseudonym"].isNotNull()), lambda m: F.struct(m["kind"].alias("kind"), m["value"].alias("value"), m["pseudonym"].alias("pseudonym")))
     return work.select(*[new.alias(c) if c == text_col else F.col(c) for c in kept], checked.alias("pii"))

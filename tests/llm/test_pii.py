@@ -99,3 +99,21 @@ def test_query_hides_values_and_leaves_others(spark):
         if not values:
             assert after[i].text == text
     assert len(set(linked.values())) == len(linked) > 20
+
+
+def test_cards_beside_other_numbers(spark):
+    texts = ["pay 4111 1111 1111 1111 123 now", "pay 123 4111 1111 1111 1111 now", "4111-1111-1111-1111 12", "4111 1111 1111 1112 123"]
+    rows = pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").orderBy("doc_id").collect()
+    assert [[(p.kind, p.value) for p in r.pii] for r in rows] == [[("card", "4111 1111 1111 1111")], [("card", "4111 1111 1111 1111")], [("card", "4111-1111-1111-1111")], []]
+    for t, r in zip(texts, rows):
+        for p in r.pii:
+            t = t.replace(p.value, p.pseudonym)
+        assert r.text == t
+
+
+def test_values_that_are_their_own_pseudonyms_are_listed(spark):
+    import string
+
+    texts = [f"{c}@x{n}.com" for c in string.ascii_lowercase for n in range(2)]
+    rows = pii.pseudonymise(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), "k").collect()
+    assert all(len(r.pii) == 1 for r in rows)
