@@ -112,8 +112,6 @@ def test_cards_beside_other_numbers(spark):
 
 
 def test_values_that_are_their_own_pseudonyms_are_listed(spark):
-    import string
-
-    texts = [f"{c}@x{n}.com" for c in string.ascii_lowercase for n in range(2)]
-    rows = pii.pseudonymise(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), "k").collect()
-    assert all(len(r.pii) == 1 for r in rows)
+    """By this key one letter's shifts add up to nothing."""
+    row = pii.pseudonymise(spark.createDataFrame([(0, "a@x.com")], "doc_id long, text string"), "k11").first()
+    assert row.text == "a@x.com" and [tuple(p) for p in row.pii] == [("email", "a@x.com", "a@x.com")]
