@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftlane.session import checkpointed
+
 
-def _kept(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the session's checkpoint folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siftlane-"))
-    return df.checkpoint(eager=True)
+def joined_by_key(many: DataFrame, one: DataFrame, key: str, size: str, rows: int, share: int = 4096) -> DataFrame:
+    """many (of ``rows`` rows) joined with one, which has a row for each key and in ``size`` how many of many's rows have it.
+
+    Keys of more than rows / share rows (512 at least) can't be more than ``share``: they are broadcast, so that their rows
+    stay where they are. All other keys are dealt out by a shuffle.
+    """
+    limit = max(512, rows // share)
+    if rows <= limit:
+        return many.join(one, key)
+    hot = F.broadcast(one.where(F.col(size) > limit))
+    rest = many.join(hot.select(key), key, "left_anti").join(one.where(F.col(size) <= limit), key)
+    return many.join(hot, key).unionByName(rest)
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -22,24 +28,25 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     Alternates large and small stars: each round sends a node's larger neighbours, then its
     smaller ones, to the least neighbour, until the edges are stars. Rounds grow with the
     logarithm of a component's diameter. The least neighbour is a map-side-combined minimum
-    joined back to the edges, so a hub's edges are never gathered in one task. Edges with a
-    null end are ignored; a loop makes a component of one node.
+    joined back to the edges; those of the few hubs that hold many edges are broadcast, so a hub's
+    edges are never gathered in one task. Edges with a null end are ignored; a loop makes a component of one node.
     """
     known = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
-    now = _kept(known.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    now = checkpointed(known.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = lambda df: df.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
     nodes = now.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     links, before = now.where("u > v"), None
+    rows = now.count()
     for _ in range(max_rounds):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        links = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = links.groupBy("u").agg(F.min("v").alias("m"))
-        small = links.join(least, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
-        links = _kept(small.select(F.col("e.u").alias("u"), F.col("e.m").alias("v")).where("u > v").distinct())
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+        links = joined_by_key(both, least, "u", "n", 2 * rows).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = links.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = joined_by_key(links, least, "u", "n", rows).select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
+        links = checkpointed(small.select(F.col("e.u").alias("u"), F.col("e.m").alias("v")).where("u > v").distinct())
         if (after := mark(links)) == before:
             break
-        before = after
+        before, rows = after, after.n
     else:
         raise RuntimeError(f"components have not settled in {max_rounds} rounds")
     return nodes.join(links.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from siftlane import dictionaries as D
 from siftlane.functions.text import clean, low, normalize_company, text_of
 from siftlane.functions.web import domain_key
-from siftlane.operators.components import _kept, connected_components
+from siftlane.operators.components import connected_components
+from siftlane.session import checkpointed
 
 
 def one_of_each(df: DataFrame, key: Column | str, order: Iterable[Column], keep_empty: bool = True) -> DataFrame:
@@ -70,7 +71,7 @@ def merge_leads(leads: DataFrame, priorities: dict[str, int] = D.SOURCE_PRIORITY
     site, name, country = domain_key(clean("website")), normalize_company("company"), F.lower(F.trim(text_of("country")))
     key = F.when(site != "", F.concat(F.lit("same_domain:"), site)).when((name != "") & (country != ""), F.concat(F.lit("norm_country:"), name, F.lit("|"), country))
     keyed = leads.withColumn("__key", key)
-    seeds = similar_names(_kept(keyed.where("__key is null").select("_ord", "company"))).withColumn("seed_ord", F.concat(F.lit("name_similarity:"), F.col("seed_ord").cast("string")))
+    seeds = similar_names(checkpointed(keyed.where("__key is null").select("_ord", "company"))).withColumn("seed_ord", F.concat(F.lit("name_similarity:"), F.col("seed_ord").cast("string")))
     rest = keyed.where("__key is null").join(seeds, "_ord", "left").withColumn("__key", F.coalesce("seed_ord", F.concat(F.lit("alone:"), F.col("_ord").cast("string"))))
     work = keyed.where("__key is not null").unionByName(rest.drop("seed_ord"))
     by_name = F.col("__key").startswith("name_similarity:")
@@ -137,13 +138,13 @@ def first_seeds(near: DataFrame) -> DataFrame:
 
     A row that no earlier one may absorb is a seed and absorbs its later ones, which absorb none; so on in rounds
     of joins, until no links are left. Each absorbed row goes to its earliest seed."""
-    near = _kept(near)
+    near = checkpointed(near)
     left, gone = near, near.select("other").limit(0)
     while not left.isEmpty():
         later = left.select(F.col("other").alias("seed")).distinct()
-        new = _kept(left.join(later, "seed", "left_anti").select("other").distinct())
+        new = checkpointed(left.join(later, "seed", "left_anti").select("other").distinct())
         gone = gone.unionByName(new)
-        left = _kept(left.join(new, "other", "left_anti").join(new.withColumnRenamed("other", "seed"), "seed", "left_anti"))
+        left = checkpointed(left.join(new, "other", "left_anti").join(new.withColumnRenamed("other", "seed"), "seed", "left_anti"))
     return near.join(gone.withColumnRenamed("other", "seed"), "seed", "left_anti").groupBy(F.col("other").alias("_ord")).agg(F.min("seed").alias("seed_ord"))
 
 

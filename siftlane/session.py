@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +26,24 @@ def local_session(cpus: str | int = "*", partitions: int = 8, app: str = "siftla
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's checkpoint folder.
+
+    Only where none is set and all tasks run in the driver's own process (local tests) a temporary one is made and set.
+    Checkpoints in it go when nothing refers to them if the session sets spark.cleaner.referenceTracking.cleanCheckpoints.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local($|\[)", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="siftlane-"))
+    return (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()).rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows of df, computed once and kept in the shared folder, without lineage."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
