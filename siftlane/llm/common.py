@@ -2,32 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from siftlane.session import checkpointed, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's checkpoint folder.
-
-    Only where no folder is set (local tests) a temporary one is made and set.
-    """
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(conf)
-        return conf.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="siftlane-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+__all__ = ["checkpointed", "row_sums", "shared_dir", "shared_path", "slices", "whole_text", "words_of"]
 
 
 def shared_path(spark: SparkSession, kind: str) -> str:
@@ -35,12 +21,6 @@ def shared_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows of df, computed once and kept in the shared folder, without lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def whole_text(column: str = "text"):
     """The text column as string; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
