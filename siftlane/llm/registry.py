@@ -119,7 +119,7 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: four-word shingles, radius 4."""
-    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4, segment_bits=2, confirm_sum=None)
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4, segment_bits=2)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 

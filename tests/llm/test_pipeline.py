@@ -44,9 +44,9 @@ def test_quality_keeps_clean_documents(spark, stages):
 
 
 def test_one_of_each_group_stays(stages):
+    """Against the exact Jaccard similarity of all pairs: what goes is linked with what stays, and few links are missed."""
     before, after = texts(stages[1]), texts(stages[2])
-    prints = {i: [simhash.majority(f(simhash.shingle_hashes(t, 5))) for f in (lambda h: h, simhash.rehashed)] for i, t in before.items()}
-    linked = lambda a, b: (prints[a][0] ^ prints[b][0]).bit_count() <= 12 and sum((x ^ y).bit_count() for x, y in zip(prints[a], prints[b])) <= 22 or prints[a][0] == prints[b][0]
+    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in before.items()}
     ids = sorted(before)
     root = {i: i for i in ids}
 
@@ -57,10 +57,13 @@ def test_one_of_each_group_stays(stages):
 
     for i, a in enumerate(ids):
         for b in ids[:i]:
-            if linked(a, b):
+            both = len(sets[a] & sets[b])
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
-    assert set(after) == {find(i) for i in ids} and len(after) < len(before)
+    parts = {find(i) for i in ids}
+    assert parts <= set(after) and len(after) < len(before)
+    assert len(after) - len(parts) <= 0.1 * (len(before) - len(parts))
 
 
 def test_benchmark_passages_go(spark, stages):
