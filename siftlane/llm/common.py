@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from siftlane.session import checkpointed, shared_dir
 
-__all__ = ["checkpointed", "row_sums", "shared_dir", "shared_path", "slices", "whole_text", "words_of"]
+__all__ = ["checkpointed", "row_sums", "shared_dir", "shared_path", "slices", "vocabulary", "whole_text", "words_of"]
 
 
 def shared_path(spark: SparkSession, kind: str) -> str:
@@ -21,6 +21,13 @@ def shared_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def whole_text(column: str = "text"):
     """The text column as string; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

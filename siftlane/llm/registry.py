@@ -10,17 +10,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from siftlane.llm import decontaminate, matroska, packing, pii, quality, secrets, simhash, sql, token_counts, token_ids, urls
-from siftlane.llm.common import shared_path
+from siftlane.llm.common import shared_path, vocabulary
 from siftlane.session import table
 
 
-def vocabulary(name: str) -> str:
-    """The place of a public tokenizer's file."""
-    import public_tokenizers
-
-    return str(public_tokenizers.path(name))
-
-
 def op1_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored as an audio track and read back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -36,8 +29,8 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's pieces in sequences of 512, 1024 or 2048 tokens."""
-    return packing.pack(table(spark, sf_dir, "documents"))
+    """Sequences of 512, 1024 or 2048 tokens with the ids of every document."""
+    return packing.pack_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,6 +51,11 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def id_type(path: str, end_id: int) -> str:
+    """The little-endian unsigned type that holds every id."""
+    return "<u2" if max(load_tokenizer(path).get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else "<u4"
+
+
 def splits_at_spaces(path: str) -> bool:
     """Whether words between white space can be encoded each by itself.
 
@@ -139,8 +144,7 @@ def write_token_files(
     Returns the index. The number of parts is that of the shuffle's partitions unless given.
     """
     spark = docs.sparkSession
-    tokenizer = load_tokenizer(tokenizer_file)
-    kind = "<u2" if max(tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else "<u4"
+    kind = id_type(tokenizer_file, end_id)
     by_word = splits_at_spaces(tokenizer_file)
     store, root = fs.FileSystem.from_uri(path)
     store.create_dir(root, recursive=True)
@@ -177,12 +181,15 @@ def write_token_files(
     return index
 
 
-def mapped(store: fs.FileSystem, file: str, kind: str) -> np.ndarray:
-    """A file's numbers, mapped into memory where the store allows that."""
+def read_range(store: fs.FileSystem, file: str, kind: str, first: int, last: int) -> np.ndarray:
+    """A file's numbers from first to last: mapped into memory where the store allows that, else that range is read."""
+    width = np.dtype(kind).itemsize
+    if last <= first:
+        return np.zeros(0, kind)
     if isinstance(store, fs.LocalFileSystem):
-        return np.memmap(file, dtype=kind, mode="r") if os.path.getsize(file) else np.zeros(0, kind)
+        return np.memmap(file, dtype=kind, mode="r", offset=first * width, shape=(last - first,))
     with store.open_input_file(file) as f:
-        return np.frombuffer(f.read(), dtype=kind)
+        return np.frombuffer(f.read_at((last - first) * width, first * width), dtype=kind)
 
 
 def read_token_files(
@@ -209,13 +216,13 @@ def read_token_files(
         store, root = fs.FileSystem.from_uri(path)
         for frame in frames:
             for name, base, first, last in frame.itertuples(index=False):
-                ids, off, doc = (mapped(store, f"{root}/{name}.{x}", k) for x, k in (("ids", kind), ("off", "<u8"), ("doc", "<i8")))
                 for i in range(first, last, 4096):
                     j = min(i + 4096, last)
-                    ends = off[i:j].astype(np.int64)
-                    starts = np.r_[int(off[i - 1]) if i else 0, ends[:-1]]
-                    made = [each(ids[a:b]) for a, b in zip(starts, ends)]
-                    own = pd.Series(doc[i:j]).astype("Int64")
+                    off = read_range(store, f"{root}/{name}.off", "<u8", max(0, i - 1), j).astype(np.int64)
+                    starts, ends = (off[:-1], off[1:]) if i else (np.r_[0, off[:-1]], off)
+                    ids = read_range(store, f"{root}/{name}.ids", kind, int(starts[0]), int(ends[-1]))
+                    made = [each(ids[a:b]) for a, b in zip(starts - starts[0], ends - starts[0])]
+                    own = pd.Series(read_range(store, f"{root}/{name}.doc", "<i8", i, j)).astype("Int64")
                     yield pd.DataFrame({"doc_id": own.mask(own == NO_ID), "start": base + starts, "n_tokens": ends - starts} | {k: [m[k] for m in made] for k in extra})
 
     jobs_df = spark.createDataFrame(jobs, "name string, base long, first long, last long").repartition(min(len(jobs), 4096))

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from siftlane.llm import packing, registry
+from siftlane.llm.common import vocabulary
 
 
 def checked(rows, lengths, capacities):
@@ -66,7 +67,61 @@ def test_sizes_are_chosen_together():
         assert cost(final) <= sum(2048 + 16 for _ in one)
 
 
+def partitions(n):
+    """All ways to deal n pieces into groups."""
+    if not n:
+        yield []
+        return
+    for rest in partitions(n - 1):
+        yield [*rest, [n - 1]]
+        for i in range(len(rest)):
+            yield [*rest[:i], [*rest[i], n - 1], *rest[i + 1 :]]
+
+
+def test_close_to_the_optimum_of_all_partitions():
+    sizes, overhead, ratios = (512, 1024, 2048), 16, []
+    rng = np.random.default_rng(9)
+    for _ in range(40):
+        lengths = -np.sort(-rng.integers(1, 2049, int(rng.integers(1, 8))))
+        best = min(
+            sum(min(c for c in sizes if c >= total) + overhead for total in totals)
+            for p in partitions(len(lengths))
+            if max(totals := [int(lengths[g].sum()) for g in p]) <= max(sizes)
+        )
+        _, _, final = packing.pack_shard(lengths, sizes, overhead)
+        ratios.append((sum(final) + overhead * len(final)) / best)
+    assert min(ratios) >= 1 and max(ratios) <= 1.35 and np.mean(ratios) <= 1.03
+
+
+def laid_back(rows):
+    """Each document's ids from the sequences."""
+    out = {}
+    for r in rows:
+        assert r.bin_capacity in packing.CAPACITIES and len(r.ids) == r.n_tokens == sum(r.lengths) <= r.bin_capacity
+        assert not any(r.n_tokens <= c < r.bin_capacity for c in packing.CAPACITIES)
+        at = 0
+        for d, piece, start, n in zip(r.doc_ids, r.pieces, r.starts, r.lengths):
+            assert start == piece * max(packing.CAPACITIES)
+            out.setdefault(d, {}).setdefault(start, []).append(list(r.ids[at : at + n]))
+            at += n
+    assert len({r.bin_id for r in rows}) == len(rows)
+    return out
+
+
 def test_query(spark):
+    from tokenizers import Tokenizer
+
     sf = "/root/testdata/sf0.001"
-    lengths = {r.doc_id: len([w for w in r.text.split()]) + 1 for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
-    checked(registry.op3_packing(spark, sf).collect(), lengths, packing.CAPACITIES)
+    tokenizer = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    want = {r.doc_id: [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = laid_back(registry.op3_packing(spark, sf).collect())
+    assert {d: sum((p[0] for _, p in sorted(x.items())), []) for d, x in got.items()} == want
+
+
+def test_token_edges(spark):
+    rows = [(1, None), (2, ""), (3, " a  b"), (4, "word " * 5000), (4, "word " * 5000), (None, "x y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as row", "2 as ids")
+    got = laid_back(packing.pack_tokens(docs, vocabulary("word_bpe_49k.json")).collect())
+    assert got[1] == got[2] == {0: [[1]]} and len(got[None][0][0]) == 3
+    assert [len(x) for _, x in sorted(got[4].items())] == [2, 2, 2] and got[4][4096][0][-1] == 1
+    assert packing.pack_tokens(docs.where("false"), vocabulary("word_bpe_49k.json")).count() == 0

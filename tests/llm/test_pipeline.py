@@ -4,10 +4,12 @@ import random
 
 import pytest
 from test_decontaminate import brute
+from test_packing import laid_back
 from test_secrets import plain_spans
 
 import corpus_pipeline
-from siftlane.llm import packing, secrets, simhash
+from siftlane.llm import secrets, simhash
+from siftlane.llm.common import vocabulary
 
 SF = "/root/testdata/sf0.001"
 
@@ -85,16 +87,17 @@ def test_secrets_are_redacted(spark, stages):
 
 
 def test_packing_holds_every_token(stages):
-    lengths = {i: len(t.split()) + 1 for i, t in texts(stages[4]).items()}
-    got = {}
-    for r in stages[5].collect():
-        got[r.doc_id] = got.get(r.doc_id, 0) + r.n_tokens
-        assert r.bin_offset + r.n_tokens <= r.bin_capacity and r.bin_capacity in packing.CAPACITIES
-    assert got == lengths
+    from tokenizers import Tokenizer
+
+    tokenizer, got = Tokenizer.from_file(vocabulary("word_bpe_49k.json")), {}
+    for d, pieces in laid_back(stages[5].collect()).items():
+        got[d] = sum((p[0] for _, p in sorted(pieces.items())), [])
+    assert got == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for i, t in texts(stages[4]).items()}
 
 
 def test_run_gives_the_last_stage(spark, stages):
-    assert sorted(r.doc_id for r in corpus_pipeline.run(spark, SF).collect()) == sorted(r.doc_id for r in stages[5].collect())
+    every = lambda df: sorted(x for r in df.collect() for x in zip(r.doc_ids, r.starts, r.lengths))
+    assert every(corpus_pipeline.run(spark, SF)) == every(stages[5])
 
 
 def test_near_copies_nulls_and_repeats(spark):
