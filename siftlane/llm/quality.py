@@ -8,15 +8,15 @@ language, from its counts of counts. Probabilities and back-off weights are join
 language and n-gram: counts with the totals of their contexts and the next lower order.
 
 Scoring: the sum of log-probabilities over a text's characters; perplexity is per character.
-The tables hold a row for each n-gram seen. If they have ``broadcast_rows`` rows or fewer (counted
-first, 16 bytes each) they are sent to the tasks, and documents are scored where they lie; beyond
-it the distinct n-grams of the documents are joined with the tables and summed by
-document. Both ways give the same sums.
+The tables hold a row for each n-gram seen. If they have ``mapped_rows`` rows or fewer (counted
+first, 16 bytes each) they are written to the shared folder, from where each worker reads them
+once, and documents are scored where they lie; beyond it the distinct n-grams of the
+documents are joined with the tables and summed by document. Both ways give the same sums, and
+neither passes anything through the driver.
 
-Thresholds: quantiles of log-perplexity over all trusted documents, each scored without its own half of them, by language and length (a
-class for each power of two of characters; the language's own where a class has fewer than
-``least`` trusted documents): a text is rejected above the middle quantile plus ``fence`` times
-the distance from there to the upper one, so what is clean stays, the few odd ones included.
+Thresholds: the ``quantile`` of log-perplexity over all trusted documents, each scored without its own half of them, by
+language and length (a class for each power of two of characters; the language's own where a class has
+fewer than ``least`` trusted documents): a text above it is rejected.
 
 Nulls: a null text is empty. An empty text has no perplexity and is rejected. A text whose
 language (null counts as one) has no trusted text has no perplexity and is kept. Null ids are
@@ -25,6 +25,7 @@ never trusted. Repeated rows count as often as they stand.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,10 +33,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftlane.llm.common import checkpointed, row_sums, slices, whole_text
+from siftlane.llm.common import checkpointed, row_sums, shared_path, slices, whole_text
 
 SLICE_BYTES = 2 << 20
 BITS = 16
@@ -151,46 +154,65 @@ def lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: fl
     return np.where(keys[at] == wanted, values[at], missing)
 
 
+KINDS = (("grams", "gram", "logp"), ("contexts", "context", "logw"))
+
+
+def written(made: Tables) -> str:
+    """The tables' place as one Parquet table (lang, kind, order, key, value) in the shared folder."""
+    spark = made.unseen.sparkSession
+    of = lambda kind, k, t, key, value: t.select("lang", F.lit(kind).alias("kind"), F.lit(k).alias("order"), F.col(key).alias("key"), F.col(value).alias("value"))
+    rows = of("unseen", 0, made.unseen.withColumn("key", F.lit(0).cast("long")), "key", "logp")
+    for kind, key, value in KINDS:
+        for k, t in getattr(made, kind).items():
+            rows = rows.unionByName(of(kind, k, t, key, value))
+    path = shared_path(spark, "quality")
+    rows.write.parquet(path)
+    return path
+
+
+@functools.lru_cache(maxsize=2)
+def read_tables(path: str) -> dict:
+    """Written tables as sorted arrays by language, kind and order; once for each worker."""
+    store, root = fs.FileSystem.from_uri(path)
+    frame = pq.read_table(root, filesystem=store).to_pandas().sort_values("key", key=lambda x: x.to_numpy().view(np.uint64))
+    out: dict = {}
+    for (lang, kind, k), own in frame.groupby(["lang", "kind", "order"], sort=False):
+        here = out.setdefault(lang, {"unseen": 0.0, "grams": {}, "contexts": {}})
+        if kind == "unseen":
+            here["unseen"] = float(own["value"].iloc[0])
+        else:
+            here[kind][k] = own["key"].to_numpy().view(np.uint64), own["value"].to_numpy()
+    return out
+
+
+def log_probabilities(own: dict, grams: np.ndarray) -> np.ndarray:
+    """Of distinct n-grams, by a language's arrays."""
+    logp = np.full(len(grams), own["unseen"])
+    for k in range(1, ORDER + 1):
+        part = grams & np.uint64((1 << BITS * k) - 1)
+        backed = logp + (lookup(*own["contexts"][k], part >> np.uint64(BITS), 0.0) if k > 1 else 0.0)
+        found = lookup(*own["grams"][k], part, np.nan)
+        logp = np.where(np.isnan(found), backed, found)
+    return logp
+
+
 @dataclass
 class Model:
-    """A fitted model: its tables, and, if they are small, their arrays by language and order."""
+    """A fitted model: its tables, and where they are written if they are small."""
 
     tables: Tables
-    arrays: dict | None = None
-
-    def log_probabilities(self, lang: str, grams: np.ndarray) -> np.ndarray:
-        """Of distinct n-grams of a language that the model has."""
-        own = self.arrays[lang]
-        logp = np.full(len(grams), own["unseen"])
-        for k in range(1, ORDER + 1):
-            part = grams & np.uint64((1 << BITS * k) - 1)
-            backed = logp + (lookup(*own["contexts"][k], part >> np.uint64(BITS), 0.0) if k > 1 else 0.0)
-            found = lookup(*own["grams"][k], part, np.nan)
-            logp = np.where(np.isnan(found), backed, found)
-        return logp
+    path: str | None = None
 
 
-def fit(trusted: DataFrame, *, text_col: str = "text", lang_col: str = "lang", broadcast_rows: int = 2_000_000) -> Model:
+def fit(trusted: DataFrame, *, text_col: str = "text", lang_col: str = "lang", mapped_rows: int = 2_000_000) -> Model:
     """The model of all trusted texts."""
-    return of_counts(gram_counts(trusted, text_col=text_col, lang_col=lang_col), broadcast_rows)
+    return of_counts(gram_counts(trusted, text_col=text_col, lang_col=lang_col), mapped_rows)
 
 
-def of_counts(counts: DataFrame, broadcast_rows: int) -> Model:
+def of_counts(counts: DataFrame, mapped_rows: int) -> Model:
     """The model of counted n-grams."""
     made = tables(counts)
-    if made.rows() > broadcast_rows:
-        return Model(made)
-    arrays: dict = {r.lang: {"unseen": r.logp, "grams": {}, "contexts": {}} for r in made.unseen.collect()}
-    for kind, key, value in (("grams", "gram", "logp"), ("contexts", "context", "logw")):
-        for k, t in getattr(made, kind).items():
-            rows = t.select("lang", key, value).toArrow()
-            langs = rows["lang"].combine_chunks().dictionary_encode()
-            keys = rows[key].to_numpy().view(np.uint64)
-            order = np.argsort(keys)
-            keys, values, index = keys[order], rows[value].to_numpy().astype(np.float64)[order], np.asarray(langs.indices)[order]
-            for i, lang in enumerate(langs.dictionary.to_pylist()):
-                arrays[lang][kind][k] = (keys[index == i], values[index == i])
-    return Model(made, arrays)
+    return Model(made, written(made) if made.rows() <= mapped_rows else None)
 
 
 SCORED = ("n_chars_scored", "log_prob")
@@ -200,22 +222,22 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", lang_col: st
     """docs with n_chars_scored and log_prob (null where the language has no model)."""
     kept = [c for c in docs.columns if c not in SCORED]
     work = docs.select(*kept, language(lang_col).alias("__lang"), whole_text(text_col).alias("__text"))
-    if model.arrays is None:
+    if model.path is None:
         return score_by_join(work, model, kept)
-    sent = docs.sparkSession.sparkContext.broadcast(model.arrays)
+    path = model.path
     schema = docs.select(*kept).schema.add("n_chars_scored", "long").add("log_prob", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(Tables(), sent.value)
         for batch in batches:
+            own = read_tables(path)
             for rows in slices(batch, "__text", SLICE_BYTES):
                 n, logp = np.zeros(rows.num_rows, dtype=np.int64), np.full(rows.num_rows, np.nan)
                 for lang, at, texts in by_language(rows):
                     grams, bounds = grams_of(texts)
                     n[at] = np.diff(bounds)
-                    if lang in own.arrays:
+                    if lang in own:
                         codes, seen = pd.factorize(grams)
-                        logp[at] = row_sums(own.log_probabilities(lang, seen)[codes], bounds)
+                        logp[at] = row_sums(log_probabilities(own[lang], seen)[codes], bounds)
                 yield pa.RecordBatch.from_arrays([*(rows[c] for c in kept), pa.array(n), pa.array(logp, from_pandas=True)], names=schema.fieldNames())
 
     return work.mapInArrow(run, schema)
@@ -254,18 +276,17 @@ def length_class(n):
     return F.floor(F.log2(F.greatest(n, F.lit(1)))).cast("int")
 
 
-def thresholds(trusted_scores: DataFrame, *, middle: float = 0.5, upper: float = 0.9, fence: float = 6.0, least: int = 30, lang_col: str = "lang") -> DataFrame:
+def thresholds(trusted_scores: DataFrame, *, quantile: float = 0.995, least: int = 400, lang_col: str = "lang") -> DataFrame:
     """(lang, class, limit) of log-perplexity, and with a null class the language's own.
 
-    Log-perplexities are rounded to thousandths, so a group holds a bounded number of values.
+    Log-perplexities are rounded up to thousandths, so a group holds a bounded number of values.
     """
     own = trusted_scores.where("n_chars_scored > 0 and log_prob is not null")
-    own = own.select(language(lang_col).alias("lang"), length_class(F.col("n_chars_scored")).alias("class"), F.round(-F.col("log_prob") / F.col("n_chars_scored"), 3).alias("x"))
-    of = [F.percentile("x", F.lit(middle)).alias("mid"), F.percentile("x", F.lit(upper)).alias("up"), F.count("*").alias("n")]
-    limit = F.col("mid") + fence * F.greatest(F.col("up") - F.col("mid"), F.lit(0.02))
+    own = own.select(language(lang_col).alias("lang"), length_class(F.col("n_chars_scored")).alias("class"), (F.ceil(-F.col("log_prob") / F.col("n_chars_scored") * 1000) / 1000).alias("x"))
+    of = [F.percentile("x", F.lit(quantile)).alias("limit"), F.count("*").alias("n")]
     classes = own.groupBy("lang", "class").agg(*of).where(F.col("n") >= least)
     whole = own.groupBy("lang").agg(*of).withColumn("class", F.lit(None).cast("int"))
-    return classes.select("lang", "class", limit.alias("limit")).unionByName(whole.select("lang", "class", limit.alias("limit")))
+    return classes.select("lang", "class", "limit").unionByName(whole.select("lang", "class", "limit"))
 
 
 @dataclass
@@ -305,7 +326,7 @@ def in_half(lang, half):
     return F.concat(lang, F.lit(HALF), half.cast("string"))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", broadcast_rows: int = 2_000_000, **quantiles) -> Classifier:
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", mapped_rows: int = 2_000_000, **quantiles) -> Classifier:
     """The classifier from all documents that the labels trust.
 
     The model counts all trusted texts. For the thresholds they are dealt into two halves by a hash
@@ -319,6 +340,6 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     halves = checkpointed(gram_counts(own.join(good.hint("merge"), "doc_id", "left_semi").withColumn("lang", in_half(F.col("lang"), 1 - half))))
     name = F.expr(f"substring(lang, 1, length(lang) - {len(HALF) + 1})")
     whole = halves.groupBy(name.alias("lang"), "gram").agg(F.sum("n").alias("n"))
-    model = of_counts(halves.unionByName(whole), broadcast_rows)
+    model = of_counts(halves.unionByName(whole), mapped_rows)
     scored = score(own.withColumn("lang", in_half(F.col("lang"), half)), model).select("doc_id", name.alias("lang"), *SCORED)
     return Classifier(model, checkpointed(thresholds(scored.join(good, "doc_id", "left_semi"), **quantiles)))

@@ -52,11 +52,11 @@ class Plain:
         return sum(math.log(self.p(tuple(cs[i : i + n]))) for i in range(len(cs) - n + 1))
 
 
-@pytest.mark.parametrize("broadcast_rows", [2_000_000, 0])
-def test_scores_match_the_definition(spark, broadcast_rows):
+@pytest.mark.parametrize("mapped_rows", [2_000_000, 0])
+def test_scores_match_the_definition(spark, mapped_rows):
     trusted = [(t, "en") for t in TEXTS] + [("la casa y el perro", None)]
-    model = quality.fit(spark.createDataFrame(trusted, "text string, lang string"), broadcast_rows=broadcast_rows)
-    assert (model.arrays is None) == (broadcast_rows == 0)
+    model = quality.fit(spark.createDataFrame(trusted, "text string, lang string"), mapped_rows=mapped_rows)
+    assert (model.path is None) == (mapped_rows == 0)
     rows = [(1, "the cat xyz", "en"), (2, None, "en"), (3, "", "en"), (4, "abc", "xx"), (5, "zqzq 99 🙂é", "en"), (6, "la gata", None), (6, "la gata", None), (None, "the" * 5000, "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 as gram", "2 as n", "3 as log_prob")
     got = quality.score(docs, model)
@@ -106,3 +106,13 @@ def test_slices_and_languages_change_nothing(spark):
     one = {(r.lang, r.gram): r.n for r in quality.gram_counts(df).collect()}
     two = {(r.lang, r.gram): r.n for r in quality.gram_counts(df.repartition(7)).collect()}
     assert one == two and sum(one.values()) == sum(len(t) for _, t, _ in rows)
+
+
+def test_limits_are_quantiles_of_each_language(spark):
+    rng = random.Random(8)
+    rows = [(lang, n, -n * x) for lang in ("en", "de") for n in (100, 3000) for x in (rng.uniform(1, 4) + (lang == "de") for _ in range(500 if n == 100 else 20))]
+    got = {(r.lang, r["class"]): r.limit for r in quality.thresholds(spark.createDataFrame(rows, "lang string, n_chars_scored long, log_prob double"), quantile=0.9, least=100).collect()}
+    assert set(got) == {(lang, c) for lang in ("en", "de") for c in (None, 6)}
+    for (lang, c), limit in got.items():
+        own = [-p / n for g, n, p in rows if g == lang and c in (None, int(math.log2(n)))]
+        assert abs(sum(x <= limit for x in own) - 0.9 * len(own)) <= 1
