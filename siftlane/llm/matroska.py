@@ -167,84 +167,138 @@ def frame_sizes(data: bytes, at: int, end: int, kind: int) -> tuple[list[int], i
     return sizes, at
 
 
-def parse(data: bytes) -> Parsed:
-    """The packet table of a file."""
-    out, scale, now = Parsed(), 1_000_000, 0
+#: Numbers of files beyond these bounds are faults, as are elements nested deeper: no real file has them, and tables hold them no more.
+MOST_TRACK, MOST_TIME, MOST_SCALE, MOST_DEPTH = 2**31 - 1, 2**40, 2**32, 64
+
+
+def bounded(number: int, most: int, what: str, at: int) -> int:
+    if number > most:
+        raise ValueError(f"the {what} at {at} is out of bounds")
+    return number
+
+
+@dataclass
+class Level:
+    """A master element that is being read: where it ends, and what its children have said."""
+
+    ident: int
+    end: int
+    unknown: bool
+    record: dict = field(default_factory=dict)
+
+
+class Reader:
+    """Reads elements one after another; open masters are a list, so nesting costs no calls."""
+
+    def __init__(self, data: bytes):
+        self.data, self.out = data, Parsed()
+        self.scale, self.now = 1_000_000, 0
 
-    def add(at: int, end: int, key: bool | None) -> None:
+    def frames(self, at: int, end: int, key: bool | None) -> None:
+        """The packets of a block."""
+        data, out, start = self.data, self.out, at
         track, at, _ = read_vint(data, at, end, False)
+        bounded(track, MOST_TRACK, "track number", start)
         if at + 3 > end:
             raise ValueError(f"the block at {at} is cut off")
         time, flags = struct.unpack(">hB", data[at : at + 3])
         kind = flags >> 1 & 3
         sizes, at = frame_sizes(data, at + 3, end, kind)
         step = out.tracks.get(track, {}).get("default_duration", 0)
+        first = max(-(2**62), min(2**62, (self.now + time) * self.scale))
         out.blocks += 1
         for i, size in enumerate(sizes):
-            out.packets.append(Packet(track, (now + time) * scale + i * step, out.clusters - 1, at, size, bool(flags & 0x80) if key is None else key, LACINGS[kind]))
+            out.packets.append(Packet(track, first + i * step, out.clusters - 1, at, size, bool(flags & 0x80) if key is None else key, LACINGS[kind]))
             at += size
 
-    def walk(at: int, end: int, inside: int, record: dict) -> int:
-        nonlocal scale, now
-        while at < end:
+    def closed(self, level: Level, parent: Level) -> None:
+        """What a master says once it is read."""
+        own, out = level.record, self.out
+        if level.ident == TRACK_ENTRY:
+            out.tracks[own.get("number", 0)] = own
+        elif level.ident == AUDIO:
+            parent.record.update(own)
+        elif level.ident == CUE_POSITIONS:
+            out.cues.append((min(2**62, parent.record.get("time", 0) * self.scale), own.get("track", 0), own.get("position", 0)))
+        elif level.ident == BLOCK_GROUP and "block" in own:
+            self.frames(*own["block"], key=not own.get("references"))
+
+    def value(self, ident: int, at: int, stop: int, inside: Level) -> None:
+        """An element that is no master."""
+        data, record = self.data, inside.record
+        number = int.from_bytes(data[at:stop], "big") if stop - at <= 8 else 0
+        if ident == SIMPLE_BLOCK:
+            self.frames(at, stop, None)
+        elif ident == BLOCK:
+            record["block"] = (at, stop)
+        elif ident == REFERENCE:
+            record["references"] = 1
+        elif ident == TIMESTAMP and inside.ident == CLUSTER:
+            self.now = bounded(number, MOST_TIME, "cluster's time", at)
+        elif ident == TIMESTAMP_SCALE:
+            self.scale = bounded(number, MOST_SCALE, "time scale", at)
+        elif ident == DURATION and stop - at in (4, 8):
+            duration = struct.unpack(">d" if stop - at == 8 else ">f", data[at:stop])[0] * self.scale / 1e6
+            self.out.duration_ms = duration if np.isfinite(duration) else 0.0
+        elif ident == CODEC:
+            record["codec"] = data[at:stop].decode("ascii", "replace")
+        elif ident in NUMBERS:
+            name = NUMBERS[ident]
+            most = {"number": MOST_TRACK, "track": MOST_TRACK, "time": MOST_TIME, "default_duration": MOST_TIME}.get(name, 2**62)
+            record[name] = bounded(number, most, name.replace("_", " "), at)
+
+    def read(self) -> None:
+        data = self.data
+        ident, at, _ = read_vint(data, 0, len(data), True)
+        if ident != EBML:
+            raise ValueError("it doesn't begin as an EBML file")
+        size, at, _ = read_vint(data, at, len(data), False)
+        if at + size > len(data):
+            raise ValueError("its head is cut off")
+        at += size
+        levels = [Level(0, len(data), True)]
+        while levels:
+            level = levels[-1]
+            if at >= level.end:
+                levels.pop()
+                if levels:
+                    self.closed(level, levels[-1])
+                continue
             start = at
-            ident, at, _ = read_vint(data, at, end, True)
-            if (inside == CLUSTER and ident in TOP_LEVEL) or (inside and ident in (EBML, SEGMENT)):
-                return start  # an element of unknown size ends here
-            size, at, unknown = read_vint(data, at, end, False)
-            stop = end if unknown else at + size
-            if stop > end:
+            ident, at, _ = read_vint(data, at, level.end, True)
+            if (level.ident == CLUSTER and ident in TOP_LEVEL) or (level.ident and ident in (EBML, SEGMENT)):
+                if not level.unknown:
+                    raise ValueError(f"the element at {start} stands inside another that can't hold it")
+                at = start  # an element of unknown size ends here
+                levels.pop()
+                self.closed(level, levels[-1])
+                continue
+            size, at, unknown = read_vint(data, at, level.end, False)
+            stop = level.end if unknown else at + size
+            if stop > level.end:
                 raise ValueError(f"the element at {start} is longer than what holds it")
             if unknown and ident not in (SEGMENT, CLUSTER):
                 raise ValueError(f"the element at {start} has no size")
-            number = int.from_bytes(data[at:stop], "big") if stop - at <= 8 else 0
             if ident in MASTERS:
+                if len(levels) > MOST_DEPTH:
+                    raise ValueError(f"the element at {start} is nested too deep")
                 if ident == CLUSTER:
-                    out.clusters += 1
-                    now = 0
-                own: dict = {}
-                at = walk(at, stop, ident, own)
-                if ident == TRACK_ENTRY:
-                    out.tracks[own.get("number", 0)] = own
-                elif ident == AUDIO:
-                    record.update(own)
-                elif ident == CUE_POSITIONS:
-                    out.cues.append((record.get("time", 0) * scale, own.get("track", 0), own.get("position", 0)))
-                elif ident == BLOCK_GROUP and "block" in own:
-                    add(*own["block"], key=not own.get("references"))
-                if not unknown:
-                    at = stop
-                continue
-            if ident == SIMPLE_BLOCK:
-                add(at, stop, None)
-            elif ident == BLOCK:
-                record["block"] = (at, stop)
-            elif ident == REFERENCE:
-                record["references"] = 1
-            elif ident == TIMESTAMP and inside == CLUSTER:
-                now = number
-            elif ident == TIMESTAMP_SCALE:
-                scale = number
-            elif ident == DURATION and stop - at in (4, 8):
-                out.duration_ms = struct.unpack(">d" if stop - at == 8 else ">f", data[at:stop])[0] * scale / 1e6
-            elif ident == CODEC:
-                record["codec"] = data[at:stop].decode("ascii", "replace")
-            elif ident in NUMBERS:
-                record[NUMBERS[ident]] = number
-            at = stop
-        return at
+                    self.out.clusters += 1
+                    self.now = 0
+                levels.append(Level(ident, stop, unknown))
+            else:
+                self.value(ident, at, stop, level)
+                at = stop
+
 
+def parse(data: bytes) -> Parsed:
+    """The packet table of a file; of a faulty one what stands before the fault, and the fault."""
+    reader = Reader(data)
     try:
-        ident, at, _ = read_vint(data, 0, len(data), True)
-        if ident != EBML:
-            raise ValueError("it doesn't begin as an EBML file")
-        size, at, _ = read_vint(data, at, len(data), False)
-        if at + size > len(data):
-            raise ValueError("its head is cut off")
-        walk(at + size, len(data), 0, {})
+        reader.read()
     except ValueError as fault:
-        out.error = str(fault)
-    return out
+        reader.out.error = str(fault)
+    return reader.out
 
 
 NUMBERS = {TRACK_NUMBER: "number", TRACK_TYPE: "type", DEFAULT_DURATION: "default_duration", CHANNELS: "channels", BIT_DEPTH: "bit_depth", CUE_TIME: "time", CUE_TRACK: "track", CUE_CLUSTER: "position"}
@@ -270,20 +324,15 @@ def store_texts(docs: DataFrame, *, text_col: str = "text", media_col: str = "me
     return work.mapInArrow(run, schema)
 
 
-PACKETS = "track int, time_ns long, cluster int, packet int, offset long, size long, key_frame boolean, lacing string"
-
-
-def packets(files: DataFrame, *, media_col: str = "media") -> DataFrame:
-    """A row for each packet of each file: the file's other columns, then PACKETS, then media_error.
-
-    A file without packets gives no row unless it has an error.
-    """
-    new = ["track", "time_ns", "cluster", "packet", "offset", "size", "key_frame", "lacing", "media_error"]
+def exploded(files: DataFrame, media_col: str, columns: dict[str, str], rows_of) -> DataFrame:
+    """The rows that rows_of makes of each parsed file: the file's other columns, then columns, then media_error. A file
+    without rows has none here unless it has an error."""
+    new = {**columns, "media_error": "string"}
     kept = [c for c in files.columns if c != media_col and c not in new]
     schema = files.select(*kept).schema
-    for name, kind in zip(new, ("integer", "long", "integer", "integer", "long", "long", "boolean", "string", "string")):
+    for name, kind in new.items():
         schema = schema.add(name, kind)
-    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.string()]
+    arrow = {"integer": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "string": pa.string()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,16 +340,33 @@ def packets(files: DataFrame, *, media_col: str = "media") -> DataFrame:
                 owner, made = [], []
                 for i, data in enumerate(rows[media_col].to_pylist()):
                     got = parse(data) if data is not None else Parsed()
-                    own = [(p.track, p.time_ns, p.cluster, n, p.offset, p.size, p.key, p.lacing, got.error) for n, p in enumerate(got.packets)]
-                    own = own or ([(None,) * 8 + (got.error,)] if got.error else [])
+                    own = [(*x, got.error) for x in rows_of(got)] or ([(None,) * len(columns) + (got.error,)] if got.error else [])
                     owner += [i] * len(own)
                     made += own
                 left = rows.take(pa.array(owner, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*(left[c] for c in kept), *(pa.array([m[k] for m in made], t) for k, t in enumerate(kinds))], names=schema.fieldNames())
+                yield pa.RecordBatch.from_arrays([*(left[c] for c in kept), *(pa.array([m[k] for m in made], arrow[t]) for k, t in enumerate(new.values()))], names=schema.fieldNames())
 
     return files.select(*kept, media_col).mapInArrow(run, schema)
 
 
+def packets(files: DataFrame, *, media_col: str = "media") -> DataFrame:
+    """A row for each packet of each file, with its place in the file in bytes."""
+    columns = {"track": "integer", "time_ns": "long", "cluster": "integer", "packet": "integer", "offset": "long", "size": "long", "key_frame": "boolean", "lacing": "string"}
+    return exploded(files, media_col, columns, lambda got: [(p.track, p.time_ns, p.cluster, n, p.offset, p.size, p.key, p.lacing) for n, p in enumerate(got.packets)])
+
+
+def tracks(files: DataFrame, *, media_col: str = "media") -> DataFrame:
+    """A row for each track of each file; missing numbers are null."""
+    columns = {"track": "integer", "track_type": "long", "codec": "string", "default_duration_ns": "long", "channels": "long", "bit_depth": "long"}
+    return exploded(files, media_col, columns, lambda got: [(n, *(t.get(k) for k in ("type", "codec", "default_duration", "channels", "bit_depth"))) for n, t in sorted(got.tracks.items())])
+
+
+def cues(files: DataFrame, *, media_col: str = "media") -> DataFrame:
+    """A row for each cue of each file: the time and track, and the cluster's place from the segment's first byte."""
+    columns = {"cue": "integer", "time_ns": "long", "track": "integer", "cluster_position": "long"}
+    return exploded(files, media_col, columns, lambda got: [(i, *c) for i, c in enumerate(got.cues)])
+
+
 def facts(data: bytes) -> dict:
     """A stored file's payload read back through its packets, and what there is to say of it."""
     got = parse(data)

@@ -73,10 +73,55 @@ def test_faults_are_told(spark):
     for cut in range(1, len(whole), 37):
         m.parse(whole[:cut])
     rng = random.Random(4)
-    for _ in range(300):
+    fuzzed = []
+    for i in range(300):
         bad = bytearray(whole)
-        bad[rng.randrange(60, 400)] = rng.randrange(256)
-        m.parse(bytes(bad))
+        for _ in range(rng.choice((1, 4))):
+            bad[rng.randrange(60, 400)] = rng.randrange(256)
+        fuzzed.append((i, bytes(bad)))
+    files = spark.createDataFrame(fuzzed, "id long, media binary")
+    for table_of in (m.packets, m.tracks, m.cues, m.file_facts):
+        assert table_of(files).count() >= 0 and table_of(files).collect() is not None
     rows = [(1, None), (2, b"junk"), (3, bytes(whole)), (4, bytes(whole[:-900]))]
     table = m.packets(spark.createDataFrame(rows, "id long, media binary")).collect()
     assert {r.id for r in table} == {2, 3} | ({4} if any(r.id == 4 for r in table) else set()) and all(r.media_error for r in table if r.id == 2)
+
+
+def wrapped(*parts):
+    return m.element(m.EBML, m.element(m.DOC_TYPE, b"webm")) + m.element(m.SEGMENT, *parts)
+
+
+def nested(n):
+    out = b""
+    for _ in range(n):
+        out = m.element(m.BLOCK_GROUP, out)
+    return out
+
+
+def test_hostile_files_end_in_an_error_not_a_failed_task(spark):
+    block = lambda track: m.element(m.SIMPLE_BLOCK, m.vint(track, 8) + b"\0\0\x80" + b"abc")
+    bad = {
+        "deep": wrapped(nested(1500)),
+        "track": wrapped(m.element(m.CLUSTER, m.uint(m.TIMESTAMP, 1), block(1), block(1 << 40))),
+        "time": wrapped(m.element(m.CLUSTER, m.uint(m.TIMESTAMP, 1 << 63), block(1))),
+        "scale": wrapped(m.element(m.INFO, m.uint(m.TIMESTAMP_SCALE, (1 << 64) - 1)), m.element(m.CLUSTER, m.uint(m.TIMESTAMP, 5), block(1))),
+        "cue": wrapped(m.element(m.CUES, m.element(m.CUE_POINT, m.uint(m.CUE_TIME, 1 << 50), m.element(m.CUE_POSITIONS, m.uint(m.CUE_CLUSTER, 1))))),
+    }
+    files = spark.createDataFrame(list(bad.items()), "name string, media binary")
+    table = m.packets(files).collect()
+    assert {r.name for r in table} == set(bad) and all(r.media_error for r in table)
+    assert [(r.offset is not None, r.size) for r in table if r.name == "track"] == [(True, 3)]
+    assert m.tracks(files).count() == m.cues(files).count() == m.file_facts(files).count() == len(bad)
+
+
+def test_track_and_cue_tables(spark):
+    rows = [(1, m.stored(b"abc" * 100_000)), (2, None), (3, m.stored(b""))]
+    files = spark.createDataFrame(rows, "id long, media binary").selectExpr("*", "9 as cue", "'x' as codec")
+    tracks = m.tracks(files)
+    assert tracks.columns == ["id", "cue", "track", "track_type", "codec", "default_duration_ns", "channels", "bit_depth", "media_error"]
+    assert [(r.id, r.cue, r.track, r.codec, r.default_duration_ns, r.bit_depth) for r in tracks.collect()] == [(i, 9, 1, "A_PCM/INT/LIT", 32_000_000, 8) for i in (1, 3)]
+    cues = m.cues(files).collect()
+    assert [(r.id, r.cue, r.time_ns, r.track) for r in cues] == [(1, i, i * 512 * 32_000_000, 1) for i in range(3)]
+    segment = rows[0][1].index(m.SEGMENT.to_bytes(4, "big")) + 4
+    at = segment + m.read_vint(rows[0][1], segment, len(rows[0][1]), False)[1] - segment
+    assert all(rows[0][1][at + r.cluster_position :].startswith(m.CLUSTER.to_bytes(4, "big")) for r in cues)
