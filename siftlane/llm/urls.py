@@ -20,13 +20,17 @@ verdicts.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Suffixes of two labels; all others have one.
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "com.br", "com.tr", "com.mx", "com.ar", "co.in", "co.za", "com.cn")
+from siftlane.llm.common import checkpointed
+from siftlane.operators.components import joined_by_key
+
+#: The suffixes of several labels that count unless a table is given; all others have one.
+SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "com.br", "com.tr", "com.mx", "com.ar", "co.in", "co.za", "com.cn")
 
 
 @dataclass(frozen=True)
@@ -64,15 +68,32 @@ def fitting_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     return out
 
 
-def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+def suffix_labels(host: Column, suffixes: Iterable[str]) -> Column:
+    """How many labels the host's suffix has: those of the longest of the table's that it ends with, else one."""
+    by_size: dict[int, list[str]] = {}
+    for s in suffixes:
+        by_size.setdefault(s.count(".") + 1, []).append(s)
+    out = F.lit(1)
+    for k in sorted(by_size):
+        out = F.when(F.substring_index(host, ".", -k).isin(*by_size[k]), k).otherwise(out)
+    return out
+
+
+def tail_labels(host: Column, n: Column) -> Column:
+    return F.array_join(F.slice(F.split(host, "[.]"), -F.least(n, F.size(F.split(host, "[.]"))), n), ".")
+
 
+def is_address(host: Column) -> Column:
+    return host.rlike(r"^[\d.]+(:\d+)?$")
 
-def domain_of(host: Column) -> Column:
+
+def suffix_of(host: Column, suffixes: Iterable[str] = SUFFIXES) -> Column:
+    return tail_labels(host, suffix_labels(host, suffixes))
+
+
+def domain_of(host: Column, suffixes: Iterable[str] = SUFFIXES) -> Column:
     """The suffix and one label more; an address of numbers is its own domain."""
-    two = F.substring_index(host, ".", -2).isin(*TWO_LABEL_SUFFIXES)
-    return F.when(host.rlike(r"^[\d.]+(:\d+)?$"), host).when(two, F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
+    return F.when(is_address(host), host).otherwise(tail_labels(host, suffix_labels(host, suffixes) + 1))
 
 
 def shrunk(units: DataFrame, parent: Column, least: float, most: float) -> DataFrame:
@@ -101,15 +122,15 @@ class Reputation:
     suffixes: DataFrame
     rate: float
     strength: float
+    suffix_table: tuple[str, ...] = SUFFIXES
 
 
-def reputation(outcomes: DataFrame, *, limit: float = 0.5, least: float = 0.001, most: float = 0.9) -> Reputation:
-    """Reputations from labelled pages: host string, bad boolean."""
-    from siftlane.llm.common import checkpointed
-
+def reputation(outcomes: DataFrame, *, limit: float = 0.5, least: float = 0.001, most: float = 0.9, suffixes: Iterable[str] = SUFFIXES) -> Reputation:
+    """Reputations from labelled pages: host string, bad boolean. suffixes: the table of public suffixes of several labels."""
+    suffix_table = tuple(suffixes)
     known = outcomes.where("host is not null and host != '' and bad is not null")
     hosts = known.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
-    hosts = checkpointed(hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))))
+    hosts = checkpointed(hosts.withColumn("domain", domain_of(F.col("host"), suffix_table)).withColumn("suffix", suffix_of(F.col("host"), suffix_table)))
     add = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     domains = checkpointed(hosts.groupBy("domain", "suffix").agg(*add))
     suffixes = domains.groupBy("suffix").agg(*add)
@@ -121,7 +142,7 @@ def reputation(outcomes: DataFrame, *, limit: float = 0.5, least: float = 0.001,
     hosts = shrunk(hosts.join(domains, "domain"), F.col("domain_rate"), least, most)
     strength = hosts.select("strength").first()
     hosts = checkpointed(hosts.select("host", "rate", (F.col("strength") + F.col("n")).alias("weight")))
-    return Reputation(hosts, domains, suffixes, rate, strength[0] if strength else 1 / least - 1)
+    return Reputation(hosts, domains, suffixes, rate, strength[0] if strength else 1 / least - 1, suffix_table)
 
 
 def filter_urls(pages: DataFrame, known: Reputation, rules: tuple[Rule, ...], *, url_col: str = "url", limit: float = 0.5, z: float = 1.645) -> DataFrame:
@@ -131,18 +152,20 @@ def filter_urls(pages: DataFrame, known: Reputation, rules: tuple[Rule, ...], *,
     url = F.col("__url")
     work = pages.select(*kept, F.col(url_col).cast("string").alias("__url")).select(*kept, host_of(url).alias("host"), path_of(url).alias("path"))
     work = work.withColumn("rule", fitting_rule(F.col("host"), F.col("path"), rules))
-    work = work.withColumn("__domain", domain_of(F.col("host"))).withColumn("__suffix", suffix_of(F.col("host")))
     hosts = known.hosts.select("host", F.col("rate").alias("__rate"), F.col("weight").alias("__weight"))
     domains = known.domains.select(F.col("domain").alias("__domain"), F.col("domain_rate").alias("__drate"))
     suffixes = known.suffixes.select(F.col("suffix").alias("__suffix"), F.col("suffix_rate").alias("__srate"))
-    # one row for each host of the pages, so that a host of many pages meets the tree once
-    decided = work.select("host", "__domain", "__suffix").distinct().join(hosts, "host", "left").join(domains, "__domain", "left").join(suffixes, "__suffix", "left")
+    # one row for each host of the pages, so that a host of many pages meets the tree once; few very common hosts are broadcast
+    each = work.groupBy("host").agg(F.count("*").alias("__n"))
+    each = each.withColumn("__domain", domain_of(F.col("host"), known.suffix_table)).withColumn("__suffix", suffix_of(F.col("host"), known.suffix_table))
+    decided = each.join(hosts, "host", "left").join(domains, "__domain", "left").join(suffixes, "__suffix", "left")
     mean = F.coalesce("__rate", "__drate", "__srate", F.lit(known.rate))
     weight = F.coalesce("__weight", F.lit(known.strength))
     bound = mean - z * F.sqrt(mean * (1 - mean) / (weight + 1))
-    decided = decided.select("host", mean.alias("bad_rate"), bound.alias("bad_bound"))
+    decided = checkpointed(decided.select("host", "__n", mean.alias("bad_rate"), bound.alias("bad_bound")))
     by_rule = F.lit(None).cast("string")
     for r in rules:
         by_rule = F.when(F.col("rule") == r.text, r.verdict).otherwise(by_rule)
     own = F.when(F.col("bad_bound") > limit, "block").otherwise("allow")
-    return work.join(decided, "host").select(*kept, "host", "path", "rule", "bad_rate", "bad_bound", F.coalesce(by_rule, own).alias("verdict"))
+    total = decided.agg(F.sum("__n")).first()[0] or 0
+    return joined_by_key(work, decided, "host", "__n", total).select(*kept, "host", "path", "rule", "bad_rate", "bad_bound", F.coalesce(by_rule, own).alias("verdict"))

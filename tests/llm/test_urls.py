@@ -88,3 +88,28 @@ def test_query_matches_sql(spark, sf):
         con.execute(f"create view {t} as select * from '{base}/{t}.parquet'")
     want = sorted(con.execute(sql.OP5_URLS).fetchall())
     assert sorted(map(tuple, registry.op5_urls(spark, base).collect())) == want and want
+
+
+def test_suffix_table_is_a_parameter(spark):
+    from pyspark.sql import functions as F
+
+    table = ("gov.xx", "city.gov.xx", "co.uk")
+    hosts = ["a.b.city.gov.xx", "city.gov.xx", "b.gov.xx", "w.b.gov.xx", "x.co.uk", "a.x.co.uk", "a.b.com", "com", "", "10.1.2.3:80", "a..b"]
+    df = spark.createDataFrame([(h,) for h in hosts], "h string")
+    got = [tuple(r) for r in df.select("h", urls.suffix_of(F.col("h"), table), urls.domain_of(F.col("h"), table)).collect()]
+
+    def plain_parts(h):
+        labels = h.split(".")
+        n = max([s.count(".") + 1 for s in table if h == s or h.endswith("." + s)], default=1)
+        domain = h if re.fullmatch(r"[\d.]+(:\d+)?", h) else ".".join(labels[-(n + 1) :])
+        return h, ".".join(labels[-n:]), domain
+
+    assert got == [plain_parts(h) for h in hosts]
+
+
+def test_a_very_common_host(spark):
+    """A host of most pages is joined by a broadcast of its row, with the rows that a shuffle gives."""
+    outcomes = spark.createDataFrame([("hot.com", True)] * 30 + [("cold.net", False)] * 30, "host string, bad boolean")
+    pages = spark.range(4000).selectExpr("id page_id", "concat('http://', if(id % 10 < 8, 'hot.com', concat('h', id % 500, '.net')), '/x') url")
+    got = urls.filter_urls(pages, urls.reputation(outcomes), ()).groupBy("host").count().collect()
+    assert sum(r["count"] for r in got) == 4000 and max(r["count"] for r in got) == 3200 and len(got) == 101
