@@ -2,7 +2,7 @@
 
 Values are found by one pattern over the whole text, checked, and replaced by a keyed
 permutation of their own format, so equal values have equal pseudonyms in every document and a
-pseudonym passes the same checks as the value:
+pseudonym passes the same checks as the value (of ssn and phone the format is all that is checked):
 
 * ``card``: 13 to 19 digits with a right Luhn digit; all digits but the last are permuted, the
   last is computed again. Of a run of digits that has none, its first part between separators
@@ -12,7 +12,8 @@ pseudonym passes the same checks as the value:
 * ``ssn``: three, two and four digits; ``phone``: ten digits with an optional country code, which
   is kept. The digits are permuted, the marks between them stay.
 * ``date``: days from 1900-01-01 on that exist, as y-m-d, m/d/y or d.m.y; the day's number is
-  permuted among DATE_A times DATE_B days.
+  permuted among DATE_A times DATE_B days. With slashes the month is first where that is a date; what can
+  only be d/m/y is permuted among such dates.
 * ``ip``: four numbers up to 255, permuted among all 32-bit addresses.
 * ``email``: letters and digits of the local part, each within its class; the domain stays.
 
@@ -42,6 +43,8 @@ PATTERNS = {
 }
 ANY = "|".join(PATTERNS[k] for k in KINDS)
 DATE_FIRST, DATE_A, DATE_B = "1900-01-01", 270, 270
+#: A date with slashes whose first number can't be a month; steps in which such a date meets another (all but surely in a few).
+DAY_FIRST, WALK = r"^(1[3-9]|2\d|3[01])/", 96
 ROUNDS = 10
 
 
@@ -150,10 +153,20 @@ def pseudonym(kind: str, m: Column, key: str) -> Column:
         out = F.concat_ws(".", *[F.pmod(F.shiftright(new, s), F.lit(256)).cast("string") for s in (24, 16, 8, 0)])
         return F.when(F.forall(parts, lambda p: p < 256), out)
     out = F.lit(None).cast("string")
-    for like, form in ((r"^\d{4}-", "yyyy-MM-dd"), (r"/", "MM/dd/yyyy"), (r"^\d{2}[.]", "dd.MM.yyyy")):
-        day = F.datediff(F.try_to_timestamp(m, F.lit(form)).cast("date"), F.lit(DATE_FIRST).cast("date"))
-        new = F.date_add(F.lit(DATE_FIRST).cast("date"), permuted_number(day, DATE_A, DATE_B, key, kind).cast("int"))
-        out = F.when(m.rlike(like), F.when((day >= 0) & (day < DATE_A * DATE_B), F.date_format(new, form))).otherwise(out)
+    date_of = lambda n: F.date_add(F.lit(DATE_FIRST).cast("date"), n.cast("int"))
+    for like, form in ((DAY_FIRST, "dd/MM/yyyy"), (r"^\d{4}-", "yyyy-MM-dd"), (r"/", "MM/dd/yyyy"), (r"^\d{2}[.]", "dd.MM.yyyy")):
+        day = F.datediff(F.try_to_timestamp(m, F.lit(form)).cast("date"), F.lit(DATE_FIRST).cast("date")).cast("long")
+        one = permuted_number(day, DATE_A, DATE_B, key, kind)
+        if like == DAY_FIRST:  # permuted again until the day can't be a month, which keeps it one to one among such dates
+            start = F.struct(day.alias("n"), F.lit(False).alias("done"))
+
+            def walk(acc: Column, _: Column) -> Column:
+                new = permuted_number(acc["n"], DATE_A, DATE_B, key, "day_first")
+                return F.when(acc["done"], acc).otherwise(F.struct(new.alias("n"), (F.dayofmonth(date_of(new)) > 12).alias("done")))
+
+            one = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, walk, lambda acc: F.when(acc["done"], acc["n"]))
+        new = F.when((day >= 0) & (day < DATE_A * DATE_B), F.date_format(date_of(one), form))
+        out = F.coalesce(F.when(m.rlike(like), new), out)
     return out
 
 

@@ -115,3 +115,14 @@ def test_values_that_are_their_own_pseudonyms_are_listed(spark):
     """By this key one letter's shifts add up to nothing."""
     row = pii.pseudonymise(spark.createDataFrame([(0, "a@x.com")], "doc_id long, text string"), "k11").first()
     assert row.text == "a@x.com" and [tuple(p) for p in row.pii] == [("email", "a@x.com", "a@x.com")]
+
+
+def test_day_first_dates(spark):
+    """d/m/y that can't be m/d/y: one to one among such dates, as strings, and m/d/y stays apart from them."""
+    days = [dt.date(1900, 1, 1) + dt.timedelta(days=i) for i in range(0, 3000)]
+    values = [f"{d:%d/%m/%Y}" for d in days if d.day > 12] + ["25/12/2024", "31/12/2079", "30/02/2024", "32/01/2024", "25/13/2024"]
+    got = [[(x.kind, x.value, x.pseudonym) for x in r.pii] for r in pii.pseudonymise(spark.createDataFrame([(v,) for v in values], "text string"), KEY).collect()]
+    assert got[-3:] == [[], [], []]
+    new = [x[0][2] for x in got[:-3]]
+    assert len(set(new)) == len(new) and all(dt.datetime.strptime(x, "%d/%m/%Y").day > 12 for x in new)
+    assert sum(a == b for a, b in zip(values, new)) <= 3
