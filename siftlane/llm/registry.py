@@ -82,9 +82,10 @@ def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unigram token counts of every document."""
+    """Unigram token counts of every document, by a model of all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_counts.count_tokens(docs, vocabulary("piece_bpe_32k.model")).select("doc_id", "n_pretokens", "n_tokens")
+    model = token_counts.train(docs, vocabulary("piece_bpe_32k.model"))
+    return token_counts.count_tokens(docs, model).select("doc_id", "n_pretokens", "n_tokens")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

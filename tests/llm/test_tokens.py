@@ -1,12 +1,13 @@
 """Token counts and token files against plain encodings of each text."""
 
+import math
 import zlib
 
 import numpy as np
 import pytest
 
 from siftlane.llm import registry, token_counts, token_ids
-from siftlane.llm.common import shared_path
+from siftlane.llm.common import shared_path, vocabulary
 
 TEXTS = [
     (5, "The quick brown fox, the QUICK brown fox.\n\tagain"),
@@ -27,9 +28,9 @@ SCHEMA = "doc_id long, text string"
 def test_token_files_round_trip(spark, texts):
     docs = spark.createDataFrame(texts, SCHEMA).withColumnRenamed("doc_id", "id").selectExpr("id as doc_id", "text", "'x' as part", "1 as name")
     path = shared_path(spark, "tokens")
-    token_ids.write_token_files(docs, path, registry.vocabulary("word_bpe_49k.json"))
+    token_ids.write_token_files(docs, path, vocabulary("word_bpe_49k.json"))
     got = token_ids.read_token_files(spark, path, docs_a_task=2).orderBy("start").collect()
-    tokenizer = token_ids.load_tokenizer(registry.vocabulary("word_bpe_49k.json"))
+    tokenizer = token_ids.load_tokenizer(vocabulary("word_bpe_49k.json"))
     want, start = [], 0
     for doc_id, text in sorted(texts, key=lambda t: (t[0] is not None, t[0] or 0)):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
@@ -40,7 +41,7 @@ def test_token_files_round_trip(spark, texts):
 
 def test_token_file_query(spark):
     sf = "/root/testdata/sf0.001"
-    tokenizer = token_ids.load_tokenizer(registry.vocabulary("word_bpe_49k.json"))
+    tokenizer = token_ids.load_tokenizer(vocabulary("word_bpe_49k.json"))
     start, want = 0, []
     for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect():
         ids = np.array([*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1], dtype="<u4")
@@ -49,44 +50,70 @@ def test_token_file_query(spark):
     assert [tuple(r) for r in registry.op9_token_ids(spark, sf).orderBy("doc_id").collect()] == want
 
 
-def best_path(word, scores, longest):
-    """Forward scores of one word, by themselves."""
+def best_path(word, model):
+    """(score, tokens, pieces) of one word, by itself."""
     word = token_counts.WORD_MARK + word
-    best = [(0.0, 0)]
+    best = [(0.0, 0, ())]
     for end in range(1, len(word) + 1):
         size = len(word[end - 1].encode())
-        ways = [(best[end - 1][0] + token_counts.BYTE_COST * size, -(best[end - 1][1]) - size)]
-        ways += [(best[a][0] + scores[word[a:end]], -best[a][1] - 1) for a in range(max(0, end - longest), end) if word[a:end] in scores]
-        top = max(ways)
-        best.append((top[0], -top[1]))
-    return best[-1][1]
+        ways = [(best[end - 1][0] + model.byte_score * size, -(best[end - 1][1]) - size, best[end - 1][2])]
+        ways += [(best[a][0] + model.scores[word[a:end]], -best[a][1] - 1, (*best[a][2], word[a:end])) for a in range(end) if word[a:end] in model.scores]
+        top = max(ways, key=lambda w: w[:2])
+        best.append((top[0], -top[1], top[2]))
+    return best[-1]
+
+
+def split(text):
+    return [w for w in __import__("re").split(r"[ \t\n\r\x0b\x0c]+", text or "") if w]
 
 
 @pytest.mark.parametrize("texts", [TEXTS, []])
 def test_token_counts_match_single_words(spark, texts):
-    file = registry.vocabulary("piece_bpe_32k.model")
-    scores, longest = token_counts.piece_scores(file)
-    docs = spark.createDataFrame(texts, SCHEMA).selectExpr("doc_id", "text", "7 as n_tokens", "'kept' as words")
+    file = vocabulary("piece_bpe_32k.model")
     texts = [(i, t if t is None or len(t) < 40_000 or " " in t else None) for i, t in texts]
-    docs = spark.createDataFrame(texts, SCHEMA).selectExpr("doc_id", "text", "7 as n_tokens", "'kept' as words") if texts else docs
-    got = token_counts.count_tokens(docs, file)
+    docs = spark.createDataFrame(texts, SCHEMA).selectExpr("doc_id", "text", "7 as n_tokens", "'kept' as words")
+    model = token_counts.train(docs, file)
+    got = token_counts.count_tokens(docs, model)
     assert got.columns == ["doc_id", "text", "words", "n_pretokens", "n_tokens"]
     memo = {}
 
     def tokens(text):
-        words = [w for w in __import__("re").split(r"[ \t\n\r\x0b\x0c]+", text or "") if w]
-        return len(words), sum(memo.setdefault(w, best_path(w, scores, min(16, longest))) for w in words)
+        words = split(text)
+        return len(words), sum(memo.setdefault(w, best_path(w, model)[1]) for w in words)
 
     assert sorted(map(repr, ((r.doc_id, r.n_pretokens, r.n_tokens) for r in got.collect()))) == sorted(map(repr, ((i, *tokens(t)) for i, t in texts)))
 
 
+def test_scores_are_trained_on_best_paths(spark):
+    """Each round against plain counting over single words, and the best paths become likelier."""
+    from collections import Counter
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    words, file = Counter(w for r in docs.collect() for w in split(r.text) if len(w) < 200), vocabulary("piece_bpe_32k.model")
+    pieces = token_counts.vocabulary_pieces(file)
+    docs = spark.createDataFrame([(" ".join([w] * n),) for w, n in words.items()], "text string")
+    model, before = token_counts.Unigram.of_counts(pieces, {}), -math.inf
+    for rounds in (1, 2):
+        counts, total = Counter(), 0.0
+        for w, n in words.items():
+            score, _, path = best_path(w, model)
+            total += n * score
+            for p in path:
+                counts[p] += n
+        assert total > before
+        model, before = token_counts.Unigram.of_counts(pieces, counts), total
+        got = token_counts.train(docs, file, rounds=rounds)
+        assert got.scores == model.scores and got.byte_score == model.byte_score
+
+
 def test_very_long_word_is_counted(spark):
-    counts = token_counts.trie_counts(["x" * 5000, "x" * 4999, "y"], *token_counts.piece_scores(registry.vocabulary("piece_bpe_32k.model")))
+    model = token_counts.Unigram.of_counts(token_counts.vocabulary_pieces(vocabulary("piece_bpe_32k.model")), {})
+    counts = token_counts.trie_counts(["x" * 5000, "x" * 4999, "y"], model)
     assert counts[0] >= counts[1] > counts[2] >= 1
 
 
 def test_words_encode_as_by_themselves():
-    file = registry.vocabulary("word_bpe_49k.json")
+    file = vocabulary("word_bpe_49k.json")
     tokenizer = token_ids.load_tokenizer(file)
     words = ["plain", "Caps.", "tail***", "it's", "'s", "s'", "don't.", "é́x", "İstanbul,", "ﬁn", "a1", "1a", "12", "ⅷ", "x²", "漢字", "漢字。", "ab-cd", "-ab", "ªº", "Ⅷ", "ŉ.", "ß", "ẞ!", "a" * 300, "ά", "ΑΣ", "ﷺ", "<|endoftext|>", "x<|endoftext|>", "ẞ", "á", "ॐ", "नि"]
     assert token_ids.encode_words(words, file) == [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
