@@ -93,28 +93,24 @@ def contaminated(
     hamming and similarity; one row for each document, item and window."""
     items = benchmark.select(F.col(item_col).alias("item_id"), words(whole_text(item_text)).alias("w")).where(F.size("w") > 0)
     items = items.select("item_id", F.size("w").alias("n"), shingles(F.col("w"), shingle).alias("runs"))
-    items = checkpointed(items.withColumn("fp", simhash(F.col("runs"))))
+    items = checkpointed(items.withColumn("fp", simhash(F.col("runs"))).withColumn("item", F.monotonically_increasing_id()))
     starts = items.select("n", F.posexplode("runs").alias("off", "run")).select(F.xxhash64("run").alias("h"), "n", "off").distinct()
     small = starts.count() <= broadcast_rows
 
     own = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("t"))
     own = own.select("doc_id", F.xxhash64("doc_id", "t").alias("doc_key"), words(F.col("t")).alias("w")).where(F.size("w") > 0)
     sizes = [r.k for r in items.select(F.least("n", F.lit(shingle)).alias("k")).distinct().collect()]  # at most ``shingle`` rows
-    found = None
-    for k in sorted(sizes):
-        hashes = F.transform(shingles(F.col("w"), k), lambda s: F.xxhash64(s))
-        same = starts.where(F.least("n", F.lit(shingle)) == k)
-        if small:
-            hits = own.select("doc_id", "doc_key", "w", F.posexplode(hashes).alias("pos", "h")).join(F.broadcast(same), "h")
-        else:  # only keys and places are shuffled by shingle; the words come back to the few hits
-            placed = own.select("doc_key", F.posexplode(hashes).alias("pos", "h")).join(same, "h")
-            hits = placed.select("doc_key", "pos", "off", "n").distinct().join(own, "doc_key")
-        start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("off"), F.size("w") - F.col("n")))
-        hits = hits.select("doc_id", "doc_key", "n", F.greatest(F.lit(0), start - drift).alias("at"), (start + F.col("n") + drift).alias("to"), "w")
-        hits = hits.select("doc_id", "doc_key", "n", "at", F.slice("w", F.col("at") + 1, F.col("to") - F.col("at")).alias("part"))
-        found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        found = own.select("doc_id", "doc_key", F.lit(0).alias("n"), F.lit(0).alias("at"), F.col("w").alias("part")).where("false")
+    # one pass for all sizes of shingles: a run of so many words equals none of another number
+    placed = lambda k: F.transform(shingles(F.col("w"), k), lambda s, i: F.struct(i.alias("pos"), F.xxhash64(s).alias("h")))
+    runs = F.explode(F.flatten(F.array(*[placed(k) for k in sorted(sizes)])) if sizes else placed(shingle)).alias("x")
+    if small:
+        hits = own.select("doc_id", "doc_key", "w", runs).select("doc_id", "doc_key", "w", "x.pos", "x.h").join(F.broadcast(starts), "h")
+    else:  # only keys and places are shuffled by shingle; the words come back to the few hits
+        at = own.select("doc_key", runs).select("doc_key", "x.pos", "x.h").join(starts, "h")
+        hits = at.select("doc_key", "pos", "off", "n").distinct().join(own, "doc_key")
+    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("off"), F.size("w") - F.col("n")))
+    hits = hits.select("doc_id", "doc_key", "n", F.greatest(F.lit(0), start - drift).alias("at"), (start + F.col("n") + drift).alias("to"), "w")
+    found = hits.select("doc_id", "doc_key", "n", "at", F.slice("w", F.col("at") + 1, F.col("to") - F.col("at")).alias("part"))
     # a part stands once for each of its shared shingles; its words follow from (doc_key, at, n)
     found = found.groupBy("doc_key", "at", "n").agg(F.first("doc_id").alias("doc_id"), F.first("part").alias("part"))
     found = found.select("*", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("part") - F.col("n")))).alias("by"))
@@ -122,13 +118,14 @@ def contaminated(
     found = found.withColumn("key", F.xxhash64("n", "runs")).groupBy("doc_key", "start", "n").agg(*[F.first(c).alias(c) for c in ("doc_id", "key", "runs")])
     found = checkpointed(found)
 
-    distinct = found.groupBy("key", "n").agg(F.first("runs").alias("runs")).withColumn("fp", simhash(F.col("runs")))
-    indexed = items.select("item_id", "n", F.col("fp").alias("item_fp"), F.col("runs").alias("item_runs"), blocks(F.col("fp"), radius).alias("b"))
-    near = distinct.select("key", "n", "fp", "runs", blocks(F.col("fp"), radius).alias("b")).join(indexed, ["n", "b"])
-    near = near.withColumn("hamming", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))).where(F.col("hamming") <= radius)
-    near = near.groupBy("key", "item_id").agg(F.first("n").alias("n"), F.first("hamming").alias("hamming"), F.first("runs").alias("runs"), F.first("item_runs").alias("item_runs"))
+    windows = checkpointed(found.groupBy("key", "n").agg(F.first("runs").alias("runs")).withColumn("fp", simhash(F.col("runs"))))
+    indexed = items.select("item", "n", F.col("fp").alias("item_fp"), blocks(F.col("fp"), radius).alias("b"))
+    # the index is joined by keys and fingerprints alone; shingles come to the pairs within the radius
+    near = windows.select("key", "n", "fp", blocks(F.col("fp"), radius).alias("b")).join(indexed, ["n", "b"])
+    near = near.select("key", "n", "item", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))).alias("hamming")).where(F.col("hamming") <= radius).distinct()
+    near = near.join(windows.select("key", "n", "runs"), ["key", "n"]).join(items.select("item", "item_id", F.col("runs").alias("item_runs")), "item")
     matched = near.withColumn("similarity", weighted_similarity(F.col("runs"), F.col("item_runs"))).where(F.col("similarity") >= similarity)
-    matched = matched.select("key", "n", "item_id", "hamming", "similarity")
+    matched = matched.groupBy("key", "n", "item_id").agg(F.min("hamming").alias("hamming"), F.max("similarity").alias("similarity"))
     return found.select("doc_id", "doc_key", "key", "start", "n").join(matched, ["key", "n"]).select("doc_id", "doc_key", "item_id", "start", F.col("n").alias("n_words"), "hamming", "similarity")
 
 
