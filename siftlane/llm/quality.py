@@ -158,30 +158,42 @@ KINDS = (("grams", "gram", "logp"), ("contexts", "context", "logw"))
 
 
 def written(made: Tables) -> str:
-    """The tables' place as one Parquet table (lang, kind, order, key, value) in the shared folder."""
-    spark = made.unseen.sparkSession
-    of = lambda kind, k, t, key, value: t.select("lang", F.lit(kind).alias("kind"), F.lit(k).alias("order"), F.col(key).alias("key"), F.col(value).alias("value"))
-    rows = of("unseen", 0, made.unseen.withColumn("key", F.lit(0).cast("long")), "key", "logp")
+    """The tables' place as one Parquet table (lang, part, key, value) in the shared folder; part is 0 for the unseen
+    character, else the order, and for contexts 10 more."""
+    of = lambda part, t, key, value: t.select("lang", F.lit(part).alias("part"), key.alias("key"), F.col(value).alias("value"))
+    rows = of(0, made.unseen, F.lit(0).cast("long"), "logp")
     for kind, key, value in KINDS:
         for k, t in getattr(made, kind).items():
-            rows = rows.unionByName(of(kind, k, t, key, value))
-    path = shared_path(spark, "quality")
-    rows.write.parquet(path)
+            rows = rows.unionByName(of(k + 10 * (kind == "contexts"), t, F.col(key), value))
+    path = shared_path(made.unseen.sparkSession, "quality")
+    rows.repartition(4).write.parquet(path)
     return path
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def read_tables(path: str) -> dict:
-    """Written tables as sorted arrays by language, kind and order; once for each worker."""
+    """Written tables as sorted arrays by language, kind and order; read once by each worker, some rows at a time."""
     store, root = fs.FileSystem.from_uri(path)
-    frame = pq.read_table(root, filesystem=store).to_pandas().sort_values("key", key=lambda x: x.to_numpy().view(np.uint64))
+    files = [f.path for f in store.get_file_info(fs.FileSelector(root)) if f.path.endswith(".parquet")]
+    held: dict[tuple, list] = {}
+    for file in files:
+        with store.open_input_file(file) as source:
+            for batch in pq.ParquetFile(source).iter_batches(1 << 17):
+                langs = batch["lang"].dictionary_encode()
+                keys, values = np.asarray(batch["key"]).view(np.uint64), np.asarray(batch["value"])
+                group = np.asarray(langs.indices, dtype=np.int64) * 100 + np.asarray(batch["part"])
+                for g in np.unique(group):
+                    own = group == g
+                    held.setdefault((langs.dictionary[int(g) // 100].as_py(), int(g) % 100), []).append((keys[own], values[own]))
     out: dict = {}
-    for (lang, kind, k), own in frame.groupby(["lang", "kind", "order"], sort=False):
+    for lang, part in list(held):
+        keys, values = (np.concatenate(x) for x in zip(*held.pop((lang, part))))
         here = out.setdefault(lang, {"unseen": 0.0, "grams": {}, "contexts": {}})
-        if kind == "unseen":
-            here["unseen"] = float(own["value"].iloc[0])
+        if not part:
+            here["unseen"] = float(values[0])
         else:
-            here[kind][k] = own["key"].to_numpy().view(np.uint64), own["value"].to_numpy()
+            order = np.argsort(keys)
+            here["contexts" if part > 10 else "grams"][part % 10] = keys[order], values[order]
     return out
 
 
