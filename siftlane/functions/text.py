@@ -15,12 +15,14 @@ from siftlane import dictionaries as D
 
 #: Words that stand for nothing, and patterns.
 NULL_WORDS = ("", "nan", "none", "null", "[]", "{}")
-EMAIL = r"(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}"
+# a run of a name's characters is tried once: at its first character, or where the match before it ended
+EMAIL = r"(?i)(?:\G|(?<![A-Z0-9._%+-]))[A-Z0-9._%+-]++@[A-Z0-9.-]+\.[A-Z]{2,}"
 EMAIL_WHOLE = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 PHONE = r"\+?\d[\d\s\-()]{6,}\d"
 LINK = r"""(?i)https?://[^\s)\]"'>]+"""
 BARE_LINK = r"""(?i)\bwww\.[^\s)\]"'>]+"""
 MAIL_WORDS = (("[at]", "@"), ("(at)", "@"), (" at ", "@"), ("[dot]", "."), ("(dot)", "."), (" dot ", "."))
+MAIL_SIGN = r"(?i)[\[(]at[\])]| at "
 ACCENTS = ("áàâãäåéèêëíìîïóòôõöúùûüýÿñçşğıİšžčćđ", "aaaaaaeeeeiiiiooooouuuuyyncsgiiszccd")
 TRUE_WORDS = ("true", "1", "yes", "evet")
 
@@ -155,7 +157,9 @@ def emails(c: str | Column) -> Column:
     for a, b in MAIL_WORDS:
         plain = F.replace(plain, F.lit(a), F.lit(b))
     every = lambda x: F.regexp_extract_all(x, F.lit(EMAIL), F.lit(0))
-    return sorted_distinct(F.concat(every(t), every(plain)))
+    # most texts have neither the sign nor a word for it, and are only looked through for these
+    some = F.when(t.contains("@") | t.rlike(MAIL_SIGN), sorted_distinct(F.concat(every(t), every(plain))))
+    return F.coalesce(some, F.array().cast("array<string>"))
 
 
 def clean_email(c: str | Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from siftlane import dictionaries as D
 from siftlane.functions.text import clean, clean_email, contains_any, first_word, let, low, normalize_country, squeezed, text_of
 from siftlane.functions.web import blocked, host
+from siftlane.functions.words import Words, words_of_columns
 from siftlane.operators.rules import Rule, banded, first_reason, reasons
 
 #: The patterns of the name gates.
@@ -197,19 +198,21 @@ def entity_gate(leads: DataFrame) -> DataFrame:
     score = score + F.when(source.isin(*D.GATE_HIGH_SOURCES), 2).when(source.isin(*D.GATE_MEDIUM_SOURCES) & (site | proof), 1).otherwise(0)
     score = score + site.cast("int") + proof.cast("int")
     out = leads.withColumn("gate_reason", first_reason(gate_rules(company, col_or_empty(leads, "source_url")))).withColumn("entity_score", score)
-    out = out.withColumn("is_parts_supplier", is_parts_supplier(company, text_of("context")))
+    parts = Words(words_of_columns(leads, ("context",), D.GATE_PARTS_SIGNALS)).any(D.GATE_PARTS_SIGNALS)
+    out = out.withColumn("is_parts_supplier", F.lower(company).rlike(PARTS_SUPPLIER) | parts)
     grade = banded(F.col("entity_score"), [(4, "A"), (2, "B")], "C")
     return out.withColumn("entity_grade", F.when(F.col("gate_reason").isNotNull(), "REJECT").when(F.col("is_parts_supplier"), "C").otherwise(grade))
 
 
 def entity_type(leads: DataFrame) -> DataFrame:
     """leads with entity_type (associations first, then intermediaries, end users, brands), should_process and entity_priority."""
-    work = leads.withColumn("__t", F.lower(F.concat_ws(" ", text_of("company"), text_of("context"), col_or_empty(leads, "website_content"))))
-    t = F.col("__t")
-    kind = F.when(contains_any(t, D.ENTITY_ASSOCIATION), "association").when(contains_any(t, D.ENTITY_INTERMEDIARY), "intermediary")
-    kind = kind.when(contains_any(t, D.ENTITY_END_USER), "end_user").when(contains_any(t, D.ENTITY_BRAND), "brand").otherwise("unknown")
+    groups = (D.ENTITY_ASSOCIATION, D.ENTITY_INTERMEDIARY, D.ENTITY_END_USER, D.ENTITY_BRAND)
+    work = leads.withColumn("__m", words_of_columns(leads, ("company", "context", "website_content"), *groups))
+    m = Words(F.col("__m"))
+    kind = F.when(m.any(D.ENTITY_ASSOCIATION), "association").when(m.any(D.ENTITY_INTERMEDIARY), "intermediary")
+    kind = kind.when(m.any(D.ENTITY_END_USER), "end_user").when(m.any(D.ENTITY_BRAND), "brand").otherwise("unknown")
     table = F.create_map(*[F.lit(x) for kv in ENTITY_PRIORITY.items() for x in kv])
-    out = work.withColumn("entity_type", kind).drop("__t")
+    out = work.withColumn("entity_type", kind).drop("__m")
     return out.withColumn("should_process", ~F.col("entity_type").isin("association", "intermediary")).withColumn("entity_priority", table[F.col("entity_type")])
 
 

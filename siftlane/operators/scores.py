@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftlane import dictionaries as D
-from siftlane.functions.text import contains_any, first_word, fold_accents, found, hits, let, low, near, proportional, text_of
+from siftlane.functions.text import contains_any, first_word, fold_accents, let, low, near, text_of
+from siftlane.functions.words import Words, scanned, words_of_columns
 from siftlane.operators.gates import col_or_empty, has_value
 from siftlane.operators.rules import banded
 
@@ -20,6 +21,7 @@ PROFILE_LARGE, PROFILE_MEDIUM = ("500", "1000", "group", "holding", "large"), ("
 SIGNAL_EXPANSION = ("expansion", "genişleme", "new plant", "yeni tesis")
 SIGNAL_MODERN = ("modernization", "retrofit", "yenileme")
 SIGNAL_INVEST = ("investment", "yatırım")
+CARE = ("maintenance", "bakım")
 TRIGGER_FACILITY = (
     "yeni tesis", "yeni fabrika", "kapasite artışı", "genişleme", "modernizasyon", "yatırım", "new plant", "new facility", "capacity expansion",
     "expansion", "modernization", "investment", "upgrade", "retrofit", "nova fábrica", "expansão", "investimento", "nueva planta", "expansión", "inversión",
@@ -52,17 +54,18 @@ def joined(*columns: Column) -> Column:
 
 def evidence_layers(leads: DataFrame) -> DataFrame:
     """Three layers of evidence: e1, e2, e3, sce_score, sce_ready, sce_confidence, and the first five words of each layer."""
-    work = leads.withColumn("__t", joined(text_of("company"), text_of("context"), col_or_empty(leads, "website_content"), col_or_empty(leads, "source_name")))
-    t = F.col("__t")
-    cut = F.when(contains_any(t, D.SCE_SUPPLIER), 0.3).otherwise(1.0)
-    layer = lambda words, weight: F.least(F.lit(1.0), hits(t, words) * weight) * F.col("__cut")
+    columns = ("company", "context", "website_content", "source_name")
+    work = leads.withColumn("__m", words_of_columns(leads, columns, D.SCE_SUPPLIER, D.SCE_E1, D.SCE_E2, D.SCE_E3))
+    m = Words(F.col("__m"))
+    cut = F.when(m.any(D.SCE_SUPPLIER), 0.3).otherwise(1.0)
+    layer = lambda words, weight: F.least(F.lit(1.0), m.hits(words) * weight) * F.col("__cut")
     out = work.withColumn("__cut", cut).withColumn("__e1", layer(D.SCE_E1, 0.4)).withColumn("__e2", layer(D.SCE_E2, 0.25)).withColumn("__e3", layer(D.SCE_E3, 0.2))
     e1, e2, e3 = F.col("__e1"), F.col("__e2"), F.col("__e3")
     out = out.withColumn("__total", F.greatest(e1, e2 * 0.6 + e3 * 0.4, e1 * 0.5 + e2 * 0.3 + e3 * 0.2))
     total = F.col("__total")
     ready = ((e1 >= 0.4) | ((e2 >= 0.4) & (e3 >= 0.3)) | (total >= 0.5)) & (F.col("__cut") == 1.0)
     confidence = F.when((e1 >= 0.6) | (total >= 0.7), "high").when((e1 >= 0.3) | (total >= 0.4), "medium").otherwise("low")
-    named = [F.slice(found(t, w), 1, 5).alias(f"e{i}_words") for i, w in ((1, D.SCE_E1), (2, D.SCE_E2), (3, D.SCE_E3))]
+    named = [F.slice(m.found(w), 1, 5).alias(f"e{i}_words") for i, w in ((1, D.SCE_E1), (2, D.SCE_E2), (3, D.SCE_E3))]
     new = [F.round(F.col(f"__{c}"), 3).alias(n) for c, n in (("e1", "e1"), ("e2", "e2"), ("e3", "e3"), ("total", "sce_score"))]
     return out.select(*leads.columns, *new, ready.alias("sce_ready"), confidence.alias("sce_confidence"), *named)
 
@@ -70,11 +73,14 @@ def evidence_layers(leads: DataFrame) -> DataFrame:
 def heuristic(leads: DataFrame, url: str = "website") -> DataFrame:
     """Keyword score of a text: heuristic_score (may be negative), is_lead, heuristic_confidence."""
     address = col_or_empty(leads, url)
-    work, t = leads.withColumn("__t", joined(text_of("company"), text_of("context"), address)), F.col("__t")
-    score = F.least(F.lit(40), hits(t, D.HEURISTIC_POSITIVE) * 10) + F.when(near(t, NEAR_MACHINES, NEAR_PARTS), 20).otherwise(0)
-    score = score + F.when(contains_any(t, FACILITY), 15).otherwise(0) - hits(t, D.HEURISTIC_NEGATIVE) * 20
+    work = leads.withColumn("__m", words_of_columns(leads, ("company", "context", url), D.HEURISTIC_POSITIVE, NEAR_MACHINES, NEAR_PARTS, FACILITY, D.HEURISTIC_NEGATIVE))
+    m, t = Words(F.col("__m")), joined(text_of("company"), text_of("context"), address)
+    # the pattern of distances is only tried where both sides have a word
+    close = F.when(m.any(NEAR_MACHINES) & m.any(NEAR_PARTS), let(t, lambda t: near(t, NEAR_MACHINES, NEAR_PARTS))).otherwise(F.lit(False))
+    score = F.least(F.lit(40), m.hits(D.HEURISTIC_POSITIVE) * 10) + F.when(close, 20).otherwise(0)
+    score = score + F.when(m.any(FACILITY), 15).otherwise(0) - m.hits(D.HEURISTIC_NEGATIVE) * 20
     score = score - F.when(address.contains("linkedin.com/in/") & ~address.contains("linkedin.com/company"), 30).otherwise(0)
-    out = work.withColumn("heuristic_score", score).drop("__t")
+    out = work.withColumn("heuristic_score", score).drop("__m")
     return out.withColumn("is_lead", F.col("heuristic_score") >= 25).withColumn("heuristic_confidence", banded(F.col("heuristic_score"), [(60, "high"), (30, "medium")], "low"))
 
 
@@ -96,32 +102,36 @@ def composite(
 ) -> DataFrame:
     """fit, capacity, import and reach scores, product and brand bonuses, and score (150 at most).
 
-    priority: (country, value), one row for each country; it is broadcast, as countries are few and fixed.
+    priority: (country, value); of several rows of a country the greatest value counts.
     """
+    capacity_words, product_words, brand_words = tuple(capacity_words), tuple(product_words), tuple(brand_words)
     top = priority.agg(F.max("value")).scalar()
-    known = priority.select(F.lower("country").alias("__country"), F.col("value").alias("__value"))
+    known = priority.where("country is not null").groupBy(F.lower(F.trim("country")).alias("__country")).agg(F.max("value").alias("__value"))
     out = heuristic(leads).withColumn("__country", F.lower(F.trim(text_of("country"))))
-    out = out.join(F.broadcast(known), "__country", "left")
-    out, t = out.withColumn("__t", joined(text_of("context"), text_of("company"), col_or_empty(leads, "source_name"))), F.col("__t")
+    out = out.join(known, "__country", "left")
+    out = out.withColumn("__m", words_of_columns(leads, ("context", "company", "source_name"), capacity_words, product_words, brand_words))
+    m = Words(F.col("__m"))
     out = out.withColumn("fit_score", F.greatest(F.lit(0), F.least(F.lit(40), F.col("heuristic_score"))).cast("double"))
-    out = out.withColumn("capacity_score", proportional(t, capacity_words, 20))
+    out = out.withColumn("capacity_score", F.least(F.lit(20.0), m.hits(capacity_words) * F.lit(20 / max(1, len(capacity_words)))))
     out = out.withColumn("import_score", F.when(top > 0, F.least(F.lit(20.0), F.coalesce(F.col("__value"), F.lit(0.0)) / top * 20)).otherwise(0.0))
     out = out.withColumn("reach_score", reachability(leads).cast("double"))
-    out = out.withColumn("product_bonus", F.least(F.lit(15), hits(t, product_words) * 3)).withColumn("brand_bonus", F.least(F.lit(20), hits(t, brand_words) * 5))
+    out = out.withColumn("product_bonus", F.least(F.lit(15), m.hits(product_words) * 3)).withColumn("brand_bonus", F.least(F.lit(20), m.hits(brand_words) * 5))
     base = sum((F.col(c) * w for c, w in zip(("fit_score", "capacity_score", "import_score", "reach_score"), weights)), F.lit(0.0))
     rival = F.least(F.lit(35), F.when(has_value("competitor_reference"), 25).otherwise(0)) if "competitor_reference" in leads.columns else F.lit(0)
     score = F.least(F.lit(150.0), F.least(F.lit(100.0), base * 2.5) + F.col("product_bonus") + F.col("brand_bonus") + rival)
-    return out.withColumn("score", score).drop("__country", "__value", "__t")
+    return out.withColumn("score", score).drop("__country", "__value", "__m")
 
 
 def hundred_points(leads: DataFrame, *, grades: tuple[float, float, float] = (80, 65, 50), bonuses: tuple[int, int, int, int] = (10, 5, 5, 5)) -> DataFrame:
     """The 100-point model: activity, machines, profile, signals and bonuses; disqualified leads have 0 and grade X."""
-    columns, names = leads.columns, ("__c", "__x", "__s", "__t")
-    leads = leads.withColumns({"__c": low("company"), "__x": low("context"), "__s": low("source_type")}).withColumn("__t", F.concat_ws(" ", "__x", "__c"))
-    company, context, source, text = map(F.col, names)
+    columns, names = leads.columns, ("__x", "__c", "__m", "__f", "__s")
+    small, both = (PROFILE_LARGE, PROFILE_MEDIUM, SIGNAL_EXPANSION, SIGNAL_MODERN, SIGNAL_INVEST, D.V10_NEGATIVE), (D.V10_TIER1, D.V10_TIER2, CARE)
+    of = {"__x": words_of_columns(leads, ("context",), *small), "__c": words_of_columns(leads, ("company",), D.V10_NEGATIVE), "__m": words_of_columns(leads, ("context", "company"), *both)}
+    leads = leads.withColumns(of | {"__f": words_of_columns(leads, ("context", "company", "segment"), D.V10_FINISHING), "__s": low("source_type")})
+    context, text, whole, source = Words(F.col("__x")), Words(F.col("__m")), Words(F.col("__f")), F.col("__s")
     flag = lambda c: F.coalesce(F.col(c).cast("boolean"), F.lit(False)) if c in leads.columns else F.lit(False)
     listed = lambda c: F.coalesce(F.col(c), F.array().cast("array<string>")) if c in leads.columns else F.array().cast("array<string>")
-    negative = let(F.concat_ws("\n", context, company), lambda t: first_word(t, D.V10_NEGATIVE))
+    negative = Words(F.array_union("__x", "__c")).first(D.V10_NEGATIVE)
     reason = F.coalesce(
         F.when(flag("is_machinery_supplier"), "Machinery supplier"),
         F.when(flag("is_parts_supplier"), "Spare parts supplier"),
@@ -129,20 +139,20 @@ def hundred_points(leads: DataFrame, *, grades: tuple[float, float, float] = (80
         F.when(F.lower(col_or_empty(leads, "entity_type")).isin("supplier", "distributor", "trader", "agent"), F.concat(F.lit("Entity type: "), F.lower(col_or_empty(leads, "entity_type")))),
         F.concat(F.lit("Negative signal: "), negative),
     )
-    evidence = let(F.concat_ws(" ", text, F.lower(col_or_empty(leads, "segment"))), lambda t: hits(t, D.V10_FINISHING)) + flag("has_finishing_context").cast("int") + F.least(F.lit(5), F.size(listed("finishing_signals")))
+    evidence = whole.hits(D.V10_FINISHING) + flag("has_finishing_context").cast("int") + F.least(F.lit(5), F.size(listed("finishing_signals")))
     role = F.lower(col_or_empty(leads, "role")).isin("end_user", "customer", "manufacturer")
     activity = F.when(evidence >= 3, 30).when(evidence >= 2, 25).when(evidence >= 1, 15).when(role, 10).otherwise(5)
     brands = F.transform(listed("oem_brands"), F.lower)
-    count = lambda words: sum(((text.contains(w) | F.array_contains(brands, w)).cast("int") for w in words), F.lit(0))
+    count = lambda words: F.size(F.array_union(text.found(words), F.array_intersect(F.array(*map(F.lit, words)), brands)))
     one, two = count(D.V10_TIER1), count(D.V10_TIER2)
-    care = (F.size(listed("oem_signals")) > 0) | text.contains("maintenance") | text.contains("bakım")
+    care = (F.size(listed("oem_signals")) > 0) | text.any(CARE)
     machine = F.when((one >= 2) | ((one >= 1) & care), 25).when(one >= 1, 20).when(two >= 1, 12).when(flag("has_finishing_context"), 8).otherwise(0)
     paper = F.lower(col_or_empty(leads, "certification"))
     certificates = sum(((source.contains(a) | paper.contains(b)).cast("int") for a, b in (("gots", "gots"), ("oekotex", "oeko"), ("bettercotton", "bci"))), F.lit(0)) + flag("is_premium_fiber").cast("int")
-    large = contains_any(context, PROFILE_LARGE)
-    profile = F.when((certificates >= 2) | ((certificates >= 1) & large), 25).when(certificates >= 1, 20).when(large, 15).when(contains_any(context, PROFILE_MEDIUM), 12).otherwise(8)
+    large = context.any(PROFILE_LARGE)
+    profile = F.when((certificates >= 2) | ((certificates >= 1) & large), 25).when(certificates >= 1, 20).when(large, 15).when(context.any(PROFILE_MEDIUM), 12).otherwise(8)
     urgent = has_value("urgency_signal").cast("int") if "urgency_signal" in leads.columns else F.lit(0)
-    signs = [source.contains("fair"), source.contains("job"), source.contains("trade") | source.contains("import"), contains_any(context, SIGNAL_EXPANSION), contains_any(context, SIGNAL_MODERN), contains_any(context, SIGNAL_INVEST), flag("has_recent_investment")]
+    signs = [source.contains("fair"), source.contains("job"), source.contains("trade") | source.contains("import"), context.any(SIGNAL_EXPANSION), context.any(SIGNAL_MODERN), context.any(SIGNAL_INVEST), flag("has_recent_investment")]
     signals = sum((s.cast("int") for s in signs), urgent)
     signal = F.when(signals >= 3, 20).when(signals >= 2, 15).when(signals >= 1, 10).otherwise(6)
     brand = F.lower(col_or_empty(leads, "oem_brand"))
@@ -162,11 +172,13 @@ def role(leads: DataFrame) -> DataFrame:
 
     The score is held in hundredths, so sums are exact and the limits are met as they are written.
     """
-    work, t = leads.withColumn("__t", joined(text_of("company"), text_of("context"), col_or_empty(leads, "website"))), F.col("__t")
+    groups = (D.ROLE_STRONG_CUSTOMER, D.ROLE_STRONG_INTERMEDIARY, D.ROLE_CUSTOMER, D.ROLE_INTERMEDIARY, D.ROLE_BRAND)
+    work = leads.withColumn("__m", words_of_columns(leads, ("company", "context", "website"), *groups))
+    hits = Words(F.col("__m")).hits
     weights = F.create_map(*[F.lit(x) for k, v in D.ROLE_SOURCE_WEIGHTS.items() for x in (k, float(v))])
     source = F.coalesce(F.try_element_at(weights, low("source_type")), F.lit(0.3))
-    score = hits(t, D.ROLE_STRONG_CUSTOMER) * 30 - hits(t, D.ROLE_STRONG_INTERMEDIARY) * 40 + hits(t, D.ROLE_CUSTOMER) * 10 - hits(t, D.ROLE_INTERMEDIARY) * 15
-    both = F.struct((score + F.round((source - 0.5) * 50)).alias("s"), (hits(t, D.ROLE_BRAND) * 20).alias("b"))
+    score = hits(D.ROLE_STRONG_CUSTOMER) * 30 - hits(D.ROLE_STRONG_INTERMEDIARY) * 40 + hits(D.ROLE_CUSTOMER) * 10 - hits(D.ROLE_INTERMEDIARY) * 15
+    both = F.struct((score + F.round((source - 0.5) * 50)).alias("s"), (hits(D.ROLE_BRAND) * 20).alias("b"))
 
     def decided(x: Column) -> Column:
         kind = F.when((x["b"] >= 40) & (x["s"] < 30), "BRAND").when(x["s"] >= 30, "CUSTOMER").when(x["s"] <= -20, "INTERMEDIARY").otherwise("UNKNOWN")
@@ -175,17 +187,19 @@ def role(leads: DataFrame) -> DataFrame:
 
     # the sums are bound once, so that a filter on the role that is pushed down doesn't repeat them
     out = work.withColumn("__r", let(both, decided))
-    return out.withColumns({"role": F.col("__r.role"), "role_score": F.col("__r.score"), "role_confidence": F.col("__r.confidence")}).drop("__r", "__t")
+    return out.withColumns({"role": F.col("__r.role"), "role_score": F.col("__r.score"), "role_confidence": F.col("__r.confidence")}).drop("__r", "__m")
 
 
 def qualification(leads: DataFrame) -> DataFrame:
     """qualification_score (0 to 100) and is_qualified: a source, one word of each group, the disqualifying words, the country."""
-    work, t = leads.withColumn("__t", joined(text_of("company"), text_of("context"))), F.col("__t")
-    some = lambda words, points: F.when(contains_any(t, words), points).otherwise(0)
+    groups = (D.QUALIFY_OEM_BRANDS, D.QUALIFY_MACHINERY, D.QUALIFY_OPERATIONS, D.QUALIFY_PRODUCT_CATEGORIES, D.QUALIFY_NOT)
+    work = leads.withColumn("__m", words_of_columns(leads, ("company", "context"), *groups))
+    m = Words(F.col("__m"))
+    some = lambda words, points: F.when(m.any(words), points).otherwise(0)
     score = F.when(low("source_type").isin(*D.QUALIFY_SOURCES), 60).otherwise(0)
     score = score + some(D.QUALIFY_OEM_BRANDS, 25) + some(D.QUALIFY_MACHINERY, 20) + some(D.QUALIFY_OPERATIONS, 15) + some(D.QUALIFY_PRODUCT_CATEGORIES, 10)
-    score = score - hits(t, D.QUALIFY_NOT) * 30 + F.when(contains_any(low("country"), D.QUALIFY_COUNTRIES), 10).otherwise(0)
-    out = work.withColumn("qualification_score", F.greatest(F.lit(0), F.least(F.lit(100), score))).drop("__t")
+    score = score - m.hits(D.QUALIFY_NOT) * 30 + F.when(contains_any(low("country"), D.QUALIFY_COUNTRIES), 10).otherwise(0)
+    out = work.withColumn("qualification_score", F.greatest(F.lit(0), F.least(F.lit(100), score))).drop("__m")
     return out.withColumn("is_qualified", F.col("qualification_score") >= 50)
 
 
@@ -204,20 +218,21 @@ def signals(leads: DataFrame) -> DataFrame:
 
 def triggers(leads: DataFrame, now: str = "2024-02-01 00:00:00") -> DataFrame:
     """Events that call for action: triggers (type, priority, bonus, action), trigger_count, trigger_bonus, trigger_priority, trigger_actions."""
-    work, t, source = leads.withColumn("__t", joined(text_of("company"), text_of("context"))), F.col("__t"), low("source_type")
+    work, source = leads.withColumn("__m", words_of_columns(leads, ("company", "context"), TRIGGER_FACILITY, TRIGGER_FAIR, TRIGGER_JOB)), low("source_type")
+    m = Words(F.col("__m"))
     volume = F.coalesce(F.col("import_volume_tons"), F.lit(0.0)) >= 20 if "import_volume_tons" in leads.columns else F.lit(False)
     recent = F.coalesce(F.col("last_updated") > F.lit(now).cast("timestamp") - F.expr("INTERVAL 90 DAYS"), F.lit(False)) if "last_updated" in leads.columns else F.lit(False)
     changed = F.coalesce(F.col("website_changed").cast("boolean"), F.lit(False)) if "website_changed" in leads.columns else F.lit(False)
     when = {
         "large_import": volume,
-        "new_facility": contains_any(t, TRIGGER_FACILITY),
-        "fair_participation": source.contains("fair") | source.contains("exhibitor") | contains_any(t, TRIGGER_FAIR),
-        "job_posting": contains_any(t, TRIGGER_JOB),
+        "new_facility": m.any(TRIGGER_FACILITY),
+        "fair_participation": source.contains("fair") | source.contains("exhibitor") | m.any(TRIGGER_FAIR),
+        "job_posting": m.any(TRIGGER_JOB),
         "association_update": contains_any(source, ("gots", "bci", "oekotex", "association")) & recent,
         "website_change": changed,
     }
     made = [F.when(when[k], F.struct(F.lit(k).alias("type"), F.lit(p).alias("priority"), F.lit(b).alias("bonus"), F.lit(a).alias("action"))) for k, (p, b, a) in TRIGGERS.items()]
-    out = work.withColumn("triggers", F.array_compact(F.array(*made))).drop("__t")
+    out = work.withColumn("triggers", F.array_compact(F.array(*made))).drop("__m")
     out = out.withColumn("trigger_count", F.size("triggers")).withColumn("trigger_bonus", F.aggregate("triggers", F.lit(0), lambda acc, x: acc + x["bonus"]))
     high = F.exists("triggers", lambda x: x["priority"] == "high")
     return out.withColumn("trigger_priority", F.when(high, "high").when(F.col("trigger_count") > 0, "medium")).withColumn("trigger_actions", F.array_sort(F.array_distinct(F.transform("triggers", lambda x: x["action"]))))
@@ -225,10 +240,11 @@ def triggers(leads: DataFrame, now: str = "2024-02-01 00:00:00") -> DataFrame:
 
 def hs_codes(leads: DataFrame) -> DataFrame:
     """hs_primary, hs_secondary, hs_reason and hs_words of the first rule one of whose words stands in the text."""
-    work, t = leads.withColumn("__t", joined(text_of("context"), text_of("company"))), F.col("__t")
-    pick = lambda i: [F.when(contains_any(t, r[0]), r[i]) for r in HS_RULES]
-    words = F.coalesce(*[F.when(contains_any(t, r[0]), found(t, r[0])) for r in HS_RULES], F.array().cast("array<string>"))
-    return work.withColumn("hs_primary", F.coalesce(*pick(1), F.lit(HS_DEFAULT[0]))).withColumn("hs_secondary", F.coalesce(*pick(2), F.lit(HS_DEFAULT[1]))).withColumn("hs_reason", F.coalesce(*pick(3), F.lit(HS_DEFAULT[2]))).withColumn("hs_words", words).drop("__t")
+    work = leads.withColumn("__m", words_of_columns(leads, ("context", "company"), *[r[0] for r in HS_RULES]))
+    m = Words(F.col("__m"))
+    pick = lambda i: [F.when(m.any(r[0]), r[i]) for r in HS_RULES]
+    words = F.coalesce(*[F.when(m.any(r[0]), m.found(r[0])) for r in HS_RULES], F.array().cast("array<string>"))
+    return work.withColumn("hs_primary", F.coalesce(*pick(1), F.lit(HS_DEFAULT[0]))).withColumn("hs_secondary", F.coalesce(*pick(2), F.lit(HS_DEFAULT[1]))).withColumn("hs_reason", F.coalesce(*pick(3), F.lit(HS_DEFAULT[2]))).withColumn("hs_words", words).drop("__m")
 
 
 def email_points(mail: Column) -> Column:
@@ -272,3 +288,18 @@ def evidence_counts(leads: DataFrame, sources: Iterable[str] = ("oekotex", "gots
     """k1_count (a source that vouches for the lead) and k2_count (signals on its own site); derived anew each time."""
     k2 = (F.size("signals") > 0).cast("int") if "signals" in leads.columns else F.lit(0)
     return leads.withColumn("k1_count", low("source_type").isin(*sources).cast("int")).withColumn("k2_count", k2)
+
+
+#: The dictionaries that the models of one lead pipeline look for in companies and contexts.
+SCAN_WORDS = (
+    D.SCE_SUPPLIER, D.SCE_E1, D.SCE_E2, D.SCE_E3, D.HEURISTIC_POSITIVE, NEAR_MACHINES, NEAR_PARTS, FACILITY, D.HEURISTIC_NEGATIVE, D.SIGNAL_FACILITY, D.SIGNAL_PARTS, D.GATE_OEM,
+    PROFILE_LARGE, PROFILE_MEDIUM, SIGNAL_EXPANSION, SIGNAL_MODERN, SIGNAL_INVEST, CARE, D.V10_NEGATIVE, D.V10_FINISHING, D.V10_TIER1, D.V10_TIER2, D.ROLE_STRONG_CUSTOMER,
+    D.ROLE_STRONG_INTERMEDIARY, D.ROLE_CUSTOMER, D.ROLE_INTERMEDIARY, D.ROLE_BRAND, D.QUALIFY_OEM_BRANDS, D.QUALIFY_MACHINERY, D.QUALIFY_OPERATIONS, D.QUALIFY_PRODUCT_CATEGORIES,
+    D.QUALIFY_NOT, TRIGGER_FACILITY, TRIGGER_FAIR, TRIGGER_JOB, *[r[0] for r in HS_RULES], D.ENTITY_ASSOCIATION, D.ENTITY_INTERMEDIARY, D.ENTITY_END_USER, D.ENTITY_BRAND, D.GATE_PARTS_SIGNALS,
+)
+
+
+def scan(leads: DataFrame) -> DataFrame:
+    """leads with what all the models look for in company and context, found by one pass (columns scan_company, scan_context).
+    Whoever changes company or context afterwards must drop them."""
+    return scanned(leads, ("company", "context"), {w for d in SCAN_WORDS for w in d})

@@ -156,7 +156,7 @@ def lead_pipeline(spark, sf):
     """Raw leads to ranked and tiered ones: sanitised, cleaned, gated, classified, scored; in one lazy plan."""
     own = gates.sanitise(leads(spark, sf, contacts=True))
     kept, _ = rules.split(gates.clean_dataset(own))
-    graded = gates.entity_type(gates.entity_gate(kept))
+    graded = gates.entity_type(gates.entity_gate(scores.scan(kept)))
     scored = scores.hundred_points(scores.role(scores.evidence_layers(scores.signals(graded))))
     scored = scores.final_score(scores.evidence_counts(scores.contactability(scored)).withColumn("oem_brand", F.lit("")))
     return scored.select("_ord", "company", "country", "entity_grade", "entity_type", "role", "sce_score", "signal_confidence", "v10_score", "v10_grade", "contactability_score", "final_score", "tier")
