@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftlane import dictionaries as D
-from siftlane.functions.text import clean, clean_email, contains_any, first_word, let, low, normalize_country, squeezed, text_of
+from siftlane.functions.text import clean, contains_any, first_word, let, low, normalize_country, squeezed, text_of
 from siftlane.functions.web import blocked, host
 from siftlane.functions.words import Words, words_of_columns
 from siftlane.operators.rules import Rule, banded, first_reason, reasons
@@ -83,21 +83,64 @@ def sanitise(leads: DataFrame) -> DataFrame:
     return leads.withColumn("company", squeezed(text_of("company"))).where("company != ''").withColumn("country", country)
 
 
+#: Names that are page furniture, generic names, signs of addresses, and other names of countries, in lead contracts.
+CONTRACT_NOISE = (
+    "view basket", "new expertise", "energy", "yarn", "clients", "home_", "istanbul event", "sign in", "menu", "header", "footer", "nav", "cookie", "privacy policy", "terms", "about us",
+    "contact us", "read more", "learn more", "click here", "subscribe", "newsletter", "section", "slide", "tab", "button", "link", "loading", "please wait", "error", "404", "403",
+    "search results", "no results", "empty", "undefined", "null", "textile world", "textile machinery", "textile industry", "view all", "see more", "show more", "load more",
+)
+CONTRACT_GENERIC = ("textile", "textiles", "fabric", "fabrics", "yarn", "energy", "machine", "machines", "equipment", "parts")
+CONTRACT_URL = r"(?i)https?://|www\.|\.com|\.org|\.net|\.edu|\.gov"
+CONTRACT_EMAIL = r"@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+CONTRACT_COUNTRIES = {
+    "türkiye": "Turkey", "turkiye": "Turkey", "brasil": "Brazil", "brezilya": "Brazil", "mısır": "Egypt", "misir": "Egypt", "fas": "Morocco", "tunus": "Tunisia", "hindistan": "India",
+    "çin": "China", "bangladeş": "Bangladesh", "arjantin": "Argentina", "kolombiya": "Colombia", "şili": "Chile", "ekvador": "Ecuador", "meksika": "Mexico",
+}
+CERTIFICATE_SITE = "oeko-tex.com"
+
+
+def stripped(c: str) -> Column:
+    return F.regexp_replace(text_of(c), r"^\s+|\s+$", "")
+
+
 def contract_errors(leads: DataFrame) -> DataFrame:
-    """leads with errors: what a lead's company, country, website and e-mails have wrong, in this order."""
-    company, country, website = squeezed(text_of("company")), F.trim(text_of("country")), F.trim(text_of("website"))
-    rules: list[Rule] = [
-        (is_noise(company), "company_noise"),
+    """leads with errors: what company, country and website have wrong, in this order, one error for each at most."""
+    company, country, website = stripped("company"), stripped("country"), stripped("website")
+    name = F.lower(company)
+    of_company: list[Rule] = [
+        (company == "", "company_empty"),
+        (name.isin(*CONTRACT_NOISE) | name.rlike(r"^page \d$"), "company_noise"),
         (F.length(company) < 3, "company_short"),
-        (company.rlike(r"(?i)^(https?://|www\.)"), "company_url"),
-        (company.contains("@"), "company_email"),
-        (country.rlike(URL_LIKE), "country_url"),
-        (country.contains("@"), "country_email"),
-        (website.contains("@"), "website_email"),
-        (has_value(website) & ~website.contains("."), "website_invalid"),
+        (name.isin(*CONTRACT_GENERIC), "company_generic"),
+        (company.rlike(CONTRACT_URL), "company_url"),
+        (company.rlike(CONTRACT_EMAIL), "company_email"),
     ]
-    bad_mail = F.exists("emails", lambda e: clean_email(e).isNull()) if "emails" in leads.columns else F.lit(False)
-    return leads.withColumn("errors", reasons([*rules, (bad_mail, "emails_invalid")]))
+    of_country: list[Rule] = [(country.rlike(CONTRACT_URL), "country_url"), (country.rlike(CONTRACT_EMAIL), "country_email")]
+    of_website: list[Rule] = [(website.contains("@") & ~website.startswith("http"), "website_email")]
+    return leads.withColumn("errors", F.array_compact(F.array(*map(first_reason, (of_company, of_country, of_website)))))
+
+
+def contract(leads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid, invalid). Invalid leads stay as they are, with their errors.
+
+    Of valid ones the company is stripped, another name of a country becomes its own and an empty one null; a website
+    without a scheme gets one and what is no address becomes null; e-mails that are none are left out; a certificate
+    site's page moves to source_url (where that is empty), as it isn't the lead's website."""
+    checked = contract_errors(leads)
+    country, website = stripped("country"), stripped("website")
+    table = F.create_map(*[F.lit(x) for kv in CONTRACT_COUNTRIES.items() for x in kv])
+    site = F.when(website.startswith("http") | website.startswith("www."), website).when(website.contains(".") & ~website.contains("@"), F.concat(F.lit("https://"), website))
+    certified = F.coalesce(site.contains(CERTIFICATE_SITE), F.lit(False))
+    new = {
+        "company": stripped("company"),
+        "country": F.when(country != "", F.coalesce(F.try_element_at(table, F.lower(country)), country)),
+        "website": F.when(~certified, site),
+        "source_url": F.when(certified & (col_or_empty(leads, "source_url") == ""), site).otherwise(F.col("source_url") if "source_url" in leads.columns else F.lit(None).cast("string")),
+    }
+    if "emails" in leads.columns:
+        new["emails"] = F.filter(F.transform("emails", lambda e: F.trim(e)), lambda e: e.rlike(CONTRACT_EMAIL))
+    ok = F.size("errors") == 0
+    return checked.where(ok).withColumns(new).drop("errors"), checked.where(~ok)
 
 
 def error_counts(checked: DataFrame) -> DataFrame:

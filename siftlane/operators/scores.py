@@ -53,21 +53,31 @@ def joined(*columns: Column) -> Column:
 
 
 def evidence_layers(leads: DataFrame) -> DataFrame:
-    """Three layers of evidence: e1, e2, e3, sce_score, sce_ready, sce_confidence, and the first five words of each layer."""
-    columns = ("company", "context", "website_content", "source_name")
+    """Three layers of evidence: e1, e2, e3, sce_score, sce_ready, sce_confidence, and the first five words of each layer.
+
+    Evidence that was looked for elsewhere counts if the lead has it (sce_has_evidence, sce_evidence_text, sce_evidence_type
+    and, as it comes in, sce_confidence): two words more of the first layer if it is strong, one of the second if medium."""
+    columns = ("company", "context", "website_content", "source_name", "sce_evidence_text", "sce_evidence_type")
     work = leads.withColumn("__m", words_of_columns(leads, columns, D.SCE_SUPPLIER, D.SCE_E1, D.SCE_E2, D.SCE_E3))
     m = Words(F.col("__m"))
+    has = F.coalesce(F.col("sce_has_evidence").cast("boolean"), F.lit(False)) if "sce_has_evidence" in leads.columns else F.lit(False)
+    strength = col_or_empty(leads, "sce_confidence")
+    strong, medium = has & (strength == "strong"), has & (strength == "medium")
     cut = F.when(m.any(D.SCE_SUPPLIER), 0.3).otherwise(1.0)
-    layer = lambda words, weight: F.least(F.lit(1.0), m.hits(words) * weight) * F.col("__cut")
-    out = work.withColumn("__cut", cut).withColumn("__e1", layer(D.SCE_E1, 0.4)).withColumn("__e2", layer(D.SCE_E2, 0.25)).withColumn("__e3", layer(D.SCE_E3, 0.2))
+    layer = lambda words, weight, more=F.lit(0): F.least(F.lit(1.0), (m.hits(words) + more) * weight) * F.col("__cut")
+    out = work.withColumn("__cut", cut).withColumn("__e1", layer(D.SCE_E1, 0.4, F.when(strong, 2).otherwise(0)))
+    out = out.withColumn("__e2", layer(D.SCE_E2, 0.25, F.when(medium, 1).otherwise(0))).withColumn("__e3", layer(D.SCE_E3, 0.2))
     e1, e2, e3 = F.col("__e1"), F.col("__e2"), F.col("__e3")
     out = out.withColumn("__total", F.greatest(e1, e2 * 0.6 + e3 * 0.4, e1 * 0.5 + e2 * 0.3 + e3 * 0.2))
     total = F.col("__total")
     ready = ((e1 >= 0.4) | ((e2 >= 0.4) & (e3 >= 0.3)) | (total >= 0.5)) & (F.col("__cut") == 1.0)
     confidence = F.when((e1 >= 0.6) | (total >= 0.7), "high").when((e1 >= 0.3) | (total >= 0.4), "medium").otherwise("low")
-    named = [F.slice(m.found(w), 1, 5).alias(f"e{i}_words") for i, w in ((1, D.SCE_E1), (2, D.SCE_E2), (3, D.SCE_E3))]
+    told = F.concat(F.lit("brave_evidence:"), col_or_empty(leads, "sce_evidence_type"))
+    with_told = lambda words, when: F.slice(F.concat(m.found(words), F.when(when, F.array(told)).otherwise(F.array().cast("array<string>"))), 1, 5)
+    named = [with_told(D.SCE_E1, strong).alias("e1_words"), with_told(D.SCE_E2, medium).alias("e2_words"), F.slice(m.found(D.SCE_E3), 1, 5).alias("e3_words")]
     new = [F.round(F.col(f"__{c}"), 3).alias(n) for c, n in (("e1", "e1"), ("e2", "e2"), ("e3", "e3"), ("total", "sce_score"))]
-    return out.select(*leads.columns, *new, ready.alias("sce_ready"), confidence.alias("sce_confidence"), *named)
+    made = {"e1", "e2", "e3", "sce_score", "sce_ready", "sce_confidence", "e1_words", "e2_words", "e3_words"}
+    return out.select(*[c for c in leads.columns if c not in made], *new, ready.alias("sce_ready"), confidence.alias("sce_confidence"), *named)
 
 
 def heuristic(leads: DataFrame, url: str = "website") -> DataFrame:

@@ -32,22 +32,55 @@ def f1_sanitise(spark, sf):
     return gates.sanitise(leads(spark, sf)).select("_ord", "company", "country")
 
 
-CONTRACT = f"""{WITH}, e AS (
-  SELECT _ord, list_filter([CASE WHEN {NOISE} THEN 'company_noise' END, CASE WHEN length(company) < 3 THEN 'company_short' END, CASE WHEN regexp_matches(company, '(?i)^(https?://|www\\.)') THEN 'company_url' END,
-    CASE WHEN contains(company, '@') THEN 'company_email' END, CASE WHEN contains(coalesce(website, ''), '@') THEN 'website_email' END, CASE WHEN {SITE} IS NOT NULL AND NOT contains(website, '.') THEN 'website_invalid' END],
-    lambda x: x IS NOT NULL) AS errors
-  FROM (SELECT _ord, trim(regexp_replace(company, '\\s+', ' ', 'g'), ' ') AS company, website FROM leads)
-)"""
-
-
-@query(f"{CONTRACT} SELECT _ord, array_to_string(errors, ',') AS errors FROM e")
+# leads with the faults that contracts are about, by their number
+FAULTY = f"""{WITH}, c AS (SELECT _ord, CASE _ord % 13 WHEN 0 THEN ' View basket ' WHEN 1 THEN 'Energy' WHEN 2 THEN 'Fabric' WHEN 3 THEN 'ab' WHEN 4 THEN company || ' www.x.y' WHEN 5 THEN company || ' a@b.io' WHEN 6 THEN '  ' WHEN 7 THEN 'Page 7' ELSE company END AS company,
+  CASE _ord % 7 WHEN 0 THEN 'https://x.y/' || country WHEN 1 THEN 'BRASIL' WHEN 2 THEN 'mısır' WHEN 3 THEN 'x@' || country || '.tld' WHEN 4 THEN '' ELSE country END AS country,
+  CASE _ord % 9 WHEN 0 THEN 'info@x.y' WHEN 1 THEN 'www.x.y' WHEN 2 THEN ' x.y/z ' WHEN 3 THEN 'nodot' WHEN 4 THEN 'https://services.oeko-tex.com/' || _ord WHEN 5 THEN 'http://u@x.y' ELSE website END AS website,
+  CASE WHEN _ord % 2 = 0 THEN 'https://source.org' END AS source_url, [' a@b.co ', 'none', 'c@d'] AS emails FROM leads),
+s AS (SELECT *, regexp_replace(company, '^\\s+|\\s+$', '', 'g') AS n, regexp_replace(coalesce(country, ''), '^\\s+|\\s+$', '', 'g') AS l, regexp_replace(coalesce(website, ''), '^\\s+|\\s+$', '', 'g') AS w FROM c),
+e AS (SELECT *, list_filter([CASE WHEN n = '' THEN 'company_empty' WHEN list_contains({sql_list(gates.CONTRACT_NOISE)}, lower(n)) OR regexp_matches(lower(n), '^page [0-9]$') THEN 'company_noise' WHEN length(n) < 3 THEN 'company_short'
+    WHEN list_contains({sql_list(gates.CONTRACT_GENERIC)}, lower(n)) THEN 'company_generic' WHEN regexp_matches(n, '(?i)https?://|www\\.|\\.com|\\.org|\\.net|\\.edu|\\.gov') THEN 'company_url' WHEN regexp_matches(n, '@[a-zA-Z0-9.-]+\\.[a-zA-Z]{{2,}}') THEN 'company_email' END,
+  CASE WHEN regexp_matches(l, '(?i)https?://|www\\.|\\.com|\\.org|\\.net|\\.edu|\\.gov') THEN 'country_url' WHEN regexp_matches(l, '@[a-zA-Z0-9.-]+\\.[a-zA-Z]{{2,}}') THEN 'country_email' END,
+  CASE WHEN contains(w, '@') AND NOT starts_with(w, 'http') THEN 'website_email' END], lambda x: x IS NOT NULL) AS errors FROM s)"""
+
+
+def faulty(spark, sf):
+    """Leads with the faults that contracts are about, by their number."""
+    at = lambda n, **by: [F.when(F.col("_ord") % n == int(k[1:]), v) for k, v in by.items()]
+    company, country = F.col("company"), F.col("country")
+    odd = at(13, _0=F.lit(" View basket "), _1=F.lit("Energy"), _2=F.lit("Fabric"), _3=F.lit("ab"), _4=F.concat(company, F.lit(" www.x.y")), _5=F.concat(company, F.lit(" a@b.io")), _6=F.lit("  "), _7=F.lit("Page 7"))
+    lands = at(7, _0=F.concat(F.lit("https://x.y/"), country), _1=F.lit("BRASIL"), _2=F.lit("mısır"), _3=F.concat(F.lit("x@"), country, F.lit(".tld")), _4=F.lit(""))
+    sites = at(9, _0=F.lit("info@x.y"), _1=F.lit("www.x.y"), _2=F.lit(" x.y/z "), _3=F.lit("nodot"), _4=F.concat(F.lit("https://services.oeko-tex.com/"), F.col("_ord").cast("string")), _5=F.lit("http://u@x.y"))
+    return leads(spark, sf).select(
+        "_ord", F.coalesce(*odd, company).alias("company"), F.coalesce(*lands, country).alias("country"), F.coalesce(*sites, F.col("website")).alias("website"),
+        F.when(F.col("_ord") % 2 == 0, "https://source.org").alias("source_url"), F.array(F.lit(" a@b.co "), F.lit("none"), F.lit("c@d")).alias("emails"),
+    )
+
+
+@query(f"{FAULTY} SELECT _ord, array_to_string(errors, ',') AS errors FROM e")
 def f3_contract(spark, sf):
-    return gates.contract_errors(leads(spark, sf)).select("_ord", F.array_join("errors", ",").alias("errors"))
+    return gates.contract_errors(faulty(spark, sf)).select("_ord", F.array_join("errors", ",").alias("errors"))
 
 
-@query(f"{CONTRACT} SELECT error, count(*) AS n FROM (SELECT unnest(errors) AS error FROM e) GROUP BY error")
+@query(f"{FAULTY} SELECT error, count(*) AS n FROM (SELECT unnest(errors) AS error FROM e) GROUP BY error")
 def f3_contract_counts(spark, sf):
-    return gates.error_counts(gates.contract_errors(leads(spark, sf)))
+    return gates.error_counts(gates.contract_errors(faulty(spark, sf)))
+
+
+COUNTRY_SQL = "CASE lower(l) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in gates.CONTRACT_COUNTRIES.items()) + " ELSE l END"
+
+
+@query(
+    f"""{FAULTY}, v AS (SELECT *, CASE WHEN starts_with(w, 'http') OR starts_with(w, 'www.') THEN w WHEN contains(w, '.') AND NOT contains(w, '@') THEN 'https://' || w END AS u FROM e WHERE len(errors) = 0)
+SELECT _ord, n AS company, nullif({COUNTRY_SQL}, '') AS country, CASE WHEN NOT contains(u, 'oeko-tex.com') THEN u END AS website, CASE WHEN contains(u, 'oeko-tex.com') AND source_url IS NULL THEN u ELSE source_url END AS source_url, 'a@b.co' AS emails FROM v"""
+)
+def f3_valid(spark, sf):
+    return gates.contract(faulty(spark, sf))[0].withColumn("emails", F.array_join("emails", ","))
+
+
+@query(f"{FAULTY} SELECT _ord, company, country, website FROM e WHERE len(errors) > 0")
+def f3_invalid(spark, sf):
+    return gates.contract(faulty(spark, sf))[1].select("_ord", "company", "country", "website")
 
 
 @query(f"{WITH} SELECT _ord, {NOISE} AS is_noise, {NON_CUSTOMER} AS is_non_customer FROM leads")

@@ -32,9 +32,24 @@ def test_entity_gate(spark):
 
 
 def test_contract(spark):
-    rows = [(0, "ABC Tekstil A.Ş.", "Turkey", "https://abc-tekstil.com"), (1, "Egyptian Fibers Company", "https://services.oeko-tex.com/profile/123", "info@efco.com"), (2, "View basket", "Brazil", None), (3, "fabric", "Egypt", None)]
+    rows = [(0, "ABC Tekstil A.Ş.", "Turkey", "https://abc-tekstil.com"), (1, "Egyptian Fibers Company", "https://services.oeko-tex.com/profile/123", "info@efco.com"), (2, "View basket", "Brazil", None), (3, "Energy", "Egypt", None), (4, "fabric", "Egypt", None), (5, None, None, None)]
     own = spark.createDataFrame(rows, "_ord long, company string, country string, website string")
-    assert column(gates.contract_errors(own), "errors") == [[], ["country_url", "website_email"], [], ["company_noise"]]
+    assert column(gates.contract_errors(own), "errors") == [[], ["country_url", "website_email"], ["company_noise"], ["company_noise"], ["company_generic"], ["company_empty"]]
+    rows = [(0, " ABC ", "BRASIL", "abc.com", None, [" a@b.co", "x", None]), (1, "Mill", "", "nodot", "s", []), (2, "Mill", None, "https://services.oeko-tex.com/p", None, None), (3, "Mill", "fas", "www.oeko-tex.com", "kept", [])]
+    valid, invalid = gates.contract(spark.createDataFrame(rows, "_ord long, company string, country string, website string, source_url string, emails array<string>"))
+    assert [tuple(r) for r in valid.orderBy("_ord").collect()] == [
+        (0, "ABC", "Brazil", "https://abc.com", None, ["a@b.co"]), (1, "Mill", None, None, "s", []), (2, "Mill", None, None, "https://services.oeko-tex.com/p", None), (3, "Mill", "Morocco", None, "kept", []),
+    ]
+    assert invalid.count() == 0
+
+
+def test_evidence_found_elsewhere(spark):
+    rows = [(0, "Mill", "strong", True, "Reference"), (1, "Mill", "medium", True, "news"), (2, "Mill", "strong", False, "x"), (3, "Mill", None, None, None)]
+    own = spark.createDataFrame(rows, "_ord long, company string, sce_confidence string, sce_has_evidence boolean, sce_evidence_type string").withColumn("context", F.lit(None).cast("string"))
+    got = scores.evidence_layers(own.withColumn("sce_evidence_text", F.when(F.col("_ord") == 3, "with a Monforts Montex stenter"))).orderBy("_ord").collect()
+    assert [r.e1 for r in got][:3] == [0.8, 0.0, 0.0] and got[3].e1 == 1.0 and [r.e2 for r in got][:3] == [0.0, 0.25, 0.0]
+    assert got[0].e1_words == ["brave_evidence:Reference"] and got[1].e2_words == ["brave_evidence:news"] and got[0].sce_ready and not got[1].sce_ready
+    assert [r.sce_confidence for r in got] == ["high", "low", "low", "high"]
 
 
 def test_evidence_layers(spark):
