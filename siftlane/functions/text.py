@@ -207,3 +207,59 @@ def escaped_word(word: str) -> str:
 def hs6(c: str | Column) -> Column:
     """The first six digits of a tariff code."""
     return F.substring(F.regexp_replace(text_of(c), "[^0-9]", ""), 1, 6)
+
+
+def places(text: Column, pattern: str, group: int = 0) -> Column:
+    """Matches of a pattern in order: array of (start, end, value), from 0, the end exclusive; value is the group's text."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    steps = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("own"), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"))
+    start = F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), "array<struct<start:int,end:int,value:string>>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        begin = acc["at"] + F.length(x["gap"])
+        end = begin + F.length(x["own"])
+        return F.when(x["own"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value")))).alias("out")))
+
+    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(steps, start, step, lambda acc: acc["out"])).otherwise(start["out"])
+
+
+def first_distinct(a: Column) -> Column:
+    """The values of an array whose lower-case form wasn't there before, in order."""
+    return F.filter(a, lambda x, i: F.array_position(F.transform(a, lambda y: F.lower(y)), F.lower(x)) == i + 1)
+
+
+#: What no address is, and local parts and domains that aren't a company's.
+MAIL_PLAIN = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+MAIL_FILES = (".png", ".jpg", ".gif", ".css", ".js", ".svg", ".ico", ".woff")
+MAIL_NO_DOMAINS = ("example.com", "test.com", "sentry.io", "sentry-next.wixpress.com", "wixpress.com", "placeholder.com", "domain.com")
+MAIL_NO_PREFIXES = ("noreply", "no-reply", "no.reply", "donotreply", "example", "test", "webmaster", "admin", "info@info", "support@support", "mail@mail", "email@email")
+MAIL_NO_LOCALS = ("noreply", "no-reply", "donotreply", "do-not-reply", "unsubscribe", "postmaster", "mailer-daemon", "bounce", "abuse", "spam", "root", "webmaster", "hostmaster")
+MAIL_NO_HOSTS = (
+    "example.com", "test.com", "sentry.io", "gravatar.com", "wp.com", "wordpress.com", "sharethis.com", "addthis.com", "facebook.com", "twitter.com", "instagram.com", "linkedin.com",
+    "youtube.com", "google.com", "googleusercontent.com",
+)
+
+
+def company_emails(c: str | Column) -> Column:
+    """Addresses in a text that may be a company's: no file names, no blocked domains or beginnings; each once whatever its case, in order."""
+    t = text_of(c)
+    found = F.regexp_extract_all(t, F.lit(MAIL_PLAIN), F.lit(0))
+
+    def fine(m: Column) -> Column:
+        low = F.lower(m)
+        local = F.substring_index(low, "@", 1)
+        bad = contains_any(low, (*MAIL_FILES, *MAIL_NO_DOMAINS))
+        for p in MAIL_NO_PREFIXES:
+            bad = bad | local.startswith(p)
+        return ~bad
+
+    return F.when(t.contains("@"), first_distinct(F.filter(found, fine))).otherwise(F.array().cast("array<string>"))
+
+
+def valid_email(c: str | Column) -> Column:
+    """An address in lower case without quotes and brackets around it; null for blocked local parts and domains and for what is none."""
+    t = F.regexp_replace(F.lower(text_of(c)), "^[\\s'\"<>\\[\\]]+|[\\s'\"<>\\[\\]]+$", "")
+    domain = F.substring_index(t, "@", -1)
+    local = F.substring(t, F.lit(1), F.length(t) - F.length(domain) - 1)
+    ok = t.contains("@") & domain.contains(".") & ~local.isin(*MAIL_NO_LOCALS) & ~domain.isin(*MAIL_NO_HOSTS) & (F.length(local) >= 1) & (F.length(domain) >= 3)
+    return F.when(ok, t)

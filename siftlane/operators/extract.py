@@ -8,17 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftlane import dictionaries as D
-from siftlane.functions.text import contains_any, emails, escaped_word, first_word, low, squeezed, text_of
+from siftlane.functions.text import contains_any, emails, escaped_word, first_distinct, first_word, low, places, squeezed, text_of
 from siftlane.functions.web import blocked, host, main_text, registrable
 from siftlane.operators.scores import joined
 
 #: Patterns of names, mentions and profile lines.
-LEGAL_FORMS = r"GmbH|AG|KG|Ltd|Limited|LLC|Inc|Corp|S\.A\.|SA|S\.p\.A\.|SpA|S\.r\.l\.|Srl|Ltda|A\.Ş\.|Co\.|PLC|BV|NV"
-LEGAL_NAME = rf"((?:[A-ZÀ-Þ][\p{{L}}\d&.\-]*\s+){{1,5}}(?:{LEGAL_FORMS}))(?![\p{{L}}\d])"
 CAPITAL_PHRASE = r"\b([A-Z][A-Za-z0-9&\-.]+(?:\s+[A-Z][A-Za-z0-9&\-.]+){1,5})\b"
 BEHIND_PREPOSITION = r"\b(?:bei|für|for|at|with|cliente|client|customer)\s+([A-Z][A-Za-z0-9&\-.]+(?:\s+[A-Z][A-Za-z0-9&\-.]+){0,3})"
 LEADING = ("bei", "für", "for", "at", "with", "the", "a", "an")
-MENTION = r"([A-Z][\w&.\-]*(?:\s+[A-Z][\w&.\-]*){0,4})(?:\s+(?:of|in|from)\s+([A-Z][a-z]+(?:\s+[A-Z][a-z]+)?))?\s+has\s+(installed|ordered|commissioned|purchased|bought|invested in|started up)"
 
 
 def valid_company(name: Column, single: bool = False) -> Column:
@@ -62,9 +59,22 @@ def companies(df: DataFrame, key: str, text: str = "context") -> DataFrame:
     return lines.select(key, F.explode(F.concat(forms, near, behind)).alias("company")).distinct()
 
 
+#: Names with a legal form or an industry's word behind them, by language.
+LEGAL_PATTERNS = (
+    r"([A-ZÇĞİÖŞÜ][a-zçğıöşü]+(?:\s+[A-ZÇĞİÖŞÜ][a-zçğıöşü]+)*)\s+(?:A\.?Ş\.?|Ltd\.?|San\.?)",
+    r"([A-ZÄÖÜ][a-zäöüß]+(?:\s+[A-ZÄÖÜ][a-zäöüß]+)*)\s+(?:GmbH|AG|KG)",
+    r"([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)\s+(?:Ltd\.?|LLC|Inc\.?|Corp\.?)",
+    r"([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)\s+(?:Ltda\.?|S\.?A\.?)",
+    r"([A-Z][A-Za-z\s&]{1,200}(?:Textile|Tekstil|Dyeing|Finishing|Fabrics?))",
+)
+
+
 def legal_names(text: Column) -> Column:
-    """Distinct names that end in a legal form, sorted."""
-    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(text_of(text), F.lit(LEGAL_NAME), F.lit(1)), squeezed)))
+    """Names by the five patterns, in their order, of more than three characters; each once whatever its case. A name of the
+    last pattern is 200 characters long at most, so that a long text without marks is no square of its length."""
+    t = text_of(text)
+    every = F.flatten(F.array(*[F.regexp_extract_all(t, F.lit(p), F.lit(1)) for p in LEGAL_PATTERNS]))
+    return first_distinct(F.filter(F.transform(every, lambda n: F.trim(n)), lambda n: F.length(n) > 3))
 
 
 def title_company(title: Column) -> Column:
@@ -74,17 +84,90 @@ def title_company(title: Column) -> Column:
     return F.when((part != "") & (F.size(F.split(part, r"\s+")) <= 5), part).otherwise(F.when(F.trim(words) != "", F.trim(words)))
 
 
-def mentions(pages: DataFrame, key: str, text: str, url: str | None = None, brands: Iterable[str] = D.V10_TIER1) -> DataFrame:
-    """(key, company, country, event, oem_brand, evidence_snippet, confidence): all purchases by companies that sentences tell of.
+#: A purchase in a sentence: name, country, event.
+PURCHASE = r"([A-Z][\w&.\-]*(?:\s+[A-Z][\w&.\-]*){0,4})(?:\s+(?:of|in|from)\s+([A-Z][a-z]+(?:\s+[A-Z][a-z]+)?))?\s+has\s+(installed|ordered|commissioned|purchased|bought|invested in|started up)"
+
+#: Fixed values of customer mentions: makers (which are no customers), equipment, countries, and the patterns of events.
+MENTION_MAKERS = ("brückner", "bruckner", "brueckner", "brückner textile", "monforts", "a. monforts", "monforts textilmaschinen", "krantz", "artos", "santex", "santex rimar", "babcock", "strahm", "goller")
+MENTION_EQUIPMENT = {
+    "stenter": ("stenter", "spannrahmen", "ramöz", "ram"),
+    "montex": ("montex", "monfortex"),
+    "power_frame": ("power-frame", "power frame", "supra"),
+    "finishing_line": ("finishing line", "finishing range", "terbiye hattı"),
+    "heat_setting": ("heat setting", "heat-setting", "thermofixierung", "termofiksaj"),
+    "coating": ("coating line", "coating machine", "kaplama"),
+    "drying": ("dryer", "drying range", "kurutma"),
+}
+MENTION_COUNTRIES = (
+    "brazil", "argentina", "mexico", "peru", "colombia", "chile", "ecuador", "egypt", "morocco", "tunisia", "algeria", "libya", "turkey", "türkiye", "pakistan", "india", "bangladesh",
+    "sri lanka", "germany", "italy", "spain", "portugal", "france", "uk", "united kingdom", "usa", "united states", "china", "vietnam", "indonesia", "thailand",
+)
+MENTION_PLACES = (r"\bin\s+([A-Z][a-z]+(?:\s+[A-Z][a-z]+)?)\b", r"\bfrom\s+([A-Z][a-z]+(?:\s+[A-Z][a-z]+)?)\b", r"\blocated\s+in\s+([A-Z][a-z]+(?:\s+[A-Z][a-z]+)?)\b", r",\s*([A-Z][a-z]+(?:\s+[A-Z][a-z]+)?)\s*[,.]")
+MENTION_GENERIC = ("manufacturer", "textile", "finishing", "dyeing", "machine", "equipment", "process", "technology", "industry", "production")
+MENTION_FORM = r"(?:Ltd|GmbH|SA|Inc|Group|SpA|Ltda|SRL|AS|KG)?"
+#: A name's characters; more than 120 are no name, and without a bound a text without commas costs the square of its length.
+MENTION_NAME = r"[A-Z][A-Za-z0-9\s&.\-]{1,120}"
+MENTION_EVENTS = (
+    rf"({MENTION_NAME}{MENTION_FORM})\s+(?:in|from)\s+[A-Z][a-z]+\s+has\s+(?:installed|ordered|commissioned|received)",
+    rf"delivered\s+to\s+(?:the\s+)?({MENTION_NAME}{MENTION_FORM})\s+(?:in|from)",
+    rf"installed\s+at\s+({MENTION_NAME}{MENTION_FORM})(?:'s)?\s+(?:facility|plant|factory|mill)",
+    rf"({MENTION_NAME}{MENTION_FORM})\s+has\s+(?:commissioned|invested|installed|ordered)",
+    rf"(?:Customer|Project|Reference|Client):\s*({MENTION_NAME})",
+    rf"says\s+[A-Z][a-z]+\s+[A-Z][a-z]+,\s+[A-Z][A-Za-z]+\s+(?:at|of)\s+({MENTION_NAME})",
+)
+
+
+#: Parts of a text in which a pattern that begins with a name can match: runs of a name's characters up to the event's words.
+MENTION_PARTS = {i: rf"(?i)(?:\G|(?<![A-Za-z0-9\s&.\-]))[A-Za-z0-9\s&.\-]*?\shas\s+(?:{w})" for i, w in ((0, "installed|ordered|commissioned|received"), (3, "commissioned|invested|installed|ordered"))}
+
+
+def mentions(pages: DataFrame, key: str, text: str, brand: str = "", around: int = 150) -> DataFrame:
+    """(key, company, country, oem_brand, equipment_type, evidence_snippet, confidence): customers that a text tells of, by six
+    patterns of events. A name is checked by itself; country and equipment are looked for in the text around the event,
+    and five facts make the confidence. Of a company's mentions on a page the first by pattern and place stays."""
+    work = pages.select(key, text_of(text).alias("__t"))
+
+    def of(i: int, p: str) -> Column:
+        hit = lambda m, at: F.struct(F.lit(i).alias("p"), (m["start"] + at).alias("a"), (m["end"] + at).alias("b"), m["value"].alias("v"))
+        if i not in MENTION_PARTS:
+            return F.transform(places(F.col("__t"), f"(?i){p}", 1), lambda m: hit(m, F.lit(0)))
+        return F.flatten(F.transform(places(F.col("__t"), MENTION_PARTS[i]), lambda w: F.transform(places(w["value"], f"(?i){p}", 1), lambda m: hit(m, w["start"]))))
+
+    hits = F.flatten(F.array(*[of(i, p) for i, p in enumerate(MENTION_EVENTS)]))
+    work = work.select(key, "__t", F.explode(hits).alias("m"))
+    begin = F.greatest(F.lit(0), F.col("m.a") - around)
+    name = F.regexp_replace(squeezed(F.col("m.v")), r"(?i)^(the|a|an)\s+", "")
+    work = work.select(key, "m", name.alias("company"), F.substring("__t", begin + 1, F.col("m.b") + around - begin).alias("around"))
+    low_name, n = F.lower("company"), F.size(F.split("company", r"\s+"))
+    maker = F.lit(False)
+    for m in MENTION_MAKERS:
+        maker = maker | low_name.startswith(m)
+    sentence = contains_any(low_name, ("has", "have", "will", "are", "is", "the")) & (n > 3)
+    work = work.where(F.length("company").between(3, 80) & (n <= 8) & ~maker & ~((n == 1) & low_name.isin(*MENTION_GENERIC)) & ~sentence)
+    low_around = F.lower("around")
+    said = [F.regexp_extract("around", p, 1) for p in MENTION_PLACES]
+    country = F.coalesce(*[F.when(F.lower(x).isin(*MENTION_COUNTRIES), F.initcap(x)) for x in said], F.initcap(first_word(low_around, MENTION_COUNTRIES)), F.lit("Unknown"))
+    equipment = F.coalesce(*[F.when(contains_any(low_around, w), k) for k, w in MENTION_EQUIPMENT.items()], F.lit("unknown"))
+    work = work.withColumn("country", country).withColumn("equipment_type", equipment)
+    points = F.when(F.col("company").rlike(r"(?i)\b(Ltd|GmbH|SA|Inc|Group|SpA|Ltda|SRL|AS|KG)\b"), 2).otherwise(0) + F.when(F.col("country") != "Unknown", 2).otherwise(0)
+    points = points + (F.col("equipment_type") != "unknown").cast("int") + contains_any(low_around, ("installed", "commissioned", "delivered", "ordered", "invested")).cast("int") + (n >= 2).cast("int")
+    fields = F.struct("company", "country", F.lit(brand).alias("oem_brand"), "equipment_type", F.substring("around", 1, 300).alias("evidence_snippet"), F.when(points >= 5, "high").when(points >= 3, "medium").otherwise("low").alias("confidence"))
+    first = work.groupBy(key, low_name.alias("__k")).agg(F.min_by(fields, F.struct("m.p", "m.a")).alias("s"))
+    return first.select(key, "s.*")
+
+
+def purchases(pages: DataFrame, key: str, text: str, url: str | None = None, brands: Iterable[str] = D.V10_TIER1) -> DataFrame:
+    """(key, company, country, event, oem_brand, evidence_snippet, confidence): all purchases by companies that sentences tell of, the
+    names being runs of capitalised words (see ``mentions`` for the patterns of reference pages).
 
     Confidence: 0.4, and 0.2 for a country, a brand or a process word in the sentence each. The surest mention of each
     company of a page stays; it is chosen by an aggregation."""
     sentence = pages.select(key, F.explode(F.split(squeezed(text_of(text)), r"(?<=[.!?])\s+")).alias("sentence"))
-    hit = sentence.select(key, "sentence", F.posexplode(F.regexp_extract_all("sentence", F.lit(MENTION), F.lit(0))).alias("at", "mention")).withColumn("company", F.regexp_extract("mention", MENTION, 1))
-    country, brand = F.regexp_extract("mention", MENTION, 2), first_word(F.lower("sentence"), brands)
+    hit = sentence.select(key, "sentence", F.posexplode(F.regexp_extract_all("sentence", F.lit(PURCHASE), F.lit(0))).alias("at", "mention")).withColumn("company", F.regexp_extract("mention", PURCHASE, 1))
+    country, brand = F.regexp_extract("mention", PURCHASE, 2), first_word(F.lower("sentence"), brands)
     process = contains_any(F.lower("sentence"), D.SCE_E2)
     sure = 0.4 + (country != "").cast("int") * 0.2 + brand.isNotNull().cast("int") * 0.2 + process.cast("int") * 0.2
-    own = hit.select(key, "at", "company", F.when(country != "", country).alias("country"), F.regexp_extract("mention", MENTION, 3).alias("event"), brand.alias("oem_brand"), F.substring("sentence", 1, 300).alias("evidence_snippet"), F.round(sure, 2).alias("confidence"))
+    own = hit.select(key, "at", "company", F.when(country != "", country).alias("country"), F.regexp_extract("mention", PURCHASE, 3).alias("event"), brand.alias("oem_brand"), F.substring("sentence", 1, 300).alias("evidence_snippet"), F.round(sure, 2).alias("confidence"))
     own = own.where(valid_company(F.col("company"), single=True))
     fields = [c for c in own.columns if c not in (key, "company", "at")]
     best = own.groupBy(key, "company").agg(F.max_by(F.struct(*fields), F.struct("confidence", F.reverse("evidence_snippet"), -F.col("at"))).alias("s"))
@@ -155,3 +238,25 @@ def page_relevance(pages: DataFrame, words: Iterable[str], html: str = "html") -
     n = sum((t.contains(w).cast("int") for w in words), F.lit(0))
     score = F.least(F.lit(50), n * 10) + F.when(F.col(html).contains("<li"), 20).otherwise(0) + F.when(F.size(emails(html)) > 0, 30).otherwise(0)
     return pages.withColumn("relevance", score)
+
+
+#: Words of search results and their points, and addresses that are no company's.
+RESULT_POINTS = (
+    ("directory", 2), ("member", 2), ("list", 1), ("association", 2), ("exhibitor", 2), ("company", 1), ("manufacturer", 2), ("supplier", 2), ("exporter", 2), ("textile", 2), ("fabric", 1),
+    ("garment", 1), ("certified", 1), ("oeko-tex", 2), ("gots", 2),
+)
+RESULT_NOT = ("linkedin", "facebook", "twitter", "youtube", "wikipedia", "news", "blog", "article")
+
+
+def result_relevance(results: DataFrame, country: str = "country") -> DataFrame:
+    """results (title, description, url) with result_score: points of words in text or address, 2 for the country, -5 for each
+    address word that is no company's."""
+    text, url = joined(text_of("title"), text_of("description")), low("url")
+    work = results.withColumn("__t", text).withColumn("__u", url)
+    t, u = F.col("__t"), F.col("__u")
+    score = F.when(t.contains(low(country)), 2).otherwise(0)
+    for w, n in RESULT_POINTS:
+        score = score + F.when(t.contains(w) | u.contains(w), n).otherwise(0)
+    for w in RESULT_NOT:
+        score = score - F.when(u.contains(w), 5).otherwise(0)
+    return work.withColumn("result_score", score).drop("__t", "__u")

@@ -16,9 +16,9 @@ from siftlane.operators.scores import joined
 
 #: Patterns and words of the models.
 ROLE_PATTERNS = {
-    "CUSTOMER": r"(?iu)\b(mill|mills|dye\s?house|finishing plant|textile factory|fabric producer)\b",
-    "INTERMEDIARY": r"(?iu)\b(machinery|spare parts|distributor|dealer|trading)\b",
-    "BRAND": r"(?iu)\b(fashion|boutique|apparel brand)\b",
+    "CUSTOMER": r"(?iu)(?<![\p{L}\p{N}_])(mill|mills|dye\s?house|finishing plant|textile factory|fabric producer)(?![\p{L}\p{N}_])",
+    "INTERMEDIARY": r"(?iu)(?<![\p{L}\p{N}_])(machinery|spare parts|distributor|dealer|trading)(?![\p{L}\p{N}_])",
+    "BRAND": r"(?iu)(?<![\p{L}\p{N}_])(fashion|boutique|apparel brand)(?![\p{L}\p{N}_])",
 }
 LOOSE_SUFFIX = r"\b(gmbh|ltd|llc|inc|corp|sa|ag|kg|srl|spa|as|ltda|limited|company)\b"
 SITE_STRONG, SITE_WEAK = D.V10_FINISHING, D.INDUSTRY_TERMS

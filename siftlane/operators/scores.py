@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftlane import dictionaries as D
-from siftlane.functions.text import contains_any, first_word, fold_accents, let, low, near, text_of
+from siftlane.functions.text import contains_any, first_word, fold_accents, language_votes, let, low, near, text_of
 from siftlane.functions.words import Words, scanned, words_of_columns
 from siftlane.operators.gates import col_or_empty, has_value
 from siftlane.operators.rules import banded
@@ -313,3 +313,25 @@ def scan(leads: DataFrame) -> DataFrame:
     """leads with what all the models look for in company and context, found by one pass (columns scan_company, scan_context).
     Whoever changes company or context afterwards must drop them."""
     return scanned(leads, ("company", "context"), {w for d in SCAN_WORDS for w in d})
+
+
+def text_relevance(leads: DataFrame, languages: dict[str, Iterable[str]], finishing: Iterable[str] = D.SIGNAL_FINISHING, columns: Iterable[str] = ("company", "context", "segment", "description")) -> DataFrame:
+    """kw_finishing, kw_oem_tier1, kw_oem_tier2, kw_language (unknown where no dictionary has a hit), kw_relevance_score: ten for
+    each process word (50 at most), 15 and 10 for each maker (90 at most in all), ten for a known language; kw_keyword_count."""
+    finishing, there = tuple(finishing), [c for c in columns if c in leads.columns]
+    work = leads.withColumn("__m", words_of_columns(leads, there, finishing, D.V10_TIER1, D.V10_TIER2))
+    m = Words(F.col("__m"))
+    lang = let(joined(*map(text_of, there)), lambda t: F.coalesce(language_votes(t, languages), F.lit("unknown")))
+    out = work.withColumns({"kw_finishing": m.found(finishing), "kw_oem_tier1": m.found(D.V10_TIER1), "kw_oem_tier2": m.found(D.V10_TIER2), "kw_language": lang})
+    score = F.least(F.lit(90), F.least(F.lit(50), F.size("kw_finishing") * 10) + F.size("kw_oem_tier1") * 15 + F.size("kw_oem_tier2") * 10)
+    count = F.size("kw_finishing") + F.size("kw_oem_tier1") + F.size("kw_oem_tier2")
+    return out.withColumn("kw_relevance_score", (score + F.when(F.col("kw_language") != "unknown", 10).otherwise(0)).cast("double")).withColumn("kw_keyword_count", count).drop("__m")
+
+
+def trade_points(leads: DataFrame, priority: DataFrame, key: str = "iso3", most: float = 20.0) -> DataFrame:
+    """leads with import_score: the import value of the lead's country by its code as a share of the greatest, times ``most``.
+    priority: (key, import_value); of several rows of a code the sum counts. Leads without a code have zero."""
+    known = priority.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum("import_value").alias("__value"))
+    top = known.agg(F.max("__value")).scalar()
+    out = leads.join(known, key, "left")
+    return out.withColumn("import_score", F.when(top > 0, F.least(F.lit(most), F.coalesce("__value", F.lit(0.0)) / top * most)).otherwise(0.0)).drop("__value")

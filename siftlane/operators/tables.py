@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftlane import dictionaries as D
+from siftlane.session import checkpointed
 
 
 def union_sources(*frames: tuple[DataFrame, str]) -> DataFrame:
@@ -196,38 +197,100 @@ def sales_priority(leads: DataFrame) -> DataFrame:
     return leads.withColumn("priority", F.when(F.col("sales_ready"), 1).when(site & mail, 2).when(mail, 3).when(site, 4).otherwise(5))
 
 
-ANGLES = {"brazil": "fast delivery", "argentina": "fast delivery", "turkey": "local service"}  # fixed values: what to stress, by country
 
 
-def golden_records(leads: DataFrame, angles: dict[str, str] = ANGLES, other: str = "quality and price") -> DataFrame:
-    """leads with best_email, hs_code, why_customer and sales_angle."""
-    table = F.create_map(*[F.lit(x) for kv in angles.items() for x in kv])
-    brand = F.col("oem_brand") if "oem_brand" in leads.columns else F.lit(None).cast("string")
-    why = F.when(F.coalesce(brand, F.lit("")) != "", F.concat(brand, F.lit(" is on a reference list"))).otherwise("process words on its site")
-    return leads.withColumns({
-        "best_email": F.coalesce(F.get("emails", F.lit(0)), F.lit("")),
-        "hs_code": F.lit("8451.90"),
+#: What a golden record says of a lead.
+GOLDEN_COLUMNS = (
+    "company", "country", "website", "why_customer", "evidence_url", "evidence_snippet", "target_product", "hs_code", "best_email", "phone", "linkedin_xray", "contact_person",
+    "contact_role", "sales_angle", "final_score", "evidence_score", "contactability_score", "tier", "is_golden", "source",
+)
+WHY_BRAND, WHY_JOB = " referans listesinde görülüyor, stenter kullanımı doğrulanmış.", "Stenter operatörü arıyor, aktif üretim tesisi."
+WHY_SIGNALS, WHY_ELSE = ("Web sitesinde ", " terimleri geçiyor."), "Tekstil terbiye tesisi olarak tespit edildi."
+ANGLE_BRANDS = {"Monforts": "Monforts zincir baklası ve gleitstein uyumluluğu vurgula", "Brückner": "Brückner kluppen ve segment parçaları için teklif hazırla"}
+ANGLE_COUNTRIES = {
+    "brazil": "Hızlı teslimat ve yerel stok avantajı vurgula", "argentina": "Hızlı teslimat ve yerel stok avantajı vurgula", "turkey": "Türkçe destek ve hızlı servis vurgula",
+    "türkiye": "Türkçe destek ve hızlı servis vurgula",
+}
+ANGLE_ELSE = "Orijinal kalitede, rekabetçi fiyat ve hızlı teslimat"
+
+
+def golden_records(leads: DataFrame, keys: Iterable[str] = ()) -> DataFrame:
+    """The keys, and the twenty columns of a golden record; what the leads don't have is null, or empty for texts that are made
+    up of lists (evidence_url and evidence_snippet of the first items, best_email, phone)."""
+    has = lambda c: c in leads.columns
+    plain = lambda c, kind="string": F.col(c) if has(c) else F.lit(None).cast(kind)
+    first = lambda c: F.coalesce(F.get(c, F.lit(0)), F.lit("")) if has(c) else F.lit("")
+    brand = F.coalesce(plain("oem_brand"), F.lit(""))
+    empty = F.array().cast("array<string>")
+    words = F.coalesce(*[F.when(F.size(c) > 0, F.col(c)) for c in ("stenter_signals", "finishing_signals") if has(c)], empty)
+    why = F.when(brand != "", F.concat(brand, F.lit(WHY_BRAND))).when(F.coalesce(plain("evidence_type"), F.lit("")) == "job_posting", WHY_JOB)
+    why = why.when(F.size(words) > 0, F.concat(F.lit(WHY_SIGNALS[0]), F.array_join(F.slice(words, 1, 2), ", "), F.lit(WHY_SIGNALS[1]))).otherwise(WHY_ELSE)
+    of = lambda table: F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
+    angle = F.coalesce(F.try_element_at(of(ANGLE_BRANDS), brand), F.try_element_at(of(ANGLE_COUNTRIES), F.lower(F.coalesce(plain("country"), F.lit("")))), F.lit(ANGLE_ELSE))
+    made = {
         "why_customer": why,
-        "sales_angle": F.coalesce(F.try_element_at(table, F.lower("country")), F.lit(other)),
-    })
+        "evidence_url": F.coalesce(F.get("k1_details", F.lit(0))["url"], F.lit("")) if has("k1_details") else F.lit(""),
+        "evidence_snippet": F.substring(first("evidence_snippets"), 1, 200),
+        "target_product": F.coalesce(plain("target_product"), F.lit("")),
+        "hs_code": F.lit("8451.90"),
+        "best_email": first("emails_extracted"),
+        "phone": first("phones_extracted"),
+        "sales_angle": angle,
+    }
+    numbers = {"final_score": "double", "evidence_score": "double", "contactability_score": "double", "tier": "int", "is_golden": "boolean"}
+    return leads.select(*keys, *[made.get(c, plain(c, numbers.get(c, "string"))).alias(c) for c in GOLDEN_COLUMNS])
 
 
 def quality_report(leads: DataFrame) -> DataFrame:
-    """One row: rows, website coverage, share of sales-ready leads, countries, and what to do about them."""
+    """One row: rows; coverage of websites, e-mails and telephones; the share of customers; of leads with layers of evidence the
+    share that is ready for sales and the mean of each layer; and what to do about them. Missing columns count as empty."""
     from siftlane.operators.gates import has_value
 
-    out = leads.agg(F.count("*").alias("n"), F.avg(has_value("website").cast("int")).alias("website_coverage"), F.avg(F.col("sales_ready").cast("int")).alias("sales_ready_ratio"), F.count_distinct("country").alias("n_countries"))
-    advice = F.array_compact(F.array(F.when(F.col("website_coverage") < 0.7, "run enrichment"), F.when(F.col("sales_ready_ratio") < 0.3, "look for better sources"), F.when(F.col("n_countries") < 5, "add collectors")))
-    return out.withColumn("recommendations", advice)
+    has = lambda c: c in leads.columns
+    share = lambda c: F.avg(F.coalesce(c, F.lit(False)).cast("int"))
+    some = lambda c: (F.size(c) > 0 if dict(leads.dtypes)[c].startswith("array") else has_value(c)) if has(c) else F.lit(False)
+    role = F.coalesce(F.col("role"), F.lit("UNKNOWN")) == "CUSTOMER" if has("role") else F.lit(False)
+    layers = [F.round(F.avg(c), 3).alias(f"avg_{c}") if has(c) else F.lit(None).cast("double").alias(f"avg_{c}") for c in ("e1", "e2", "e3")]
+    ready = share(F.col("sce_ready")) if has("sce_ready") else F.lit(None).cast("double")
+    south = F.count_if(F.col("country").isin("Brazil", "Argentina", "Colombia", "Peru", "Ecuador", "Chile"))
+    out = leads.agg(
+        F.count("*").alias("n"), share(some("website")).alias("website_coverage"), share(some("emails")).alias("email_coverage"), share(some("phones")).alias("phone_coverage"), share(role).alias("precision_estimate"),
+        ready.alias("sales_ready_ratio"), *layers, F.count_distinct("country").alias("n_countries"), south.alias("n_south_america"), F.count_distinct("source_type").alias("n_sources"),
+    )
+    low = lambda c, limit, say: F.when(F.coalesce(F.col(c), F.lit(0.0)) < limit, say)
+    advice = F.array_compact(
+        F.array(
+            low("website_coverage", 0.7, "enrich websites"), low("email_coverage", 0.5, "enrich contacts"), low("precision_estimate", 0.5, "review role words"), low("sales_ready_ratio", 0.3, "look for finishing sources"),
+            low("n_south_america", 100, "collect South America"), low("n_sources", 5, "add collectors"),
+        )
+    )
+    return out.withColumn("recommendations", F.when(F.size(advice) > 0, advice).otherwise(F.array(F.lit("healthy"))))
+
+
+def distributions(leads: DataFrame, columns: Iterable[str] = ("role", "sce_confidence", "country", "source_type"), top: int = 20) -> DataFrame:
+    """(column, value, n): the commonest values of each column, ``top`` of each, which is a report's length; equal ones by name."""
+    there = [c for c in columns if c in leads.columns]
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("Unknown")).alias("value")) for c in there]))
+    counted = leads.select(pairs.alias("x")).groupBy("x.column", "x.value").agg(F.count("*").alias("n"))
+    return top_of_each(counted, "column", [F.desc("n"), F.col("value")], {c: top for c in there})
+
+
+def target_exports(leads: DataFrame, score: str = "score", top: int = 100) -> dict[str, DataFrame]:
+    """What an export of targets writes: master, the ``top`` of the greatest score (equal ones by _ord), and a search query for each company."""
+    queries = crm_projection(leads.where(F.coalesce("company", F.lit("")) != ""), ["_ord", "linkedin_xray"])
+    return {"targets_master": leads, "top100": leads.orderBy(F.desc_nulls_last(score), "_ord").limit(top), "linkedin_xray_queries": queries.select("_ord", F.col("linkedin_xray").alias("query"))}
 
 
 def global_rank(df: DataFrame, score: str) -> DataFrame:
     """df with rank: one more than the rows of a greater score, nulls last.
 
-    The window runs over the distinct scores with their counts, not over the rows; use it for scores of
-    bounded variety, as all models here give.
-    """
-    own = df.groupBy(score).agg(F.count("*").alias("__n"))
-    before = F.sum("__n").over(Window.orderBy(F.desc_nulls_last(score)).rowsBetween(Window.unboundedPreceding, -1))
-    ranked = own.select(F.col(score).alias("__score"), (F.coalesce(before, F.lit(0)) + 1).alias("rank"))
-    return df.join(ranked, F.col(score).eqNullSafe(F.col("__score"))).drop("__score")
+    Distinct scores are dealt by ranges, counted by range, and each range begins where the prefix sums over
+    the ranges (a row for each) say; so no task sees more than its range of scores."""
+    counts = df.groupBy(score).agg(F.count("*").alias("__n"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = checkpointed(counts.repartitionByRange(parts, F.desc_nulls_last(score)).withColumn("__part", F.spark_partition_id()))
+    sums = dealt.groupBy("__part").agg(F.sum("__n").alias("__t"))
+    base = sums.select("__part", (F.sum("__t").over(Window.orderBy("__part")) - F.col("__t")).alias("__base"))  # a row for each partition
+    own = Window.partitionBy("__part").orderBy(F.desc_nulls_last(score))
+    ranks = dealt.join(F.broadcast(base), "__part").withColumn("rank", F.col("__base") + F.sum("__n").over(own) - F.col("__n") + 1)
+    return df.join(ranks.select(F.col(score).alias("__s"), "rank"), F.col(score).eqNullSafe(F.col("__s"))).drop("__s")

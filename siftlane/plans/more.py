@@ -81,9 +81,9 @@ def m11_site_tier(spark, sf):
 
 
 @query(
-    f"""{WITH}, v AS (SELECT _ord, CASE WHEN regexp_matches({TEXT}, '\\b(mill|mills|dye\\s?house|finishing plant|textile factory|fabric producer)\\b') THEN 3 ELSE 0 END + {sql_hits(TEXT, D.ENTITY_END_USER)} + CAST(source_type IN ('known_manufacturer', 'oem_customer', 'precision_search', 'gots', 'oekotex') AS INT) AS c,
-  CASE WHEN regexp_matches({TEXT}, '\\b(machinery|spare parts|distributor|dealer|trading)\\b') THEN 3 ELSE 0 END + {sql_hits(TEXT, D.ENTITY_INTERMEDIARY)} + CAST(source_type = 'comtrade' AS INT) AS i,
-  CASE WHEN regexp_matches({TEXT}, '\\b(fashion|boutique|apparel brand)\\b') THEN 3 ELSE 0 END + {sql_hits(TEXT, D.ENTITY_BRAND)} AS b FROM leads)
+    f"""{WITH}, v AS (SELECT _ord, CASE WHEN regexp_matches({TEXT}, '(^|[^\\pL\\pN_])(mill|mills|dye\\s?house|finishing plant|textile factory|fabric producer)($|[^\\pL\\pN_])') THEN 3 ELSE 0 END + {sql_hits(TEXT, D.ENTITY_END_USER)} + CAST(source_type IN ('known_manufacturer', 'oem_customer', 'precision_search', 'gots', 'oekotex') AS INT) AS c,
+  CASE WHEN regexp_matches({TEXT}, '(^|[^\\pL\\pN_])(machinery|spare parts|distributor|dealer|trading)($|[^\\pL\\pN_])') THEN 3 ELSE 0 END + {sql_hits(TEXT, D.ENTITY_INTERMEDIARY)} + CAST(source_type = 'comtrade' AS INT) AS i,
+  CASE WHEN regexp_matches({TEXT}, '(^|[^\\pL\\pN_])(fashion|boutique|apparel brand)($|[^\\pL\\pN_])') THEN 3 ELSE 0 END + {sql_hits(TEXT, D.ENTITY_BRAND)} AS b FROM leads)
 SELECT _ord, CASE WHEN greatest(c, i, b) < 2 THEN 'UNKNOWN' WHEN c >= greatest(i, b) THEN 'CUSTOMER' WHEN i >= b THEN 'INTERMEDIARY' ELSE 'BRAND' END AS majority_role, greatest(c, i, b) AS majority_points FROM v"""
 )
 def m13_role_by_majority(spark, sf):
@@ -172,11 +172,6 @@ def k9_sales_priority(spark, sf):
     return O.sales_priority(own).select("_ord", "priority")
 
 
-@query(f"{WITH} SELECT _ord, company, CASE lower(country) WHEN 'brazil' THEN 'fast delivery' WHEN 'argentina' THEN 'fast delivery' WHEN 'turkey' THEN 'local service' ELSE 'quality and price' END AS sales_angle, coalesce(list_sort(list_distinct(regexp_extract_all(lower(context), '[a-z0-9._%+-]+@[a-z0-9.-]+\\.[a-z]{{2,}}')))[1], '') AS best_email FROM leads")
-def k6_golden_records(spark, sf):
-    return O.golden_records(leads(spark, sf, contacts=True)).select("_ord", "company", "sales_angle", "best_email")
-
-
 @query("SELECT c_custkey, coalesce(s, 'pending') AS status FROM customer LEFT JOIN (SELECT user_id, max_by(CASE event_type WHEN 'purchase' THEN 'approved' ELSE 'rejected' END, ts) AS s FROM events WHERE event_type IN ('purchase', 'error') GROUP BY user_id) ON user_id = c_custkey")
 def k10_review_queue(spark, sf):
     own = table(spark, sf, "events").where("event_type in ('purchase', 'error')")
@@ -184,12 +179,6 @@ def k10_review_queue(spark, sf):
     return sinks.decided(table(spark, sf, "customer").select("c_custkey"), decisions, "c_custkey")
 
 
-@query(f"{WITH} SELECT count(*) AS n, round(avg(CAST({SITE} IS NOT NULL AS INT)), 6) AS website_coverage, round(avg(coalesce(CAST(score >= 60 AS INT), 0)), 6) AS sales_ready_ratio, CAST(count(DISTINCT country) AS BIGINT) AS n_countries FROM leads")
-def g5_quality_report(spark, sf):
-    own = O.quality_report(leads(spark, sf).withColumn("sales_ready", F.coalesce(F.col("score") >= 60, F.lit(False))))
-    return own.select("n", F.round("website_coverage", 6).alias("website_coverage"), F.round("sales_ready_ratio", 6).alias("sales_ready_ratio"), "n_countries")
-
-
 @query("SELECT doc_id, array_to_string(list_filter(list_transform(regexp_split_to_array(source || ', ' || lang || ';' || doc_id, '[,;]'), lambda x: trim(x, ' ')), lambda x: x <> ''), '|') AS parts FROM documents")
 def s02_parse_list(spark, sf):
     own = table(spark, sf, "documents")
@@ -216,12 +205,6 @@ def s20_companies(spark, sf):
     return extract.companies(leads(spark, sf), "_ord")
 
 
-@query()
-def s23_mentions(spark, sf):
-    """Purchases told of in the texts; held against samples in the tests."""
-    return extract.mentions(leads(spark, sf), "_ord", "context")
-
-
 @query(
     "SELECT host, array_to_string(list_sort(list_distinct(list(e))), ';') AS emails FROM (SELECT regexp_replace(regexp_extract(lower(url), '://([^/?#]*)', 1), '^www\\.', '') AS host, unnest(regexp_extract_all(html, '(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\\.[A-Z]{2,}')) AS e FROM pages) GROUP BY host"
 )
@@ -329,12 +312,6 @@ def s22_title_names(spark, sf):
     return leads(spark, sf).select("_ord", extract.title_company(F.col("company")).alias("name"))
 
 
-@query()
-def s21_legal_names(spark, sf):
-    """Names with a legal form; its letter classes are Java's, and samples hold it."""
-    return leads(spark, sf).select("_ord", extract.legal_names(F.col("context")).alias("names"))
-
-
 WORDS = ("the", "und", "les", "los", "token")
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from siftlane.plans.collected import ORACLE_SQL, QUERIES
-from siftlane.plans import contacts, gating, merging, more, scoring, tables  # noqa: F401  they register their queries
+from siftlane.plans import contacts, gating, merging, more, scoring, tables, whole  # noqa: F401  they register their queries
 
 FLAGSHIP = "lead_pipeline"
 

@@ -27,9 +27,13 @@ def read_csv(spark: SparkSession, path: str, schema: str, *, bad_lines: str = "s
 
 
 def read_latest(spark: SparkSession, glob: str, kind: str = "parquet") -> DataFrame:
-    """The rows of the last file by name among those a pattern finds. File names are compared, rows are not moved."""
-    rows = spark.read.format(kind).load(glob).withColumn("__file", F.col("_metadata.file_path"))
-    return rows.where(F.col("__file") == rows.agg(F.max("__file")).scalar()).drop("__file")
+    """The rows of the last file by its own name (of equal names by its folder) among those a pattern finds. Files are listed
+    without being read, and the one that is chosen alone is opened."""
+    listed = spark.read.format("binaryFile").load(glob).select(F.struct(F.substring_index("path", "/", -1).alias("name"), "path").alias("file"))
+    last = listed.agg(F.max("file").alias("file")).first().file
+    if last is None:
+        raise FileNotFoundError(f"no file matches {glob}")
+    return spark.read.format(kind).load(last.path)
 
 
 def sheet_rows(data: bytes) -> list[list[str]]:
@@ -143,3 +147,94 @@ def search_files(results: DataFrame, kinds: Iterable[str] = ("pdf", "xlsx", "xls
     rows = results.withColumn("file_type", kind).where("file_type is not null")
     whole = F.struct(*[c for c in rows.columns])
     return rows.groupBy("url").agg(F.min_by(whole, "rank").alias("s")).select("s.*")
+
+
+def paged_items(pages: DataFrame, item_schema: str, *, key: str = "country", body: str = "body", items: str = "items", total: str = "total", most: int | None = None) -> DataFrame:
+    """(key, offset, place, item): the items of a paged service's answers (key, offset, body), one row for each.
+
+    As a reader does that asks page by page, a key's pages count up to the first without items, while the offset is below the
+    total that the page before has told (the last known one) and below ``most``, a reader's own limit."""
+    many = f"array<struct<{item_schema}>>"
+    work = pages.select(key, "offset", F.from_json(F.get_json_object(body, f"$.{items}"), many).alias("__items"), F.get_json_object(body, f"$.{total}").cast("long").alias("__total"))
+    work = work.withColumn("__none", F.coalesce(F.size("__items"), F.lit(0)) <= 0)
+    of = F.struct("offset", F.col("__total").alias("total"))
+    # ends first: the least offset without items, and the least at or beyond the total told before it
+    told = work.where("__total is not null").groupBy(key).agg(F.min(of).alias("first"), F.max("__total").alias("most"), F.min("__total").alias("least"))
+    ends = work.groupBy(key).agg(F.min(F.when(F.col("__none"), F.col("offset"))).alias("__end")).join(told, key, "left")
+    near = F.col("offset") < F.coalesce("__end", F.col("offset") + 1)
+    known = (F.col("offset") <= F.coalesce("first.offset", F.col("offset"))) | (F.col("offset") < F.coalesce("most", F.col("offset") + 1))
+    own = work.join(ends, key).where(near & known & (F.lit(True) if most is None else F.col("offset") < most))
+    return own.select(key, "offset", F.posexplode("__items").alias("place", "item"))
+
+
+def listed_companies(items: DataFrame, source: str, *, key: str = "country", not_names: Iterable[str] = ("withdrawn", "suspended")) -> DataFrame:
+    """Leads of items (company_name, country, product_category, brand_names): without a name, or with a word in it that says the
+    entry is void, they are left out."""
+    name = F.coalesce(F.col("item.company_name"), F.lit(""))
+    fine = name != ""
+    for w in not_names:
+        fine = fine & ~F.lower(name).contains(w)
+    of = lambda c: F.coalesce(F.col(f"item.{c}"), F.lit(""))
+    context = F.concat(F.lit(source.upper()), F.lit(" certified supplier. Product category: "), of("product_category"), F.lit(". Country: "), of("country"), F.lit(". Brands: "), of("brand_names"), F.lit("."))
+    return items.where(fine).select(key, name.alias("company"), of("country").alias("item_country"), F.lit(source).alias("source_type"), context.alias("context"))
+
+
+#: Keys of company lists, and of a list's first item that tell what it is.
+COMPANY_LISTS = ("companies", "members", "results", "data", "items", "records", "suppliers", "manufacturers", "exhibitors")
+COMPANY_KEYS = ("name", "company", "organization", "email", "website")
+
+
+def company_items(df: DataFrame, key: str, column: str, depth: int = 3) -> DataFrame:
+    """(key, item): the entries (JSON text) of the company lists in a payload: those under the first of the known keys that is a
+    list with entries, else all lists, ``depth`` levels down at most, whose first entry is an object with a key that companies
+    have. Each level is a step of the plan; what is no JSON has none."""
+    entries = lambda c: F.from_json(c, "array<string>")
+    fields = lambda c: F.from_json(c, "map<string,string>")
+    is_list, is_object = lambda c: F.ltrim(c).startswith("["), lambda c: F.ltrim(c).startswith("{")
+    work = df.select(key, F.col(column).alias("__j")).where(F.col("__j").isNotNull())
+    top = work.select(key, "__j", F.when(is_object(F.col("__j")), fields(F.col("__j"))).alias("__m"))
+    direct = F.coalesce(*[F.when(is_list(F.try_element_at("__m", F.lit(k))), entries(F.try_element_at("__m", F.lit(k)))) for k in COMPANY_LISTS])
+    top = top.withColumn("__direct", direct)
+    found = top.where(F.size("__direct") > 0).select(key, F.explode("__direct").alias("item"))
+    level = top.where(F.coalesce(F.size("__direct"), F.lit(0)) <= 0).select(key, "__j")
+    for d in range(depth + 1):
+        lists = level.where(is_list(F.col("__j"))).select(key, entries(F.col("__j")).alias("__l"))
+        head = fields(F.get("__l", F.lit(0)))
+        like = F.lit(False)
+        for k in COMPANY_KEYS:
+            like = like | F.coalesce(F.map_contains_key(head, F.lit(k)), F.lit(False))
+        lists = lists.where(is_object(F.get("__l", F.lit(0))) & like)
+        found = found.unionByName(lists.select(key, F.explode("__l").alias("item")))
+        if d < depth:
+            level = level.where(is_object(F.col("__j"))).select(key, F.explode(F.map_values(fields(F.col("__j")))).alias("__j")).where(F.col("__j").isNotNull())
+    return found
+
+
+def item_fields(items: DataFrame, key: str, mapping: dict[str, Iterable[str]], item: str = "item") -> DataFrame:
+    """(key, fields of the mapping): of each JSON entry the first of a field's keys that has a value; the pattern of an address
+    finds an e-mail that no key names."""
+    from siftlane.functions.text import MAIL_PLAIN
+
+    value = lambda keys: F.coalesce(*[F.nullif(F.trim(F.get_json_object(item, f"$.{k}")), F.lit("")) for k in keys])
+    out = {name: value(keys) for name, keys in mapping.items()}
+    if "email" in out:
+        out["email"] = F.coalesce(out["email"], F.nullif(F.regexp_extract(item, MAIL_PLAIN, 0), F.lit("")))
+    return items.select(key, *[c.alias(n) for n, c in out.items()])
+
+
+#: Words of a table's header that tell of companies.
+TABLE_HEADS = ("company", "name", "country", "website", "email", "phone", "address", "city", "product", "member", "booth")
+
+
+def repeated_structures(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
+    """(key, kind, name, n): tables with two header words or more (their cells are the number), classes that three or more
+    elements of a page have, and lists of more than five items."""
+    t = text_of(html)
+    cells = F.transform(F.regexp_extract_all(t, F.lit(r"(?is)<th\b[^>]*>(.*?)</th>"), F.lit(1)), lambda x: F.lower(squeezed(F.regexp_replace(x, "<[^>]*>", " "))))
+    heads = F.filter(F.array(*map(F.lit, TABLE_HEADS)), lambda w: F.exists(cells, lambda c: F.contains(c, w)))
+    tables = pages.select(key, F.lit("table").alias("kind"), F.array_join(heads, ",").alias("name"), F.size(cells).cast("long").alias("n"), F.size(heads).alias("h")).where("h >= 2").drop("h")
+    classes = F.regexp_extract_all(t, F.lit(r"(?i)<(?:div|article|li|section)\b[^>]*\bclass=\"([^\"]+)\""), F.lit(1))
+    cards = pages.select(key, F.explode(classes).alias("name")).groupBy(key, "name").agg(F.count("*").alias("n")).where("n >= 3").select(key, F.lit("card").alias("kind"), "name", "n")
+    lists = pages.select(key, F.explode(F.regexp_extract_all(t, F.lit(r"(?is)<[uo]l\b[^>]*>.*?</[uo]l>"), F.lit(0))).alias("__l"))
+    lists = lists.select(key, F.lit("list").alias("kind"), F.lit("li").alias("name"), F.regexp_count("__l", F.lit(r"(?i)<li\b")).cast("long").alias("n")).where("n > 5")
+    return tables.unionByName(cards).unionByName(lists)

@@ -14,10 +14,18 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.select(*flat).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def write_partitioned(df: DataFrame, path: str, *keys: str) -> None:
-    """Parquet in a folder for each value of the keys. Rows go by key and a salt, so a common value is written by several tasks."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-    df.repartition(*[F.col(k) for k in keys], salt).write.mode("overwrite").partitionBy(*keys).parquet(path)
+def write_partitioned(df: DataFrame, path: str, *keys: str, rows_a_task: int = 5_000_000) -> None:
+    """Parquet in a folder for each value of the keys. Rows go by key and a salt below the tasks that the commonest value needs, so a
+    common value is written by as many tasks as it has rows for, and rare ones by few."""
+    most = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    salts = -(-most // rows_a_task)
+    dealt = [F.col(k) for k in keys] + ([F.pmod(F.xxhash64(*df.columns), F.lit(salts))] if salts > 1 else [])
+    df.repartition(*dealt).write.mode("overwrite").partitionBy(*keys).parquet(path)
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """A Parquet table whose rows take the place of those that were there."""
+    df.write.mode("overwrite").parquet(path)
 
 
 def append_log(df: DataFrame, path: str) -> None:

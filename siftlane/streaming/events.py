@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftlane.sources.sinks import upserted
-
 
 def event_stream(spark: SparkSession, path: str, schema, files_a_batch: int = 1) -> DataFrame:
     """Events of a folder's files; a time without a zone is taken as the session's."""
@@ -30,14 +28,22 @@ def first_of_repeats(leads: DataFrame, keys: list[str], late: str = "1 day") ->
     return leads.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)
 
 
-def upsert_batches(stream: DataFrame, path: str, key: str, checkpoint: str):
-    """Each batch's rows put into a Parquet table by key. A batch writes a version of its own, and a batch that is run
-    again writes the same one, so nothing is applied twice."""
+def upsert_batches(stream: DataFrame, path: str, key: str, checkpoint: str, order: str = "ts", keep: int = 2):
+    """Each batch's rows put into a Parquet table by key, the one of the greatest ``order`` of each, old ones included.
+
+    A batch writes a version of its own, from the version before, and a batch that is run again writes the same one, so
+    nothing is applied twice. ``newest`` names the last whole version; the last ``keep`` versions stay."""
 
     def put(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        newest = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), "ts").alias("s")).select("s.*")
-        old = spark.read.parquet(f"{path}/v{number - 1}") if number else None
-        (upserted(old, newest, key) if old is not None else newest).write.mode("overwrite").parquet(f"{path}/v{number}")
+        rows = batch
+        if number:
+            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(f"{path}/v{number - 1}"))
+        newest = rows.groupBy(key).agg(F.max_by(F.struct(*batch.columns), order).alias("s")).select("s.*")
+        newest.write.mode("overwrite").parquet(f"{path}/v{number}")
+        spark.createDataFrame([(f"v{number}",)], "name string").coalesce(1).write.mode("overwrite").text(f"{path}/newest")
+        if number >= keep:
+            old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v{number - keep}")
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

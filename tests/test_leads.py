@@ -178,7 +178,7 @@ def test_extraction(spark):
     got = {(r._ord, r.company) for r in extract.companies(own, "_ord").collect()}
     assert {(1, "Aksa Akrilik GmbH"), (1, "Denim Works")} <= got and all(k == 1 for k, _ in got) and not any("Smith" in c for _, c in got)
     body = "News. Textil Alfa of Brazil has installed a new Monforts stenter for finishing. Gamma Mills in Egypt has commissioned two lines. Delta has ordered more. Nobody has seen it."
-    found = {r.company: (r.country, r.event, r.oem_brand, r.confidence) for r in extract.mentions(spark.createDataFrame([(1, body)], "k long, t string"), "k", "t").collect()}
+    found = {r.company: (r.country, r.event, r.oem_brand, r.confidence) for r in extract.purchases(spark.createDataFrame([(1, body)], "k long, t string"), "k", "t").collect()}
     assert found == {"Textil Alfa": ("Brazil", "installed", "monforts", 1.0), "Gamma Mills": ("Egypt", "commissioned", None, 0.6), "Delta": (None, "ordered", None, 0.4)}
     page = spark.createDataFrame([(1, "Profile\nAlfa Textil\nStreet 1\nTown\nEmail: a@alfa.com\nrest")], "k long, t string")
     assert tuple(extract.profiles(page, "k", "t").first()) == (1, "Alfa Textil", "a@alfa.com", "Street 1, Town")
@@ -186,7 +186,7 @@ def test_extraction(spark):
 
 def test_all_mentions_of_a_sentence(spark):
     body = "Alpha Mills has installed a line and Beta Tekstil of Turkey has ordered two stenters and Alpha Mills has ordered more"
-    found = {(r.company, r.country, r.event) for r in extract.mentions(spark.createDataFrame([(1, body)], "k long, t string"), "k", "t").collect()}
+    found = {(r.company, r.country, r.event) for r in extract.purchases(spark.createDataFrame([(1, body)], "k long, t string"), "k", "t").collect()}
     assert found == {("Alpha Mills", None, "installed"), ("Beta Tekstil", "Turkey", "ordered")}
 
 
@@ -223,3 +223,37 @@ def test_contacts_and_snippets(spark):
     assert column(got, "contact_confidence") == ["high", "low"] and column(got, "contact_notes") == [["email_on_site", "phone_in_country"], ["free_provider"]]
     both = more_scores.consolidated(own.withColumn("more", F.lit("c@x.org; bad")), ["emails", "more"], ["phones"])
     assert column(both, "all_emails") == ["a@alfa.com.tr; c@x.org", "b@gmail.com; c@x.org"] and column(both, "phone") == ["+902125554433", None]
+
+
+def plain_mentions(text):
+    """The six patterns of customer mentions by plain code."""
+    import re
+
+    out = {}
+    for p in extract.MENTION_EVENTS:
+        for m in re.finditer(p, text, re.IGNORECASE):
+            around = text[max(0, m.start() - 150) : m.end() + 150]
+            name = re.sub(r"^(the|a|an)\s+", "", re.sub(r"\s+", " ", m.group(1)).strip(), flags=re.IGNORECASE)
+            words, low = name.split(), name.lower()
+            if not 3 <= len(name) <= 80 or len(words) > 8 or (len(words) == 1 and low in extract.MENTION_GENERIC) or low.startswith(extract.MENTION_MAKERS):
+                continue
+            if len(words) > 3 and any(w in low for w in ("has", "have", "will", "are", "is", "the")):
+                continue
+            said = [x.group(1) for x in (re.search(q, around) for q in extract.MENTION_PLACES) if x]
+            known = [x for x in said if x.lower() in extract.MENTION_COUNTRIES] + [c for c in extract.MENTION_COUNTRIES if c in around.lower()]
+            equipment = next((k for k, w in extract.MENTION_EQUIPMENT.items() if any(x in around.lower() for x in w)), "unknown")
+            points = 2 * bool(re.search(r"\b(Ltd|GmbH|SA|Inc|Group|SpA|Ltda|SRL|AS|KG)\b", name, re.I)) + 2 * bool(known) + (equipment != "unknown")
+            points += any(w in around.lower() for w in ("installed", "commissioned", "delivered", "ordered", "invested")) + (len(words) >= 2)
+            out.setdefault(low, (name, known[0].title() if known else "Unknown", equipment, around[:300], "high" if points >= 5 else "medium" if points >= 3 else "low"))
+    return sorted(out.values())
+
+
+def test_mentions_against_plain_code(spark):
+    from siftlane.plans import registry, whole
+
+    sf = "/root/testdata/sf0.001"
+    got = {}
+    for r in registry.QUERIES["s23_mentions"](spark, sf).collect():
+        got.setdefault(r._ord, []).append((r.company, r.country, r.equipment_type, r.evidence_snippet, r.confidence))
+    want = {r._ord: plain_mentions(r.context) for r in whole.mentioning(spark, sf).collect()}
+    assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in want.items() if v} and len(got) > 100

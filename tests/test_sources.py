@@ -83,8 +83,10 @@ def test_streams(spark, tmp_path):
     assert {(r.start, r.event_type): r.n for r in spark.sql("select * from days").collect()} == want
     done = events.upsert_batches(stream.selectExpr("user_id", "event_type", "ts"), str(tmp_path / "t"), "user_id", str(tmp_path / "cp"))
     done.awaitTermination()
-    last = sorted((tmp_path / "t").iterdir(), key=lambda p: int(p.name[1:]))[-1]
-    assert spark.read.parquet(str(last)).count() == src.select("user_id").distinct().count()
+    versions = {p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("v")}
+    last = spark.read.text(str(tmp_path / "t/newest")).first()[0]
+    assert versions == {last, f"v{int(last[1:]) - 1}"}
+    assert spark.read.parquet(str(tmp_path / "t" / last)).count() == src.select("user_id").distinct().count()
     assert events.sessions(src).agg(F.sum("n")).first()[0] == src.count()
 
 
