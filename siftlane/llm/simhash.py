@@ -50,6 +50,8 @@ from siftlane.operators.components import connected_components, joined_by_key
 SLICE_BYTES = 8 << 20
 #: Pairs of a large cell that are compared at once.
 BLOCK_PAIRS = 1 << 19
+#: Links of a member in a cell when pairs are wanted; rows of a cell of which all pairs are looked at for that.
+NEAREST, WHOLE_CELL = 4, 2048
 
 
 def shingle_hashes(text: str, shingle: int) -> np.ndarray:
@@ -171,9 +173,14 @@ def unary(fps: np.ndarray, segment_bits: int) -> np.ndarray:
 
 
 class Links:
-    """Links inside cells. A pair that meets in several cells is a link in the first of them alone, that of its first
-    agreeing groups. As ``stars``, each member is linked with the first member of its cell that it is connected with;
-    otherwise the links are pairs that are near, as many as connect what is connected at least.
+    """Links inside cells.
+
+    As ``stars``, each member is linked with the first member of its cell that it is connected with. A pair that meets in
+    several cells is a link in the first of them alone, that of its first agreeing groups.
+
+    Otherwise the links are pairs that are near: each member with the NEAREST few in the cell, or, where a cell of more than
+    WHOLE_CELL rows has very many such pairs, two trees of each connected part, one of the pairs that are nearest. So a cell
+    gives a few links for each member at most; the same pair from several cells is one link.
 
     Rows have ``prints`` fingerprints; a choice's number also says by which of them the row was placed."""
 
@@ -187,7 +194,7 @@ class Links:
 
     def near(self, i: np.ndarray, j: np.ndarray, rows: tuple, total: int | None) -> np.ndarray:
         """Whether rows i and j (broadcast) are linked: the Manhattan bound, the Hamming distance, that of all fingerprints
-        together, and that their cell is the pair's first."""
+        together, and for stars that their cell is the pair's first."""
         fps, emb, prints, choices = rows
         hit = np.bitwise_count(emb[i] ^ emb[j]) <= self.radius
         if hit.any():
@@ -196,10 +203,12 @@ class Links:
             ok = np.bitwise_count(fps[i] ^ fps[j]) <= self.radius
             if total is not None:
                 ok &= apart(prints, i, j) <= total
-            differ, agreeing = emb[i] ^ emb[j], np.zeros(len(i), dtype=np.uint64)
-            for g, mask in enumerate(self.groups):
-                agreeing |= ((differ & mask) == 0).astype(np.uint64) << np.uint64(g)
-            hit[at] = ok & ((agreeing & self.upto[choices[i]]) == self.own[choices[i]])
+            if self.stars:
+                differ, agreeing = emb[i] ^ emb[j], np.zeros(len(i), dtype=np.uint64)
+                for g, mask in enumerate(self.groups):
+                    agreeing |= ((differ & mask) == 0).astype(np.uint64) << np.uint64(g)
+                ok &= (agreeing & self.upto[choices[i]]) == self.own[choices[i]]
+            hit[at] = ok
         return hit
 
     def of(self, cells: np.ndarray, prints: np.ndarray, choices: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -221,31 +230,39 @@ class Links:
                 hit = self.near(at, at + step, rows, self.total)
                 one.append(at[hit])
                 two.append(at[hit] + step)
+        trees = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for start, size in zip(starts[sizes > 48].tolist(), sizes[sizes > 48].tolist()):
-            a, b = self.within(np.arange(start, start + size), rows)
-            one.append(a)
-            two.append(b)
+            own = np.arange(start, start + size)
+            found = self.pairs(own, rows)
+            if found is None:
+                bounds = [self.total] if self.stars or self.total is None else [self.total, self.total * 2 // 3]
+                trees += [self.trees(own, rows, t) for t in bounds]
+            else:
+                one.append(found[0])
+                two.append(found[1])
         one, two = np.concatenate(one), np.concatenate(two)
+        if not self.stars:
+            one, two = nearest(one, two, prints)
+        one, two = np.concatenate([one, *(t[0] for t in trees)]), np.concatenate([two, *(t[1] for t in trees)])
         return stars(one, two, n) if self.stars else (one, two)
 
-    def within(self, own: np.ndarray, rows: tuple) -> tuple[np.ndarray, np.ndarray]:
-        """Links of one large cell: its linked pairs if they are few, else a tree of each part, and in those that aren't
-        ``stars`` one more of the pairs that are nearest."""
+    def pairs(self, own: np.ndarray, rows: tuple) -> tuple[np.ndarray, np.ndarray] | None:
+        """The linked pairs of one large cell; nothing if they are more than eight for each member and many, and not wanted whole."""
         one, two, found = [], [], 0
         some = max(1, BLOCK_PAIRS // len(own))
+        whole = not self.stars and len(own) <= WHOLE_CELL
         for i in range(0, len(own), some):
             a, b = np.nonzero(self.near(own[i : i + some, None], own[None, i:], rows, self.total))
             up = b > a
             one.append(own[a[up] + i])
             two.append(own[b[up] + i])
             found += int(up.sum())
-            if found > 8 * len(own):
-                bounds = [self.total] if self.stars or self.total is None else [self.total, self.total * 2 // 3]
-                trees = [self.trees(own, rows, t) for t in bounds]
-                return np.concatenate([t[0] for t in trees]), np.concatenate([t[1] for t in trees])
+            if found > 8 * len(own) and not whole:
+                return None
         return np.concatenate(one), np.concatenate(two)
 
     def trees(self, left: np.ndarray, rows: tuple, total: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """A tree of each connected part."""
         one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         while len(left):
             front, left = [int(left[0])], left[1:]
@@ -260,6 +277,16 @@ class Links:
         return np.concatenate(one), np.concatenate(two)
 
 
+def nearest(one: np.ndarray, two: np.ndarray, prints: np.ndarray, most: int = NEAREST) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of rows those that are among the nearest few of one of their rows; of equally near ones those with the first rows."""
+    far, rows, others = apart(prints, one, two), np.r_[one, two], np.r_[two, one]
+    order = np.lexsort((others, np.r_[far, far], rows))
+    begins = np.flatnonzero(np.r_[True, rows[order][1:] != rows[order][:-1]]) if len(order) else order
+    rank = np.arange(len(order)) - np.repeat(begins, np.diff(np.r_[begins, len(order)]))
+    kept = order[rank < most]
+    return np.minimum(rows[kept], others[kept]), np.maximum(rows[kept], others[kept])
+
+
 def apart(prints: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The distance of rows i and j in all fingerprints together."""
     return np.bitwise_count(prints[:, i] ^ prints[:, j]).sum(axis=0, dtype=np.int64)
