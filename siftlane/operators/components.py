@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 from siftlane.session import checkpointed
 
 
-def joined_by_key(many: DataFrame, one: DataFrame, key: str, size: str, rows: int, share: int = 4096) -> DataFrame:
+#: Tables of fewer rows are one task's work anyway.
+FEW_ROWS = 1 << 16
+
+
+def joined_by_key(many: DataFrame, one: DataFrame, key: str, size: str, rows: int, share: int = 4096, few: int = 512) -> DataFrame:
     """many (of ``rows`` rows) joined with one, which has a row for each key and in ``size`` how many of many's rows have it.
 
     Keys of more than rows / share rows (512 at least) can't be more than ``share``: they are broadcast, so that their rows
-    stay where they are. All other keys are dealt out by a shuffle.
+    stay where they are. All other keys are dealt out by a shuffle, as are tables of ``few`` rows or fewer.
     """
     limit = max(512, rows // share)
-    if rows <= limit:
+    if rows <= max(few, limit):
         return many.join(one, key)
     hot = F.broadcast(one.where(F.col(size) > limit))
     rest = many.join(hot.select(key), key, "left_anti").join(one.where(F.col(size) <= limit), key)
@@ -40,9 +44,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     for _ in range(max_rounds):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
-        links = joined_by_key(both, least, "u", "n", 2 * rows).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        links = joined_by_key(both, least, "u", "n", 2 * rows, few=FEW_ROWS).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = links.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        small = joined_by_key(links, least, "u", "n", rows).select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
+        small = joined_by_key(links, least, "u", "n", rows, few=FEW_ROWS).select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
         links = checkpointed(small.select(F.col("e.u").alias("u"), F.col("e.m").alias("v")).where("u > v").distinct())
         if (after := mark(links)) == before:
             break
