@@ -77,3 +77,28 @@ def test_tricky_texts(spark, rows):
 def test_training_on_nothing_is_even(spark):
     model = secrets.train(spark.createDataFrame([(None, True, 1)], "token string, random boolean, times long"))
     assert set(model.ratios) == {0}
+
+
+WORDS = "internal request handler connection manager default value image upload service account response header message builder test case index page user profile session storage module factory config loader parser stream buffer reader writer event listener table column schema version update field".split()
+
+
+def test_held_out_precision_and_recall(spark):
+    """Strings and identifiers that no training saw: identifiers of English words in four styles, random strings of four alphabets."""
+    import base64
+    import random
+
+    model, rng = secrets.train(secrets.labelled_samples(spark.read.parquet(f"{SF}/documents.parquet"))), random.Random(12)
+    named = lambda: [rng.choice(WORDS) for _ in range(rng.randrange(2, 6))]
+    styles = ("_".join, "-".join, lambda w: "".join(x.title() for x in w), lambda w: "/".join(w) + str(rng.randrange(100)))
+    ordinary = [x for x in (styles[i % 4](named()) for i in range(4000)) if len(x) >= 16]
+    pick = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    random_ones = [(lambda n: (pick(letters, n), base64.b64encode(rng.randbytes(n)).decode(), pick(letters[:26] + letters[52:], n), base64.urlsafe_b64encode(rng.randbytes(n)).decode())[i % 4])(rng.randrange(24, 48)) for i in range(4000)]
+
+    def ratio(t):
+        states = [0, *(secrets.ALPHABET.index(c) + 1 for c in t)]
+        return sum(model.ratios[a * secrets.STATES + b] for a, b in zip(states, states[1:]))
+
+    caught, false = (sum(ratio(t) >= model.threshold for t in x) for x in (random_ones, ordinary))
+    print("recall", caught / len(random_ones), "false alarms", false / len(ordinary), "precision", caught / (caught + false))
+    assert caught >= 0.95 * len(random_ones) and false <= 0.01 * len(ordinary)
