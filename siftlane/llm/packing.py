@@ -31,10 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftlane.llm.common import checkpointed, slices, whole_text
-from siftlane.llm.token_ids import SLICE_BYTES, encode_rows, id_type, splits_at_spaces
+from siftlane.llm.token_ids import encode_rows, id_type, splits_at_spaces
 
 CAPACITIES = (512, 1024, 2048)
 OVERHEAD = 16
+#: Bytes of text whose words are looked up together.
+SLICE_BYTES = 4 << 20
 
 
 def word_tokens(text: Column) -> Column:
