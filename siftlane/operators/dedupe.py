@@ -8,6 +8,8 @@ window over a key's rows, so a key with a third of the rows is no task of its ow
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
+from math import log2, prod
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -184,45 +186,136 @@ def profiled(leads: DataFrame) -> DataFrame:
     return leads.select("_ord", name_key().alias("name"), low("country").alias("country"), F.lower(text_of("website")).alias("website"))
 
 
-def match_weight(a: str, b: str, prior: float) -> Column:
-    """The Fellegi-Sunter sum of log ratios of two structs of a profile's columns."""
-    from math import log2
+@dataclass(frozen=True)
+class Weights:
+    """Log ratios of the agreement levels, and of the prior odds. With shares (rows of kind, value, share, the rate at
+    which two leads have a common value by chance being ``by_chance`` of the kind), equal countries or websites weigh more
+    the rarer their value is."""
 
-    w = {k: log2(m / u) for k, (m, u) in LINK_WEIGHTS.items()}
+    levels: dict[str, float]
+    prior: float
+    shares: DataFrame | None = None
+    by_chance: dict[str, float] = field(default_factory=dict)
+
+    @classmethod
+    def of(cls, probabilities: dict[str, tuple[float, float]], prior: float, **more) -> "Weights":
+        return cls({k: log2(m / u) for k, (m, u) in probabilities.items()}, log2(prior / (1 - prior)), **more)
+
+
+def match_levels(a: str, b: str) -> dict[str, Column]:
+    """The agreement level of each compared column of two structs of a profile's columns; null where one is empty."""
     of = lambda c: (F.col(f"{a}.{c}"), F.col(f"{b}.{c}"))
     (na, nb), (ca, cb), (wa, wb) = map(of, PROFILE)
-    name = F.when(na == nb, w["name_equal"]).when(F.levenshtein(na, nb, 2).between(0, 2), w["name_close"]).otherwise(w["name_other"])
-    country = F.when((ca == "") | (cb == ""), 0.0).when(ca == cb, w["country_equal"]).otherwise(w["country_other"])
-    site = F.when((wa == "") | (wb == ""), 0.0).when(wa == wb, w["site_equal"]).otherwise(w["site_other"])
-    return F.round(name + country + site + log2(prior / (1 - prior)), 6)
+    name = F.when(na == nb, "name_equal").when(F.levenshtein(na, nb, 2).between(0, 2), "name_close").otherwise("name_other")
+    country = F.when((ca != "") & (cb != ""), F.when(ca == cb, "country_equal").otherwise("country_other"))
+    site = F.when((wa != "") & (wb != ""), F.when(wa == wb, "site_equal").otherwise("site_other"))
+    return {"name": name, "country": country, "site": site}
+
+
+def match_weight(a: str, b: str, weights: Weights) -> Column:
+    """The Fellegi-Sunter sum of log ratios of two structs of a profile's columns. Shares, if there are some, are the columns
+    country_more and website_more of the structs."""
+    total = F.lit(weights.prior)
+    for level in match_levels(a, b).values():
+        table = F.lit(0.0)
+        for k, w in weights.levels.items():
+            table = F.when(level == k, w).otherwise(table)
+        total = total + table
+    if weights.shares is not None:
+        for c in ("country", "website"):
+            total = total + F.when((F.col(f"{a}.{c}") == F.col(f"{b}.{c}")) & (F.col(f"{a}.{c}") != ""), F.coalesce(F.col(f"{a}.{c}_more"), F.lit(0.0))).otherwise(0.0)
+    return F.round(total, 6)
+
+
+def estimated_weights(leads: DataFrame, rounds: int = 20, prior: float = 0.01) -> Weights:
+    """Weights from the leads alone, without labels.
+
+    By chance two leads agree in a value as often as the sum of its squared shares says (of close names as the fixed
+    values do). What matches agree in, and how many of the blocked pairs are matches, is estimated by expectation maximisation, over
+    pairs of one name for country and website and over those of one website for name and country, on the patterns of levels, of which there are 27 at most; the pairs of two profiles' leads are counted by their numbers. A common
+    country or website then weighs less than a rare one, by the ratio of its share to the mean one."""
+    n = {}
+    shares = None
+    for kind, c in (("name", "name"), ("country", "country"), ("site", "website")):
+        own = profiled(leads).where(F.col(c) != "").groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n"))
+        total = own.agg(F.sum("n")).scalar()
+        own = own.select(F.lit(c).alias("kind"), "value", (F.col("n") / total).alias("share"))
+        n[kind] = own.agg(F.sum(F.pow("share", 2))).first()[0] or 0.001
+        shares = own if shares is None else shares.unionByName(own) if kind != "name" else shares
+    bounded = lambda p: min(0.999, max(1e-6, p))
+    close = LINK_WEIGHTS["name_close"][1]
+    u = {"name_equal": bounded(n["name"]), "name_close": close, "name_other": bounded(1 - n["name"] - close)}
+    for k in ("country", "site"):
+        u |= {f"{k}_equal": bounded(n[k]), f"{k}_other": bounded(1 - n[k])}
+    own = profiled(leads).groupBy(*PROFILE).agg(F.min("_ord").alias("p"), F.count("*").alias("n")).withColumn("x", F.struct(*PROFILE, "n"))
+    leveled = lambda df, a, b, n: df.select(*[c.alias(k) for k, c in match_levels(a, b).items()], n.cast("double").alias("n"))
+    within = own.where("n > 1 and (name != '' or website != '')")
+    every = leveled(profile_pairs(leads, own), "x", "y", F.col("x.n") * F.col("y.n")).unionByName(leveled(within, "x", "x", F.col("n") * (F.col("n") - 1) / 2))
+    pairs = every.groupBy("name", "country", "site").agg(F.sum("n").alias("n"))
+    patterns = [({k: r[k] for k in ("name", "country", "site") if r[k]}, r["n"]) for r in pairs.collect()]  # 27 rows at most
+    m, seen = {k: v[0] for k, v in LINK_WEIGHTS.items()}, {}
+    for held, kinds in ((("name", "name_equal"), ("country", "site")), (("site", "site_equal"), ("name", "country"))):
+        # pairs that were blocked by a column all agree in it, so it tells nothing among them: the others are estimated there
+        own, share = [(p, n) for p, n in patterns if p.get(held[0]) == held[1]], 0.5
+        for _ in range(rounds if own else 0):
+            odds = [share / (1 - share) * prod(m[p[k]] / u[p[k]] for k in kinds if k in p) for p, _ in own]
+            match = [o / (1 + o) * n for o, (_, n) in zip(odds, own)]
+            share = min(0.999, max(0.001, sum(match) / sum(n for _, n in own)))
+            for kind in kinds:
+                weight = {k: sum(w for w, (p, _) in zip(match, own) if p.get(kind) == k) + 0.01 for k in m if k.startswith(kind)}
+                m |= {k: bounded(v / sum(weight.values())) for k, v in weight.items()}
+        for k, v in m.items():
+            if own and k.split("_")[0] in kinds:
+                seen.setdefault(k, []).append(v)
+    m |= {k: sum(v) / len(v) for k, v in seen.items()}
+    return Weights.of({k: (m[k], u[k]) for k in m}, prior, shares=checkpointed(shares.where("kind != 'name'")), by_chance={"country": n["country"], "website": n["site"]})
 
 
 def match_probability(weight: Column) -> Column:
     return F.round(1 / (1 + F.pow(F.lit(2.0), -weight)), 6)
 
 
-def profile_links(leads: DataFrame, threshold: float, prior: float) -> tuple[DataFrame, DataFrame]:
+def profile_keys(own: DataFrame) -> DataFrame:
+    """(p, x, key): the blocks of each profile, its name and its website."""
+    return own.select("p", "x", F.explode(F.array(F.concat(F.lit("n:"), "x.name"), F.concat(F.lit("w:"), "x.website"))).alias("key")).where("length(key) > 2")
+
+
+def profile_pairs(leads: DataFrame, own: DataFrame | None = None) -> DataFrame:
+    """(p, x, q, y): pairs of different profiles of one name or one website, p < q, each once."""
+    own = profiled(leads).groupBy(*PROFILE).agg(F.min("_ord").alias("p")).withColumn("x", F.struct(*PROFILE)) if own is None else own
+    keys = profile_keys(own)
+    pairs = keys.join(keys.select("key", F.col("p").alias("q"), F.col("x").alias("y")), "key")
+    return pairs.where("p < q and (key like 'n:%' or x.name != y.name or x.name = '')").select("p", "x", "q", "y")
+
+
+def profile_links(leads: DataFrame, threshold: float, weights: Weights) -> tuple[DataFrame, DataFrame]:
     """(profiles, links): each distinct profile with its least _ord, the weight of two leads that share it, and whether that
     reaches the threshold; and the pairs (p, q, match_weight) of profiles of one name or one website that reach it.
 
     Leads of one profile are scored as one, so only different profiles of a key make pairs, whatever the number of leads.
     A pair of one name and one website is taken from the name's key only.
     """
-    own = profiled(leads).groupBy(*PROFILE).agg(F.min("_ord").alias("p")).withColumn("x", F.struct(*PROFILE))
-    alike = match_weight("x", "x", prior)
+    own = profiled(leads).groupBy(*PROFILE).agg(F.min("_ord").alias("p"))
+    columns = list(PROFILE)
+    if weights.shares is not None:
+        for c in ("country", "website"):
+            rare = weights.shares.where(F.col("kind") == c).select(F.col("value").alias(c), (F.log2(F.lit(weights.by_chance[c])) - F.log2("share")).alias(f"{c}_more"))
+            own = own.join(rare, c, "left")
+            columns.append(f"{c}_more")
+    own = own.withColumn("x", F.struct(*columns))
+    alike = match_weight("x", "x", weights)
     blocked = (F.col("name") != "") | (F.col("website") != "")
     profiles = own.select("p", *PROFILE, alike.alias("match_weight"), (blocked & (match_probability(alike) >= threshold)).alias("alike"))
-    keys = own.select("p", "x", F.explode(F.array(F.concat(F.lit("n:"), "name"), F.concat(F.lit("w:"), "website"))).alias("key")).where("length(key) > 2")
-    pairs = keys.join(keys.select("key", F.col("p").alias("q"), F.col("x").alias("y")), "key").where("p < q and (key like 'n:%' or x.name != y.name or x.name = '')")
-    scored = pairs.select("p", "q", match_weight("x", "y", prior).alias("match_weight"))
+    scored = profile_pairs(leads, own).select("p", "q", match_weight("x", "y", weights).alias("match_weight"))
     return profiles, scored.where(match_probability(F.col("match_weight")) >= threshold)
 
 
-def linked(leads: DataFrame, threshold: float = 0.8, prior: float = 0.01) -> DataFrame:
+def linked(leads: DataFrame, threshold: float = 0.8, prior: float = 0.01, weights: Weights | None = None) -> DataFrame:
     """(a, b, match_weight, match_probability) of all blocked pairs that reach the threshold, by a Fellegi-Sunter sum of log ratios.
 
-    The result has every pair of a group of copies; ``resolved`` needs none of them."""
-    profiles, links = profile_links(leads, threshold, prior)
+    The weights are fixed ones unless ``estimated_weights`` or others are given. The result has every pair of a group of copies;
+    ``resolved`` needs none of them."""
+    profiles, links = profile_links(leads, threshold, weights or Weights.of(LINK_WEIGHTS, prior))
     members = profiled(leads).join(profiles, [*PROFILE]).select("_ord", "p", "match_weight", "alike")
     one, two = members.select("p", F.col("_ord").alias("a")), members.select(F.col("p").alias("q"), F.col("_ord").alias("b"))
     within = members.where("alike").select("p", F.col("_ord").alias("a"), "match_weight").join(one.withColumnRenamed("a", "b"), "p").where("a < b")
@@ -230,12 +323,12 @@ def linked(leads: DataFrame, threshold: float = 0.8, prior: float = 0.01) -> Dat
     return within.select("a", "b", "match_weight").unionByName(across).withColumn("match_probability", match_probability(F.col("match_weight")))
 
 
-def resolved(leads: DataFrame, score: str = "score", threshold: float = 0.8, prior: float = 0.01) -> DataFrame:
+def resolved(leads: DataFrame, score: str = "score", threshold: float = 0.8, prior: float = 0.01, weights: Weights | None = None) -> DataFrame:
     """leads with entity_id (the least _ord of its linked leads), one row of each entity: the best score, the first seen of equal ones.
 
     Components are those of ``linked``, found on profiles: all leads of two linked profiles are linked across, so they
     are connected even where leads of one profile don't reach the threshold between themselves."""
-    profiles, links = profile_links(leads, threshold, prior)
+    profiles, links = profile_links(leads, threshold, weights or Weights.of(LINK_WEIGHTS, prior))
     found = connected_components(links, "p", "q")
     entities = profiles.join(found.withColumnRenamed("node", "p"), "p", "left").select(*PROFILE, F.coalesce("component", F.when(F.col("alike"), F.col("p"))).alias("__entity"))
     of = profiled(leads).join(entities, [*PROFILE]).select("_ord", F.coalesce("__entity", "_ord").alias("entity_id"))

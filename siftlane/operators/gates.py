@@ -22,40 +22,40 @@ NAME_BARE = r"^(the |a )?(textile|dyeing|finishing|machine)$"
 NAME_YEAR = r"\d{4}\s*(event|summit|conference)"
 NAME_SUFFIX = r"\w+\s+(ltd|inc|llc|gmbh|sa|srl)"
 LEGAL = (
-    r"(?iu)\b(gmbh|ltd|llc|inc|corp|sa\b|s\.a\.|ag\b|a\.g\.|kg\b|k\.g\.|co\.|company|limited|plc|pty|bv\b|b\.v\.|nv\b|n\.v\.|"
+    r"(?iuU)\b(gmbh|ltd|llc|inc|corp|sa\b|s\.a\.|ag\b|a\.g\.|kg\b|k\.g\.|co\.|company|limited|plc|pty|bv\b|b\.v\.|nv\b|n\.v\.|"
     r"srl|s\.r\.l\.|spa|s\.p\.a\.|as\b|a\.s\.|oy|ab\b|anonim|a\.ş\.|ltd\.şti\.|ltda|cia|industries|group|holdings|bros|brothers|sons|e\.?\s*cia)\b"
 )
 HEADLINE = (
-    r"(?iu)^(Advanced|Premium|Value|Booming|Fascinating|Global|Technical|Modern|New|Latest|Industrial|Efficient|Sustainable|Innovative|Leading|Major)\s+"
+    r"(?iuU)^(Advanced|Premium|Value|Booming|Fascinating|Global|Technical|Modern|New|Latest|Industrial|Efficient|Sustainable|Innovative|Leading|Major)\s+"
     r"(Textile|Textiles|Finishing|Dyeing|Fabric|Fabrics|Processing|Manufacturing)s?\b|\bTextile\s+(Manufacturers?|Industry|Sector|Production|World|Technology)\b|"
     r"\b(CKNER|NFORTS|ANTEX)\s+|^(For|The|In|On|At|To|Of|With)\s+\w+\s+(Textile|Finishing)|\bEnergy\s+Efficiencies?\s+For\b|"
     r"\bMachine\s+Orders?\s+(From|To)\b|\bPuts?\s+A\s+Premium\b|\bThermatron\s+The\b"
 )
 TITLE = (
-    r"(?iu)^.{0,50}:\s|\bTypes?,\s|\bMachine:\s|\bGuide\s+(to|for)\b|\bHow\s+to\b|\bWhat\s+is\b|\bIntroduction\s+to\b|\b(Top|Best|Latest)\s+\d+\b|"
+    r"(?iuU)^.{0,50}:\s|\bTypes?,\s|\bMachine:\s|\bGuide\s+(to|for)\b|\bHow\s+to\b|\bWhat\s+is\b|\bIntroduction\s+to\b|\b(Top|Best|Latest)\s+\d+\b|"
     r"^The\s+(New|Latest|Best)\b|:$|^Textile\s+Stenter\b|\bMachine$|,\s*(What|How|Why|Who|When|Where)\b|^\w+,\s+(What|How|Why)\b|\bFrame$"
 )
 SENTENCE = (
-    r"(?iu)^(We|They|Our|It|This|That)\s+(are|is|was|were|have|has|will)\b|\b(fully|now|recently|currently)\s+(supported|available|launched)\b|"
+    r"(?iuU)^(We|They|Our|It|This|That)\s+(are|is|was|were|have|has|will)\b|\b(fully|now|recently|currently)\s+(supported|available|launched)\b|"
     r"^(Here|There|Now|Also)\s+|\band\s+more\b|\betc\.?\b|^\d+\s+years?\b|\bsince\s+\d{4}\b|\s+at\s+the\s+|\s+in\s+the\s+|"
     r"\s+plant\s+o[fn]?\b|\s+factory\s+o[fn]?\b|\s+facility\s+o[fn]?\b"
 )
 PERSON = (
-    r"(?iu)\b(Technologist|Manager|Director|Engineer|Specialist|Consultant|Expert|Officer|Head|Chief|Supervisor|Coordinator|Analyst|"
+    r"(?iuU)\b(Technologist|Manager|Director|Engineer|Specialist|Consultant|Expert|Officer|Head|Chief|Supervisor|Coordinator|Analyst|"
     r"CEO|CFO|CTO|COO|Owner|Founder|President|VP|Vice)\b|\bfor\s+(Dyeing|Finishing|Production|Quality|Sales|Marketing)\b"
 )
 MACHINE = (
-    r"(?iu)^(Brückner|Monforts|Krantz|Artos|Santex|Babcock|Goller)\s+(Stenter|Tenter|Machine|Ram|Range|Line|System|Equipment)\b|"
+    r"(?iuU)^(Brückner|Monforts|Krantz|Artos|Santex|Babcock|Goller)\s+(Stenter|Tenter|Machine|Ram|Range|Line|System|Equipment)\b|"
     r"^Stenter\s+(Machine|Frame|Range|Line)|^(Horizontal|Vertical)\s+(Chain|Kette)|\bGleitstein\b|\bKluppen\b|\bBuchse\b"
 )
-ARTICLE = r"(?iu)^(the|of|in|a|an|to|for|with|from|by)\s+\w+$"
+ARTICLE = r"(?iuU)^(the|of|in|a|an|to|for|with|from|by)\s+\w+$"
 ADJECTIVE_NOUN = (
-    r"(?iu)^(upcoming|new|latest|modern|advanced|sustainable|technical|home|quality|german|turkish|brazilian)\s+"
+    r"(?iuU)^(upcoming|new|latest|modern|advanced|sustainable|technical|home|quality|german|turkish|brazilian)\s+"
     r"(textile|textiles|machinery|machine|machines|fabric|fabrics|finishing|dyeing)s?$"
 )
-GENERIC_PHRASE = r"(?iu)^(\w+\s+){0,3}(textile|textiles|fabric|fabrics|finishing|dyeing|weaving|spinning|mills?|manufacturing)s?$"
+GENERIC_PHRASE = r"(?iuU)^(\w+\s+){0,3}(textile|textiles|fabric|fabrics|finishing|dyeing|weaving|spinning|mills?|manufacturing)s?$"
 PARTS_SUPPLIER = (
-    r"(?iu)\b(spare\s*parts?|parts?\s*supplier|parts?\s*trading|machinery\s*parts?|machine\s*parts?|spares?\s*stock|trading\s*company|trading\s*co|"
+    r"(?iuU)\b(spare\s*parts?|parts?\s*supplier|parts?\s*trading|machinery\s*parts?|machine\s*parts?|spares?\s*stock|trading\s*company|trading\s*co|"
     r"import\s*export|consultancy|consulting|solutions?\s*provider|machinery\s*dealer|equipment\s*dealer|reseller|distributor)\b"
 )
 URL_LIKE = r"(?i)^(https?://|www\.)|\.(com|org|net)(/|$)"
@@ -307,7 +307,7 @@ def contract_report(leads: DataFrame) -> DataFrame:
 # --- schema repair and name noise of fetched lists ----------------------------------------------------------------------------------------
 
 #: Phrases that are page furniture, and menu words, in names taken from pages.
-PAGE_PHRASES = r"(?iu)^(view basket|add to cart|read more|learn more|click here|sign in|log in|contact us|about us|home|privacy policy|cookie policy|terms.*|all rights reserved.*)$"
+PAGE_PHRASES = r"(?iuU)^(view basket|add to cart|read more|learn more|click here|sign in|log in|contact us|about us|home|privacy policy|cookie policy|terms.*|all rights reserved.*)$"
 NAVIGATION = ("cookie", "javascript", "skip to", "toggle", "subscribe", "newsletter", "copyright")
 
 

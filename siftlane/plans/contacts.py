@@ -151,9 +151,14 @@ def a13_h4_list_items(spark, sf):
     return table(spark, sf, "pages").select("page_id", found).select("page_id", "href", F.col("place").cast("long").alias("place"))
 
 
-@query()
+@query(
+    r"""WITH c AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<article\b[^>]*>(.*?)</article>', 1)) AS c, generate_subscripts(regexp_extract_all(html, '(?is)<article\b[^>]*>(.*?)</article>', 1), 1) - 1 AS place FROM pages),
+t AS (SELECT page_id, place, c, trim(regexp_replace(regexp_replace(c, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'), ' ') AS context, trim(regexp_replace(regexp_replace(regexp_extract(c, '(?is)<(?:h[1-6]|strong|b)\b[^>]*>(.*?)</', 1), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'), ' ') AS h,
+  trim(regexp_replace(regexp_replace(regexp_extract(c, '(?is)<a\b[^>]*>(.*?)</a>', 1), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'), ' ') AS l FROM c)
+SELECT page_id, place, substr(coalesce(nullif(h, ''), nullif(l, '')), 1, 100) AS company, context, array_to_string(list_sort(list_distinct(regexp_extract_all(c, '(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}'))), ';') AS emails FROM t WHERE coalesce(nullif(h, ''), nullif(l, '')) IS NOT NULL"""
+)
 def a13_a14_cards(spark, sf):
-    """Leads of the pages' articles; the card parser is tested on samples."""
+    """Leads of the pages' articles."""
     own = files.cards(table(spark, sf, "pages").select("page_id", "html"), r"(?is)<article\b[^>]*>(.*?)</article>")
     return own.select("page_id", "place", "company", "context", F.array_join("emails", ";").alias("emails"))
 

@@ -97,17 +97,28 @@ def j4_blocked_pairs(spark, sf):
     return dedupe.blocked_pairs(leads(spark, sf))
 
 
-@query(
-    f"""{WITH}, {PAIRS}, f AS (SELECT p.a, p.b, CASE WHEN lower(trim(x.company, ' ')) = lower(trim(y.company, ' ')) THEN log2(0.9 / 0.001) WHEN levenshtein(lower(trim(x.company, ' ')), lower(trim(y.company, ' '))) <= 2 THEN log2(0.05 / 0.002) ELSE log2(0.05 / 0.997) END
+WEIGHED = f"""{WITH}, {PAIRS}, f AS (SELECT p.a, p.b, CASE WHEN lower(trim(x.company, ' ')) = lower(trim(y.company, ' ')) THEN log2(0.9 / 0.001) WHEN levenshtein(lower(trim(x.company, ' ')), lower(trim(y.company, ' '))) <= 2 THEN log2(0.05 / 0.002) ELSE log2(0.05 / 0.997) END
   + CASE WHEN x.country = y.country THEN log2(0.95 / 0.1) ELSE log2(0.05 / 0.9) END + CASE WHEN coalesce(x.website, '') = '' OR coalesce(y.website, '') = '' THEN 0 WHEN lower(x.website) = lower(y.website) THEN log2(0.8 / 0.001) ELSE log2(0.2 / 0.999) END + log2(0.01 / 0.99) AS w
-  FROM p JOIN leads x ON x._ord = p.a JOIN leads y ON y._ord = p.b)
-SELECT a, b, round(w, 3) AS match_weight FROM f WHERE round(1 / (1 + pow(2.0, -w)), 6) >= 0.8"""
-)
+  FROM p JOIN leads x ON x._ord = p.a JOIN leads y ON y._ord = p.b),
+l AS (SELECT a, b, round(w, 3) AS match_weight FROM f WHERE round(1 / (1 + pow(2.0, -w)), 6) >= 0.8)"""
+
+
+@query(f"{WEIGHED} SELECT a, b, match_weight FROM l")
 def d10_linked(spark, sf):
     return dedupe.linked(leads(spark, sf)).select("a", "b", F.round("match_weight", 3).alias("match_weight"))
 
 
-@query()
+@query(
+    f"""{WEIGHED.replace("WITH ", "WITH RECURSIVE ", 1)}, e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l), r AS (SELECT a AS n, b AS m FROM e UNION SELECT r.n, e.b FROM r JOIN e ON e.a = r.m), c AS (SELECT n, least(n, min(m)) AS c FROM r GROUP BY n),
+i AS (SELECT _ord, coalesce(c, _ord) AS entity_id, score FROM leads LEFT JOIN c ON n = _ord) SELECT _ord, entity_id, score FROM i QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY coalesce(score, 0) DESC, _ord) = 1"""
+)
 def d10_resolved(spark, sf):
-    """One lead of each entity; connected components are held against plain code in the tests."""
+    """One lead of each entity."""
     return dedupe.resolved(leads(spark, sf)).select("_ord", "entity_id", "score")
+
+
+@query()
+def d10_estimated(spark, sf):
+    """Links by weights estimated from the table itself; the tests hold the estimate against plain code."""
+    own = leads(spark, sf)
+    return dedupe.linked(own, weights=dedupe.estimated_weights(own)).select("a", "b", F.round("match_probability", 3).alias("match_probability"))

@@ -257,3 +257,78 @@ def test_mentions_against_plain_code(spark):
         got.setdefault(r._ord, []).append((r.company, r.country, r.equipment_type, r.evidence_snippet, r.confidence))
     want = {r._ord: plain_mentions(r.context) for r in whole.mentioning(spark, sf).collect()}
     assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in want.items() if v} and len(got) > 100
+
+
+def plain_gate(company, source, website, context):
+    """The entity gate by plain code: (grade, score, reason)."""
+    import re
+
+    D, G = gates.D, gates
+    search = lambda p, x=company: re.search(re.sub(r"^\(\?iuU\)", "", p), x, re.I)
+    low = company.strip(" ").lower()
+    words = [w for w in re.split(r"[ \t\n\r\f\v]+", low) if w]
+    own = [w for w in words if w not in ("of", "the", "and", "for", "in", "on", "to")]
+    first = lambda t, table: next((w for w in table if w in t), None)
+    part, legal = company[:50], search(G.LEGAL)
+    countries = "|".join(D.GATE_COUNTRIES)
+    oem, media, domain = first(low, [x for x in D.GATE_OEM if len(x) > 4]), first(low, D.GATE_MEDIA), None
+    rules = [
+        (len(company.strip(" ")) < 3, "Name too short", company), (low in D.GATE_MENU, "Website menu item", company), (search(G.HEADLINE) and not legal, "Headline", part),
+        (re.search(rf"^({countries})\s*(s\.?a\.?|ltd\.?|inc\.?|corp\.?|llc|gmbh|limited)?$", low), "Country name as company", company), (search(G.ARTICLE), "Article fragment", company), (search(G.TITLE), "Title pattern", part),
+        (search(G.SENTENCE), "Sentence fragment", part), (search(G.PERSON), "Person/role pattern", part), (low in D.GATE_GARBAGE, "Garbage word", company), (company[:1] == company[:1].lower() and len(company) > 2, "Truncated name", company[:30]),
+        (search(G.ADJECTIVE_NOUN), "Adjective + generic noun", company), (low in D.GATE_OEM, "OEM manufacturer", company), (oem, "Contains OEM manufacturer name", oem), (low in D.GATE_MEDIA, "News/media site", company), (media, "Contains news site name", media),
+        (search(G.MACHINE), "Machine/product name", part), (search(G.GENERIC_PHRASE) and not legal and len(words) <= 4, "Generic phrase", company), (len(words) == 1 and low in D.GATE_GENERIC, "Single generic term", company),
+        (1 <= len(words) <= 3 and all(w in D.GATE_GENERIC for w in own), "All generic terms", company), (domain, "Rejected domain", domain), (len(company) > 80, None, "Name too long"), (company.count(":") > 1 or "|" in company, "Multiple colons/pipes", part),
+        (re.search(r"^\d+\s+", company) and "no." not in low, "Starts with number", part),
+    ]
+    reason = next((f"{k}: {x}" if k else x for c, k, x in rules if c), None)
+    count = len([w for w in re.split(r"[ \t\n\r\f\v]+", company) if w])
+    site = bool((website or "").strip(" "))
+    score = 2 * bool(legal) + (1 if count >= 2 else -1 if count == 1 and len(company) < 4 else 0) + (2 if source in D.GATE_HIGH_SOURCES else 1 if source in D.GATE_MEDIUM_SOURCES and site else 0) + site
+    parts = bool(search(G.PARTS_SUPPLIER, company.lower()) or any(w in (context or "").lower() for w in D.GATE_PARTS_SIGNALS))
+    return "REJECT" if reason else "C" if parts else "A" if score >= 4 else "B" if score >= 2 else "C", score, reason, parts
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_entity_gate_against_plain_code(spark, sf):
+    """Every row of the gate's query, and the counts of its reasons."""
+    from collections import Counter
+
+    from siftlane.plans import registry
+    from siftlane.plans.leads import leads as made
+
+    rows = made(spark, f"/root/testdata/{sf}").withColumn("title", F.initcap("company")).select("_ord", "company", "title", "source_type", "website", "context").collect()
+    got = {r._ord: tuple(r)[1:] for r in registry.QUERIES["f11_entity_gate"](spark, f"/root/testdata/{sf}").collect()}
+    want = {r._ord: plain_gate(r.title or "", (r.source_type or "").lower(), r.website, r.context) for r in rows}
+    assert got == want and len({w[2].split(":")[0] for w in want.values() if w[2]}) >= 3
+    counts = Counter(x.split(":")[0] for x in (plain_gate(r.company or "", (r.source_type or "").lower(), r.website, r.context)[2] for r in rows) if x)
+    assert {r.category: r.n for r in registry.QUERIES["f11_gate_reasons"](spark, f"/root/testdata/{sf}").collect()} == counts
+
+
+def test_estimated_weights(spark):
+    """Matches agree in name and mostly in country; chance agreement follows from the shares, and rare values weigh more."""
+    import random
+
+    rng, rows = random.Random(5), []
+    for e in range(400):
+        country = "Turkey" if rng.random() < 0.6 else f"C{rng.randrange(30)}"
+        for _ in range(rng.choice((1, 2, 3))):
+            rows.append((len(rows), f"Firm {e}", country if rng.random() < 0.9 else "Egypt", f"f{e}.com" if rng.random() < 0.5 else "", 1.0))
+    for i in range(200):
+        rows.append((len(rows), f"Common {i % 3}", f"C{rng.randrange(30)}", f"x{i}.com", 1.0))
+    own = spark.createDataFrame(rows, "_ord long, company string, country string, website string, score double")
+    w = dedupe.estimated_weights(own)
+    n = len(rows)
+    shares = {}
+    for r in rows:
+        shares[r[2].lower()] = shares.get(r[2].lower(), 0) + 1 / n
+    assert abs(w.by_chance["country"] - sum(s * s for s in shares.values())) < 1e-9
+    assert w.levels["name_equal"] > 3 and w.levels["country_equal"] > 0 > w.levels["country_other"] and w.levels["site_equal"] > 3
+    _, links = dedupe.profile_links(own, 0.0, w)
+    top = dedupe.linked(own.limit(0), weights=w)
+    assert top.count() == 0 and links.count() > 0
+    pair = spark.createDataFrame([(0, "Firm", "Turkey", "", 1.0), (1, "Firm", "Turkey", "", 1.0), (2, "Else", "C7", "", 1.0), (3, "Else", "C7", "", 1.0)], own.schema)
+    found = {(r.a, r.b): r.match_weight for r in dedupe.linked(pair, threshold=0.0, weights=w).collect()}
+    import math
+
+    assert abs((found[2, 3] - found[0, 1]) - math.log2(shares["turkey"] / shares["c7"])) < 1e-4
