@@ -6,6 +6,7 @@ other functions treat a null text as empty.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -23,7 +24,23 @@ LINK = r"""(?i)https?://[^\s)\]"'>]+"""
 BARE_LINK = r"""(?i)\bwww\.[^\s)\]"'>]+"""
 MAIL_WORDS = (("[at]", "@"), ("(at)", "@"), (" at ", "@"), ("[dot]", "."), ("(dot)", "."), (" dot ", "."))
 MAIL_SIGN = r"(?i)[\[(]at[\])]| at "
-ACCENTS = ("áàâãäåéèêëíìîïóòôõöúùûüýÿñçşğıİšžčćđ", "aaaaaaeeeeiiiiooooouuuuyyncsgiiszccd")
+
+
+def _accents() -> tuple[str, str]:
+    """Lower-case Latin letters with marks, and the plain letters they are made of by Unicode's own decomposition; and some that
+    have a stroke or no dot, which it doesn't take apart."""
+    plain = dict(zip("ıđħłŧøƀɨʉ", "idhltobiu"))
+    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+        letter = chr(code)
+        base = unicodedata.normalize("NFD", letter)[0]
+        if base != letter and base.isascii() and len(letter.lower()) == 1:
+            plain[letter.lower()] = base.lower()
+    return "".join(plain), "".join(plain.values())
+
+
+ACCENTS = _accents()
+#: Letters that become two.
+LONG_LETTERS = (("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("þ", "th"), ("ð", "d"), ("ĳ", "ij"))
 TRUE_WORDS = ("true", "1", "yes", "evet")
 
 
@@ -106,8 +123,8 @@ def near(text: Column, one: Iterable[str], two: Iterable[str], distance: int = 1
 
 def fold_accents(c: Column) -> Column:
     """Latin letters without accents, lower case."""
-    t = F.translate(F.lower(c), *ACCENTS)
-    for a, b in (("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("ø", "o"), ("ł", "l")):
+    t = F.translate(F.regexp_replace(F.lower(c), "[\\u0300-\\u036f]", ""), *ACCENTS)
+    for a, b in LONG_LETTERS:
         t = F.replace(t, F.lit(a), F.lit(b))
     return t
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftlane import dictionaries as D
-from siftlane.functions.text import contains_any, emails, escaped_word, first_distinct, first_word, low, places, squeezed, text_of
+from siftlane.functions.text import contains_any, emails, escaped_word, first_distinct, first_word, let, low, places, squeezed, text_of
 from siftlane.functions.web import blocked, host, main_text, registrable
 from siftlane.operators.scores import joined
 
@@ -260,3 +260,48 @@ def result_relevance(results: DataFrame, country: str = "country") -> DataFrame:
     for w in RESULT_NOT:
         score = score - F.when(u.contains(w), 5).otherwise(0)
     return work.withColumn("result_score", score).drop("__t", "__u")
+
+
+#: Words of a region in an address or title, and names that are none.
+REGION_WORDS = {
+    "south_america": ("brazil", "brasil", "argentina", "colombia", "peru", "mexico"),
+    "north_africa": ("egypt", "morocco", "tunisia", "algeria", "cairo", "maroc"),
+    "south_asia": ("pakistan", "india", "bangladesh", "karachi", "delhi"),
+    "turkey": ("turkey", "istanbul", "itm", "turkiye"),
+    "europe": ("frankfurt", "germany", "milan", "paris", "europe"),
+}
+NAME_NOT = ("textile", "company", "mill", "factory", "group", "customer", "client")
+NAME_EXCLUDED = ("textile", "finishing", "dyeing", "stenter", "machinery", "equipment", "parts", "technology", "solutions", "services", "association", "federation", "ministry", "government")
+
+
+def region_in(url: Column, title: Column) -> Column:
+    """The first region one of whose words stands in an address or title, else unknown."""
+    return let(F.lower(F.concat_ws(" ", text_of(url), text_of(title))), lambda t: F.coalesce(*[F.when(contains_any(t, w), k) for k, w in REGION_WORDS.items()], F.lit("unknown")))
+
+
+def plain_name(name: Column) -> Column:
+    """A company's name without an article before it and with single spaces; empty for what is none: too short or long, without a
+    capital first letter, or a general word."""
+    t = squeezed(F.regexp_replace(text_of(name), r"(?i)^(the|a|an)\s+", ""))
+    first = F.substring(t, 1, 1)
+    ok = F.length(t).between(3, 60) & (first == F.upper(first)) & (first != F.lower(first)) & ~F.lower(t).isin(*NAME_NOT)
+    return F.when(ok, t).otherwise("")
+
+
+def fine_name(name: Column) -> Column:
+    """Whether a name has three letters or more and is no general word."""
+    return (F.length(text_of(name)) >= 3) & ~F.lower(text_of(name)).isin(*NAME_EXCLUDED)
+
+
+def leads_of_results(results: DataFrame, key: str, brand: str = "") -> DataFrame:
+    """Leads of search results (title, description, url): every name with a legal form or an industry's word, with the country that
+    the text tells of (else the address), and whether the text is about textiles."""
+    text = F.concat_ws(" ", text_of("title"), text_of("description"))
+    work = results.select(key, "url", text.alias("__t")).select(key, "url", "__t", F.explode(legal_names(F.col("__t"))).alias("company"))
+    low_text = F.lower("__t")
+    told = F.initcap(first_word(low_text, MENTION_COUNTRIES))
+    about = contains_any(low_text, ("textile", "tekstil", "dyeing", "finishing", "stenter", "ramöz", "terbiye", "têxtil"))
+    return work.select(
+        key, "company", F.coalesce(told, country_of_host(F.col("url")), F.lit("Unknown")).alias("country"), F.substring("__t", 1, 500).alias("context"), F.col("url").alias("source_url"),
+        F.lit("precision_search").alias("source_type"), F.lit(brand).alias("brand_mentioned"), about.alias("has_textile_context"),
+    )

@@ -410,3 +410,91 @@ def stream_upserts(spark, sf):
     upsert_batches(stream, f"{path}/out", "user_id", f"{path}/at", order="at").awaitTermination()
     last = spark.read.format("text").load(f"{path}/out/newest").first()[0]
     return spark.read.parquet(f"{path}/out/{last}").select("user_id", "event_id")
+
+
+# --- further scans and names ----------------------------------------------------------------------------------------------------------------
+
+
+def made_workbook(rows) -> bytes:
+    """A workbook of one sheet of inline texts."""
+    import io
+    import zipfile
+
+    cells = "".join(f'<row r="{i + 1}">' + "".join(f'<c r="{chr(65 + j)}{i + 1}" t="inlineStr"><is><t>{v}</t></is></c>' for j, v in enumerate(r)) + "</row>" for i, r in enumerate(rows))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{cells}</sheetData></worksheet>')
+    return out.getvalue()
+
+
+@query("SELECT CASE WHEN n_regionkey % 2 = 0 THEN 'b.xlsx' ELSE 'c.csv' END AS file, n_name AS company, CAST(n_regionkey AS VARCHAR) AS country FROM nation")
+def a5_a6_member_lists(spark, sf):
+    """The nations as a workbook and a delimited file, read by their header rows."""
+    rows = [(r.n_name, str(r.n_regionkey)) for r in table(spark, sf, "nation").collect()]  # 25 rows
+    head = [("Members of 2024", ""), ("Member name", "Country")]
+    book = made_workbook([*head, *[r for r in rows if int(r[1]) % 2 == 0]])
+    text = "\n".join(",".join(r) for r in [*head, *[r for r in rows if int(r[1]) % 2]]).encode()
+    return files.members_of(spark.createDataFrame([("b.xlsx", bytearray(book)), ("c.csv", bytearray(text))], "path string, content binary"))
+
+
+@query(
+    f"""{WITH}, m AS (SELECT _ord, 'Found ' || substr(company, 1, 60) || ' ' || {NAME_PICK} || CASE _ord % 3 WHEN 0 THEN ' in Brazil for textile' WHEN 1 THEN ' shop' ELSE '' END AS t, CASE _ord % 2 WHEN 0 THEN 'https://a.com.tr/x' ELSE 'https://b.org' END AS url FROM leads),
+f AS (SELECT _ord, t, url, list_filter(list_transform({LEGAL_SQL}, lambda n: trim(n, ' ')), lambda n: length(n) > 3) AS a FROM m), n AS (SELECT _ord, t, url, unnest(list_filter(a, lambda n, i: list_position(list_transform(a, lambda y: lower(y)), lower(n)) = i)) AS company FROM f)
+SELECT _ord, company, CASE WHEN len(list_filter({sql_list(extract.MENTION_COUNTRIES)}, lambda w: contains(lower(t), w))) > 0 THEN (SELECT string_agg(upper(x[1]) || x[2:], ' ') FROM (SELECT unnest(string_split(list_filter({sql_list(extract.MENTION_COUNTRIES)}, lambda w: contains(lower(t), w))[1], ' ')) AS x)) WHEN contains(url, '.com.tr/') THEN 'Turkey' ELSE 'Unknown' END AS country,
+  len(list_filter({sql_list(("textile", "tekstil", "dyeing", "finishing", "stenter", "ramöz", "terbiye", "têxtil"))}, lambda w: contains(lower(t), w))) > 0 AS has_textile_context FROM n"""
+)
+def a18_search_leads(spark, sf):
+    own = leads(spark, sf)
+    pick = F.element_at(F.array(*map(F.lit, NAMES)), (F.col("_ord") % len(NAMES) + 1).cast("int"))
+    title = F.concat(F.lit("Found "), F.substring("company", 1, 60))
+    text = F.concat(pick, F.when(F.col("_ord") % 3 == 0, " in Brazil for textile").when(F.col("_ord") % 3 == 1, " shop").otherwise(""))
+    results = own.select("_ord", title.alias("title"), text.alias("description"), F.when(F.col("_ord") % 2 == 0, "https://a.com.tr/x").otherwise("https://b.org").alias("url"))
+    return extract.leads_of_results(results, "_ord").select("_ord", "company", "country", "has_textile_context")
+
+
+REGION_SQL = " ".join(f"WHEN len(list_filter({sql_list(w)}, lambda k: contains(t, k))) > 0 THEN '{k}'" for k, w in extract.REGION_WORDS.items())
+
+
+@query(f"{WITH}, m AS (SELECT _ord, lower(coalesce(website, '') || ' ' || company || CASE _ord % 2 WHEN 0 THEN ' ' || country ELSE '' END) AS t FROM leads) SELECT _ord, CASE {REGION_SQL} ELSE 'unknown' END AS region FROM m")
+def s19_region_of_text(spark, sf):
+    title = F.concat("company", F.when(F.col("_ord") % 2 == 0, F.concat(F.lit(" "), "country")).otherwise(""))
+    return leads(spark, sf).select("_ord", extract.region_in(F.col("website"), title).alias("region"))
+
+
+@query(
+    f"""{WITH}, m AS (SELECT _ord, CASE _ord % 4 WHEN 0 THEN 'The  ' || country || ' Mills' WHEN 1 THEN 'Textile' WHEN 2 THEN 'a small mill' ELSE 'Finishing' END AS n FROM leads),
+c AS (SELECT _ord, n, trim(regexp_replace(regexp_replace(n, '(?i)^(the|a|an)\s+', ''), '\s+', ' ', 'g'), ' ') AS t FROM m)
+SELECT _ord, CASE WHEN length(t) BETWEEN 3 AND 60 AND substr(t, 1, 1) = upper(substr(t, 1, 1)) AND NOT list_contains({sql_list(extract.NAME_NOT)}, lower(t)) THEN t ELSE '' END AS name, length(n) >= 3 AND NOT list_contains({sql_list(extract.NAME_EXCLUDED)}, lower(n)) AS fine FROM c"""
+)
+def s24_clean_names(spark, sf):
+    name = F.when(F.col("_ord") % 4 == 0, F.concat(F.lit("The  "), "country", F.lit(" Mills"))).when(F.col("_ord") % 4 == 1, "Textile").when(F.col("_ord") % 4 == 2, "a small mill").otherwise("Finishing")
+    own = leads(spark, sf).select("_ord", name.alias("n"))
+    return own.select("_ord", extract.plain_name(F.col("n")).alias("name"), extract.fine_name(F.col("n")).alias("fine"))
+
+
+@query("SELECT doc_id, strip_accents(lower(x)) AS folded FROM (SELECT doc_id, ['Çalışma Ağı', 'Ærø – Łódź', 'São João', 'ÉÈÊË Ñandú', 'Žluťoučký kůň'][doc_id % 5 + 1] AS x FROM documents) WHERE doc_id % 5 <> 1 AND doc_id % 5 <> 0 UNION ALL SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'calisma agi' ELSE 'aero – lodz' END FROM documents WHERE doc_id % 5 < 2")
+def s29_folded_accents(spark, sf):
+    words = F.array(*map(F.lit, ("Çalışma Ağı", "Ærø – Łódź", "São João", "ÉÈÊË Ñandú", "Žluťoučký kůň")))
+    return table(spark, sf, "documents").select("doc_id", T.fold_accents(F.element_at(words, (F.col("doc_id") % 5 + 1).cast("int"))).alias("folded"))
+
+
+@query(
+    f"""{WITH} SELECT _ord, coalesce(source_type = 'gots' AND TIMESTAMP '2024-02-01' - INTERVAL 90 DAY < (TIMESTAMP '2023-10-01' + to_days(CAST(_ord % 100 AS INT))), false) AS updated FROM leads"""
+)
+def s40_recent_updates(spark, sf):
+    """Whether a certificate's list was updated within 90 days of a given day."""
+    own = leads(spark, sf).withColumn("last_updated", F.expr("timestamp'2023-10-01' + make_interval(0, 0, 0, cast(_ord % 100 as int))"))
+    own = own.withColumn("source_type", F.when(F.col("source_type") == "gots", "gots").otherwise("x"))
+    return scores.triggers(own).select("_ord", F.exists("triggers", lambda t: t["type"] == "association_update").alias("updated"))
+
+
+@query("SELECT o_custkey, o_orderkey, round(avg(o_totalprice) OVER w, 4) AS moving, round(o_totalprice - lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey), 4) AS step, dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS level FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")
+def w5_analytics(spark, sf):
+    """Moving means, steps and levels of each customer's orders."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    return table(spark, sf, "orders").select(
+        "o_custkey", "o_orderkey", F.round(F.avg("o_totalprice").over(w.rowsBetween(-2, 0)), 4).alias("moving"), F.round(F.col("o_totalprice") - F.lag("o_totalprice").over(w), 4).alias("step"),
+        F.dense_rank().over(Window.partitionBy("o_custkey").orderBy("o_orderpriority")).alias("level"),
+    )

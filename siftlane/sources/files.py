@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import re
 import zipfile
@@ -58,13 +59,20 @@ def sheet_rows(data: bytes) -> list[list[str]]:
 
 
 def member_list(spark: SparkSession, path: str, name_words: Iterable[str] = ("member", "company", "name"), country_words: Iterable[str] = ("country",)) -> DataFrame:
-    """Leads (file, company, country) of spreadsheets whose header row, wherever it is, has a name and a country column. A file is a task's work."""
+    """Leads (file, company, country) of the spreadsheets that a path finds; see ``members_of``."""
+    return members_of(spark.read.format("binaryFile").load(path).select("path", "content"), name_words, country_words)
+
+
+def members_of(files: DataFrame, name_words: Iterable[str] = ("member", "company", "name"), country_words: Iterable[str] = ("country",)) -> DataFrame:
+    """(file, company, country) of files (path, content): .xlsx workbooks, or delimited text where the content is none, whose header
+    row, wherever it is, has a name and a country column. A file is a task's work."""
     name_words, country_words = tuple(name_words), tuple(country_words)
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for file, content in zip(frame["path"], frame["content"]):
-                rows = sheet_rows(bytes(content))
+                data = bytes(content)
+                rows = sheet_rows(data) if data[:2] == b"PK" else list(csv.reader(io.StringIO(data.decode("utf-8-sig", "replace"))))
                 where = lambda row, words: next((i for i, c in enumerate(row) if any(w in c.lower() for w in words)), None)
                 at = next((i for i, r in enumerate(rows) if where(r, name_words) is not None and where(r, country_words) is not None), None)
                 if at is None:
@@ -73,7 +81,14 @@ def member_list(spark: SparkSession, path: str, name_words: Iterable[str] = ("me
                 own = [(file, r[a].strip(), r[b].strip() if len(r) > b else "") for r in rows[at + 1 :] if len(r) > a and r[a].strip()]
                 yield pd.DataFrame(own, columns=["file", "company", "country"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(read, "file string, company string, country string")
+    return files.mapInPandas(read, "file string, company string, country string")
+
+
+def registered_list(spark: SparkSession, entry: dict) -> DataFrame:
+    """The member list of a registry's entry (directory_url, and filters: countries that count)."""
+    rows = member_list(spark, entry["directory_url"])
+    countries = [c.lower() for c in entry.get("countries", ())]
+    return rows.where(F.lower("country").isin(*countries)) if countries else rows
 
 
 #: Words of a header cell, and the field it names.
