@@ -7,7 +7,9 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftlane.plans.pipelines import STAGES, Pipeline
+from siftlane import dictionaries as D
+from siftlane.functions.text import low
+from siftlane.plans.pipelines import STAGES, VALIDATION, Pipeline
 from siftlane.sources.files import LEAD_SCHEMA, read_csv
 from siftlane.sources.sinks import write_csv, write_partitioned
 
@@ -24,14 +26,23 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--source", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--limit", type=int, help="a trial run over the first leads by _ord")
+    p.add_argument("--countries", help="countries whose leads count, comma-joined; all if left out")
+    p.add_argument("--min-priority", type=int, help="the least priority of a source whose leads count")
+    p.add_argument("--skip-validation", action="store_true", help="leave out the filters by address and name")
     p.add_argument("--by", help="write a folder for each value of this column")
     p.add_argument("--csv", action="store_true")
     o = p.parse_args(args)
     spark = SparkSession.builder.appName(f"siftlane {o.stages}").getOrCreate()
     leads = load(spark, o.source)
+    if o.countries:
+        leads = leads.where(F.lower(F.trim("country")).isin(*[c.strip().lower() for c in o.countries.split(",")]))
+    if o.min_priority is not None:
+        priorities = F.create_map(*[F.lit(x) for kv in D.SOURCE_PRIORITY.items() for x in kv])
+        leads = leads.where(F.coalesce(F.try_element_at(priorities, low("source_type")), F.lit(0)) >= o.min_priority)
     if o.limit:
         leads = leads.orderBy("_ord").limit(o.limit)
-    done = Pipeline.named(o.stages).run(leads)
+    stages = Pipeline.named(o.stages)
+    done = (stages.without(*VALIDATION) if o.skip_validation else stages).run(leads)
     if o.csv:
         write_csv(done.select(*[c for c, t in done.dtypes if not t.startswith(("struct", "map", "array<struct"))]), o.out)
     elif o.by:

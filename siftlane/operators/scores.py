@@ -335,3 +335,8 @@ def trade_points(leads: DataFrame, priority: DataFrame, key: str = "iso3", most:
     top = known.agg(F.max("__value")).scalar()
     out = leads.join(known, key, "left")
     return out.withColumn("import_score", F.when(top > 0, F.least(F.lit(most), F.coalesce("__value", F.lit(0.0)) / top * most)).otherwise(0.0)).drop("__value")
+
+
+def unscan(leads: DataFrame) -> DataFrame:
+    """leads without what ``scan`` has found."""
+    return leads.drop("scan_company", "scan_context")

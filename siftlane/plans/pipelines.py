@@ -40,13 +40,19 @@ def customers(leads: DataFrame) -> DataFrame:
     return gates.role_filter(leads).where("drop_reason is null").drop("drop_reason")
 
 
+def fast_filtered(leads: DataFrame) -> DataFrame:
+    return kept(gates.fast_filter(leads))
+
+
+#: Stages that validate leads by address and name; a run may skip them.
+VALIDATION: tuple[Stage, ...] = (fast_filtered, gates.entity_gate)
 CLEAN: tuple[Stage, ...] = (gates.sanitise, lambda d: kept(gates.clean_dataset(d)), with_contacts)
 STAGES: dict[str, tuple[Stage, ...]] = {
-    "full": (*CLEAN, merged, gates.entity_gate, scores.heuristic, more_scores.role_by_majority, scores.signals, scores.hs_codes),
+    "full": (*CLEAN, merged, scores.scan, gates.entity_gate, scores.heuristic, more_scores.role_by_majority, scores.signals, scores.hs_codes, scores.unscan),
     "v4": (*CLEAN, gates.entity_gate, scores.role, more_scores.additive_tier),
     "v7": (*CLEAN, scores.role, scores.evidence_layers, customers),
-    "v9": (*CLEAN, lambda d: kept(gates.fast_filter(d)), gates.entity_gate, gates.entity_type, scores.role, scores.signals, scores.evidence_layers, scores.evidence_counts, scores.contactability, with_brand, scores.hundred_points, scores.triggers, scores.final_score),
-    "v10": (*CLEAN, merged, scores.heuristic, scores.hundred_points, scores.triggers),
+    "v9": (*CLEAN, fast_filtered, scores.scan, gates.entity_gate, gates.entity_type, scores.role, scores.signals, scores.evidence_layers, scores.evidence_counts, scores.contactability, with_brand, scores.hundred_points, scores.triggers, scores.final_score, scores.unscan),
+    "v10": (*CLEAN, merged, scores.scan, scores.heuristic, scores.hundred_points, scores.triggers, scores.unscan),
 }
 
 
@@ -65,6 +71,9 @@ class Pipeline:
             leads = stage(leads)
         return leads
 
+    def without(self, *stages: Stage) -> Pipeline:
+        return Pipeline(tuple(s for s in self.stages if s not in stages))
+
     def then(self, *stages: Stage) -> Pipeline:
         return Pipeline((*self.stages, *stages))
 

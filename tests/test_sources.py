@@ -95,3 +95,21 @@ def test_command_line(spark, tmp_path):
     spark.createDataFrame(rows, "_ord long, company string, country string, context string, source_type string, website string").write.parquet(str(tmp_path / "l.parquet"))
     cli.main(["v9", "--source", str(tmp_path / "l.parquet"), "--out", str(tmp_path / "o"), "--by", "tier"])
     assert [r.company for r in spark.read.parquet(str(tmp_path / "o")).collect()] == ["Alfa Tekstil A.Ş."]
+
+
+def test_command_line_options(spark, tmp_path):
+    rows = [(i, f"Alfa {i} Tekstil A.Ş.", c, "boyahane", t, f"https://alfa{i}.com.tr") for i, (c, t) in enumerate([("Turkey", "gots"), ("turkey ", "brave_search"), ("Egypt", "gots"), ("Turkey", "gots")])]
+    spark.createDataFrame(rows, "_ord long, company string, country string, context string, source_type string, website string").write.parquet(str(tmp_path / "l.parquet"))
+
+    def ran(*options):
+        cli.main(["v9", "--source", str(tmp_path / "l.parquet"), "--out", str(tmp_path / "o"), *options])
+        got = spark.read.parquet(str(tmp_path / "o"))
+        assert not any(c.startswith("scan_") for c in got.columns)
+        return sorted(r._ord for r in got.collect()), got.columns
+
+    from siftlane import dictionaries as D
+
+    assert ran()[0] == [0, 1, 2, 3] and ran("--countries", "Turkey, Peru")[0] == [0, 1, 3] and ran("--limit", "2")[0] == [0, 1]
+    assert ran("--min-priority", str(D.SOURCE_PRIORITY["gots"]))[0] == [0, 2, 3]
+    kept, columns = ran("--skip-validation")
+    assert kept == [0, 1, 2, 3] and "entity_grade" not in columns
