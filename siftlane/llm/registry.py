@@ -11,31 +11,36 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from siftlane.llm import decontaminate, matroska, packing, pii, quality, secrets, simhash, sql, token_counts, token_ids, urls
 from siftlane.llm.common import shared_path, vocabulary
-from siftlane.session import table
+from siftlane.session import spread, table
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents; a small file of them is dealt to all tasks."""
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def op1_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored as an audio track and read back."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     sized = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "text")
     return matroska.file_facts(matroska.store_texts(sized))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity, its limit and the decision for every document."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
     judged = quality.train(docs, labels).judge(docs.select("doc_id", "lang", "text"))
     return judged.select("doc_id", "lang", F.round("perplexity", 6).alias("perplexity"), F.round("limit", 6).alias("limit"), "keep")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of 512, 1024 or 2048 tokens with the ids of every document."""
-    return packing.pack_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return packing.pack_tokens(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: the rules' counts and digest, and all spans."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     model = secrets.train(secrets.labelled_samples(docs))
     found = secrets.find_secrets(docs, model).select("doc_id", "secrets")
     base = F.filter("secrets", lambda s: s["rank"] < 3)
@@ -75,7 +80,7 @@ PII_KEY = "synthetic tables"
 
 def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with format-preserving pseudonyms, and what was replaced."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     found = pii.pseudonymise(docs, PII_KEY)
     count = lambda k: F.size(F.filter("pii", lambda m: m["kind"] == k)).cast("long").alias(f"n_{k}")
     return found.select("doc_id", "text", *[count(k) for k in pii.KINDS], F.transform("pii", lambda m: m["pseudonym"]).alias("pseudonyms"))
@@ -83,14 +88,14 @@ def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram token counts of every document, by a model of all documents."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     model = token_counts.train(docs, vocabulary("piece_bpe_32k.model"))
     return token_counts.count_tokens(docs, model).select("doc_id", "n_pretokens", "n_tokens")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document: one row for each document, item and window."""
-    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    docs, benchmark = documents(spark, sf_dir), table(spark, sf_dir, "benchmark")
     found = decontaminate.contaminated(docs, benchmark)
     return found.select("doc_id", "item_id", F.col("start").cast("long"), F.col("n_words").cast("long"), F.col("hamming").cast("long"), F.round("similarity", 6).alias("similarity"))
 
@@ -106,14 +111,14 @@ def ids_crc32(ids: np.ndarray) -> dict:
 
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of every document, read back."""
-    docs, path = table(spark, sf_dir, "documents"), shared_path(spark, "tokens")
+    docs, path = documents(spark, sf_dir), shared_path(spark, "tokens")
     token_ids.write_token_files(docs, path, vocabulary("word_bpe_49k.json"))
     return token_ids.read_token_files(spark, path, ids_crc32, "ids_crc32 long")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: four-word shingles, radius 4."""
-    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4, segment_bits=2)
+    found = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, radius=4, segment_bits=2)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
