@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftlane.functions.text import listed, text_of
+from siftlane.functions.text import let, listed, text_of
 
 NONE = "array<string>"
 
@@ -57,9 +57,10 @@ def words_in(text: Column, words: Iterable[str]) -> Column:
     begun = {w: v for w, v in begun.items() if v}
     if not begun:
         return F.array_distinct(found)
-    table = F.create_map(*[x for w, v in begun.items() for x in (F.lit(w), listed(v))])
-    more = F.flatten(F.transform(F.filter(F.array_distinct(found), lambda w: w.isin(*begun)), lambda w: F.try_element_at(table, w)))
-    return F.array_union(found, more)
+    # one literal for the table: words behind each word that they begin; the found words are computed once
+    table = F.str_to_map(F.lit("\x1e".join(f"{w}\x1d" + "\x1f".join(v) for w, v in begun.items())), F.lit("\x1e"), F.lit("\x1d"))
+    more = lambda own: F.flatten(F.transform(F.filter(own, lambda w: F.array_contains(listed(begun), w)), lambda w: F.split(F.try_element_at(table, w), "\x1f")))
+    return let(F.array_distinct(found), lambda own: F.array_union(own, more(own)))
 
 
 class Words:

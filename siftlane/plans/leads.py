@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from siftlane import dictionaries as D
 from siftlane.functions.text import emails, phones
-from siftlane.session import table
+from siftlane.session import spread, table
 
 COUNTRIES = tuple(c.title() for c in D.GATE_COUNTRIES)
 SOURCES = (*D.SOURCE_PRIORITY, "facility_verified")
@@ -19,7 +19,7 @@ SOURCES = (*D.SOURCE_PRIORITY, "facility_verified")
 
 def leads(spark: SparkSession, sf_dir: str, contacts: bool = False) -> DataFrame:
     """_ord, company, country, context, source_type, website, html, score; with emails and phones if asked for."""
-    docs, pages, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    docs, pages, labels = spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
     country = F.element_at(F.array(*map(F.lit, COUNTRIES)), (F.pmod(F.col("doc_id"), F.lit(len(COUNTRIES))) + 1).cast("int"))
     source = F.element_at(F.array(*map(F.lit, SOURCES)), (F.pmod(F.substring("source", 4, 9).cast("int"), F.lit(len(SOURCES))) + 1).cast("int"))
     own = docs.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siftlane import dictionaries as D
-from siftlane.functions.text import parse_list, text_of
+from siftlane.functions.text import parse_list, text_of, hits
 from siftlane.functions.web import blocked
 from siftlane.operators import extract, gates, more_scores, scores
 from siftlane.operators import tables as O
@@ -253,7 +253,7 @@ SELECT _ord FROM e WHERE a >= 0.4::DOUBLE AND _ord NOT IN (SELECT _ord FROM lead
 def f18_sales_ready(spark, sf):
     own = leads(spark, sf).withColumn("role", F.lit("UNKNOWN"))
     t = scores.joined(F.col("company"), F.col("context"), F.lit(""), F.lit(""))
-    own = own.withColumn("e1", F.least(F.lit(1.0), scores.hits(t, D.SCE_E1) * 0.4)).withColumn("e2", F.lit(0.0)).withColumn("e3", F.lit(0.0))
+    own = own.withColumn("e1", F.least(F.lit(1.0), hits(t, D.SCE_E1) * 0.4)).withColumn("e2", F.lit(0.0)).withColumn("e3", F.lit(0.0))
     return more_scores.sales_ready(own).where("sales_ready").select("_ord")
 
 
@@ -320,7 +320,7 @@ WORDS = ("the", "und", "les", "los", "token")
 )
 def n4_relevance(spark, sf):
     t = F.lower("text")
-    score = F.least(F.lit(50), scores.hits(t, WORDS) * 10)
+    score = F.least(F.lit(50), hits(t, WORDS) * 10)
     return table(spark, sf, "documents").select("doc_id", F.when(F.col("n_chars").between(50, 1_000_000), score).otherwise(0).cast("long").alias("relevance"))
 
 
