@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftlane.llm.common import checkpointed, slices, whole_text
-from siftlane.operators.components import connected_components, joined_by_key
+from siftlane.operators.components import FEW_ROWS, connected_components, joined_by_key
 
 SLICE_BYTES = 8 << 20
 #: Pairs of a large cell that are compared at once.
@@ -451,12 +451,13 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: float, a_task: int =
     """The pairs (a, b) whose sets reach the Jaccard similarity. A set that stands in many pairs is dealt out, a copy for about
     a_task of them, so a hub's pairs are no task of their own."""
     rows = pairs.count()
-    degrees = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n")).withColumn("copies", F.ceil(F.col("n") / a_task).cast("int"))
+    degrees = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n"))
+    degrees = checkpointed(degrees.withColumn("copies", F.ceil(F.col("n") / a_task).cast("int")))
     dealt = sets.join(degrees, "node").select("node", "shingles", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
     work = pairs
     for end, other in (("a", "b"), ("b", "a")):
         of = degrees.select(F.col("node").alias(end), "n", "copies")
-        work = joined_by_key(work, of, end, "n", rows).drop("n").withColumn(f"copy_{end}", F.pmod(F.xxhash64(other), "copies").cast("int")).drop("copies")
+        work = joined_by_key(work, of, end, "n", rows, few=FEW_ROWS).drop("n").withColumn(f"copy_{end}", F.pmod(F.xxhash64(other), "copies").cast("int")).drop("copies")
     for end in ("a", "b"):
         work = work.join(dealt.select(F.col("node").alias(end), F.col("copy").alias(f"copy_{end}"), F.col("shingles").alias(f"set_{end}")), [end, f"copy_{end}"])
     both = F.size(F.array_intersect("set_a", "set_b"))
