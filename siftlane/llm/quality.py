@@ -166,7 +166,7 @@ def written(made: Tables) -> str:
         for k, t in getattr(made, kind).items():
             rows = rows.unionByName(of(k + 10 * (kind == "contexts"), t, F.col(key), value))
     path = shared_path(made.unseen.sparkSession, "quality")
-    rows.repartition(4).write.parquet(path)
+    rows.coalesce(4).write.parquet(path)  # no shuffle: the rows are few, their partitions may be many
     return path
 
 
