@@ -55,8 +55,9 @@ def shared_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, least: int = 2 << 20, most: int = 64 << 20) -> DataFrame:
+def spread(df: DataFrame, least: int = 500, most: int = 20_000) -> DataFrame:
     """A small table's rows dealt to as many tasks as run at once. A file of one row group is one task's work otherwise, however
-    many tasks could share it; tables of more than ``most`` bytes have groups enough and stay as they are, tiny ones too."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if least <= size <= most else df
+    many tasks could share it; tables of more than ``most`` rows or of as many files as tasks stay as they are, tiny ones too.
+    Rows are counted from the files' footers."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks) if len(df.inputFiles()) < tasks and least <= df.count() <= most else df
