@@ -9,10 +9,9 @@ language and n-gram: counts with the totals of their contexts and the next lower
 
 Scoring: the sum of log-probabilities over a text's characters; perplexity is per character.
 The tables hold a row for each n-gram seen. If they have ``mapped_rows`` rows or fewer (counted
-first, 16 bytes each) they are written to the shared folder, from where each worker reads them
-once, and documents are scored where they lie; beyond it the distinct n-grams of the
-documents are joined with the tables and summed by document. Both ways give the same sums, and
-neither passes anything through the driver.
+first, 16 bytes each, so 32 MB by default) they are broadcast, and documents are scored where they lie; beyond it the distinct n-grams of the
+documents are joined with the tables and summed by document. Both ways give the same sums. Trusted
+texts are found by their ids where they lie, too, as long as there are no more than ``broadcast_ids`` of them.
 
 Thresholds: the ``quantile`` of log-perplexity over all trusted documents, each scored without its own half of them, by
 language and length (a class for each power of two of characters; the language's own where a class has
@@ -25,7 +24,6 @@ never trusted. Repeated rows count as often as they stand.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,12 +31,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.parquet as pq
-from pyarrow import fs
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftlane.llm.common import checkpointed, row_sums, shared_path, slices, whole_text
+from siftlane.llm.common import checkpointed, row_sums, slices, whole_text
 
 SLICE_BYTES = 2 << 20
 BITS = 16
@@ -157,43 +154,18 @@ def lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: fl
 KINDS = (("grams", "gram", "logp"), ("contexts", "context", "logw"))
 
 
-def written(made: Tables) -> str:
-    """The tables' place as one Parquet table (lang, part, key, value) in the shared folder; part is 0 for the unseen
-    character, else the order, and for contexts 10 more."""
-    of = lambda part, t, key, value: t.select("lang", F.lit(part).alias("part"), key.alias("key"), F.col(value).alias("value"))
-    rows = of(0, made.unseen, F.lit(0).cast("long"), "logp")
+def sorted_tables(made: Tables) -> dict:
+    """The tables as sorted arrays by language, kind and order; for tables of bounded size."""
+    out: dict = {r.lang: {"unseen": r.logp, "grams": {}, "contexts": {}} for r in made.unseen.collect()}
     for kind, key, value in KINDS:
         for k, t in getattr(made, kind).items():
-            rows = rows.unionByName(of(k + 10 * (kind == "contexts"), t, F.col(key), value))
-    path = shared_path(made.unseen.sparkSession, "quality")
-    rows.coalesce(4).write.parquet(path)  # no shuffle: the rows are few, their partitions may be many
-    return path
-
-
-@functools.lru_cache(maxsize=1)
-def read_tables(path: str) -> dict:
-    """Written tables as sorted arrays by language, kind and order; read once by each worker, some rows at a time."""
-    store, root = fs.FileSystem.from_uri(path)
-    files = [f.path for f in store.get_file_info(fs.FileSelector(root)) if f.path.endswith(".parquet")]
-    held: dict[tuple, list] = {}
-    for file in files:
-        with store.open_input_file(file) as source:
-            for batch in pq.ParquetFile(source).iter_batches(1 << 17):
-                langs = batch["lang"].dictionary_encode()
-                keys, values = np.asarray(batch["key"]).view(np.uint64), np.asarray(batch["value"])
-                group = np.asarray(langs.indices, dtype=np.int64) * 100 + np.asarray(batch["part"])
-                for g in np.unique(group):
-                    own = group == g
-                    held.setdefault((langs.dictionary[int(g) // 100].as_py(), int(g) % 100), []).append((keys[own], values[own]))
-    out: dict = {}
-    for lang, part in list(held):
-        keys, values = (np.concatenate(x) for x in zip(*held.pop((lang, part))))
-        here = out.setdefault(lang, {"unseen": 0.0, "grams": {}, "contexts": {}})
-        if not part:
-            here["unseen"] = float(values[0])
-        else:
-            order = np.argsort(keys)
-            here["contexts" if part > 10 else "grams"][part % 10] = keys[order], values[order]
+            rows = t.select("lang", key, value).toArrow()
+            langs = rows["lang"].combine_chunks().dictionary_encode() if rows.num_rows else None
+            for i, lang in enumerate(langs.dictionary.to_pylist() if langs else []):
+                own = rows.filter(pc.equal(langs.indices, i))
+                keys = np.asarray(own[key]).view(np.uint64)
+                order = np.argsort(keys)
+                out[lang][kind][k] = keys[order], np.asarray(own[value])[order]
     return out
 
 
@@ -210,10 +182,10 @@ def log_probabilities(own: dict, grams: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """A fitted model: its tables, and where they are written if they are small."""
+    """A fitted model: its tables, and their sorted arrays as a broadcast if they are small."""
 
     tables: Tables
-    path: str | None = None
+    arrays: Broadcast | None = None
 
 
 def fit(trusted: DataFrame, *, text_col: str = "text", lang_col: str = "lang", mapped_rows: int = 2_000_000) -> Model:
@@ -224,7 +196,7 @@ def fit(trusted: DataFrame, *, text_col: str = "text", lang_col: str = "lang", m
 def of_counts(counts: DataFrame, mapped_rows: int) -> Model:
     """The model of counted n-grams."""
     made = tables(counts)
-    return Model(made, written(made) if made.rows() <= mapped_rows else None)
+    return Model(made, counts.sparkSession.sparkContext.broadcast(sorted_tables(made)) if made.rows() <= mapped_rows else None)
 
 
 SCORED = ("n_chars_scored", "log_prob")
@@ -234,14 +206,14 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", lang_col: st
     """docs with n_chars_scored and log_prob (null where the language has no model)."""
     kept = [c for c in docs.columns if c not in SCORED]
     work = docs.select(*kept, language(lang_col).alias("__lang"), whole_text(text_col).alias("__text"))
-    if model.path is None:
+    if model.arrays is None:
         return score_by_join(work, model, kept)
-    path = model.path
+    arrays = model.arrays
     schema = docs.select(*kept).schema.add("n_chars_scored", "long").add("log_prob", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = read_tables(path)
+            own = arrays.value
             for rows in slices(batch, "__text", SLICE_BYTES):
                 n, logp = np.zeros(rows.num_rows, dtype=np.int64), np.full(rows.num_rows, np.nan)
                 for lang, at, texts in by_language(rows):
@@ -338,20 +310,23 @@ def in_half(lang, half):
     return F.concat(lang, F.lit(HALF), half.cast("string"))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", mapped_rows: int = 2_000_000, **quantiles) -> Classifier:
+def train(
+    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", mapped_rows: int = 2_000_000, broadcast_ids: int = 2_000_000, **quantiles
+) -> Classifier:
     """The classifier from all documents that the labels trust.
 
     The model counts all trusted texts. For the thresholds they are dealt into two halves by a hash
     of the text, and each is scored by the model of the other half, as a text is likelier under
-    a model that has counted it.
+    a model that has counted it. Of the trusted ids, 8 bytes each, up to broadcast_ids are broadcast, so that no text is
+    shuffled; with more of them documents and ids are dealt by id.
     """
     own = docs.select(F.col(id_col).alias("doc_id"), language(lang_col).alias("lang"), F.col(text_col).alias("text"))
     half = F.pmod(F.xxhash64(whole_text("text")), F.lit(2))
-    good = trusted_ids(labels.withColumnRenamed(id_col, "doc_id"))
-    # the texts are dealt by id at every size, as the ids that are trusted grow with them
-    halves = checkpointed(gram_counts(own.join(good.hint("merge"), "doc_id", "left_semi").withColumn("lang", in_half(F.col("lang"), 1 - half))))
+    good = checkpointed(trusted_ids(labels.withColumnRenamed(id_col, "doc_id")))
+    trusted = own.join(F.broadcast(good) if good.count() <= broadcast_ids else good.hint("merge"), "doc_id", "left_semi")
+    halves = checkpointed(gram_counts(trusted.withColumn("lang", in_half(F.col("lang"), 1 - half))))
     name = F.expr(f"substring(lang, 1, length(lang) - {len(HALF) + 1})")
     whole = halves.groupBy(name.alias("lang"), "gram").agg(F.sum("n").alias("n"))
     model = of_counts(halves.unionByName(whole), mapped_rows)
-    scored = score(own.withColumn("lang", in_half(F.col("lang"), half)), model).select("doc_id", name.alias("lang"), *SCORED)
-    return Classifier(model, checkpointed(thresholds(scored.join(good, "doc_id", "left_semi"), **quantiles)))
+    scored = score(trusted.withColumn("lang", in_half(F.col("lang"), half)), model).select("doc_id", name.alias("lang"), *SCORED)
+    return Classifier(model, checkpointed(thresholds(scored, **quantiles)))

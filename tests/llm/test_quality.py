@@ -56,7 +56,7 @@ class Plain:
 def test_scores_match_the_definition(spark, mapped_rows):
     trusted = [(t, "en") for t in TEXTS] + [("la casa y el perro", None)]
     model = quality.fit(spark.createDataFrame(trusted, "text string, lang string"), mapped_rows=mapped_rows)
-    assert (model.path is None) == (mapped_rows == 0)
+    assert (model.arrays is None) == (mapped_rows == 0)
     rows = [(1, "the cat xyz", "en"), (2, None, "en"), (3, "", "en"), (4, "abc", "xx"), (5, "zqzq 99 🙂é", "en"), (6, "la gata", None), (6, "la gata", None), (None, "the" * 5000, "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 as gram", "2 as n", "3 as log_prob")
     got = quality.score(docs, model)
