@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from siftlane.llm import decontaminate, matroska, packing, pii, quality, secrets, simhash, sql, token_counts, token_ids, urls
+from siftlane.llm import decontaminate, matroska, packing, pii, quality, secrets, simhash, sql, token_counts, token_ids, urls, vector_codes
 from siftlane.llm.common import shared_path, vocabulary
 from siftlane.session import spread, table
 
@@ -122,5 +122,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_matroska, op2_quality, op3_packing, op4_secrets, op5_urls, op6_pseudonyms, op7_token_counts, op8_decontaminate, op9_token_ids, op10_simhash, pipeline)}
-ORACLE_SQL: dict[str, str] = {"op5_urls": sql.OP5_URLS}
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all embeddings: 16 parts, 64 entries, two rounds."""
+    made = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.label_errors(made.rows).select("vec_id", "code", "error", "label_error", F.lit(vector_codes.books_digest(made.books)).alias("codebooks_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_matroska, op2_quality, op3_packing, op4_secrets, op5_urls, op6_pseudonyms, op7_token_counts, op8_decontaminate, op9_token_ids, op10_simhash, op12_vector_codes, pipeline)}
+ORACLE_SQL: dict[str, str] = {"op5_urls": sql.OP5_URLS, "op12_vector_codes": sql.OP12_VECTOR_CODES}

@@ -46,3 +46,34 @@ SELECT page_id, host, path, rule,
             WHEN rate - 1.645 * sqrt(rate * (1 - rate) / (weight + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS verdict
 FROM judged
 """
+
+OP12_VECTOR_CODES = r"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), dims AS (SELECT max(len(v)) // 16 AS width FROM kept
+), parts AS (
+  SELECT vec_id, p, list_slice(v, p * width + 1, (p + 1) * width) AS w FROM kept, dims, range(0, 16) AS r(p)
+), b0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, w AS c FROM parts JOIN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64) USING (vec_id)
+), a1 AS (
+  SELECT vec_id, p, w, arg_min(e, (list_sum(list_transform(list_zip(w, c), lambda x: (x[1] - x[2]) * (x[1] - x[2]))), e)) AS e FROM parts JOIN b0 USING (p) GROUP BY vec_id, p, w
+), m1 AS (
+  SELECT p, e, list(m ORDER BY k) AS c FROM (SELECT p, e, k, CAST(floor(sum(w[k]) / count(*)) AS BIGINT) AS m FROM a1, range(1, 1 + (SELECT width FROM dims)) AS r(k) GROUP BY p, e, k) GROUP BY p, e
+), b1 AS (
+  SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM b0 b LEFT JOIN m1 m ON b.p = m.p AND b.e = m.e
+), a2 AS (
+  SELECT vec_id, p, w, arg_min(e, (list_sum(list_transform(list_zip(w, c), lambda x: (x[1] - x[2]) * (x[1] - x[2]))), e)) AS e FROM parts JOIN b1 USING (p) GROUP BY vec_id, p, w
+), m2 AS (
+  SELECT p, e, list(m ORDER BY k) AS c FROM (SELECT p, e, k, CAST(floor(sum(w[k]) / count(*)) AS BIGINT) AS m FROM a2, range(1, 1 + (SELECT width FROM dims)) AS r(k) GROUP BY p, e, k) GROUP BY p, e
+), b2 AS (
+  SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM b1 b LEFT JOIN m2 m ON b.p = m.p AND b.e = m.e
+), coded AS (
+  SELECT vec_id, p, min((list_sum(list_transform(list_zip(w, c), lambda x: (x[1] - x[2]) * (x[1] - x[2]))), e)) AS best FROM parts JOIN b2 USING (p) GROUP BY vec_id, p
+), summed AS (
+  SELECT vec_id, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code, CAST(sum(best[1]) AS BIGINT) AS error FROM coded GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b2) AS codebooks_sha256
+FROM summed JOIN kept USING (vec_id)
+"""
