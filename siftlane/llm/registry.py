@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from siftlane.llm import decontaminate, matroska, packing, pii, quality, secrets, simhash, sql, token_counts, token_ids, urls, vector_codes
+from siftlane.llm import decontaminate, matroska, minhash, packing, pii, quality, secrets, simhash, sql, token_counts, token_ids, urls, vector_codes
 from siftlane.llm.common import shared_path, vocabulary
 from siftlane.session import spread, table
 
@@ -128,5 +128,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.label_errors(made.rows).select("vec_id", "code", "error", "label_error", F.lit(vector_codes.books_digest(made.books)).alias("codebooks_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_matroska, op2_quality, op3_packing, op4_secrets, op5_urls, op6_pseudonyms, op7_token_counts, op8_decontaminate, op9_token_ids, op10_simhash, op12_vector_codes, pipeline)}
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document by exact similarity of four-word shingles, and whether it stands for it."""
+    found = minhash.near_duplicates(documents(spark, sf_dir), shingle=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+QUERIES = {f.__name__: f for f in (op1_matroska, op2_quality, op3_packing, op4_secrets, op5_urls, op6_pseudonyms, op7_token_counts, op8_decontaminate, op9_token_ids, op10_simhash, op12_vector_codes, op13_minhash, pipeline)}
 ORACLE_SQL: dict[str, str] = {"op5_urls": sql.OP5_URLS, "op12_vector_codes": sql.OP12_VECTOR_CODES}
