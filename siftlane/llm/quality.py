@@ -40,6 +40,8 @@ from siftlane.llm.common import checkpointed, row_sums, slices, whole_text
 SLICE_BYTES = 2 << 20
 BITS = 16
 ORDER = 4
+#: Rows of the tables for each task that works on them: they are small beside the texts, and a shuffle writes files for each task.
+TASK_ROWS = 200_000
 
 
 def language(column: str = "lang"):
@@ -120,23 +122,27 @@ class Tables:
 def tables(counts: DataFrame) -> Tables:
     """Probabilities and back-off weights of all orders, from the counts of the highest."""
     counts = checkpointed(counts)
+    parts = max(1, counts.count() // TASK_ROWS)
+    few = lambda df: df.coalesce(parts)
+    counts = few(counts)
     by_order = {ORDER: counts}
     for k in range(ORDER - 1, 0, -1):
         suffix = F.col("gram").bitwiseAND(F.lit((1 << BITS * k) - 1))
-        by_order[k] = by_order[k + 1].groupBy("lang", suffix.alias("gram")).agg(F.count("*").alias("n"))
+        by_order[k] = few(by_order[k + 1].groupBy("lang", suffix.alias("gram")).agg(F.count("*").alias("n")))
     out = Tables()
     for k in range(1, ORDER + 1):
-        own = by_order[k].join(discounts(by_order[k]), "lang")
+        own = few(by_order[k].join(discounts(by_order[k]), "lang"))
         own = own.withColumn("d", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
         own = own.withColumn("context", F.shiftrightunsigned("gram", BITS))
-        around = own.groupBy("lang", "context").agg(F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("w"), F.count("*").alias("types"))
-        own = own.join(around, ["lang", "context"])
+        around = few(own.groupBy("lang", "context").agg(F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("w"), F.count("*").alias("types")))
+        own = few(own.join(around, ["lang", "context"]))
         if k == 1:
             lower = F.col("w") / (F.col("types") + 1)
             out.unseen = checkpointed(around.select("lang", F.log(F.col("w") / (F.col("types") + 1)).alias("logp")))
         else:
             below = out.grams[k - 1].select("lang", F.col("gram").alias("suffix"), F.exp("logp").alias("below"))
-            own = own.withColumn("suffix", F.col("gram").bitwiseAND(F.lit((1 << BITS * (k - 1)) - 1))).join(below, ["lang", "suffix"])
+            own = own.withColumn("suffix", F.col("gram").bitwiseAND(F.lit((1 << BITS * (k - 1)) - 1)))
+            own = few(own.join(below, ["lang", "suffix"]))
             lower = F.col("w") * F.col("below")
         out.grams[k] = checkpointed(own.select("lang", "gram", F.log((F.col("n") - F.col("d")) / F.col("total") + lower).alias("logp")))
         out.contexts[k] = checkpointed(around.select("lang", "context", F.log("w").alias("logw")))
