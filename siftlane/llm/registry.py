@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from siftlane.llm import decontaminate, matroska, minhash, packing, pii, quality, secrets, simhash, sql, token_counts, token_ids, urls, vector_codes
+from siftlane.llm import decontaminate, matroska, minhash, packing, pii, prefix_trie, quality, secrets, simhash, sql, token_counts, token_ids, urls, vector_codes
 from siftlane.llm.common import shared_path, vocabulary
 from siftlane.session import spread, table
 
@@ -122,6 +122,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each with the first turns of its group's first one."""
+    found = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.with_shared_heads(found))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product codes of all embeddings: 16 parts, 64 entries, two rounds."""
     made = vector_codes.compress(table(spark, sf_dir, "embeddings"))
@@ -134,5 +140,5 @@ def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_matroska, op2_quality, op3_packing, op4_secrets, op5_urls, op6_pseudonyms, op7_token_counts, op8_decontaminate, op9_token_ids, op10_simhash, op12_vector_codes, op13_minhash, pipeline)}
-ORACLE_SQL: dict[str, str] = {"op5_urls": sql.OP5_URLS, "op12_vector_codes": sql.OP12_VECTOR_CODES}
+QUERIES = {f.__name__: f for f in (op1_matroska, op2_quality, op3_packing, op4_secrets, op5_urls, op6_pseudonyms, op7_token_counts, op8_decontaminate, op9_token_ids, op10_simhash, op11_prefix_trie, op12_vector_codes, op13_minhash, pipeline)}
+ORACLE_SQL: dict[str, str] = {"op5_urls": sql.OP5_URLS, "op11_prefix_trie": sql.OP11_PREFIX_TRIE, "op12_vector_codes": sql.OP12_VECTOR_CODES}

@@ -77,3 +77,27 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
        (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b2) AS codebooks_sha256
 FROM summed JOIN kept USING (vec_id)
 """
+
+OP11_PREFIX_TRIE = r"""
+WITH own AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS t FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), h AS (
+  SELECT conv_id, t, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ord(ch) AS BIGINT))),
+         lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) % 4 AS h FROM own
+), seq AS (
+  SELECT h.conv_id, list_concat(coalesce(g.t, [])[1:h], h.t[h + 1:]) AS s FROM h LEFT JOIN own g ON g.conv_id = h.conv_id - h.conv_id % 20
+), prefixes AS (
+  SELECT conv_id, d AS depth, s[1:d] AS p, len(s) = d AS ends FROM seq, LATERAL (SELECT unnest(range(0, len(s) + 1)) AS d)
+), node AS (
+  SELECT p, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * CASE WHEN depth > 0 THEN len(regexp_extract_all(p[depth].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY p, depth
+), tree AS (
+  SELECT c.*, q.conv_id AS parent_conv_id, coalesce(k.n, 0) AS n_children
+  FROM node c LEFT JOIN node q ON q.depth = c.depth - 1 AND q.p = c.p[1:c.depth - 1] LEFT JOIN (SELECT p[1:depth - 1] AS p, count(*) AS n FROM node WHERE depth > 0 GROUP BY ALL) k ON k.p = c.p
+), below AS (
+  SELECT p[1:d] AS p, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS leaves FROM tree, LATERAL (SELECT unnest(range(0, depth + 1)) AS d) GROUP BY ALL
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, leaves AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, ends_sha256 FROM tree JOIN below b USING (p)
+"""
