@@ -13,7 +13,7 @@ from siftlane.plans.collected import query
 from siftlane.plans.contacts import VOTES
 from siftlane.plans.leads import COUNTRIES, LEADS_SQL, leads, sql_hits, sql_list
 from siftlane.session import shared_path, table
-from siftlane.sources import files, sinks
+from siftlane.sources import files, paged, sinks
 
 WITH = "WITH " + LEADS_SQL
 
@@ -199,25 +199,47 @@ def h4_repeated_structures(spark, sf):
 # --- sources ------------------------------------------------------------------------------------------------------------------------------
 
 
-def supplier_pages(spark, sf):
-    """Suppliers as pages of ten by nation, the answers of a paged service; an empty page ends each nation's."""
-    own = table(spark, sf, "supplier").withColumn("company_name", F.when(F.col("s_suppkey") % 9 == 0, F.concat("s_name", F.lit(" (Withdrawn)"))).otherwise(F.col("s_name")))
-    item = F.struct("company_name", F.lit("X").alias("country"), F.col("s_acctbal").cast("string").alias("product_category"))
-    # a key's pages are of its own numbers: ten of a nation's numbers by their order among the table's
-    paged = own.withColumn("page", F.floor(F.col("s_suppkey") / 10)).groupBy(F.col("s_nationkey").alias("country"), (F.col("page") * 10).alias("offset")).agg(F.sort_array(F.collect_list(item)).alias("items"))
-    body = F.to_json(F.struct(F.lit(1_000_000).alias("total"), "items"))
-    empty = own.groupBy(F.col("s_nationkey").alias("country")).agg((F.max(F.floor(F.col("s_suppkey") / 10)) * 10 - 10 * F.lit(3)).alias("offset")).where("offset % 100 = 90").select("country", F.col("offset") + 5, F.lit('{"total": 5, "items": []}').alias("body"))
-    return paged.select("country", "offset", body.alias("body")).union(empty)
+def customer_answers(spark, sf):
+    """Customers as a paged service's answers, eight pages a nation. Some pages tell a total that has fallen, some none, some are empty."""
+    own, page = table(spark, sf, "customer").withColumn("page", F.col("c_custkey") % 8), F.col("page")
+    item = F.struct(F.when(F.col("c_custkey") % 9 == 0, F.concat("c_name", F.lit(" (Withdrawn)"))).otherwise(F.col("c_name")).alias("company_name"), F.lit("X").alias("country"), F.col("c_acctbal").cast("string").alias("product_category"))
+    void = (F.col("c_nationkey") + page) % 13 == 12
+    paged = own.groupBy("c_nationkey", "page").agg(F.sort_array(F.collect_list(F.when(~void, item))).alias("items"))
+    total = F.when((F.col("c_nationkey") * 3 + page) % 7 == 6, page * 100 - 50).otherwise(1_000_000)
+    body = F.when(page % 3 == 1, F.to_json(F.struct("items"))).otherwise(F.to_json(F.struct(total.alias("total"), "items")))
+    return paged.select(F.col("c_nationkey").cast("string").alias("country"), (page * 100).alias("offset"), body.alias("body"))
+
+
+PAGED_SQL = """p AS (SELECT c_nationkey AS k, c_custkey % 8 * 100 AS o, CASE WHEN (c_nationkey + c_custkey % 8) % 13 = 12 THEN 0 ELSE count(*) END AS n,
+  CASE WHEN c_custkey % 8 % 3 = 1 THEN NULL WHEN (c_nationkey * 3 + c_custkey % 8) % 7 = 6 THEN c_custkey % 8 * 100 - 50 ELSE 1000000 END AS t FROM customer GROUP BY c_nationkey, c_custkey % 8),
+b AS (SELECT *, last_value(t IGNORE NULLS) OVER (PARTITION BY k ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS told FROM p), e AS (SELECT k, min(o) AS o FROM b WHERE n = 0 OR o >= told GROUP BY k)"""
 
 
 @query(
-    """WITH e AS (SELECT s_nationkey AS k, max(s_suppkey // 10) * 10 - 30 AS o FROM supplier GROUP BY 1), n AS (SELECT k, o + 5 AS o FROM e WHERE o % 100 = 90)
-SELECT s_nationkey AS country, s_name AS company, 'X' AS item_country, 'gots' AS source_type, 'GOTS certified supplier. Product category: ' || CAST(s_acctbal AS VARCHAR) || '. Country: X. Brands: .' AS context
-FROM supplier LEFT JOIN n ON k = s_nationkey WHERE s_suppkey % 9 <> 0 AND (s_suppkey // 10) * 10 < coalesce(o, 1000000)"""
+    f"""WITH {PAGED_SQL} SELECT CAST(c_nationkey AS VARCHAR) AS country, c_name AS company, 'X' AS item_country, 'gots' AS source_type,
+  'GOTS certified supplier. Product category: ' || CAST(c_acctbal AS VARCHAR) || '. Country: X. Brands: .' AS context
+FROM customer LEFT JOIN e ON k = c_nationkey WHERE c_custkey % 9 <> 0 AND c_custkey % 8 * 100 < coalesce(o, 1000000)"""
 )
 def a10_a11_paged_service(spark, sf):
-    items = files.paged_items(supplier_pages(spark, sf), "company_name string, country string, product_category string, brand_names string")
-    return files.listed_companies(items, "gots")
+    """Answers kept as files and read page by page, as their running totals say."""
+    path = shared_path(spark, "answers")
+    paged.keep_answers(customer_answers(spark, sf), path, key="country")
+    answers = paged.read_answers(spark, path, key="country", pages=3)
+    return files.listed_companies(files.paged_items(answers, "company_name string, country string, product_category string, brand_names string"), "gots")
+
+
+@query("SELECT CAST(c_nationkey AS VARCHAR) AS country, c_custkey % 8 * 100 AS offset, CASE WHEN (c_nationkey + c_custkey % 8) % 13 = 12 THEN 0 ELSE count(*) END AS n FROM customer WHERE c_nationkey IN (3, 7) GROUP BY c_nationkey, c_custkey % 8")
+def a10_streamed_pages(spark, sf):
+    """Answers of two keys as a stream, of which the later pages come after the first batch."""
+    path, answers = shared_path(spark, "answers"), customer_answers(spark, sf)
+    stream = lambda: paged.stream_answers(spark, f"{path}/in", key="country", keys=(3, 7)).writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/at")
+    for half in ("offset < 400", "offset >= 400"):
+        paged.keep_answers(answers.where(half), f"{path}/in", key="country")
+        run = stream().start()
+        run.processAllAvailable()
+        run.stop()
+    items = F.from_json(F.get_json_object("body", "$.items"), "array<string>")
+    return spark.read.parquet(f"{path}/out").select("country", "offset", F.size(items).cast("long").alias("n"))
 
 
 @query("SELECT s_suppkey AS id, s_name AS company, CASE WHEN s_suppkey % 4 = 3 THEN 'n' || s_suppkey || '@x.de' END AS email FROM supplier WHERE s_suppkey % 5 <> 4")

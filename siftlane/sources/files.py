@@ -10,7 +10,7 @@ from collections.abc import Iterable, Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftlane.functions.text import clean, emails, links, low, phones, squeezed, text_of
@@ -167,18 +167,19 @@ def search_files(results: DataFrame, kinds: Iterable[str] = ("pdf", "xlsx", "xls
 def paged_items(pages: DataFrame, item_schema: str, *, key: str = "country", body: str = "body", items: str = "items", total: str = "total", most: int | None = None) -> DataFrame:
     """(key, offset, place, item): the items of a paged service's answers (key, offset, body), one row for each.
 
-    As a reader does that asks page by page, a key's pages count up to the first without items, while the offset is below the
-    total that the page before has told (the last known one) and below ``most``, a reader's own limit."""
+    As a reader does that asks page by page: it goes on while the offset is below the total that was told last (an answer without a
+    total leaves it as it was, one whose total is null makes it unknown again; unknown ends nothing) and below ``most``,
+    a reader's own limit, and ends with a page without items. What decides is a window over a few numbers of each page, the
+    items stay where they are."""
     many = f"array<struct<{item_schema}>>"
-    work = pages.select(key, "offset", F.from_json(F.get_json_object(body, f"$.{items}"), many).alias("__items"), F.get_json_object(body, f"$.{total}").cast("long").alias("__total"))
-    work = work.withColumn("__none", F.coalesce(F.size("__items"), F.lit(0)) <= 0)
-    of = F.struct("offset", F.col("__total").alias("total"))
-    # ends first: the least offset without items, and the least at or beyond the total told before it
-    told = work.where("__total is not null").groupBy(key).agg(F.min(of).alias("first"), F.max("__total").alias("most"), F.min("__total").alias("least"))
-    ends = work.groupBy(key).agg(F.min(F.when(F.col("__none"), F.col("offset"))).alias("__end")).join(told, key, "left")
-    near = F.col("offset") < F.coalesce("__end", F.col("offset") + 1)
-    known = (F.col("offset") <= F.coalesce("first.offset", F.col("offset"))) | (F.col("offset") < F.coalesce("most", F.col("offset") + 1))
-    own = work.join(ends, key).where(near & known & (F.lit(True) if most is None else F.col("offset") < most))
+    work = pages.select(key, "offset", F.from_json(F.get_json_object(body, f"$.{items}"), many).alias("__items"), F.get_json_object(body, f"$.{total}").cast("long").alias("__total"), F.json_object_keys(body).alias("__keys"))
+    before = Window.partitionBy(key).orderBy("offset")
+    told = F.when(F.array_contains("__keys", total), F.struct(F.col("__total").alias("total")))
+    slim = work.select(key, "offset", F.coalesce(F.size("__items"), F.lit(0)).alias("__n"), told.alias("__own"))
+    slim = slim.withColumn("__told", F.last("__own", ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, -1)))
+    stops = (F.col("__n") <= 0) | F.coalesce(F.col("offset") >= F.col("__told.total"), F.lit(False)) | (F.lit(False) if most is None else F.col("offset") >= most)
+    ends = slim.where(stops).groupBy(F.col(key).alias("__key")).agg(F.min("offset").alias("__end"))
+    own = work.join(ends, work[key].eqNullSafe(ends["__key"]), "left").where("__end is null or offset < __end")
     return own.select(key, "offset", F.posexplode("__items").alias("place", "item"))
 
 
