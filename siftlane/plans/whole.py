@@ -13,7 +13,7 @@ from siftlane.plans.collected import query
 from siftlane.plans.contacts import VOTES
 from siftlane.plans.leads import COUNTRIES, LEADS_SQL, leads, sql_hits, sql_list
 from siftlane.session import shared_path, table
-from siftlane.sources import files, paged, sinks
+from siftlane.sources import files, paged, sinks, workbooks
 
 WITH = "WITH " + LEADS_SQL
 
@@ -437,26 +437,38 @@ def stream_upserts(spark, sf):
 # --- further scans and names ----------------------------------------------------------------------------------------------------------------
 
 
-def made_workbook(rows) -> bytes:
-    """A workbook of one sheet of inline texts."""
-    import io
-    import zipfile
-
-    cells = "".join(f'<row r="{i + 1}">' + "".join(f'<c r="{chr(65 + j)}{i + 1}" t="inlineStr"><is><t>{v}</t></is></c>' for j, v in enumerate(r)) + "</row>" for i, r in enumerate(rows))
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w") as z:
-        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{cells}</sheetData></worksheet>')
-    return out.getvalue()
+@query("SELECT 'm' || c_nationkey % 5 || '.xlsx' AS file, c_name AS company, CAST(c_nationkey AS VARCHAR) AS country, c_mktsegment AS category, '' AS website FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_nationkey <> 7")
+def a5_member_lists(spark, sf):
+    """The customers as five workbooks that tasks write, with a title and a header in the directory's words, read by rows; two categories count."""
+    own, path = table(spark, sf, "customer"), shared_path(spark, "members")
+    cells = F.array("c_name", F.col("c_nationkey").cast("string"), "c_mktsegment")
+    rows = own.select(F.concat(F.lit("m"), F.col("c_nationkey") % 5, F.lit(".xlsx")).alias("file"), F.col("c_custkey").alias("row"), cells.alias("cells"))
+    head = lambda row, *x: rows.select("file").distinct().select("file", F.lit(row).cast("long").alias("row"), F.array(*map(F.lit, x)).alias("cells"))
+    every = rows.unionByName(head(-2, "List of members", None, None)).unionByName(head(-1, "Member name", "Country", "Membership category"))
+    workbooks.write_workbooks(every, path).write.format("noop").mode("overwrite").save()
+    found = workbooks.member_list(spark, f"{path}/*.xlsx", countries=[str(i) for i in range(25) if i != 7], categories=["Building", " machinery"])
+    return found.select(F.substring_index("file", "/", -1).alias("file"), "company", "country", "category", "website")
 
 
 @query("SELECT CASE WHEN n_regionkey % 2 = 0 THEN 'b.xlsx' ELSE 'c.csv' END AS file, n_name AS company, CAST(n_regionkey AS VARCHAR) AS country FROM nation")
 def a5_a6_member_lists(spark, sf):
-    """The nations as a workbook and a delimited file, read by their header rows."""
-    rows = [(r.n_name, str(r.n_regionkey)) for r in table(spark, sf, "nation").collect()]  # 25 rows
-    head = [("Members of 2024", ""), ("Member name", "Country")]
-    book = made_workbook([*head, *[r for r in rows if int(r[1]) % 2 == 0]])
-    text = "\n".join(",".join(r) for r in [*head, *[r for r in rows if int(r[1]) % 2]]).encode()
-    return files.members_of(spark.createDataFrame([("b.xlsx", bytearray(book)), ("c.csv", bytearray(text))], "path string, content binary"))
+    """The nations as a workbook and as delimited files, both written by tasks and read by their header rows."""
+    own, path = table(spark, sf, "nation"), shared_path(spark, "lists")
+    cells = F.array("n_name", F.col("n_regionkey").cast("string"))
+    head = spark.createDataFrame([("b.xlsx", -2, ["Members of 2024", ""]), ("b.xlsx", -1, ["Member name", "Country"])], "file string, row long, cells array<string>")
+    workbooks.write_workbooks(head.unionByName(own.where("n_regionkey % 2 = 0").select(F.lit("b.xlsx").alias("file"), F.col("n_nationkey").alias("row"), cells.alias("cells"))), path).write.format("noop").mode("overwrite").save()
+    sinks.write_csv(own.where("n_regionkey % 2 = 1").select(F.col("n_name").alias("Member name"), F.col("n_regionkey").alias("Country")), f"{path}/c")
+    found = workbooks.member_list(spark, f"{path}/*.xlsx").unionByName(workbooks.member_list(spark, f"{path}/c/*.csv"))
+    return found.select(F.when(F.endswith("file", F.lit(".csv")), "c.csv").otherwise(F.substring_index("file", "/", -1)).alias("file"), "company", "country")
+
+
+@query("SELECT s_name AS company, CAST(s_nationkey AS VARCHAR) AS country, 'https://' || s_suppkey || '.example' AS website FROM supplier WHERE s_nationkey IN (1, 2, 3)")
+def a6_registered_list(spark, sf):
+    """The suppliers as delimited files of a registry's entry, of which three countries count."""
+    path = shared_path(spark, "registered")
+    own = table(spark, sf, "supplier").select(F.col("s_name").alias("Organisation"), F.col("s_nationkey").cast("string").alias("Country"), F.concat(F.lit("https://"), F.col("s_suppkey").cast("string"), F.lit(".example")).alias("Homepage"))
+    sinks.write_csv(own, path)
+    return workbooks.registered_list(spark, {"directory_url": f"{path}/*.csv", "countries": ["1", "2", "3"]}).select("company", "country", "website")
 
 
 @query(
@@ -485,7 +497,7 @@ def s19_region_of_text(spark, sf):
 
 @query(
     f"""{WITH}, m AS (SELECT _ord, CASE _ord % 4 WHEN 0 THEN 'The  ' || country || ' Mills' WHEN 1 THEN 'Textile' WHEN 2 THEN 'a small mill' ELSE 'Finishing' END AS n FROM leads),
-c AS (SELECT _ord, n, trim(regexp_replace(regexp_replace(n, '(?i)^(the|a|an)\s+', ''), '\s+', ' ', 'g'), ' ') AS t FROM m)
+c AS (SELECT _ord, n, trim(regexp_replace(regexp_replace(n, '(?i)^(the|a|an)\\s+', ''), '\\s+', ' ', 'g'), ' ') AS t FROM m)
 SELECT _ord, CASE WHEN length(t) BETWEEN 3 AND 60 AND substr(t, 1, 1) = upper(substr(t, 1, 1)) AND NOT list_contains({sql_list(extract.NAME_NOT)}, lower(t)) THEN t ELSE '' END AS name, length(n) >= 3 AND NOT list_contains({sql_list(extract.NAME_EXCLUDED)}, lower(n)) AS fine FROM c"""
 )
 def s24_clean_names(spark, sf):

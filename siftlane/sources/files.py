@@ -1,15 +1,9 @@
-"""Scans: delimited files, the newest of many files, spreadsheets, extracted tables, JSON pages, HTML cards and sitemaps."""
+"""Scans: delimited files, the newest of many files, extracted tables, JSON pages, HTML cards and sitemaps."""
 
 from __future__ import annotations
 
-import csv
-import io
-import re
-import zipfile
-from collections.abc import Iterable, Iterator
-from xml.etree import ElementTree
+from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,60 +31,6 @@ def read_latest(spark: SparkSession, glob: str, kind: str = "parquet") -> DataFr
     return spark.read.format(kind).load(last.path)
 
 
-def sheet_rows(data: bytes) -> list[list[str]]:
-    """The first sheet of an .xlsx file as text."""
-    ns = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
-        names = set(z.namelist())
-        shared = ["".join(t.text or "" for t in si.iter(f"{{{ns['m']}}}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in names else []
-        sheet = ElementTree.fromstring(z.read(sorted(n for n in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n))[0]))
-    out = []
-    for row in sheet.iter(f"{{{ns['m']}}}row"):
-        cells: dict[int, str] = {}
-        for c in row.iter(f"{{{ns['m']}}}c"):
-            at = 0
-            for letter in re.match("[A-Z]*", c.get("r", ""))[0]:
-                at = at * 26 + ord(letter) - 64
-            value = c.find("m:v", ns)
-            text = (value.text or "") if value is not None else "".join(t.text or "" for t in c.iter(f"{{{ns['m']}}}t"))
-            cells[at or len(cells) + 1] = shared[int(text)] if c.get("t") == "s" and text else text
-        out.append([cells.get(i, "") for i in range(1, max(cells, default=0) + 1)])
-    return out
-
-
-def member_list(spark: SparkSession, path: str, name_words: Iterable[str] = ("member", "company", "name"), country_words: Iterable[str] = ("country",)) -> DataFrame:
-    """Leads (file, company, country) of the spreadsheets that a path finds; see ``members_of``."""
-    return members_of(spark.read.format("binaryFile").load(path).select("path", "content"), name_words, country_words)
-
-
-def members_of(files: DataFrame, name_words: Iterable[str] = ("member", "company", "name"), country_words: Iterable[str] = ("country",)) -> DataFrame:
-    """(file, company, country) of files (path, content): .xlsx workbooks, or delimited text where the content is none, whose header
-    row, wherever it is, has a name and a country column. A file is a task's work."""
-    name_words, country_words = tuple(name_words), tuple(country_words)
-
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for file, content in zip(frame["path"], frame["content"]):
-                data = bytes(content)
-                rows = sheet_rows(data) if data[:2] == b"PK" else list(csv.reader(io.StringIO(data.decode("utf-8-sig", "replace"))))
-                where = lambda row, words: next((i for i, c in enumerate(row) if any(w in c.lower() for w in words)), None)
-                at = next((i for i, r in enumerate(rows) if where(r, name_words) is not None and where(r, country_words) is not None), None)
-                if at is None:
-                    continue
-                a, b = where(rows[at], name_words), where(rows[at], country_words)
-                own = [(file, r[a].strip(), r[b].strip() if len(r) > b else "") for r in rows[at + 1 :] if len(r) > a and r[a].strip()]
-                yield pd.DataFrame(own, columns=["file", "company", "country"])
-
-    return files.mapInPandas(read, "file string, company string, country string")
-
-
-def registered_list(spark: SparkSession, entry: dict) -> DataFrame:
-    """The member list of a registry's entry (directory_url, and filters: countries that count)."""
-    rows = member_list(spark, entry["directory_url"])
-    countries = [c.lower() for c in entry.get("countries", ())]
-    return rows.where(F.lower("country").isin(*countries)) if countries else rows
-
-
 #: Words of a header cell, and the field it names.
 HEADER_FIELDS = {"company": ("company", "exhibitor", "name", "firm"), "country": ("country", "nation"), "website": ("website", "web", "url"), "email": ("email", "e-mail", "mail"), "phone": ("phone", "tel"), "booth": ("booth", "stand", "hall")}
 

@@ -1,7 +1,5 @@
 """Files, spreadsheets, tables, cards, sinks, streams and the command line."""
 
-import zipfile
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,19 +10,6 @@ from siftlane.sources import files, sinks
 from siftlane.streaming import events
 
 
-def workbook(path, rows):
-    cells = "".join(f'<row r="{i + 1}">' + "".join(f'<c r="{chr(65 + j)}{i + 1}" t="inlineStr"><is><t>{v}</t></is></c>' for j, v in enumerate(r)) + "</row>" for i, r in enumerate(rows))
-    with zipfile.ZipFile(path, "w") as z:
-        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{cells}</sheetData></worksheet>')
-
-
-def test_member_list(spark, tmp_path):
-    workbook(tmp_path / "a.xlsx", [["List of 2024", ""], ["Member name", "Country"], ["Alfa", "Brazil"], ["", "Peru"], ["Beta", "Egypt"]])
-    workbook(tmp_path / "b.xlsx", [["no", "header"]])
-    got = files.member_list(spark, str(tmp_path / "*.xlsx")).collect()
-    assert sorted((r.company, r.country) for r in got) == [("Alfa", "Brazil"), ("Beta", "Egypt")]
-
-
 def test_table_records(spark):
     table = [["Hall plan", ""], ["Exhibitor", "Country", "Stand"], ["Alfa", "Brazil", "1A"], ["", "Peru", ""], ["Beta", None, "2"]]
     df = spark.createDataFrame([(1, table), (2, [["nothing"]]), (3, None)], "id int, rows array<array<string>>")
