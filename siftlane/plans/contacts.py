@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from siftlane import dictionaries as D
 from siftlane.functions import text as T
 from siftlane.functions import web as H
+from siftlane.operators import page_trees
 from siftlane.operators.tables import guessed_emails
 from siftlane.plans.collected import query
 from siftlane.plans.leads import LEADS_SQL, leads, sql_any, sql_hits, sql_list
@@ -163,6 +164,33 @@ def a13_a14_cards(spark, sf):
     return own.select("page_id", "place", "company", "context", F.array_join("emails", ";").alias("emails"))
 
 
+@query(
+    r"""WITH l AS (SELECT page_id, generate_subscripts(regexp_extract_all(html, '<li><a href="([^"]+)">([^<]*)</a></li>', 1), 1) - 1 AS place, unnest(regexp_extract_all(html, '<li><a href="([^"]+)">([^<]*)</a></li>', 1)) AS website,
+  unnest(regexp_extract_all(html, '<li><a href="([^"]+)">([^<]*)</a></li>', 2)) AS company FROM pages)
+SELECT page_id, place, company, website, company AS context FROM l WHERE length(company) > 3"""
+)
+def a13_selected_items(spark, sf):
+    """Leads of the pages' lists by a site's selectors."""
+    site = {"selectors": {"item": "nav > ul > li", "name": "li a", "website": "a[href^='/']"}, "skip_industry_filter": True}
+    return page_trees.scraped(table(spark, sf, "pages"), site).drop("fields")
+
+
+@query()
+def h1_main_texts(spark, sf):
+    """The main text of all pages by text and link density."""
+    return page_trees.main_texts(table(spark, sf, "pages"))
+
+
+@query(
+    r"""WITH l AS (SELECT page_id, regexp_extract_all(regexp_extract(html, '<nav><ul>(.*?)</ul>', 1), '<li><a href="([^"]+)">([^<]*)</a></li>', 1) AS h, regexp_extract_all(regexp_extract(html, '<nav><ul>(.*?)</ul>', 1), '<li><a href="([^"]+)">([^<]*)</a></li>', 2) AS t FROM pages)
+SELECT page_id, unnest(range(0, len(h))) AS place, len(h) AS n, unnest(t) AS name, unnest(h) AS href FROM l WHERE len(h) >= 3"""
+)
+def h4_n3_repeated_records(spark, sf):
+    """The records of the pages' repeated structures: here those of their navigation."""
+    found = page_trees.repeated_records(table(spark, sf, "pages").select("page_id", "html"))
+    return found.where("path = 'html>body>nav>ul>li'").select("page_id", "place", "n", "name", "href")
+
+
 @query(
     r"""SELECT page_id, CASE WHEN regexp_matches(url, '[?&](page|p|pg|offset)=\d+') THEN regexp_replace(url, '([?&](?:page|p|pg|offset)=)\d+', '\1{num}', 'g')
   WHEN regexp_matches(url, '/page/\d+') THEN regexp_replace(url, '/page/\d+', '/page/{num}', 'g') END AS template FROM pages"""
