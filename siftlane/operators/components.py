@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,21 +31,63 @@ def joined_by_key(many: DataFrame, one: DataFrame, key: str, size: str, rows: in
     return many.join(hot, key).unionByName(rest)
 
 
+#: Edges that a task joins by itself.
+TASK_EDGES = 1 << 18
+
+
+def united(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """Edges (u, v), v the least node, that connect the same nodes as edges without nulls: union-find over the edges that a task
+    reads together, a few hundred thousand at a time; a node without others is its own edge."""
+    kind = edges.schema[src].dataType.simpleString()
+
+    def least_of(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        nodes, index = np.unique(np.concatenate([u, v]), return_inverse=True)
+        part, one, two = np.arange(len(nodes)), index[: len(u)], index[len(u) :]
+        while True:
+            low = np.minimum(part[one], part[two])
+            before = part.copy()
+            np.minimum.at(part, one, low)
+            np.minimum.at(part, two, low)
+            np.minimum.at(part, before[one], low)
+            np.minimum.at(part, before[two], low)
+            part = part[part]
+            if (part == before).all():
+                return nodes, nodes[part]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in itertools.chain(batches, (None,)):
+            if batch is not None and batch.num_rows:
+                held.append(batch)
+                rows += batch.num_rows
+            if held and (batch is None or rows >= 2 * TASK_EDGES):
+                table = pa.Table.from_batches(held)
+                u, v = least_of(*(table[c].to_numpy() for c in (src, dst)))
+                yield pa.RecordBatch.from_arrays([pa.array(u, table[src].type), pa.array(v, table[src].type)], names=["u", "v"])
+                held, rows = [], 0
+
+    return edges.select(src, dst).where(F.col(src).isNotNull() & F.col(dst).isNotNull()).mapInArrow(run, f"u {kind}, v {kind}")
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node that has an edge; component is the least node of its component.
 
-    Alternates large and small stars: each round sends a node's larger neighbours, then its
+    Tasks first join the edges that they hold by union-find, ``TASK_EDGES`` of them or so each; if one task holds them all, that is it. Otherwise
+    large and small stars alternate over what the tasks left: each round sends a node's larger neighbours, then its
     smaller ones, to the least neighbour, until the edges are stars. Rounds grow with the
     logarithm of a component's diameter. The least neighbour is a map-side-combined minimum
     joined back to the edges; those of the few hubs that hold many edges are broadcast, so a hub's
     edges are never gathered in one task. Edges with a null end are ignored; a loop makes a component of one node.
     """
-    known = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
-    now = checkpointed(known.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    known = checkpointed(edges.select(src, dst).where(F.col(src).isNotNull() & F.col(dst).isNotNull()))
+    tasks = -(-known.count() // TASK_EDGES)
+    now = checkpointed(united(known.coalesce(max(1, tasks)), src, dst))
+    if tasks <= 1:
+        return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     mark = lambda df: df.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
     nodes = now.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     links, before = now.where("u > v"), None
-    rows = now.count()
+    rows = links.count()
     for _ in range(max_rounds):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))

@@ -33,3 +33,16 @@ def test_components(spark, kind):
     got = connected_components(spark.createDataFrame(edges, "src long, dst long"))
     assert dict(map(tuple, got.collect())) == plain(edges)
     assert got.count() == len(plain(edges))
+
+
+def test_components_over_several_tasks(spark, monkeypatch):
+    """The same with tasks of few edges, so that stars alternate over what they leave; names as nodes, too."""
+    from siftlane.operators import components
+
+    monkeypatch.setattr(components, "TASK_EDGES", 40)
+    rng = random.Random(3)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(i, i + 1) for i in range(1000, 1100)] + [(2000, 2000 + i) for i in range(100)] + [(5, 5)]
+    rng.shuffle(edges)
+    assert dict(map(tuple, connected_components(spark.createDataFrame(edges, "src long, dst long")).collect())) == plain(edges)
+    named = [(f"n{a:05d}", f"n{b:05d}") for a, b in edges]
+    assert dict(map(tuple, connected_components(spark.createDataFrame(named, "a string, b string"), "a", "b").collect())) == plain(named)
