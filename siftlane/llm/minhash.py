@@ -13,13 +13,9 @@ Candidates: equal sets are one node. ``bands`` runs of ``rows`` slots are bucket
 their sizes allow the similarity and their sketches (a bit for each slot) are not farther apart than ``SIGMAS`` deviations at the
 similarity. With 26 bands of 4 slots a pair of similarity 0.8 shares no bucket in one of a million cases.
 
-Verification, in two rounds, always on whole sets of hashes:
-
-1. Buckets of up to ``SMALL`` nodes give all their candidate pairs; a larger one gives each member's with its pivot, the member nearest
-   to the majority of the sketches, the likely common origin. Linked nodes are joined into components.
-2. In larger buckets the candidate pairs of nodes that are still in different components are compared where they lie: only nodes that
-   have such a partner (a row for each, never the pairs) get their sets, a bucket of many bytes is cut into blocks of which each
-   two meet in a task of their own, and only links that connect come back.
+Verification (``verify``) is always on whole sets of hashes. Buckets of up to ``SMALL`` nodes give all their candidate pairs; a larger one gives each
+member's with its pivot, the member nearest to the majority of the sketches, the likely common origin. Linked nodes are joined into
+components, and then all candidate pairs of larger buckets that are still in different components are verified in the bucket.
 
 So no pair of different texts that shares a bucket and could be a link stays unverified unless it is connected already, and
 a group of copies costs rows in proportion to its members.
@@ -31,64 +27,25 @@ Repeated rows stay repeated. An empty table gives no rows. Other columns are ign
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftlane.llm.common import checkpointed, slices, whole_text, words_of
-from siftlane.llm.simhash import similar, stars, without_keys
-from siftlane.operators.components import connected_components, joined_by_key
+from siftlane.llm.common import checkpointed, slices, whole_text
+from siftlane.llm.verify import BLOCK_BYTES, GOLDEN, PAIRS, SLICE_BYTES, arrays, batch_of, chained, mixed, set_digests, settled, shingle_sets, starred, whole_buckets
+from siftlane.operators.components import joined_by_key
 
-SLICE_BYTES = 2 << 20
 SLOTS, BANDS, ROWS = 128, 26, 4
 #: Members of a bucket of which all pairs are looked at in the first round.
 SMALL = 32
-#: Rows of a bucket that a task holds at once; bytes of sets and rows in a block.
-CELL_ROWS, BLOCK_BYTES, BLOCK_ROWS = 1 << 14, 16 << 20, 1 << 12
+#: Rows of a bucket that a task holds at once.
+CELL_ROWS = 1 << 14
 #: Deviations of a sketch's distance from the expected one at the similarity.
 SIGMAS = 4.5
 FREE = np.uint32(0xFFFFFFFF)
-GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A one-to-one scrambling of 64 bits."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def chained(parts: list[np.ndarray]) -> np.ndarray:
-    """One hash of several in order."""
-    out = parts[0]
-    for x in parts[1:]:
-        out = mixed(out + GOLDEN) ^ x
-    return mixed(out + GOLDEN)
-
-
-def shingle_sets(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes of each text's runs of words, ascending, all texts back to back, and the texts' bounds."""
-    words, index, bounds = words_of(pc.ascii_lower(texts))
-    hashed = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words))[index]
-    counts = np.diff(bounds)
-    runs = np.maximum(counts - shingle + 1, 0)
-    owner = np.repeat(np.arange(len(counts)), runs)
-    at = np.arange(runs.sum()) + np.repeat(bounds[:-1] - (np.cumsum(runs) - runs), runs)
-    made = chained([hashed[at + k] for k in range(shingle)])
-    short = np.flatnonzero((counts > 0) & (counts < shingle))
-    whole = [chained([hashed[i : i + 1] for i in range(bounds[r], bounds[r + 1])])[0] for r in short]
-    owner, made = np.r_[owner, short], np.r_[made, np.array(whole, np.uint64)]
-    order = np.argsort(made)
-    order = order[np.argsort(owner[order].astype(np.uint16 if len(counts) < 1 << 16 else np.int64), kind="stable")]
-    owner, made = owner[order], made[order]
-    first = np.r_[True, (made[1:] != made[:-1]) | (owner[1:] != owner[:-1])][: len(made)]
-    owner, made = owner[first], made[first]
-    return made, np.r_[0, np.cumsum(np.bincount(owner, minlength=len(counts)))].astype(np.int64)
 
 
 def super_minhash(hashes: np.ndarray, bounds: np.ndarray, slots: int = SLOTS) -> np.ndarray:
@@ -138,15 +95,6 @@ def sketches(signatures: np.ndarray) -> np.ndarray:
     return np.packbits((signatures & np.uint32(1)).astype(np.uint8), axis=1, bitorder="little").view(np.uint64)
 
 
-def set_digests(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits of each set."""
-    sums = []
-    for salt in (1, 2):
-        total = np.r_[np.zeros(1, np.uint64), np.cumsum(mixed(hashes ^ np.uint64(salt * int(GOLDEN) % 2**64)))]
-        sums.append(total[bounds[1:]] - total[bounds[:-1]])
-    return sums[0], sums[1]
-
-
 def signed_texts(keyed: DataFrame, shingle: int) -> DataFrame:
     """keyed (doc_id, key, text) with each text's set size, digest, bucket keys and sketch in place of the text."""
     schema = "doc_id long, key long, n int, s0 long, s1 long, bands array<long>, k0 long, k1 long"
@@ -178,74 +126,13 @@ class Bound:
         return near & (100 * np.minimum(n[i], n[j]).astype(np.int64) >= self.percent * np.maximum(n[i], n[j]).astype(np.int64))
 
 
-def whole_buckets(batches: Iterator[pa.RecordBatch], done: Callable, most: int, over: Callable | None = None) -> Iterator[pa.RecordBatch]:
-    """``done`` of runs of whole buckets of rows sorted by the column bucket; rows of a bucket of more than ``most`` rows go to ``over``."""
-    held: pa.Table | None = None
-    large = None
-    for batch in batches:
-        rows = pa.table(batch) if not isinstance(batch, pa.Table) else batch
-        if large is not None:
-            same = np.asarray(rows["bucket"]) == large
-            if same.any():
-                yield from over(rows.filter(pa.array(same)))
-                rows = rows.filter(pa.array(~same))
-            if not rows.num_rows:
-                continue
-            large = None
-        rows = pa.concat_tables([held, rows]) if held is not None else rows
-        if not rows.num_rows:
-            continue
-        keys = np.asarray(rows["bucket"])
-        last = int(np.searchsorted(keys, keys[-1]))
-        if last:
-            yield from done(rows.slice(0, last))
-        held = rows.slice(last)
-        if over is not None and held.num_rows > most:
-            large = keys[-1]
-            yield from over(held)
-            held = None
-    if held is not None and held.num_rows:
-        yield from done(held)
-
-
-def arrays(rows: pa.Table) -> tuple[dict, np.ndarray, np.ndarray]:
-    """Columns of nodes as arrays, and the starts and sizes of the buckets."""
-    own = {c: np.asarray(rows[c]) for c in rows.column_names if c not in ("k0", "k1", "shingles")}
-    own["sketch"] = [np.asarray(rows[c]).view(np.uint64) for c in ("k0", "k1")]
-    starts = np.flatnonzero(np.r_[True, own["bucket"][1:] != own["bucket"][:-1]])
-    return own, starts, np.diff(np.r_[starts, len(own["bucket"])])
-
-
-def pivot_of(sketch: list[np.ndarray], at: np.ndarray) -> int:
-    """The row of a bucket whose sketch is nearest to what most rows have."""
-    far = np.zeros(len(at), np.int64)
-    for k in sketch:
-        bits = np.unpackbits(np.ascontiguousarray(k[at]).view(np.uint8).reshape(len(at), 8), axis=1)
-        far += (bits != (2 * bits.sum(axis=0, dtype=np.int64) > len(at))).sum(axis=1)
-    return int(at[far.argmin()])
-
-
-PAIRS = "bucket long, a long, b long"
-
-
 def first_pairs(cells: DataFrame, bound: Bound, small: int, cell_rows: int) -> DataFrame:
     """(bucket, a, b): candidate pairs have no bucket; members of larger buckets have no b."""
 
-    def batch(bucket, a, b):
-        return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()) if bucket is not None else pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b) if b is not None else pa.nulls(len(a), pa.int64())], names=["bucket", "a", "b"])
-
     def over(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         """A part of a very large bucket: each member with the part's pivot; parts meet in the second round."""
         own, _, _ = arrays(rows)
-        yield from starred(own, np.arange(rows.num_rows))
-
-    def starred(own, at):
-        pivot = np.array(pivot_of(own["sketch"], at))
-        hit = at[bound(own, pivot, at) & (own["node"][at] != own["node"][pivot])]
-        a, b = np.full(len(hit), own["node"][pivot]), own["node"][hit]
-        if len(a):
-            yield batch(None, np.minimum(a, b), np.maximum(a, b))
-        yield batch(own["bucket"][at], own["node"][at], None)
+        yield from starred(own, np.arange(rows.num_rows), own["bucket"], bound)
 
     def done(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         own, starts, sizes = arrays(rows)
@@ -258,9 +145,10 @@ def first_pairs(cells: DataFrame, bound: Bound, small: int, cell_rows: int) -> D
             hit = at[bound(own, at, at + step)]
             if len(hit):
                 a, b = own["node"][hit], own["node"][hit + step]
-                yield batch(None, np.minimum(a, b), np.maximum(a, b))
+                yield batch_of(None, np.minimum(a, b), np.maximum(a, b))
         for start, size in zip(starts[sizes > small].tolist(), sizes[sizes > small].tolist()):
-            yield from starred(own, np.arange(start, start + size))
+            at = np.arange(start, start + size)
+            yield from starred(own, at, own["bucket"][at], bound)
 
     def run(batches):
         yield from whole_buckets(batches, done, cell_rows, over)
@@ -269,118 +157,6 @@ def first_pairs(cells: DataFrame, bound: Bound, small: int, cell_rows: int) -> D
     return cells.repartition(parts, "bucket").sortWithinPartitions("bucket", "node").mapInArrow(run, PAIRS).distinct()
 
 
-#: Candidate tests of one bucket at once.
-TESTS = 1 << 20
-
-
-def candidates(own: dict, at: np.ndarray, bound: Bound) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows of a bucket, of different components, that the bound lets through."""
-    step = max(1, TESTS // len(at))
-    for i in range(0, len(at), step):
-        left, right = at[i : i + step, None], at[None, i:]
-        a, b = np.nonzero((left < right) & (own["part"][left] != own["part"][right]))
-        if len(a):
-            a, b = at[a + i], at[b + i]
-            hit = bound(own, a, b)
-            yield a[hit], b[hit]
-
-
-def unsettled(members: DataFrame, bound: Bound, cell_rows: int) -> DataFrame:
-    """(bucket, node): members that could be linked with a member of another component; of very large buckets all."""
-    names = ["bucket", "node"]
-
-    def over(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        yield from rows.select(names).to_batches()
-
-    def done(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        own, starts, sizes = arrays(rows)
-        marked = np.zeros(rows.num_rows, bool)
-        mixed_parts = np.minimum.reduceat(own["part"], starts) != np.maximum.reduceat(own["part"], starts)
-        for start, size in zip(starts[mixed_parts].tolist(), sizes[mixed_parts].tolist()):
-            for a, b in candidates(own, np.arange(start, start + size), bound):
-                marked[a] = marked[b] = True
-        if marked.any():
-            yield from rows.select(names).filter(pa.array(marked)).to_batches()
-
-    def run(batches):
-        yield from whole_buckets(batches, done, cell_rows, over)
-
-    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return members.repartition(parts, "bucket").sortWithinPartitions("bucket", "node").mapInArrow(run, "bucket long, node long")
-
-
-def shared_counts(sets: list[np.ndarray]) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-    """How many elements the sets of given rows have in common: bits of those elements that several sets have."""
-    seen, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    number = np.cumsum(counts > 1) - 1
-    common = counts[inverse] > 1
-    words = int(number[-1]) // 64 + 1 if len(number) else 1
-    if len(sets) * words * 8 > 256 << 20:
-        return lambda i, j: np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j)], np.int64)
-    bits = np.zeros((len(sets), words), np.uint64)
-    at = number[inverse[common]]
-    np.bitwise_or.at(bits, (row[common], at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
-    some = max(1, (8 << 20) // words)
-    return lambda i, j: np.concatenate([np.zeros(0, np.int64), *(np.bitwise_count(bits[i[k : k + some]] & bits[j[k : k + some]]).sum(axis=1, dtype=np.int64) for k in range(0, len(i), some))])
-
-
-def bucket_links(rows: DataFrame, bound: Bound) -> DataFrame:
-    """Links (a, b) that connect all verified pairs of different components in rows (bucket, node, part, n, k0, k1, shingles)."""
-
-    def done(some: pa.Table) -> Iterator[pa.RecordBatch]:
-        own, starts, sizes = arrays(some)
-        lists = some["shingles"].combine_chunks()
-        lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
-        ends, flat = np.asarray(lists.offsets), np.asarray(lists.values)
-        for start, size in zip(starts.tolist(), sizes.tolist()):
-            count, one, two = None, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for a, b in candidates(own, np.arange(start, start + size), bound):
-                count = count or shared_counts([flat[ends[r] : ends[r + 1]] for r in range(start, start + size)])
-                both = count(a - start, b - start)
-                hit = 100 * both >= bound.percent * (own["n"][a].astype(np.int64) + own["n"][b] - both)
-                a, b = stars(a[hit] - start, b[hit] - start, size)
-                one.append(a)
-                two.append(b)
-            a, b = stars(np.concatenate(one), np.concatenate(two), size)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(own["node"][a + start]), pa.array(own["node"][b + start])], names=["a", "b"])
-
-    def run(batches):
-        yield from whole_buckets(batches, done, 1 << 62)
-
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "node").mapInArrow(run, "a long, b long")
-
-
-def united(links: DataFrame) -> DataFrame:
-    """Fewer links that connect the same nodes: union-find over the rows that a task reads together."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = np.asarray(batch["a"]), np.asarray(batch["b"])
-            nodes, index = np.unique(np.r_[a, b], return_inverse=True)
-            a, b = stars(index[: len(a)], index[len(a) :], len(nodes))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b])], names=["a", "b"])
-
-    return links.mapInArrow(run, "a long, b long")
-
-
-def node_sets(keyed: DataFrame, wanted: DataFrame, shingle: int, broadcast_rows: int) -> DataFrame:
-    """(node, shingles) of wanted nodes (node, key, s0, s1), from the texts of their keys."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows in slices(batch, "text", SLICE_BYTES):
-                hashes, bounds = shingle_sets(rows["text"], shingle)
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([rows["key"], *(pa.array(x.view(np.int64)) for x in set_digests(hashes, bounds)), lists], names=["key", "s0", "s1", "shingles"])
-
-    texts = without_keys(keyed.select("key", "text"), wanted.select("key").distinct(), "key", broadcast_rows, "left_semi")
-    made = texts.mapInArrow(run, "key long, s0 long, s1 long, shingles array<long>")
-    return made.join(wanted, ["key", "s0", "s1"]).select("node", "shingles").dropDuplicates(["node"])
-
-
 def near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, small: int = SMALL, cell_rows: int = CELL_ROWS, block_bytes: int = BLOCK_BYTES, broadcast_rows: int = 2_000_000
 ) -> DataFrame:
@@ -396,24 +172,7 @@ def near_duplicates(
     cells = nodes.select("node", "n", "k0", "k1", F.explode("bands").alias("bucket"))
     first = checkpointed(first_pairs(cells, bound, small, cell_rows))
     pairs, members = first.where("b is not null").select("a", "b"), first.where("b is null").select("bucket", F.col("a").alias("node"))
-    wanted = lambda some: nodes.join(some.distinct(), "node").select("node", "key", "s0", "s1")
-    sets = checkpointed(node_sets(keyed, checkpointed(wanted(pairs.select(F.explode(F.array("a", "b")).alias("node")))), shingle, broadcast_rows))
-    links = checkpointed(united(similar(pairs, sets, percent / 100)))
-    parts = checkpointed(connected_components(links, "a", "b"))
-
-    if not members.isEmpty():
-        part = nodes.join(parts, "node", "left").select("node", "n", "k0", "k1", F.coalesce("component", "node").alias("part"))
-        open_rows = checkpointed(unsettled(members.join(part, "node"), bound, cell_rows))
-        if not open_rows.isEmpty():
-            more = node_sets(keyed, checkpointed(wanted(open_rows.select("node"))), shingle, broadcast_rows)
-            placed = open_rows.join(part, "node")
-            sizes = placed.groupBy("bucket").agg(F.ceil(F.greatest(F.sum("n") * 8 / block_bytes, F.count("*") / BLOCK_ROWS)).cast("int").alias("blocks"))
-            block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-            meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.xxhash64("bucket", F.least(b, F.col("block")), F.greatest(b, F.col("block"))))
-            dealt = placed.join(sizes, "bucket").withColumn("block", block).select(F.explode(meets).alias("bucket"), "node", "part", "n", "k0", "k1")
-            found = checkpointed(united(bucket_links(dealt.join(more, "node"), bound)))
-            if not found.isEmpty():
-                parts = checkpointed(connected_components(links.unionByName(found), "a", "b"))
+    parts = settled(keyed, nodes, pairs, members, bound, sketch=["k0", "k1"], shingle=shingle, percent=percent, cell_rows=cell_rows, block_bytes=block_bytes, broadcast_rows=broadcast_rows)
 
     known = nodes.join(parts, "node", "left").select("s0", "s1", "n", "least", "copies", F.col("component"))
     linked = checkpointed(known.where("component is not null"))

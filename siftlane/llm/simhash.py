@@ -20,13 +20,14 @@ never its pairs. A cell of more than
 ``cell_rows`` rows is dealt again into blocks, and each two blocks meet in a task of their own.
 With more nodes ``agree`` grows, which changes the number and size of cells but no result.
 
-Near copies by similarity (``near_copies``, ``one_of_each``): the texts' sets of shingles have several
-independent fingerprints. Texts that are within the radius in one of them, and within ``total`` in
-all together, are candidates; in a cell with many of them a text is a candidate of those that
-connect it, not of all. Candidates are compared by the exact Jaccard similarity of their sets: first
-each text with its nearest candidate, then all candidates that are still in different components.
+Near copies by similarity (``near_copies``, ``one_of_each``): the texts' sets of shingles have three
+independent fingerprints. Sets that are within the radius in one of them, within ``total`` in
+all together, and whose sizes allow the similarity are candidates. In a cell the candidates' connected parts of up to
+``SMALL`` sets give all their pairs, a larger part each member's with its pivot and then, of those pairs that this hasn't
+connected, all (``verify``); so no candidate is left out, and a group of copies costs rows in proportion to its members. Candidates are
+compared by the exact Jaccard similarity of their sets before components.
 At Jaccard 0.8 two fingerprints differ in 9.7 of 64 bits on average with a deviation of 2.9, so
-one of three is within 10 in 97 of 100 pairs, and in nearly all pairs above.
+one of three is within 10 in 97 of 100 pairs, and in nearly all pairs above. A greater ``radius`` and ``total`` find more of the rest, at more cells.
 
 Nulls: a null text is empty. A row with a null document id is linked like any other; the
 component is named by the least id that is not null. Repeated rows stay repeated.
@@ -35,7 +36,7 @@ component is named by the least id that is not null. Repeated rows stay repeated
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -45,13 +46,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftlane.llm.common import checkpointed, slices, whole_text
-from siftlane.operators.components import FEW_ROWS, connected_components, joined_by_key
+from siftlane.llm.verify import BLOCK_BYTES, PAIRS, arrays, batch_of, set_digests, settled, shingle_sets, starred, stars, whole_buckets, without_keys
+from siftlane.operators.components import connected_components, joined_by_key
 
 SLICE_BYTES = 8 << 20
 #: Pairs of a large cell that are compared at once.
 BLOCK_PAIRS = 1 << 19
-#: Links of a member in a cell when pairs are wanted; rows of a cell of which all pairs are looked at for that.
-NEAREST, WHOLE_CELL = 4, 2048
+#: Members of a connected part of a cell of which all pairs are candidates; pairs for each row of a large cell that are held.
+SMALL, HELD = 32, 32
 
 
 def shingle_hashes(text: str, shingle: int) -> np.ndarray:
@@ -173,138 +175,73 @@ def unary(fps: np.ndarray, segment_bits: int) -> np.ndarray:
 
 
 class Links:
-    """Links inside cells.
+    """Pairs inside cells that are near. A pair that meets in several cells counts in the first of them alone, that of its first agreeing groups.
 
-    As ``stars``, each member is linked with the first member of its cell that it is connected with. A pair that meets in
-    several cells is a link in the first of them alone, that of its first agreeing groups.
+    Rows have several fingerprints in ``near_copies``; a choice's number also says by which of them the row was placed."""
 
-    Otherwise the links are pairs that are near: each member with the NEAREST few in the cell, or, where a cell of more than
-    WHOLE_CELL rows has very many such pairs, two trees of each connected part, one of the pairs that are nearest. So a cell
-    gives a few links for each member at most; the same pair from several cells is one link.
-
-    Rows have ``prints`` fingerprints; a choice's number also says by which of them the row was placed."""
-
-    def __init__(self, radius: int, segment_bits: int, agree: int, *, prints: int = 1, total: int | None = None, stars: bool = True):
-        self.radius, self.segment_bits, self.total, self.stars = radius, segment_bits, total, stars
+    def __init__(self, radius: int, segment_bits: int, agree: int, *, prints: int = 1):
+        self.radius, self.segment_bits = radius, segment_bits
         self.groups = [np.uint64(g) for g in group_masks(radius, agree, segment_bits)]
         chosen = list(combinations(range(radius + agree), agree))
         self.own = np.array([sum(1 << g for g in c) for c in chosen] * prints, dtype=np.uint64)  # groups of each choice
         self.upto = np.array([(2 << c[-1]) - 1 for c in chosen] * prints, dtype=np.uint64)  # groups up to its last
         self.choices = len(chosen)
 
-    def near(self, i: np.ndarray, j: np.ndarray, rows: tuple, total: int | None) -> np.ndarray:
-        """Whether rows i and j (broadcast) are linked: the Manhattan bound, the Hamming distance, that of all fingerprints
-        together, and for stars that their cell is the pair's first."""
-        fps, emb, prints, choices = rows
+    def rows_of(self, prints: np.ndarray, choices: np.ndarray) -> tuple:
+        """The fingerprints that rows were placed by, their embedding, and the choices."""
+        fps = prints[choices // self.choices, np.arange(len(choices))]
+        return fps, unary(fps, self.segment_bits), choices
+
+    def near(self, i: np.ndarray, j: np.ndarray, rows: tuple) -> np.ndarray:
+        """Whether rows i and j (broadcast) are near: the Manhattan bound, the Hamming distance, and that their cell is the pair's first."""
+        fps, emb, choices = rows
         hit = np.bitwise_count(emb[i] ^ emb[j]) <= self.radius
         if hit.any():
             at = np.nonzero(hit)
             i, j = np.broadcast_to(i, hit.shape)[at], np.broadcast_to(j, hit.shape)[at]
             ok = np.bitwise_count(fps[i] ^ fps[j]) <= self.radius
-            if total is not None:
-                ok &= apart(prints, i, j) <= total
-            if self.stars:
-                differ, agreeing = emb[i] ^ emb[j], np.zeros(len(i), dtype=np.uint64)
-                for g, mask in enumerate(self.groups):
-                    agreeing |= ((differ & mask) == 0).astype(np.uint64) << np.uint64(g)
-                ok &= (agreeing & self.upto[choices[i]]) == self.own[choices[i]]
-            hit[at] = ok
+            differ, agreeing = emb[i] ^ emb[j], np.zeros(len(i), dtype=np.uint64)
+            for g, mask in enumerate(self.groups):
+                agreeing |= ((differ & mask) == 0).astype(np.uint64) << np.uint64(g)
+            hit[at] = ok & ((agreeing & self.upto[choices[i]]) == self.own[choices[i]])
         return hit
 
-    def of(self, cells: np.ndarray, prints: np.ndarray, choices: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Links (rows, rows) of whole cells; prints has a row for each fingerprint."""
-        n = len(cells)
-        fps = prints[choices // self.choices, np.arange(n)]
-        rows = fps, unary(fps, self.segment_bits), prints, choices
-        starts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
-        sizes = np.diff(np.r_[starts, n])
-        one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        size_of = np.repeat(sizes, sizes)
-        rest = np.repeat(starts + sizes, sizes) - np.arange(n)
-        at = np.flatnonzero((size_of > 1) & (size_of <= 48))
-        step = 0
+    def pairs(self, starts: np.ndarray, sizes: np.ndarray, rows: tuple, also: Callable | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The near pairs (row, row) of whole cells, some at a time, that ``also`` lets through."""
+        size_of, rest = np.repeat(sizes, sizes), np.repeat(starts + sizes, sizes) - np.arange(int(sizes.sum()))
+        at, step = np.flatnonzero((size_of > 1) & (size_of <= 48)), 0
+        fine = lambda a, b: (a, b) if also is None else (a[ok := also(a, b)], b[ok])
         while len(at):
             step += 1
             at = at[rest[at] > step]
             if len(at):
-                hit = self.near(at, at + step, rows, self.total)
-                one.append(at[hit])
-                two.append(at[hit] + step)
-        trees = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+                hit = at[self.near(at, at + step, rows)]
+                yield fine(hit, hit + step)
         for start, size in zip(starts[sizes > 48].tolist(), sizes[sizes > 48].tolist()):
             own = np.arange(start, start + size)
-            found = self.pairs(own, rows)
-            if found is None:
-                bounds = [self.total] if self.stars or self.total is None else [self.total, self.total * 2 // 3]
-                trees += [self.trees(own, rows, t) for t in bounds]
-            else:
-                one.append(found[0])
-                two.append(found[1])
-        one, two = np.concatenate(one), np.concatenate(two)
-        if not self.stars:
-            one, two = nearest(one, two, prints)
-        one, two = np.concatenate([one, *(t[0] for t in trees)]), np.concatenate([two, *(t[1] for t in trees)])
-        return stars(one, two, n) if self.stars else (one, two)
-
-    def pairs(self, own: np.ndarray, rows: tuple) -> tuple[np.ndarray, np.ndarray] | None:
-        """The linked pairs of one large cell; nothing if they are more than eight for each member and many, and not wanted whole."""
-        one, two, found = [], [], 0
-        some = max(1, BLOCK_PAIRS // len(own))
-        whole = not self.stars and len(own) <= WHOLE_CELL
-        for i in range(0, len(own), some):
-            a, b = np.nonzero(self.near(own[i : i + some, None], own[None, i:], rows, self.total))
-            up = b > a
-            one.append(own[a[up] + i])
-            two.append(own[b[up] + i])
-            found += int(up.sum())
-            if found > 8 * len(own) and not whole:
-                return None
-        return np.concatenate(one), np.concatenate(two)
-
-    def trees(self, left: np.ndarray, rows: tuple, total: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """A tree of each connected part."""
-        one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        while len(left):
-            front, left = [int(left[0])], left[1:]
-            while front and len(left):
-                at = front.pop()
-                hit = self.near(np.array(at), left, rows, total)
-                new = left[hit]
-                left = left[~hit]
-                one.append(np.full(len(new), at))
-                two.append(new)
-                front.extend(new.tolist())
-        return np.concatenate(one), np.concatenate(two)
-
-
-def nearest(one: np.ndarray, two: np.ndarray, prints: np.ndarray, most: int = NEAREST) -> tuple[np.ndarray, np.ndarray]:
-    """Of pairs of rows those that are among the nearest few of one of their rows; of equally near ones those with the first rows."""
-    far, rows, others = apart(prints, one, two), np.r_[one, two], np.r_[two, one]
-    order = np.lexsort((others, np.r_[far, far], rows))
-    begins = np.flatnonzero(np.r_[True, rows[order][1:] != rows[order][:-1]]) if len(order) else order
-    rank = np.arange(len(order)) - np.repeat(begins, np.diff(np.r_[begins, len(order)]))
-    kept = order[rank < most]
-    return np.minimum(rows[kept], others[kept]), np.maximum(rows[kept], others[kept])
-
-
-def apart(prints: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The distance of rows i and j in all fingerprints together."""
-    return np.bitwise_count(prints[:, i] ^ prints[:, j]).sum(axis=0, dtype=np.int64)
-
-
-def stars(one: np.ndarray, two: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of connected rows with the least row of their part, in place of links between them."""
-    part = np.arange(n)
-    while len(one):
-        least = np.minimum(part[one], part[two])
-        before = part.copy()
-        np.minimum.at(part, one, least)
-        np.minimum.at(part, two, least)
-        part = part[part]
-        if (part == before).all():
-            break
-    member = np.flatnonzero(part != np.arange(n))
-    return part[member], member
+            some = max(1, BLOCK_PAIRS // size)
+            for i in range(0, size, some):
+                a, b = np.nonzero(self.near(own[i : i + some, None], own[None, i:], rows))
+                up = b > a
+                yield fine(own[a[up] + i], own[b[up] + i])
+
+    def of(self, cells: np.ndarray, prints: np.ndarray, choices: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Links (row, row) of whole cells: each member with the first member of its cell that it is connected with."""
+        starts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
+        return merged(self.pairs(starts, np.diff(np.r_[starts, len(cells)]), self.rows_of(prints, choices)), len(cells))
+
+
+def merged(pairs: Iterator[tuple[np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of the rows that pairs connect with the least row of their part."""
+    one, two, rows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    for a, b in pairs:
+        one.append(a)
+        two.append(b)
+        rows += len(a)
+        if rows > max(4 * n, 1 << 20):
+            a, b = stars(np.concatenate(one), np.concatenate(two), n)
+            one, two, rows = [a], [b], len(a)
+    return stars(np.concatenate(one), np.concatenate(two), n)
 
 
 def link_schema(prints: int) -> str:
@@ -378,29 +315,36 @@ def cell_links(cells: DataFrame, links: Links, prints: int, cell_rows: int) -> D
     return cells.mapInArrow(run, link_schema(prints))
 
 
-def cell_pairs(nodes: DataFrame, columns: list[str], *, radius: int, segment_bits: int, agree: int | None = None, total: int | None = None, stars: bool = True, cell_rows: int = 1 << 16) -> DataFrame:
-    """Links (f0, ..., g0, ...) of nodes, distinct rows of the fingerprint columns: see ``Links``."""
-    prints = len(columns)
+def placed_cells(nodes: DataFrame, columns: list[str], radius: int, segment_bits: int, agree: int) -> DataFrame:
+    """nodes with choice and cell: a row for each cell that one of the fingerprint columns falls into."""
+    masks = cell_masks(radius, agree, segment_bits)
+    embedded = nodes.select("*", *[embedding(F.col(c), segment_bits).alias(f"__e{k}") for k, c in enumerate(columns)])
+    places = [F.xxhash64(F.lit(k * len(masks) + i), F.col(f"__e{k}").bitwiseAND(F.lit(signed(m)))) for k in range(len(columns)) for i, m in enumerate(masks)]
+    return embedded.select(*nodes.columns, F.posexplode(F.array(*places)).alias("choice", "cell"))
+
+
+def dealt_blocks(large: DataFrame, by: str, cell_rows: int) -> DataFrame:
+    """Rows of cells that are too large for a task: cut into blocks, of which each two have a cell of their own."""
+    sizes = large.groupBy("cell").agg(F.count("*").alias("__n"))
+    sizes = sizes.select("cell", "__n", F.ceil(F.col("__n") / F.lit(cell_rows / 2)).cast("int").alias("blocks"))
+    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.xxhash64("cell", F.least(b, F.col("block")), F.greatest(b, F.col("block"))))
+    rows = joined_by_key(large, sizes, "cell", "__n", large.count()).withColumn("block", F.pmod(F.xxhash64(by), F.col("blocks")).cast("int"))
+    return rows.select(F.explode(meets).alias("cell"), *[c for c in large.columns if c != "cell"])
+
+
+def cell_pairs(nodes: DataFrame, columns: list[str], *, radius: int, segment_bits: int, agree: int | None = None, cell_rows: int = 1 << 16) -> DataFrame:
+    """Links (f0, g0) of nodes, distinct fingerprints: see ``Links``."""
     agree = agree or agreeing_groups(nodes.count(), radius, segment_bits)
-    masks, links = cell_masks(radius, agree, segment_bits), Links(radius, segment_bits, agree, prints=prints, total=total, stars=stars)
-    own = [f"f{k}" for k in range(prints)]
-    placed = nodes.select(*[F.col(c).alias(f) for c, f in zip(columns, own)])
-    placed = placed.select(*own, *[embedding(F.col(f), segment_bits).alias(f"e{k}") for k, f in enumerate(own)])
-    places = [F.xxhash64(F.lit(k * len(masks) + i), F.col(f"e{k}").bitwiseAND(F.lit(signed(m)))) for k in range(prints) for i, m in enumerate(masks)]
-    cells = placed.select(*own, F.posexplode(F.array(*places)).alias("choice", "cell")).select("cell", "choice", *own)
+    links = Links(radius, segment_bits, agree)
+    cells = placed_cells(nodes.select(F.col(columns[0]).alias("f0")), ["f0"], radius, segment_bits, agree).select("cell", "choice", "f0")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = checkpointed(cell_links(cells.repartition(parts, "cell").sortWithinPartitions("cell", *own), links, prints, cell_rows).distinct())
-    ends = [*own, *(f"g{k}" for k in range(prints))]
-    found, large = first.where("g0 is not null").select(*ends), first.where("g0 is null")
-    sizes = large.groupBy("cell").agg(F.count("*").alias("n"))
-    sizes = sizes.select("cell", "n", F.ceil(F.col("n") / F.lit(cell_rows / 2)).cast("int").alias("blocks"))
-    if sizes.isEmpty():
+    first = checkpointed(cell_links(cells.repartition(parts, "cell").sortWithinPartitions("cell", "f0"), links, 1, cell_rows).distinct())
+    found, large = first.where("g0 is not null").select("f0", "g0"), first.where("g0 is null").select("cell", "choice", "f0")
+    if large.isEmpty():
         return found.distinct()
-    block = F.pmod(F.xxhash64(*own), F.col("blocks")).cast("int")
-    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.xxhash64("cell", F.least(b, F.col("block")), F.greatest(b, F.col("block"))))
-    dealt = joined_by_key(large, sizes, "cell", "n", large.count()).withColumn("block", block).select(F.explode(meets).alias("cell"), "choice", *own)
-    more = cell_links(dealt.repartition(parts, "cell").sortWithinPartitions("cell", *own), links, prints, 1 << 40)
-    return found.unionByName(more.select(*ends)).distinct()
+    dealt = dealt_blocks(large, "f0", cell_rows)
+    more = cell_links(dealt.repartition(parts, "cell").sortWithinPartitions("cell", "f0"), links, 1, 1 << 40)
+    return found.unionByName(more.select("f0", "g0")).distinct()
 
 
 def near_links(nodes: DataFrame, *, radius: int, segment_bits: int = 2, agree: int | None = None, cell_rows: int = 1 << 16) -> DataFrame:
@@ -427,41 +371,93 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 # --- near copies by similarity ------------------------------------------------------------------------------------------------------------
 
 
-def without_keys(docs: DataFrame, keys: DataFrame, key: str, broadcast_rows: int, how: str = "left_anti") -> DataFrame:
-    """docs without the rows of some keys (or with these alone); the keys, 8 bytes each, are broadcast if they are no more than
-    broadcast_rows, else both sides are shuffled."""
-    return docs.join(F.broadcast(keys) if keys.count() <= broadcast_rows else keys, key, how)
+class Bound:
+    """Whether two sets can be candidates: by their sizes, and by all fingerprints together."""
+
+    def __init__(self, percent: int, total: int):
+        self.percent, self.total = percent, total
+
+    def __call__(self, rows: dict, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        apart = sum(np.bitwise_count(k[i] ^ k[j]).astype(np.int64) for k in rows["sketch"])
+        n = rows["n"].astype(np.int64)
+        return (apart <= self.total) & (100 * np.minimum(n[i], n[j]) >= self.percent * np.maximum(n[i], n[j]))
 
 
-def shingle_sets(docs: DataFrame, key: str, text_col: str, shingle: int) -> DataFrame:
-    """(key, shingles): each text's distinct shingle hashes."""
+def printed_sets(keyed: DataFrame, shingle: int, prints: int) -> DataFrame:
+    """keyed (doc_id, key, text) with each text's set size, digest and fingerprints in place of the text."""
+    names = ["doc_id", "key", "n", "s0", "s1", *(f"k{k}" for k in range(prints))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "__text", SLICE_BYTES):
-                sets = [np.unique(shingle_hashes(t, shingle)).view(np.int64) for t in rows["__text"].to_pylist()]
-                flat = np.concatenate([np.zeros(0, np.int64), *sets])
-                bounds = np.cumsum([0, *map(len, sets)])
-                yield pa.RecordBatch.from_arrays([rows[key], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))], names=[key, "shingles"])
-
-    return docs.select(key, whole_text(text_col).alias("__text")).mapInArrow(run, f"{key} long, shingles array<long>")
-
-
-def similar(pairs: DataFrame, sets: DataFrame, similarity: float, a_task: int = 256) -> DataFrame:
-    """The pairs (a, b) whose sets reach the Jaccard similarity. A set that stands in many pairs is dealt out, a copy for about
-    a_task of them, so a hub's pairs are no task of their own."""
-    rows = pairs.count()
-    degrees = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n"))
-    degrees = checkpointed(degrees.withColumn("copies", F.ceil(F.col("n") / a_task).cast("int")))
-    dealt = sets.join(degrees, "node").select("node", "shingles", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
-    work = pairs
-    for end, other in (("a", "b"), ("b", "a")):
-        of = degrees.select(F.col("node").alias(end), "n", "copies")
-        work = joined_by_key(work, of, end, "n", rows, few=FEW_ROWS).drop("n").withColumn(f"copy_{end}", F.pmod(F.xxhash64(other), "copies").cast("int")).drop("copies")
-    for end in ("a", "b"):
-        work = work.join(dealt.select(F.col("node").alias(end), F.col("copy").alias(f"copy_{end}"), F.col("shingles").alias(f"set_{end}")), [end, f"copy_{end}"])
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    return work.where(both >= similarity * (F.size("set_a") + F.size("set_b") - both) - 1e-9).select("a", "b")
+            for rows in slices(batch, "text", SLICE_BYTES):
+                hashes, bounds = shingle_sets(rows["text"], shingle)
+                new = [*set_digests(hashes, bounds)]
+                for _ in range(prints):
+                    new.append(np.array([majority(hashes[a:b]) for a, b in zip(bounds, bounds[1:])], np.uint64))
+                    hashes = rehashed(hashes)
+                yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["key"], pa.array(np.diff(bounds).astype(np.int32)), *(pa.array(x.view(np.int64)) for x in new)], names=names)
+
+    return keyed.mapInArrow(run, ", ".join(f"{c} {'int' if c == 'n' else 'long'}" for c in names))
+
+
+CANDIDATES = PAIRS + ", choice int"
+
+
+def cell_candidates(cells: DataFrame, links: Links, bound: Bound, small: int, cell_rows: int) -> DataFrame:
+    """(bucket, a, b, choice): candidate pairs have no bucket, members of large parts no b; rows of cells that are too large come back with their choice."""
+
+    def chosen(batch: pa.RecordBatch, choice: pa.Array | None = None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*batch.columns, choice if choice is not None else pa.nulls(batch.num_rows, pa.int32())], names=["bucket", "a", "b", "choice"])
+
+    def over(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        own, _, _ = arrays(rows)
+        yield chosen(batch_of(own["bucket"], own["node"], None), pa.array(own["choice"], pa.int32()))
+
+    def done(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        own, starts, sizes = arrays(rows)
+        place, n = links.rows_of(np.stack(own["sketch"]), own["choice"]), rows.num_rows
+        also = lambda a, b: bound(own, a, b)
+        one, two, held, forest = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0, [(np.zeros(0, np.int64),) * 2]
+        for a, b in links.pairs(starts, sizes, place, also):
+            held += len(a)
+            if held <= HELD * n:
+                one.append(a)
+                two.append(b)
+            else:  # a large group: what it connects is enough, its pairs are looked at again
+                forest.append(stars(a, b, n))
+        one, two = np.concatenate(one), np.concatenate(two)
+        root, member = stars(np.concatenate([one, *(f[0] for f in forest)]), np.concatenate([two, *(f[1] for f in forest)]), n)
+        part = np.arange(n)
+        part[member] = root
+        sizes_of = np.bincount(part, minlength=n)
+        few = (sizes_of > 1) & (sizes_of <= small)
+        order = np.argsort(part, kind="stable")
+        at = np.flatnonzero(sizes_of > 1)
+        first = np.searchsorted(part[order], at)
+        if held > HELD * n:
+            again = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+            for r, f in zip(at[few[at]].tolist(), first[few[at]].tolist()):
+                i, j = np.triu_indices(sizes_of[r], 1)
+                i, j = np.sort(order[f : f + sizes_of[r]])[np.stack([i, j])]
+                ok = links.near(i, j, place) & also(i, j)
+                again[0].append(i[ok])
+                again[1].append(j[ok])
+            one, two = map(np.concatenate, again)
+        kept = few[part[one]]
+        if kept.any():
+            a, b = own["node"][one[kept]], own["node"][two[kept]]
+            yield chosen(batch_of(None, np.minimum(a, b), np.maximum(a, b)))
+        for r, f in zip(at[~few[at]].tolist(), first[~few[at]].tolist()):
+            rows_at = order[f : f + sizes_of[r]]
+            bucket = np.full(len(rows_at), own["bucket"][r] ^ own["node"][r])
+            for batch in starred(own, rows_at, bucket, bound):
+                yield chosen(batch)
+
+    def run(batches):
+        yield from whole_buckets(batches, done, cell_rows, over if cell_rows < 1 << 40 else None)
+
+    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cells.repartition(parts, "bucket").sortWithinPartitions("bucket", "node").mapInArrow(run, CANDIDATES).distinct()
 
 
 def near_copies(
@@ -471,54 +467,45 @@ def near_copies(
     id_col: str = "doc_id",
     text_col: str = "text",
     shingle: int = 5,
-    similarity: float = 0.8,
+    percent: int = 80,
     prints: int = 3,
     radius: int = 10,
     total: int = 42,
     agree: int | None = None,
+    small: int = SMALL,
     cell_rows: int = 1 << 16,
+    block_bytes: int = BLOCK_BYTES,
     broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
     """(key, kept_key) for each row of keyed: the key of the row that stands for its component, that of the least id
     (nulls last), of equal ids that of the least key. Two texts are linked if their sets of shingles reach the similarity
-    (see above on candidates); texts without words are alike."""
-    columns = print_names(prints)
-    own = keyed.select(F.col(id_col).alias("doc_id"), F.col(key).alias("key"), F.col(text_col).alias("text"))
-    made = checkpointed(fingerprints(own, shingle=shingle, count=prints, distinct=True).select("doc_id", "key", *columns, "n_shingles"))
+    (see above on candidates); texts without words are alike. Up to three fingerprints."""
+    sketch, bound = [f"k{k}" for k in range(prints)], Bound(percent, total)
+    own = keyed.select(F.col(id_col).cast("long").alias("doc_id"), F.col(key).alias("key"), whole_text(text_col).alias("text"))
+    made = checkpointed(printed_sets(own, shingle, prints))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "key")).alias("first")
-    nodes = made.groupBy(*columns, "n_shingles").agg(first, F.count("*").alias("n"))
-    nodes = checkpointed(nodes.withColumn("node", F.monotonically_increasing_id()))
-
-    places = checkpointed(nodes.select(*columns).distinct())
-    found = cell_pairs(places, columns, radius=radius, segment_bits=1, agree=agree, total=total, stars=False, cell_rows=cell_rows)
-    # nodes of equal fingerprints and another number of shingles are candidates too
-    end = lambda letter, name: nodes.select(*[F.col(c).alias(f"{letter}{k}") for k, c in enumerate(columns)], F.col("node").alias(name), F.col("n_shingles").alias(f"n{name}"))
-    alike = end("f", "a").join(end("f", "b"), [f"f{k}" for k in range(prints)]).where("a < b").select("a", "b", "na", "nb", F.lit(0).cast("long").alias("apart"))
-    apart_by = sum((F.bit_count(F.col(f"f{k}").bitwiseXOR(F.col(f"g{k}"))) for k in range(1, prints)), F.bit_count(F.col("f0").bitwiseXOR(F.col("g0"))))
-    pairs = found.join(end("f", "a"), [f"f{k}" for k in range(prints)]).join(end("g", "b"), [f"g{k}" for k in range(prints)]).select("a", "b", "na", "nb", apart_by.cast("long").alias("apart"))
-    close = F.least("na", "nb") >= F.greatest("na", "nb") * similarity - 1e-9
-    pairs = checkpointed(pairs.unionByName(alike).where(close).select("a", "b", "apart"))
-
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    keys = checkpointed(nodes.join(ends, "node").select("node", F.col("first.key").alias("key")))
-    texts = without_keys(keyed.select(F.col(key).alias("key"), F.col(text_col).alias("text")), keys.select("key"), "key", broadcast_rows, "left_semi")
-    sets = shingle_sets(texts, "key", "text", shingle).dropDuplicates(["key"]).join(keys, "key").select("node", "shingles")
-    sets = checkpointed(sets)
-    nearest = pairs.groupBy(F.col("b").alias("owner")).agg(F.min(F.struct("apart", "a")).alias("s")).select(F.col("s.a").alias("a"), F.col("owner").alias("b"))
-    links = checkpointed(similar(nearest, sets, similarity))
-    parts = connected_components(links, "a", "b")
-    part = lambda x: parts.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))
-    rest = pairs.join(part("a"), "a", "left").join(part("b"), "b", "left").where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
-    more = checkpointed(similar(rest.distinct(), sets, similarity))
-    if not more.isEmpty():
-        parts = connected_components(links.unionByName(more), "a", "b")
+    nodes = made.groupBy("s0", "s1", "n", *sketch).agg(first, F.count("*").alias("copies"))
+    nodes = checkpointed(nodes.withColumn("node", F.monotonically_increasing_id()).withColumn("key", F.col("first.key")))
+
+    full = nodes.where("n > 0").select("node", "n", *sketch)
+    agree = agree or agreeing_groups(full.count(), radius, 1)
+    links = Links(radius, 1, agree, prints=prints)
+    cells = placed_cells(full, sketch, radius, 1, agree).withColumnRenamed("cell", "bucket")
+    found = checkpointed(cell_candidates(cells, links, bound, small, cell_rows))
+    large = found.where("choice is not null").select(F.col("bucket").alias("cell"), F.col("a").alias("node"), "choice")
+    some = found.where("choice is null")
+    if not large.isEmpty():
+        dealt = dealt_blocks(large, "node", cell_rows).withColumnRenamed("cell", "bucket").join(full, "node")
+        some = checkpointed(some.unionByName(cell_candidates(dealt, links, bound, small, 1 << 40)))
+    pairs, members = some.where("b is not null").select("a", "b").distinct(), some.where("b is null").select("bucket", F.col("a").alias("node"))
+    parts = settled(own.select("key", "text"), nodes, pairs, members, bound, sketch=sketch, shingle=shingle, percent=percent, cell_rows=cell_rows, block_bytes=block_bytes, broadcast_rows=broadcast_rows)
 
     linked = checkpointed(nodes.select("node", "first").join(parts, "node"))
     best = linked.groupBy("component").agg(F.min("first").alias("best"), F.count("*").alias("members"))
     of = joined_by_key(linked, best, "component", "members", linked.count()).select("node", F.col("best.key").alias("kept_key"))
-    named = checkpointed(nodes.join(of, "node", "left").select(*columns, "n_shingles", "n", F.coalesce("kept_key", "first.key").alias("kept_key")))
-    named = named.withColumn("__node", F.struct(*columns, "n_shingles")).select("__node", "n", "kept_key")
-    return joined_by_key(made.select("key", F.struct(*columns, "n_shingles").alias("__node")), named, "__node", "n", made.count()).select("key", "kept_key")
+    digest = F.struct("s0", "s1", "n").alias("digest")
+    named = checkpointed(nodes.join(of, "node", "left").select(digest, "copies", F.coalesce("kept_key", "key").alias("kept_key")))
+    return joined_by_key(made.select("key", digest), named, "digest", "copies", made.count()).select("key", "kept_key")
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 2_000_000, **search) -> DataFrame:
