@@ -7,7 +7,7 @@ other functions treat a null text as empty.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -228,23 +228,53 @@ def hs6(c: str | Column) -> Column:
     return F.substring(F.regexp_replace(text_of(c), "[^0-9]", ""), 1, 6)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+#: Numbers that are summed up together.
+RUN = 64
+
+
+def running_sums(a: Column, run: int = RUN) -> Column:
+    """Of an array of whole numbers the sums of those before each. Runs of numbers are summed up by themselves, then the runs, as an array that grows in
+    an aggregate is copied at each step; so the work stays near the array's size up to some millions of numbers."""
+
+    def grown(x: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(x, start, lambda acc, y: F.struct((acc["at"] + y).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))
+
+    def of_runs(runs: Column) -> Column:
+        firsts = grown(F.transform(runs, lambda r: r["at"]))["out"]
+        return F.flatten(F.zip_with(runs, firsts, lambda r, first: F.transform(r["out"], lambda x: x + first)))
+
+    def cut(x: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), ((F.size(x) - 1) / run).cast("int")), lambda k: grown(F.slice(x, k * run + 1, F.lit(run))))
+
+    return let(a, lambda x: F.when(F.size(x) <= run, grown(x)["out"]).otherwise(let(cut(x), of_runs)))
+
+
 def places(text: Column, pattern: str, group: int = 0) -> Column:
     """Matches of a pattern in order: array of (start, end, value), from 0, the end exclusive; value is the group's text."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("own"), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), "array<struct<start:int,end:int,value:string>>").alias("out"))
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
+    zipped = F.arrays_zip(F.slice(F.transform(F.split(text, pattern, -1), F.length), F.lit(1), F.size(whole)).alias("gap"), F.transform(whole, F.length).alias("own"), values.alias("value"))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.length(x["own"])
-        return F.when(x["own"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value")))).alias("out")))
+    def placed(m: Column) -> Column:
+        before = running_sums(F.transform(m, lambda x: x["gap"] + x["own"]))
+        start = lambda x, at: at + x["gap"]
+        return F.zip_with(m, before, lambda x, at: F.struct(start(x, at).alias("start"), (start(x, at) + x["own"]).alias("end"), x["value"].alias("value")))
 
-    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(steps, start, step, lambda acc: acc["out"])).otherwise(start["out"])
+    none = F.from_json(F.lit("[]"), "array<struct<start:int,end:int,value:string>>")
+    return F.when(F.rlike(text, F.lit(pattern)), let(zipped, placed)).otherwise(none)
 
 
 def first_distinct(a: Column) -> Column:
     """The values of an array whose lower-case form wasn't there before, in order."""
-    return F.filter(a, lambda x, i: F.array_position(F.transform(a, lambda y: F.lower(y)), F.lower(x)) == i + 1)
+    by_form = F.array_sort(F.transform(a, lambda x, i: F.struct(F.lower(x).alias("k"), i.alias("i"), x.alias("v"))))
+    firsts = let(by_form, lambda s: F.filter(s, lambda x, i: (i == 0) | (F.get(s, F.greatest(i - 1, F.lit(0)))["k"] != x["k"])))
+    return F.transform(F.array_sort(F.transform(firsts, lambda x: F.struct(x["i"].alias("i"), x["v"].alias("v")))), lambda x: x["v"])
 
 
 #: What no address is, and local parts and domains that aren't a company's.
