@@ -12,8 +12,9 @@ thousand random strings of 24 characters and more are caught, and one in a hundr
 aggregation of at most two times 68 squared rows; a state's transitions are smoothed by those
 of all states together, counted as PRIOR more.
 
-Spans are in code points, the end exclusive. All of it is built-in functions: matches come from
-the pattern, and their places from the lengths of what the pattern splits off.
+Spans are in code points, the end exclusive. All of it is built-in functions. A text is cut into segments at characters that no
+match has: white space and marks, but for spaces beside a colon or an equals sign. Matches lie in segments, a few words at most, and their places in the text come from running sums of the
+segments' lengths, so the work grows with the text and not with the square of its matches.
 
 Nulls: a null or empty text has no spans. Repeated rows get equal spans. Without samples of a
 class its model is uniform.
@@ -27,6 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftlane.functions.text import let, places, running_sums
 from siftlane.llm.common import whole_text
 
 #: The kinds in order, and the patterns of the three rules.
@@ -42,28 +44,22 @@ STATES = len(ALPHABET) + 1
 PRIOR = 8.0
 
 
-def placed(text: Column, pattern: str, group: int = 0) -> Column:
-    """Matches of a pattern in order: array of (start, end, value); value is the group's text."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
-    gaps = F.split(text, pattern, -1)
-    steps = F.arrays_zip(F.transform(gaps, F.length).alias("gap"), F.transform(found, F.length).alias("own"), value.alias("value"))
-    none = F.from_json(F.lit("[]"), "array<struct<start:int,end:int,value:string>>")
+#: A segment: what matches may have, with the spaces beside : and =, and then the characters up to the next.
+INNER = r"""[A-Za-z0-9+/_.=:"'-]"""
+SEGMENT = rf"""(?:{INNER}++|\x20++(?=[:=])|(?<=[:=])\x20++)++(?:[^A-Za-z0-9+/_.=:"'\x20-]++|\x20++)?+|[^A-Za-z0-9+/_.=:"'\x20-]++|\x20++"""
+#: The least characters of a match, but for the name of an assignment.
+LEAST = 12
 
-    def step(acc, x):
-        start = acc["at"] + x["gap"]
-        end = start + F.coalesce(x["own"], F.lit(0))
-        own = F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))
-        return F.struct(end.alias("at"), F.when(x["own"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], own)).alias("out"))
 
-    run = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(F.rlike(text, F.lit(pattern)), run).otherwise(none)
+def segments(text: Column) -> Column:
+    """The segments of a text, which is what they are laid end to end."""
+    return F.regexp_extract_all(text, F.lit(SEGMENT), F.lit(0))
 
 
 def base_matches(text: Column) -> dict[str, Column]:
     """Matches of the three rules."""
-    assign = F.filter(placed(text, ASSIGN, 2), lambda x: F.length(x["value"]) >= ASSIGN_LEAST)
-    return {"assign": assign, "access": placed(text, ACCESS), "hex": placed(text, HEX)}
+    assign = F.filter(places(text, ASSIGN, 2), lambda x: F.length(x["value"]) >= ASSIGN_LEAST)
+    return {"assign": assign, "access": places(text, ACCESS), "hex": places(text, HEX)}
 
 
 def ranked(kind: str, matches: Column) -> Column:
@@ -124,12 +120,11 @@ def labelled_samples(docs: DataFrame, *, text_col: str = "text", made: int = 200
     """Samples labelled by the rules over all documents: a rule's values are random strings, tokens that meet no rule and are of
     letters or of digits alone (marks aside) are identifiers and numbers; with ``made`` rows of strings random by
     construction. A token of letters and digits that no rule knows may be a secret of an unknown kind: it is no sample."""
-    text = F.col("__t")
-    work = docs.select(whole_text(text_col).alias("__t"))
-    base = base_matches(text)
+    work = docs.select(F.explode(F.filter(segments(whole_text(text_col)), lambda s: F.length(s) >= LEAST)).alias("__s"))
+    base = base_matches(F.col("__s"))
     values = F.concat(*[F.transform(m, lambda x: x["value"]) for m in base.values()])
     spans = F.concat(*[ranked(k, m) for k, m in base.items()])
-    seen = work.select(values.alias("values"), spans.alias("spans"), placed(text, TOKEN).alias("tokens"))
+    seen = work.select(values.alias("values"), spans.alias("spans"), places(F.col("__s"), TOKEN).alias("tokens"))
     mixed = lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]")
     plain = F.filter("tokens", lambda t: ~mixed(t["value"]) & ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     kinds = F.concat(
@@ -140,16 +135,28 @@ def labelled_samples(docs: DataFrame, *, text_col: str = "text", made: int = 200
     return own.unionByName(made_samples(docs, made))
 
 
+def segment_spans(segment: Column, model: MarkovModel) -> Column:
+    """The secrets of a segment by their places in it."""
+    base = F.concat(*[ranked(k, m) for k, m in base_matches(segment).items()])
+    free = lambda t, spans: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))
+    more = lambda spans: F.filter(places(segment, TOKEN), lambda t: free(t, spans) & (model.ratio(t["value"]) >= model.threshold))
+    return F.when(F.length(segment) >= LEAST, let(base, lambda spans: F.array_sort(F.concat(spans, ranked("markov", more(spans)))))).otherwise(F.from_json(F.lit("[]"), SPAN))
+
+
+def scanned(docs: DataFrame, model: MarkovModel, text_col: str) -> DataFrame:
+    """docs with __segments and their spans in __spans."""
+    kept = [c for c in docs.columns if c not in ("__segments", "__spans")]
+    cut = docs.select(*kept, segments(whole_text(text_col)).alias("__segments"))
+    return cut.select(*kept, "__segments", F.transform("__segments", lambda s: segment_spans(s, model)).alias("__spans"))
+
+
 def find_secrets(docs: DataFrame, model: MarkovModel, *, text_col: str = "text") -> DataFrame:
     """docs with secrets: array of (start, rank, end) by start, then rank, a kind's place in KINDS."""
-    text = F.col("__t")
-    kept = [c for c in docs.columns if c not in ("secrets", "__t", "__base", "__tokens")]
-    base = F.concat(*[ranked(k, m) for k, m in base_matches(text).items()])
-    work = docs.select(*kept, whole_text(text_col).alias("__t"))
-    work = work.select(*kept, base.alias("__base"), placed(text, TOKEN).alias("__tokens"))
-    free = lambda t: ~F.exists("__base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))
-    more = F.filter("__tokens", lambda t: free(t) & (model.ratio(t["value"]) >= model.threshold))
-    return work.select(*kept, F.array_sort(F.concat("__base", ranked("markov", more))).alias("secrets"))
+    found = scanned(docs, model, text_col)
+    kept = [c for c in docs.columns if c not in ("secrets", "__segments", "__spans")]
+    before = running_sums(F.transform("__segments", F.length))
+    moved = lambda spans, at: F.transform(spans, lambda s: F.struct((s["start"] + at).alias("start"), s["rank"].alias("rank"), (s["end"] + at).alias("end")))
+    return found.select(*kept, F.flatten(F.zip_with("__spans", before, moved)).alias("secrets"))
 
 
 def spans_text(spans: Column) -> Column:
@@ -160,15 +167,17 @@ def spans_text(spans: Column) -> Column:
 
 def redact(docs: DataFrame, model: MarkovModel, *, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """docs whose text has the mark in place of each secret; overlapping spans get one mark."""
-    text = F.col(text_col)
     empty = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc, s):
-        free = s["start"] >= acc["at"]
-        more = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-        return F.struct(F.greatest(s["end"], acc["at"]).alias("at"), F.when(free, more).otherwise(acc["out"]).alias("out"))
+    def cleaned(segment, spans):
+        def step(acc, s):
+            free = s["start"] >= acc["at"]
+            more = F.concat(acc["out"], F.substring(segment, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
+            return F.struct(F.greatest(s["end"], acc["at"]).alias("at"), F.when(free, more).otherwise(acc["out"]).alias("out"))
+
+        rest = lambda acc: F.concat(acc["out"], F.substring(segment, acc["at"] + 1, F.length(segment)))
+        return F.when(F.size(spans) == 0, segment).otherwise(F.aggregate(spans, empty, step, rest))
 
-    rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-    cleaned = F.when(F.size("secrets") == 0, text).otherwise(F.aggregate("secrets", empty, step, rest))
-    found = find_secrets(docs, model, text_col=text_col)
-    return found.select(*[cleaned.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    found = scanned(docs, model, text_col)
+    own = F.when(F.exists("__spans", lambda s: F.size(s) > 0), F.array_join(F.zip_with("__segments", "__spans", cleaned), "")).otherwise(F.col(text_col))
+    return found.select(*[own.alias(c) if c == text_col else F.col(c) for c in docs.columns])

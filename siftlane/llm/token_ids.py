@@ -14,6 +14,9 @@ The bases come from the parts' totals (a row for each part) and only the index h
 file is written again for them. Reading maps the files into memory, so a task touches the
 pages of its own documents alone.
 
+The folder is one that tasks can open as plain files: local or mounted, or a store that Arrow knows (``sources.stores``); any other is an error
+before any work.
+
 Nulls: a null text is empty and has the end id alone; a null document id is kept and comes first.
 Repeated rows are written once for each row. An empty table gives an index without parts.
 """
@@ -35,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftlane.llm.common import slices, whole_text, words_of
+from siftlane.sources.stores import store_of
 
 NO_ID = -(2**63)
 PART = "part int, name string, docs long, ids long"
@@ -146,12 +150,12 @@ def write_token_files(
     spark = docs.sparkSession
     kind = id_type(tokenizer_file, end_id)
     by_word = splits_at_spaces(tokenizer_file)
-    store, root = fs.FileSystem.from_uri(path)
+    store, root = store_of(path)
     store.create_dir(root, recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        store, root = fs.FileSystem.from_uri(path)
+        store, root = store_of(path)
         name = f"part-{context.partitionId():05d}-{context.taskAttemptId()}"
         outs, docs_seen, ids_seen = None, 0, 0
         for batch in batches:
@@ -200,7 +204,7 @@ def read_token_files(
 
     Parts of more than docs_a_task documents are read by several tasks.
     """
-    store, root = fs.FileSystem.from_uri(path)
+    store, root = store_of(path)
     with store.open_input_stream(f"{root}/index.json") as f:
         index = json.loads(f.read())
     kind, each = index["dtype"], each or (lambda ids: {"ids": ids.astype(np.int32)})
@@ -213,7 +217,7 @@ def read_token_files(
     def read(frames):
         import pandas as pd
 
-        store, root = fs.FileSystem.from_uri(path)
+        store, root = store_of(path)
         for frame in frames:
             for name, base, first, last in frame.itertuples(index=False):
                 for i in range(first, last, 4096):

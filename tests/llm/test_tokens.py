@@ -117,3 +117,9 @@ def test_words_encode_as_by_themselves():
     tokenizer = token_ids.load_tokenizer(file)
     words = ["plain", "Caps.", "tail***", "it's", "'s", "s'", "don't.", "é́x", "İstanbul,", "ﬁn", "a1", "1a", "12", "ⅷ", "x²", "漢字", "漢字。", "ab-cd", "-ab", "ªº", "Ⅷ", "ŉ.", "ß", "ẞ!", "a" * 300, "ά", "ΑΣ", "ﷺ", "<|endoftext|>", "x<|endoftext|>", "ẞ", "á", "ॐ", "नि"]
     assert token_ids.encode_words(words, file) == [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+
+
+def test_folder_that_tasks_cannot_open_is_told_before_any_work(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="plain files"):
+        token_ids.write_token_files(docs, "swift://store/tokens", vocabulary("word_bpe_49k.json"))
