@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siftlane import dictionaries as D
+from siftlane.functions import numbering as N
 from siftlane.functions import text as T
 from siftlane.functions import web as H
 from siftlane.operators import page_trees
@@ -164,6 +165,30 @@ def a13_a14_cards(spark, sf):
     return own.select("page_id", "place", "company", "context", F.array_join("emails", ";").alias("emails"))
 
 
+PLAN_SQL = "[" + ", ".join(f"{{'c': '{c}', 'lo': {lo}, 'hi': {hi}, 't': '{t}', 'n': {sql_list(n)}}}" for c, lo, hi, t, n in N.PLAN) + "]"
+#: Numbers as people write them, of some ten countries by the lead's number, behind its own text.
+WRITTEN = ("+90 (0212) 555 NN NN", "0090 532 NN NN NN 4", "+44 (0)20 79NN NNNN", "+1 (415) 555-NNNN", "+55 11 9 NNNN-NNNN", "+49/0711/NNNNNN", "+39 06 NNNN NNNN", "+880 1711-NNNNNN", "+998 71 NNN NN", "tel 12345678 or 1234567890, 0000-1111-2222", "+999 123 4567 8NNN", "+34 91 NNN NN NN")
+
+
+@query(
+    f"""{WITH}, w AS (SELECT _ord, context || ' ' || regexp_replace({sql_list(WRITTEN)}[_ord % {len(WRITTEN)} + 1], 'N', CAST(_ord % 9 + 1 AS VARCHAR), 'g') || ' and (0) 212 444 33 2' || _ord % 10 AS t,
+  list_filter({PLAN_SQL}, lambda p: list_contains(p.n, lower(trim(country, ' '))))[1].c AS home FROM leads),
+m AS (SELECT _ord, home, unnest(l) AS raw, generate_subscripts(l, 1) AS i FROM (SELECT _ord, home, regexp_extract_all(t, '{N.CANDIDATE}') AS l FROM w)),
+d AS (SELECT *, regexp_replace(raw, '[^0-9]', '', 'g') AS g FROM m), h AS (SELECT *, CASE WHEN contains(raw, '+') THEN g WHEN starts_with(g, '00') THEN g[3:] WHEN home IS NOT NULL THEN home || g END AS f FROM d),
+r AS (SELECT *, coalesce(list_filter({PLAN_SQL}, lambda p: length(p.c) = 3 AND starts_with(f, p.c))[1], list_filter({PLAN_SQL}, lambda p: length(p.c) = 2 AND starts_with(f, p.c))[1], list_filter({PLAN_SQL}, lambda p: length(p.c) = 1 AND starts_with(f, p.c))[1]) AS p FROM h),
+n AS (SELECT *, CASE WHEN p.t <> '' AND starts_with(f[length(p.c) + 1:], p.t) AND length(f) - length(p.c) > p.lo THEN f[length(p.c) + 2:] ELSE f[length(p.c) + 1:] END AS nat FROM r),
+e AS (SELECT _ord, i, g, raw, CASE WHEN length(nat) BETWEEN p.lo AND p.hi THEN '+' || p.c || nat END AS number FROM n),
+o AS (SELECT _ord, i, coalesce(number, trim(raw, ' ')) AS number, number IS NOT NULL AS valid FROM e WHERE number IS NOT NULL OR (length(g) BETWEEN 10 AND 15 AND g NOT IN {N.PLACEHOLDERS} AND NOT (starts_with(g, '00') AND len(list_distinct(string_split(g[1:4], ''))) <= 2)))
+SELECT _ord, number, valid FROM o GROUP BY _ord, number, valid"""
+)
+def s09_numbers(spark, sf):
+    """Telephone numbers of all leads by the numbering plan, national ones by the lead's country."""
+    written = F.element_at(F.array(*map(F.lit, WRITTEN)), (F.col("_ord") % len(WRITTEN) + 1).cast("int"))
+    own = F.concat("context", F.lit(" "), F.regexp_replace(written, "N", (F.col("_ord") % 9 + 1).cast("string")), F.lit(" and (0) 212 444 33 2"), (F.col("_ord") % 10).cast("string"))
+    found = leads(spark, sf).select("_ord", F.explode(N.phone_numbers(own, "country")).alias("p"))
+    return found.select("_ord", "p.number", "p.valid")
+
+
 @query(
     r"""WITH l AS (SELECT page_id, generate_subscripts(regexp_extract_all(html, '<li><a href="([^"]+)">([^<]*)</a></li>', 1), 1) - 1 AS place, unnest(regexp_extract_all(html, '<li><a href="([^"]+)">([^<]*)</a></li>', 1)) AS website,
   unnest(regexp_extract_all(html, '<li><a href="([^"]+)">([^<]*)</a></li>', 2)) AS company FROM pages)
