@@ -45,6 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftlane.llm import verify
 from siftlane.llm.common import checkpointed, slices, whole_text
 from siftlane.llm.verify import BLOCK_BYTES, PAIRS, arrays, batch_of, set_digests, settled, shingle_sets, starred, stars, whole_buckets, without_keys
 from siftlane.operators.components import connected_components, joined_by_key
@@ -389,7 +390,7 @@ def printed_sets(keyed: DataFrame, shingle: int, prints: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, "text", SLICE_BYTES):
+            for rows in slices(batch, "text", verify.SLICE_BYTES):
                 hashes, bounds = shingle_sets(rows["text"], shingle)
                 new = [*set_digests(hashes, bounds)]
                 for _ in range(prints):

@@ -25,7 +25,7 @@ from siftlane.operators.components import FEW_ROWS, connected_components, joined
 
 SLICE_BYTES = 2 << 20
 #: Bytes of sets and rows in a block of a bucket.
-BLOCK_BYTES, BLOCK_ROWS = 16 << 20, 1 << 12
+BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 1 << 11
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -159,7 +159,7 @@ def pivot_of(sketch: list[np.ndarray], at: np.ndarray) -> int:
 
 
 #: Candidate tests of one bucket at once.
-TESTS = 1 << 20
+TESTS = 1 << 18
 
 
 def candidates(own: dict, at: np.ndarray, bound: Callable) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -198,20 +198,42 @@ def unsettled(members: DataFrame, bound: Callable, cell_rows: int) -> DataFrame:
     return members.repartition(parts, "bucket").sortWithinPartitions("bucket", "node").mapInArrow(run, "bucket long, node long")
 
 
+#: Bytes of the bits that are held of a bucket's sets, and of the pairs' bits that are counted at once.
+BITS_BYTES, PAIR_BYTES = 16 << 20, 8 << 20
+
+
 def shared_counts(sets: list[np.ndarray]) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-    """How many elements the sets of given rows have in common: bits of those elements that several sets have."""
-    seen, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    """How many elements the sets of given rows have in common: bits of those elements that several sets have, some columns of them at a time."""
+    _, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    number = np.cumsum(counts > 1) - 1
     common = counts[inverse] > 1
-    words = int(number[-1]) // 64 + 1 if len(number) else 1
-    if len(sets) * words * 8 > 256 << 20:
-        return lambda i, j: np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j)], np.int64)
-    bits = np.zeros((len(sets), words), np.uint64)
-    at = number[inverse[common]]
-    np.bitwise_or.at(bits, (row[common], at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
-    some = max(1, (8 << 20) // words)
-    return lambda i, j: np.concatenate([np.zeros(0, np.int64), *(np.bitwise_count(bits[i[k : k + some]] & bits[j[k : k + some]]).sum(axis=1, dtype=np.int64) for k in range(0, len(i), some))])
+    row, at = row[common], (np.cumsum(counts > 1) - 1)[inverse[common]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    width = max(1, BITS_BYTES // (8 * len(sets)))  # words of a column block
+    blocks = int(at[-1]) // (64 * width) + 1 if len(at) else 0
+    made: dict[int, np.ndarray] = {}
+
+    def bits(block: int) -> np.ndarray:
+        if block not in made:
+            a, b = np.searchsorted(at, [block * 64 * width, (block + 1) * 64 * width])
+            own = at[a:b] - block * 64 * width
+            out = np.zeros((len(sets), int(own[-1]) // 64 + 1), np.uint64)
+            np.bitwise_or.at(out, (row[a:b], own // 64), np.uint64(1) << (own % 64).astype(np.uint64))
+            made.clear()
+            made[block] = out
+        return made[block]
+
+    def count(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(i), np.int64)
+        for block in range(blocks):
+            own = bits(block)
+            some = max(1, PAIR_BYTES // (8 * own.shape[1]))
+            for k in range(0, len(i), some):
+                out[k : k + some] += np.bitwise_count(own[i[k : k + some]] & own[j[k : k + some]]).sum(axis=1, dtype=np.int64)
+        return out
+
+    return count
 
 
 def bucket_links(rows: DataFrame, bound: Callable) -> DataFrame:
