@@ -14,6 +14,8 @@ from siftlane.plans.contacts import VOTES
 from siftlane.plans.leads import COUNTRIES, LEADS_SQL, leads, sql_hits, sql_list
 from siftlane.session import shared_path, table
 from siftlane.sources import files, paged, sinks, workbooks
+from siftlane.streaming import buckets, hosts
+from siftlane.streaming.events import event_stream, first_of_repeats, sessions
 
 WITH = "WITH " + LEADS_SQL
 
@@ -402,36 +404,51 @@ def d12_duplicate_rate(spark, sf):
 s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g) SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n FROM s GROUP BY user_id, k"""
 )
 def stream_sessions(spark, sf):
-    from siftlane.streaming.events import sessions
-
     return sessions(table(spark, sf, "events"))
 
 
 @query("SELECT user_id, event_type, count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY ALL")
 def stream_repeats(spark, sf):
     """A stream of the table's rows, each user and type of event once."""
-    from siftlane.streaming.events import event_stream, first_of_repeats
-
     path, name = shared_path(spark, "stream"), f"repeats_{shared_path(spark, 'q')[-12:]}"
-    table(spark, sf, "events").select("user_id", "event_type", F.lit("2024-01-01").cast("timestamp").alias("ts")).coalesce(1).write.parquet(f"{path}/in")
-    stream = first_of_repeats(event_stream(spark, f"{path}/in", "user_id long, event_type string, ts timestamp"), ["user_id", "event_type"])
+    table(spark, sf, "events").select("user_id", "event_type", F.lit("2024-01-01").cast("timestamp").alias("ts")).repartition(8).write.parquet(f"{path}/in")
+    stream = first_of_repeats(event_stream(spark, f"{path}/in", "user_id long, event_type string, ts timestamp", files_a_batch=4), ["user_id", "event_type"])
     stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/at").queryName(name).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{path}/out").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
 
 
 @query("SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id")
 def stream_upserts(spark, sf):
-    """The newest event of each user, put into a table batch by batch."""
-    from siftlane.streaming.events import event_stream, upsert_batches
-
+    """The newest event of each user, put into a table of buckets batch by batch, each by many tasks."""
     path = shared_path(spark, "upserts")
     own = table(spark, sf, "events").select("user_id", "event_id", F.struct("ts", "event_id").alias("at"), "ts")
     for i in range(2):
-        own.where(F.col("event_id") % 2 == i).coalesce(1).write.parquet(f"{path}/in/{i}")
-    stream = event_stream(spark, f"{path}/in/*", own.schema)
-    upsert_batches(stream, f"{path}/out", "user_id", f"{path}/at", order="at").awaitTermination()
-    last = spark.read.format("text").load(f"{path}/out/newest").first()[0]
-    return spark.read.parquet(f"{path}/out/{last}").select("user_id", "event_id")
+        own.where(F.col("event_id") % 2 == i).repartition(4).write.parquet(f"{path}/in/{i}")
+    stream = event_stream(spark, f"{path}/in/*", own.schema, files_a_batch=4)
+    buckets.upsert_buckets(stream, f"{path}/out", "user_id", f"{path}/at", order="at", buckets=16).awaitTermination()
+    return buckets.read_buckets(spark, f"{path}/out", own.schema).select("user_id", "event_id")
+
+
+#: Each user may send two requests, and gets one back in six hours.
+PACE, BURST = 6 * 3600, 2
+
+
+@query(
+    f"""WITH RECURSIVE e AS (SELECT user_id, event_id, epoch_us(ts) // 1000 AS ms, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000, event_id) AS k FROM events),
+w AS (SELECT user_id, event_id, k, ms, {1000 * PACE * (BURST - 1)}::BIGINT AS left_ms, true AS goes FROM e WHERE k = 1 UNION ALL
+  SELECT e.user_id, e.event_id, e.k, e.ms, t - CASE WHEN t >= {1000 * PACE} THEN {1000 * PACE} ELSE 0 END, t >= {1000 * PACE} FROM w JOIN e ON e.user_id = w.user_id AND e.k = w.k + 1, LATERAL (SELECT least({1000 * PACE * BURST}, w.left_ms + e.ms - w.ms) AS t))
+SELECT CAST(user_id AS VARCHAR) AS host, event_id AS id, CASE WHEN goes THEN 'go' ELSE 'wait' END AS verdict, left_ms FROM w"""
+)
+def stream_paced_hosts(spark, sf):
+    """A replay of the events in four batches of time, each user's paced by a bucket of tokens whose state goes when they are quiet."""
+    path, own = shared_path(spark, "paced"), table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    day = F.dayofmonth("ts")
+    for k, (a, b) in enumerate(((1, 8), (8, 15), (15, 23), (23, 32))):
+        own.where((day >= a) & (day < b)).repartition(4).write.parquet(f"{path}/in/{k}")  # four files are a batch; Spark takes the oldest first
+    hosts.state_store(spark)
+    stream = hosts.paced(event_stream(spark, f"{path}/in/*", own.schema, files_a_batch=4), host="user_id", ident="event_id", interval_s=PACE, burst=BURST, keep_s=3 * 24 * 3600)
+    stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/at").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{path}/out").select("host", "id", "verdict", "left_ms")
 
 
 # --- further scans and names ----------------------------------------------------------------------------------------------------------------

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftlane.sources.stores import store_of
+
 
 def event_stream(spark: SparkSession, path: str, schema, files_a_batch: int = 1) -> DataFrame:
     """Events of a folder's files; a time without a zone is taken as the session's."""
@@ -32,7 +35,8 @@ def upsert_batches(stream: DataFrame, path: str, key: str, checkpoint: str, orde
     """Each batch's rows put into a Parquet table by key, the one of the greatest ``order`` of each, old ones included.
 
     A batch writes a version of its own, from the version before, and a batch that is run again writes the same one, so
-    nothing is applied twice. ``newest`` names the last whole version; the last ``keep`` versions stay."""
+    nothing is applied twice. ``newest`` names the last whole version; the last ``keep`` versions stay. Every batch writes the whole table, which suits
+    small ones; ``buckets`` has one that doesn't."""
 
     def put(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -43,7 +47,8 @@ def upsert_batches(stream: DataFrame, path: str, key: str, checkpoint: str, orde
         newest.write.mode("overwrite").parquet(f"{path}/v{number}")
         spark.createDataFrame([(f"v{number}",)], "name string").coalesce(1).write.mode("overwrite").text(f"{path}/newest")
         if number >= keep:
-            old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v{number - keep}")
-            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+            store, place = store_of(f"{path}/v{number - keep}")
+            if store.get_file_info(place).type != fs.FileType.NotFound:
+                store.delete_dir(place)
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
