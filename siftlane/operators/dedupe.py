@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from siftlane import dictionaries as D
 from siftlane.functions.text import clean, low, normalize_company, text_of
 from siftlane.functions.web import domain_key
-from siftlane.operators.components import connected_components
+from siftlane.operators.components import connected_components, joined_by_key
 from siftlane.session import checkpointed
 
 
@@ -168,10 +168,27 @@ def similar_names(leads: DataFrame, threshold: float = 92.0) -> DataFrame:
     return names.join(known, "name").select("_ord", "seed_ord")
 
 
+#: Rows of a block of one key that meet in a task.
+BLOCK_ROWS = 2048
+
+
+def dealt_pairs(keyed: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(key, p, x, q, y), p < q: all pairs of rows (key, p, x) of one key. Keys are counted first; one of more than ``block_rows`` rows is cut into blocks by
+    a hash, and each two blocks meet in a place of their own, so a key's pairs are shared out over as many tasks as they need."""
+    keyed = checkpointed(keyed)
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("__n")).where("__n > 1").withColumn("__blocks", F.ceil(F.col("__n") / block_rows).cast("int"))
+    rows = joined_by_key(keyed, checkpointed(sizes), "key", "__n", keyed.count()).withColumn("__block", F.pmod(F.xxhash64("p"), F.col("__blocks")).cast("int"))
+    meets = F.transform(F.sequence(F.lit(0), F.col("__blocks") - 1), lambda o: F.struct(F.least(o, F.col("__block")).alias("lo"), F.greatest(o, F.col("__block")).alias("hi")))
+    placed = rows.select("key", "p", "x", "__block", F.explode(meets).alias("__cell"))
+    others = placed.select("key", "__cell", F.col("p").alias("q"), F.col("x").alias("y"), F.col("__block").alias("__other"))
+    own_place = (F.least("__block", "__other") == F.col("__cell.lo")) & (F.greatest("__block", "__other") == F.col("__cell.hi"))
+    return placed.join(others, ["key", "__cell"]).where((F.col("p") < F.col("q")) & own_place).select("key", "p", "x", "q", "y")
+
+
 def blocked_pairs(leads: DataFrame) -> DataFrame:
     """All pairs (a, b), a < b, of leads of one company name or one website."""
-    keys = leads.select("_ord", F.explode(F.array(F.concat(F.lit("n:"), name_key()), F.concat(F.lit("w:"), F.lower(text_of("website"))))).alias("key")).where("length(key) > 2")
-    return keys.select("key", F.col("_ord").alias("a")).join(keys.select("key", F.col("_ord").alias("b")), "key").where("a < b").select("a", "b").distinct()
+    keys = leads.select(F.col("_ord").alias("p"), F.lit(0).alias("x"), F.explode(F.array(F.concat(F.lit("n:"), name_key()), F.concat(F.lit("w:"), F.lower(text_of("website"))))).alias("key")).where("length(key) > 2")
+    return dealt_pairs(keys).select(F.col("p").alias("a"), F.col("q").alias("b")).distinct()
 
 
 #: M and u probabilities of agreement levels (name equal, name within two edits, country equal, website equal).
@@ -196,6 +213,8 @@ class Weights:
     prior: float
     shares: DataFrame | None = None
     by_chance: dict[str, float] = field(default_factory=dict)
+    #: Of each column that couldn't be estimated, why.
+    notes: dict[str, str] = field(default_factory=dict)
 
     @classmethod
     def of(cls, probabilities: dict[str, tuple[float, float]], prior: float, **more) -> "Weights":
@@ -223,6 +242,8 @@ def match_weight(a: str, b: str, weights: Weights) -> Column:
         total = total + table
     if weights.shares is not None:
         for c in ("country", "website"):
+            if weights.levels[f"{'site' if c == 'website' else c}_equal"] <= 0:
+                continue
             total = total + F.when((F.col(f"{a}.{c}") == F.col(f"{b}.{c}")) & (F.col(f"{a}.{c}") != ""), F.coalesce(F.col(f"{a}.{c}_more"), F.lit(0.0))).otherwise(0.0)
     return F.round(total, 6)
 
@@ -230,17 +251,24 @@ def match_weight(a: str, b: str, weights: Weights) -> Column:
 def estimated_weights(leads: DataFrame, rounds: int = 20, prior: float = 0.01) -> Weights:
     """Weights from the leads alone, without labels.
 
-    By chance two leads agree in a value as often as the sum of its squared shares says (of close names as the fixed
-    values do). What matches agree in, and how many of the blocked pairs are matches, is estimated by expectation maximisation, over
+    By chance two leads agree in a value as often as the sum of its squared shares says (names without a lead's agreement with itself and without the matches that the prior expects; of close names as
+    the fixed values do). What matches agree in, and how many of the blocked pairs are matches, is estimated by expectation maximisation, over
     pairs of one name for country and website and over those of one website for name and country, on the patterns of levels, of which there are 27 at most; the pairs of two profiles' leads are counted by their numbers. A common
-    country or website then weighs less than a rare one, by the ratio of its share to the mean one."""
+    country or website then weighs less than a rare one, by the ratio of its share to the mean one.
+
+    Agreement never counts against a match, nor difference for one: where the estimate says so, as where copies of a firm have pages of their own, the column
+    has no weight, and where no pair tells of a column the fixed values stay. ``notes`` says which and why."""
     n = {}
     shares = None
     for kind, c in (("name", "name"), ("country", "country"), ("site", "website")):
         own = profiled(leads).where(F.col(c) != "").groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n"))
-        total = own.agg(F.sum("n")).scalar()
+        total = own.agg(F.sum("n")).first()[0] or 1
         own = own.select(F.lit(c).alias("kind"), "value", (F.col("n") / total).alias("share"))
         n[kind] = own.agg(F.sum(F.pow("share", 2))).first()[0] or 0.001
+        if kind == "name" and total > 1:
+            # a lead isn't compared with itself, and matches, a share of the prior, agree as matches do; at least one in twenty agrees by chance
+            equal = max(1e-6, (n[kind] * total - 1) / (total - 1))
+            n[kind] = max(equal / 20, (equal - prior * LINK_WEIGHTS["name_equal"][0]) / (1 - prior))
         shares = own if shares is None else shares.unionByName(own) if kind != "name" else shares
     bounded = lambda p: min(0.999, max(1e-6, p))
     close = LINK_WEIGHTS["name_close"][1]
@@ -268,7 +296,14 @@ def estimated_weights(leads: DataFrame, rounds: int = 20, prior: float = 0.01) -
             if own and k.split("_")[0] in kinds:
                 seen.setdefault(k, []).append(v)
     m |= {k: sum(v) / len(v) for k, v in seen.items()}
-    return Weights.of({k: (m[k], u[k]) for k in m}, prior, shares=checkpointed(shares.where("kind != 'name'")), by_chance={"country": n["country"], "website": n["site"]})
+    notes = {}
+    for kind in ("name", "country", "site"):
+        if not any(k.startswith(kind) for k in seen):
+            notes[kind] = "no pair tells of it: fixed values"
+        if m[f"{kind}_equal"] < u[f"{kind}_equal"] or m[f"{kind}_other"] > u[f"{kind}_other"]:
+            notes[kind] = "matches agree in it no more often than others: no weight"
+            m |= {k: u[k] for k in m if k.startswith(kind)}
+    return Weights.of({k: (m[k], u[k]) for k in m}, prior, shares=checkpointed(shares.where("kind != 'name'")), by_chance={"country": n["country"], "website": n["site"]}, notes=notes)
 
 
 def match_probability(weight: Column) -> Column:
@@ -283,9 +318,8 @@ def profile_keys(own: DataFrame) -> DataFrame:
 def profile_pairs(leads: DataFrame, own: DataFrame | None = None) -> DataFrame:
     """(p, x, q, y): pairs of different profiles of one name or one website, p < q, each once."""
     own = profiled(leads).groupBy(*PROFILE).agg(F.min("_ord").alias("p")).withColumn("x", F.struct(*PROFILE)) if own is None else own
-    keys = profile_keys(own)
-    pairs = keys.join(keys.select("key", F.col("p").alias("q"), F.col("x").alias("y")), "key")
-    return pairs.where("p < q and (key like 'n:%' or x.name != y.name or x.name = '')").select("p", "x", "q", "y")
+    pairs = dealt_pairs(profile_keys(own))
+    return pairs.where("key like 'n:%' or x.name != y.name or x.name = ''").select("p", "x", "q", "y")
 
 
 def profile_links(leads: DataFrame, threshold: float, weights: Weights) -> tuple[DataFrame, DataFrame]:
@@ -299,6 +333,8 @@ def profile_links(leads: DataFrame, threshold: float, weights: Weights) -> tuple
     columns = list(PROFILE)
     if weights.shares is not None:
         for c in ("country", "website"):
+            if weights.levels[f"{'site' if c == 'website' else c}_equal"] <= 0:
+                continue  # a column without weight has none for rare values either
             rare = weights.shares.where(F.col("kind") == c).select(F.col("value").alias(c), (F.log2(F.lit(weights.by_chance[c])) - F.log2("share")).alias(f"{c}_more"))
             own = own.join(rare, c, "left")
             columns.append(f"{c}_more")
@@ -310,19 +346,40 @@ def profile_links(leads: DataFrame, threshold: float, weights: Weights) -> tuple
     return profiles, scored.where(match_probability(F.col("match_weight")) >= threshold)
 
 
+def of_profiles(leads: DataFrame, profiles: DataFrame, *columns: str) -> DataFrame:
+    """Each lead's _ord and some columns of its profile; the leads of very common profiles stay where they are."""
+    own, profile = profiled(leads), F.struct(*PROFILE).alias("__profile")
+    sizes = own.groupBy(profile).agg(F.count("*").alias("__n"))
+    one = checkpointed(profiles.select(profile, *columns).join(sizes, "__profile"))
+    return joined_by_key(own.select("_ord", profile), one, "__profile", "__n", own.count()).select("_ord", *columns)
+
+
 def linked(leads: DataFrame, threshold: float = 0.8, prior: float = 0.01, weights: Weights | None = None) -> DataFrame:
     """(a, b, match_weight, match_probability) of all blocked pairs that reach the threshold, by a Fellegi-Sunter sum of log ratios.
 
     The weights are fixed ones unless ``estimated_weights`` or others are given. The result has every pair of a group of copies;
     ``resolved`` needs none of them."""
     profiles, links = profile_links(leads, threshold, weights or Weights.of(LINK_WEIGHTS, prior))
-    members = profiled(leads).join(profiles, [*PROFILE]).select("_ord", "p", "match_weight", "alike")
+    members = of_profiles(leads, profiles, "p", "match_weight", "alike")
     one, two = members.select("p", F.col("_ord").alias("a")), members.select(F.col("p").alias("q"), F.col("_ord").alias("b"))
     within = members.where("alike").select("p", F.col("_ord").alias("a"), "match_weight").join(one.withColumnRenamed("a", "b"), "p").where("a < b")
     across = links.join(one, "p").join(two, "q").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "match_weight")
     return within.select("a", "b", "match_weight").unionByName(across).withColumn("match_probability", match_probability(F.col("match_weight")))
 
 
+def linked_classes(leads: DataFrame, threshold: float = 0.8, prior: float = 0.01, weights: Weights | None = None) -> tuple[DataFrame, DataFrame]:
+    """(classes, members) in place of all pairs of ``linked``. A class is the leads of one profile, named by the least _ord: members, alike (whether they are
+    linked among themselves), links (other classes that it is linked with, all leads with all) and linked_leads (leads in those). members is (_ord, class)."""
+    profiles, links = profile_links(leads, threshold, weights or Weights.of(LINK_WEIGHTS, prior))
+    of = profiled(leads)
+    sizes = checkpointed(of.groupBy(*PROFILE).agg(F.min("_ord").alias("class"), F.count("*").alias("members")))
+    both = links.select("p", "q").unionByName(links.select(F.col("q").alias("p"), F.col("p").alias("q")))
+    counted = both.join(sizes.select(F.col("class").alias("q"), "members"), "q").groupBy(F.col("p").alias("class")).agg(F.count("*").alias("links"), F.sum("members").alias("linked_leads"))
+    classes = sizes.join(profiles.select(F.col("p").alias("class"), "alike"), "class").join(counted, "class", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return classes.select("class", "members", "alike", zero("links"), zero("linked_leads")), of_profiles(leads, sizes, "class")
+
+
 def resolved(leads: DataFrame, score: str = "score", threshold: float = 0.8, prior: float = 0.01, weights: Weights | None = None) -> DataFrame:
     """leads with entity_id (the least _ord of its linked leads), one row of each entity: the best score, the first seen of equal ones.
 
@@ -331,6 +388,6 @@ def resolved(leads: DataFrame, score: str = "score", threshold: float = 0.8, pri
     profiles, links = profile_links(leads, threshold, weights or Weights.of(LINK_WEIGHTS, prior))
     found = connected_components(links, "p", "q")
     entities = profiles.join(found.withColumnRenamed("node", "p"), "p", "left").select(*PROFILE, F.coalesce("component", F.when(F.col("alike"), F.col("p"))).alias("__entity"))
-    of = profiled(leads).join(entities, [*PROFILE]).select("_ord", F.coalesce("__entity", "_ord").alias("entity_id"))
+    of = of_profiles(leads, entities, "__entity").select("_ord", F.coalesce("__entity", "_ord").alias("entity_id"))
     own = leads.drop("entity_id").join(of, "_ord")
     return one_of_each(own.withColumn("__e", F.col("entity_id").cast("string")), "__e", [(-F.coalesce(F.col(score), F.lit(0.0))).alias("a"), F.col("_ord").alias("b")]).drop("__e")

@@ -117,6 +117,25 @@ def d10_resolved(spark, sf):
     return dedupe.resolved(leads(spark, sf)).select("_ord", "entity_id", "score")
 
 
+CLASSES = f"""{WITH}, pr AS (SELECT min(_ord) AS p, lower(trim(company, ' ')) AS n, lower(trim(coalesce(country, ''), ' ')) AS c, lower(coalesce(website, '')) AS w, count(*) AS members FROM leads GROUP BY 2, 3, 4),
+k AS (SELECT p, 'n:' || n AS k FROM pr WHERE n <> '' UNION ALL SELECT p, 'w:' || w FROM pr WHERE w <> ''), q AS (SELECT DISTINCT a.p AS a, b.p AS b FROM k a JOIN k b ON a.k = b.k AND a.p <= b.p),
+f AS (SELECT q.a, q.b, CASE WHEN x.n = y.n THEN log2(0.9 / 0.001) WHEN levenshtein(x.n, y.n) <= 2 THEN log2(0.05 / 0.002) ELSE log2(0.05 / 0.997) END + CASE WHEN x.c = '' OR y.c = '' THEN 0 WHEN x.c = y.c THEN log2(0.95 / 0.1) ELSE log2(0.05 / 0.9) END
+  + CASE WHEN x.w = '' OR y.w = '' THEN 0 WHEN x.w = y.w THEN log2(0.8 / 0.001) ELSE log2(0.2 / 0.999) END + log2(0.01 / 0.99) AS w FROM q JOIN pr x ON x.p = q.a JOIN pr y ON y.p = q.b),
+l AS (SELECT a, b FROM f WHERE round(1 / (1 + pow(2.0, -w)), 6) >= 0.8), b AS (SELECT a AS p, b AS q FROM l WHERE a <> b UNION ALL SELECT b, a FROM l WHERE a <> b), t AS (SELECT b.p, count(*) AS links, sum(members) AS leads FROM b JOIN pr ON pr.p = b.q GROUP BY b.p)"""
+
+
+@query(f"{CLASSES} SELECT pr.p AS class, members, pr.p IN (SELECT a FROM l WHERE a = b) AS alike, coalesce(links, 0) AS links, CAST(coalesce(t.leads, 0) AS BIGINT) AS linked_leads FROM pr LEFT JOIN t ON t.p = pr.p")
+def d10_j4_classes(spark, sf):
+    """Linkage by classes of equal profiles, with their numbers of links, in place of all pairs."""
+    return dedupe.linked_classes(leads(spark, sf))[0]
+
+
+@query(f"{CLASSES} SELECT _ord, p AS class FROM leads JOIN pr ON n = lower(trim(company, ' ')) AND c = lower(trim(coalesce(country, ''), ' ')) AND w = lower(coalesce(website, ''))")
+def d10_j4_members(spark, sf):
+    """The class of every lead."""
+    return dedupe.linked_classes(leads(spark, sf))[1]
+
+
 @query()
 def d10_estimated(spark, sf):
     """Links by weights estimated from the table itself; the tests hold the estimate against plain code."""
