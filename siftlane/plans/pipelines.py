@@ -6,10 +6,11 @@ whole list of stages is one plan. The variants differ in their stages only.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siftlane.functions.text import emails, links, phones
@@ -71,6 +72,18 @@ class Pipeline:
             leads = stage(leads)
         return leads
 
+    def observed(self, leads: DataFrame, names: Iterable[str] = ()) -> tuple[DataFrame, list[tuple[str, Observation]]]:
+        """The pipeline's rows, and an observation before the first stage and behind each: once an action has gone through the rows, each has its count (n).
+        Counting costs no scan and no job of its own. Stages that are computed more than once in a plan are observed once, and one that Spark proves empty beforehand has no count."""
+        labels = [*names, *(f"stage {k}" for k in range(len(tuple(names)), len(self.stages) + 1))]
+        seen = []
+        for k in range(len(self.stages) + 1):
+            leads = self.stages[k - 1](leads) if k else leads
+            own = Observation(f"{labels[k]} {uuid.uuid4().hex[:8]}")
+            leads = leads.observe(own, F.count(F.lit(1)).alias("n"))
+            seen.append((labels[k], own))
+        return leads, seen
+
     def without(self, *stages: Stage) -> Pipeline:
         return Pipeline(tuple(s for s in self.stages if s not in stages))
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siftlane.functions.text import contains_any, found, hits
+from siftlane.operators import sketches
 from siftlane.operators import tables as O
 from siftlane.plans.collected import query
 from siftlane.plans.leads import COUNTRIES, LEADS_SQL, leads, sql_hits, sql_list
-from siftlane.session import table
-from siftlane.sources import files
+from siftlane.plans.pipelines import Pipeline
+from siftlane.session import shared_path, table
+from siftlane.sources import files, table_functions
 
 WITH = "WITH " + LEADS_SQL
 
@@ -106,6 +108,53 @@ def g7_funnel(spark, sf):
     return own.select(F.explode(F.array_compact(flags)).alias("stage")).groupBy("stage").agg(F.count("*").alias("n"))
 
 
+@query(f"{WITH} SELECT 'leads' AS stage, count(*) AS n FROM leads UNION ALL SELECT 'with website', count(*) FROM leads WHERE website IS NOT NULL UNION ALL SELECT 'labelled', count(*) FROM leads WHERE website IS NOT NULL AND score IS NOT NULL")
+def f25_g7_observed(spark, sf):
+    """The funnel of a pipeline, counted by the run that writes its rows."""
+    stages = (lambda d: d.where("website is not null"), lambda d: d.where("score is not null"))
+    rows, seen = Pipeline(stages).observed(leads(spark, sf), ("leads", "with website", "labelled"))
+    rows.write.parquet(shared_path(spark, "observed"))
+    return spark.createDataFrame([(name, own.get["n"]) for name, own in seen], "stage string, n long")
+
+
+@query("SELECT o_orderstatus, count(DISTINCT o_custkey) AS exact, true AS within FROM orders GROUP BY o_orderstatus UNION ALL SELECT NULL, count(DISTINCT o_custkey), true FROM orders")
+def g2_sketches(spark, sf):
+    """Customers by status and in all, from sketches by status and priority that are merged: whether the estimates keep within three deviations of the counts."""
+    own = table(spark, sf, "orders")
+    small = sketches.sketched(own, ("o_orderstatus", "o_orderpriority"), "o_custkey")
+    found = sketches.estimated(sketches.merged(small, ("o_orderstatus",))).drop("n")
+    whole = sketches.estimated(sketches.merged(small, ())).select(F.lit(None).cast("string").alias("o_orderstatus"), "n_distinct")
+    exact = own.groupBy("o_orderstatus").agg(F.countDistinct("o_custkey").alias("exact")).unionByName(own.agg(F.countDistinct("o_custkey").alias("exact")).withColumn("o_orderstatus", F.lit(None).cast("string")))
+    both = found.unionByName(whole).withColumnRenamed("o_orderstatus", "s").join(exact, F.col("s").eqNullSafe(F.col("o_orderstatus")))
+    return both.select("o_orderstatus", "exact", (F.abs(F.col("n_distinct") - F.col("exact")) <= 1 + sketches.bound() * F.col("exact")).alias("within"))
+
+
+@query("SELECT o_orderstatus, o_orderpriority, count(*) AS n, grouping(o_orderstatus) * 2 + grouping(o_orderpriority) AS level FROM orders GROUP BY GROUPING SETS ((o_orderstatus, o_orderpriority), (o_orderstatus), ())")
+def g3_grouping_sets(spark, sf):
+    """Counts by status and priority, by status, and in all, in one pass."""
+    return sketches.grouped_counts(table(spark, sf, "orders"), (("o_orderstatus", "o_orderpriority"), ("o_orderstatus",), ()))
+
+
+@query("SELECT s_suppkey AS id, s_name AS company, CASE WHEN s_suppkey % 2 = 0 THEN 'M' || s_nationkey END AS town FROM supplier WHERE s_suppkey % 4 <> 3")
+def n1_company_items_sql(spark, sf):
+    """A table function called from SQL: companies of payloads under a known key, in a list below, and none."""
+    table_functions.register(spark)
+    body = F.to_json(F.struct(F.when(F.col("s_suppkey") % 4 == 0, F.array(F.struct(F.col("s_name").alias("title"), F.concat(F.lit("M"), "s_nationkey").alias("place")))).alias("members"), F.when(F.col("s_suppkey") % 4 != 0, F.struct(F.when(F.col("s_suppkey") % 4 != 3, F.array(F.struct(F.col("s_name").alias("name"), F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("M"), "s_nationkey")).alias("city")))).alias("b"))).alias("a")))
+    table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), body.alias("body")).createOrReplaceTempView("payloads")
+    return spark.sql("SELECT id, company, town FROM payloads, LATERAL company_items(body, 'company=name|title', 'town=place|city')")
+
+
+@query("SELECT n_regionkey AS page, n_nationkey AS row, n_name AS company, CAST(n_regionkey AS VARCHAR) AS country FROM nation")
+def a8_table_records_sql(spark, sf):
+    """A partitioned table function called from SQL: the rows of a table for each region, with a title and a header before them."""
+    table_functions.register(spark)
+    own = table(spark, sf, "nation").select(F.col("n_regionkey").cast("long").alias("page"), F.col("n_nationkey").cast("long").alias("row"), F.array("n_name", F.col("n_regionkey").cast("string")).alias("cells"))
+    pages = own.select("page").distinct()
+    head = lambda row, *x: pages.select("page", F.lit(row).cast("long").alias("row"), F.array(*map(F.lit, x)).alias("cells"))
+    own.unionByName(head(-2, "Hall plan", "")).unionByName(head(-1, "Exhibitor", "Nation")).createOrReplaceTempView("extracted")
+    return spark.sql("SELECT page, row, company, country FROM table_records(TABLE(extracted))")
+
+
 @query(f"{WITH} SELECT country, array_to_string(list_sort(list_distinct(list(source_type))), ',') AS sources FROM leads GROUP BY country")
 def g10_list_union(spark, sf):
     return leads(spark, sf).groupBy("country").agg(F.array_join(F.array_sort(F.collect_set("source_type")), ",").alias("sources"))

@@ -83,11 +83,12 @@ def s43_consolidated(spark, sf):
     return more_scores.consolidated(own, ("m1", "m2"), ("p1", "p2")).select("_ord", "email", "all_emails", "phone")
 
 
-@query("SELECT page_id, CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN 'https://' || regexp_replace(url, '^[a-z]+://', '') END AS repaired, CASE page_id % 4 WHEN 0 THEN NULL ELSE page_id % 4 END AS kind FROM pages WHERE page_id % 4 < 2 AND regexp_matches(url, '^https?://[^ ]+$')")
+@query("SELECT page_id, CASE page_id % 3 WHEN 0 THEN url ELSE 'https://' || regexp_replace(url, '^[a-z]+://', '') END AS repaired FROM pages")
 def s14_repaired_urls(spark, sf):
-    own = table(spark, sf, "pages").where(F.col("page_id") % 4 < 2).where(F.col("url").rlike("^https?://[^ ]+$"))
-    raw = F.when(F.col("page_id") % 4 == 0, F.col("url")).otherwise(F.regexp_replace("url", "^[a-z]+://", ""))
-    return own.select("page_id", H.with_scheme(raw).alias("repaired"), F.nullif(F.col("page_id") % 4, F.lit(0)).alias("kind"))
+    """Addresses of all pages, as they are, without their scheme, and so with spaces around them."""
+    bare = F.regexp_replace("url", "^[a-z]+://", "")
+    raw = F.when(F.col("page_id") % 3 == 0, F.col("url")).when(F.col("page_id") % 3 == 1, bare).otherwise(F.concat(F.lit("  "), bare, F.lit(" ")))
+    return table(spark, sf, "pages").select("page_id", H.with_scheme(raw).alias("repaired"))
 
 
 # --- extraction ---------------------------------------------------------------------------------------------------------------------------
@@ -98,12 +99,12 @@ LEGAL_SQL = " || ".join("regexp_extract_all(t, '{}', 1)".format(p.replace("'", "
 
 
 @query(
-    f"""{WITH}, m AS (SELECT _ord, substr(context, 1, 200) || {NAME_PICK} AS t FROM leads), f AS (SELECT _ord, list_filter(list_transform({LEGAL_SQL}, lambda n: trim(n, ' ')), lambda n: length(n) > 3) AS a FROM m)
+    f"""{WITH}, m AS (SELECT _ord, context || {NAME_PICK} AS t FROM leads), f AS (SELECT _ord, list_filter(list_transform({LEGAL_SQL}, lambda n: trim(n, ' ')), lambda n: length(n) > 3) AS a FROM m)
 SELECT _ord, array_to_string(list_filter(a, lambda n, i: list_position(list_transform(a, lambda y: lower(y)), lower(n)) = i), '|') AS names FROM f"""
 )
 def s21_legal_names(spark, sf):
-    """Names by legal forms in short texts, as search results have them."""
-    own = leads(spark, sf).select("_ord", F.concat(F.substring("context", 1, 200), F.element_at(F.array(*map(F.lit, NAMES)), (F.col("_ord") % len(NAMES) + 1).cast("int"))).alias("t"))
+    """Names by legal forms in whole texts."""
+    own = leads(spark, sf).select("_ord", F.concat("context", F.element_at(F.array(*map(F.lit, NAMES)), (F.col("_ord") % len(NAMES) + 1).cast("int"))).alias("t"))
     return own.select("_ord", F.array_join(extract.legal_names(F.col("t")), "|").alias("names"))
 
 
