@@ -179,10 +179,15 @@ def guessed_emails(leads: DataFrame, top: int = 3) -> DataFrame:
     return leads.withColumn("guesses", F.when(clean_domain("website").isNotNull(), made).otherwise(F.array().cast("array<string>")))
 
 
+def configured_entities(config: DataFrame, context: str, *, region: str = "region", countries: str = "countries") -> DataFrame:
+    """Rows (region, country, company, source_type, context) of a configuration: a region, and its countries as a map to lists of companies."""
+    own = config.select(F.col(region).alias("region"), F.explode(countries).alias("country", "names")).select("region", "country", F.explode("names").alias("company"))
+    return own.withColumn("source_type", F.lit("known_manufacturer")).withColumn("context", F.lit(context))
+
+
 def known_entities(spark: SparkSession, regions: dict[str, dict[str, list[str]]], context: str) -> DataFrame:
     """Rows of a configured region -> country -> companies table."""
-    rows = [(r, c, n) for r, countries in regions.items() for c, names in countries.items() for n in names]
-    return spark.createDataFrame(rows, "region string, country string, company string").withColumn("source_type", F.lit("known_manufacturer")).withColumn("context", F.lit(context))
+    return configured_entities(spark.createDataFrame(list(regions.items()), "region string, countries map<string,array<string>>"), context)
 
 
 COUNTRIES = D.GATE_COUNTRIES

@@ -28,12 +28,17 @@ def a4_latest_file(spark, sf):
     return files.read_latest(spark, f"{sf}/documents.parquet").agg(F.count("*").alias("n"))
 
 
-REGIONS = {"south_america": {"Brazil": ["Alfa Textil", "Beta Malhas"], "Peru": ["Gama Tejidos"]}, "north_africa": {"Egypt": ["Delta Dyers"]}}
-
-
-@query("SELECT * FROM (VALUES ('south_america', 'Brazil', 'Alfa Textil'), ('south_america', 'Brazil', 'Beta Malhas'), ('south_america', 'Peru', 'Gama Tejidos'), ('north_africa', 'Egypt', 'Delta Dyers')) t(region, country, company)")
+@query(
+    """SELECT r_name AS region, n_name AS country, unnest([s_name, s_name || ' Mills']) AS company FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+UNION ALL SELECT r_name, 'none', s_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE s_suppkey % 5 = 0"""
+)
 def a12_known_entities(spark, sf):
-    return O.known_entities(spark, REGIONS, "configured").select("region", "country", "company")
+    """The suppliers as entries of a configuration by region and country, some with a second country."""
+    nations = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    own = table(spark, sf, "supplier").join(F.broadcast(nations), F.col("s_nationkey") == F.col("n_nationkey"))  # a nation's rows are 25
+    first = F.create_map("n_name", F.array("s_name", F.concat("s_name", F.lit(" Mills"))))
+    both = F.map_concat(first, F.when(F.col("s_suppkey") % 5 == 0, F.create_map(F.lit("none"), F.array("s_name"))).otherwise(F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<array<string>>"))))
+    return O.configured_entities(own.select(F.col("r_name").alias("region"), both.alias("countries")), "configured").select("region", "country", "company")
 
 
 @query("SELECT min(page_id) AS page_id, url, 'html' AS file_type FROM pages WHERE contains(lower(url), '.html') GROUP BY url")
