@@ -73,15 +73,17 @@ def merge_leads(leads: DataFrame, priorities: dict[str, int] = D.SOURCE_PRIORITY
     site, name, country = domain_key(clean("website")), normalize_company("company"), F.lower(F.trim(text_of("country")))
     key = F.when(site != "", F.concat(F.lit("same_domain:"), site)).when((name != "") & (country != ""), F.concat(F.lit("norm_country:"), name, F.lit("|"), country))
     keyed = leads.withColumn("__key", key)
-    seeds = similar_names(checkpointed(keyed.where("__key is null").select("_ord", "company"))).withColumn("seed_ord", F.concat(F.lit("name_similarity:"), F.col("seed_ord").cast("string")))
-    rest = keyed.where("__key is null").join(seeds, "_ord", "left").withColumn("__key", F.coalesce("seed_ord", F.concat(F.lit("alone:"), F.col("_ord").cast("string"))))
-    work = keyed.where("__key is not null").unionByName(rest.drop("seed_ord"))
+    keyless = checkpointed(keyed.where("__key is null").select("_ord", "company"))
+    work = keyed.where("__key is not null")
+    if not keyless.isEmpty():
+        seeds = similar_names(keyless).withColumn("seed_ord", F.concat(F.lit("name_similarity:"), F.col("seed_ord").cast("string")))
+        rest = keyed.where("__key is null").join(seeds, "_ord", "left").withColumn("__key", F.coalesce("seed_ord", F.concat(F.lit("alone:"), F.col("_ord").cast("string"))))
+        work = work.unionByName(rest.drop("seed_ord"))
     by_name = F.col("__key").startswith("name_similarity:")
     rank = F.struct(F.when(by_name, 0).otherwise(F.coalesce(F.try_element_at(table, low("source_type")), F.lit(0))).alias("p"), (-F.col("_ord")).alias("o"))
     lists = [c for c in LISTS if c in leads.columns]
     plain = [c for c in leads.columns if c not in (*lists, "score", "context")]
     aggs = [F.max_by(F.struct(*plain), rank).alias("s")]
-    aggs += [F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in lists]
     if "score" in leads.columns:
         aggs.append(F.max("score").alias("score"))
     if "context" in leads.columns:
@@ -89,6 +91,14 @@ def merge_leads(leads: DataFrame, priorities: dict[str, int] = D.SOURCE_PRIORITY
         own = F.max_by(there, rank)
         aggs.append(F.coalesce(own, F.min_by(there, F.when(there.isNotNull(), F.col("_ord")))).alias("context"))
     groups = work.groupBy("__key").agg(*aggs)
+    if lists:
+        # a list's values are made distinct before they are gathered, so a row holds each once, whatever the number of leads
+        none = F.array().cast("array<string>")
+        tagged = lambda c: F.transform(F.coalesce(c, none), lambda v: F.struct(F.lit(c).alias("c"), v.alias("v")))
+        each = F.concat(*map(tagged, lists))
+        values = work.select("__key", F.explode(each).alias("x")).select("__key", "x.c", "x.v").distinct()
+        gathered = values.groupBy("__key").agg(*[F.array_sort(F.collect_list(F.when(F.col("c") == c, F.col("v")))).alias(c) for c in lists])
+        groups = groups.join(gathered, "__key", "left").withColumns({c: F.coalesce(c, none) for c in lists})
     merged = groups.select(*[F.col(f"s.{c}").alias(c) if c in plain else F.col(c) for c in leads.columns])
     kept = groups.select("__key", F.col("s._ord").alias("__kept"), F.col("s.company").alias("kept_company"))
     gone = work.where("__key not like 'alone:%'").select("__key", "_ord", F.col("company").alias("merged_company"))
