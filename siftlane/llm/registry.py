@@ -141,4 +141,4 @@ def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_matroska, op2_quality, op3_packing, op4_secrets, op5_urls, op6_pseudonyms, op7_token_counts, op8_decontaminate, op9_token_ids, op10_simhash, op11_prefix_trie, op12_vector_codes, op13_minhash, pipeline)}
-ORACLE_SQL: dict[str, str] = {"op5_urls": sql.OP5_URLS, "op11_prefix_trie": sql.OP11_PREFIX_TRIE, "op12_vector_codes": sql.OP12_VECTOR_CODES}
+ORACLE_SQL: dict[str, str] = {"op5_urls": sql.OP5_URLS, "op11_prefix_trie": sql.OP11_PREFIX_TRIE, "op12_vector_codes": sql.OP12_VECTOR_CODES, "op13_minhash": sql.OP13_MINHASH}

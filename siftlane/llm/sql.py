@@ -101,3 +101,15 @@ WITH own AS (
 )
 SELECT conv_id, depth, parent_conv_id, n_convs, n_children, leaves AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, ends_sha256 FROM tree JOIN below b USING (p)
 """
+
+OP13_MINHASH = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS sh FROM d
+), x AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS h FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k, any_value(a.n) AS na, any_value(b.n) AS nb FROM x a JOIN x b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM c WHERE 100 * k >= 80 * (na + nb - k)), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS n, doc_id AS m FROM s UNION SELECT r.n, e.b FROM r JOIN e ON e.a = r.m)
+SELECT doc_id, len(sh) AS n_shingles, least AS component_id, doc_id = least AS kept FROM s JOIN (SELECT n, min(m) AS least FROM r GROUP BY n) ON n = doc_id
+"""

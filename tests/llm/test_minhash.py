@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -51,6 +52,14 @@ def test_query_against_all_pairs(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_sql_against_all_pairs():
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    rows = con.execute("SELECT doc_id, text FROM documents").fetchall()
+    got = con.execute(registry.ORACLE_SQL["op13_minhash"]).fetchall()
+    assert sorted((r[:3] for r in got), key=repr) == plain_components(rows, 4) and all(k == (i == c) for i, _, c, k in got)
+
+
 EDGE = [(4, None), (3, ""), (7, " \n "), (None, "one two"), (9, "ONE two"), (9, "one two"), (1, "É a b c d"), (2, "é a b c d"), (5, "w " * 60_000), (6, "x" * 100_000), (None, None), (8, "x" * 100_000)]
 
 
