@@ -247,13 +247,14 @@ def g12_best_of_each(spark, sf):
 
 
 @query(
-    f"""{WITH}, e AS (SELECT _ord, least(1.0::DOUBLE, {sql_hits(TEXT + " || '  '", D.SCE_E1)} * 0.4::DOUBLE) AS a FROM leads)
-SELECT _ord FROM e WHERE a >= 0.4::DOUBLE AND _ord NOT IN (SELECT _ord FROM leads WHERE {sql_any("lower(company)", [x for x in D.GATE_OEM if len(x) > 4])})"""
+    f"""{WITH}, e AS (SELECT _ord, CASE WHEN _ord % 7 = 0 THEN 'Monforts ' ELSE '' END || company AS company, ['CUSTOMER', 'INTERMEDIARY', 'BRAND', 'UNKNOWN'][_ord % 4 + 1] AS role, length(company) % 6 AS a, _ord // 4 % 10 AS b, length(context) % 10 AS c FROM leads)
+SELECT _ord FROM e WHERE role NOT IN ('INTERMEDIARY', 'BRAND') AND NOT {sql_any("lower(company)", [x for x in D.GATE_OEM if len(x) > 4])} AND (a >= 4 OR (role = 'CUSTOMER' AND b >= 5 AND c >= 4))"""
 )
 def f18_sales_ready(spark, sf):
-    own = leads(spark, sf).withColumn("role", F.lit("UNKNOWN"))
-    t = scores.joined(F.col("company"), F.col("context"), F.lit(""), F.lit(""))
-    own = own.withColumn("e1", F.least(F.lit(1.0), hits(t, D.SCE_E1) * 0.4)).withColumn("e2", F.lit(0.0)).withColumn("e3", F.lit(0.0))
+    """Leads of four roles, some with a maker's name, with evidence from the lengths of their texts."""
+    role = F.element_at(F.array(*map(F.lit, ("CUSTOMER", "INTERMEDIARY", "BRAND", "UNKNOWN"))), (F.col("_ord") % 4 + 1).cast("int"))
+    own = leads(spark, sf).withColumns({"role": role, "e1": F.length("company") % 6 / 10, "e2": F.floor(F.col("_ord") / 4) % 10 / 10, "e3": F.length("context") % 10 / 10})
+    own = own.withColumn("company", F.concat(F.when(F.col("_ord") % 7 == 0, "Monforts ").otherwise(""), "company"))
     return more_scores.sales_ready(own).where("sales_ready").select("_ord")
 
 
