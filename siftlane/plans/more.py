@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from siftlane import dictionaries as D
 from siftlane.functions.text import parse_list, text_of, hits
 from siftlane.functions.web import blocked
-from siftlane.operators import extract, gates, more_scores, scores
+from siftlane.operators import extract, gates, more_scores
 from siftlane.operators import tables as O
 from siftlane.plans.collected import query
 from siftlane.plans.gating import SITE, SITE_HOST

@@ -19,7 +19,6 @@ from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from siftlane.sources.stores import store_of
 
