@@ -156,7 +156,9 @@ def find_secrets(docs: DataFrame, model: MarkovModel, *, text_col: str = "text")
     kept = [c for c in docs.columns if c not in ("secrets", "__segments", "__spans")]
     before = running_sums(F.transform("__segments", F.length))
     moved = lambda spans, at: F.transform(spans, lambda s: F.struct((s["start"] + at).alias("start"), s["rank"].alias("rank"), (s["end"] + at).alias("end")))
-    return found.select(*kept, F.flatten(F.zip_with("__spans", before, moved)).alias("secrets"))
+    # places are summed up only where there is something to place
+    placed = F.when(F.exists("__spans", lambda s: F.size(s) > 0), F.flatten(F.zip_with("__spans", before, moved))).otherwise(F.from_json(F.lit("[]"), SPAN))
+    return found.select(*kept, placed.alias("secrets"))
 
 
 def spans_text(spans: Column) -> Column:
