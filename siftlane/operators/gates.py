@@ -15,6 +15,7 @@ from siftlane.functions.text import clean, contains_any, first_word, let, low, n
 from siftlane.functions.web import blocked, host
 from siftlane.functions.words import Words, words_of_columns
 from siftlane.operators.rules import Rule, banded, first_reason, reasons
+from siftlane.session import once
 
 #: The patterns of the name gates.
 NAME_EVENT = r"\b(event|summit|conference|review|news|expo|fair|exhibition)\b"
@@ -80,7 +81,7 @@ def words_of(c: Column) -> Column:
 def sanitise(leads: DataFrame) -> DataFrame:
     """Leads with a company; web addresses and words for nothing leave the country, aliases are resolved, white space is squeezed."""
     country = F.when(F.col("country").rlike(URL_LIKE), "").otherwise(normalize_country("country"))
-    return leads.withColumn("company", squeezed(text_of("company"))).where("company != ''").withColumn("country", country)
+    return once(leads, company=squeezed(text_of("company"))).where("company != ''").withColumn("country", country)
 
 
 #: Names that are page furniture, generic names, signs of addresses, and other names of countries, in lead contracts.
@@ -194,9 +195,10 @@ def is_parts_supplier(company: Column, context: Column) -> Column:
     return F.lower(company).rlike(PARTS_SUPPLIER) | let(F.lower(context), lambda t: contains_any(t, D.GATE_PARTS_SIGNALS))
 
 
-def gate_rules(company: Column, source_url: Column) -> list[Rule]:
-    """The entity gate's rules in order; a reason begins with its category and a colon."""
-    lower, words = F.lower(F.trim(company)), words_of(F.lower(F.trim(company)))
+def gate_rules(company: Column, source_url: Column, lower: Column | None = None) -> list[Rule]:
+    """The entity gate's rules in order; a reason begins with its category and a colon. ``lower`` is the trimmed name in lower case, where it is there already."""
+    lower = F.lower(F.trim(company)) if lower is None else lower
+    words = words_of(lower)
     legal = company.rlike(LEGAL)
     countries = "|".join(D.GATE_COUNTRIES)
     own = F.filter(words, lambda w: ~w.isin("of", "the", "and", "for", "in", "on", "to"))
@@ -240,7 +242,9 @@ def entity_gate(leads: DataFrame) -> DataFrame:
     score = F.when(company.rlike(LEGAL), 2).otherwise(0) + F.when(count >= 2, 1).when((count == 1) & (F.length(company) < 4), -1).otherwise(0)
     score = score + F.when(source.isin(*D.GATE_HIGH_SOURCES), 2).when(source.isin(*D.GATE_MEDIUM_SOURCES) & (site | proof), 1).otherwise(0)
     score = score + site.cast("int") + proof.cast("int")
-    out = leads.withColumn("gate_reason", first_reason(gate_rules(company, col_or_empty(leads, "source_url")))).withColumn("entity_score", score)
+    work = once(leads, __lower=F.lower(F.trim(company)))
+    reason = first_reason(gate_rules(company, col_or_empty(leads, "source_url"), F.col("__lower")))
+    out = once(work, gate_reason=reason).drop("__lower").withColumn("entity_score", score)
     parts = Words(words_of_columns(leads, ("context",), D.GATE_PARTS_SIGNALS)).any(D.GATE_PARTS_SIGNALS)
     out = out.withColumn("is_parts_supplier", F.lower(company).rlike(PARTS_SUPPLIER) | parts)
     grade = banded(F.col("entity_score"), [(4, "A"), (2, "B")], "C")

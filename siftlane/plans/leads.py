@@ -22,8 +22,9 @@ def leads(spark: SparkSession, sf_dir: str, contacts: bool = False) -> DataFrame
     docs, pages, labels = spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
     country = F.element_at(F.array(*map(F.lit, COUNTRIES)), (F.pmod(F.col("doc_id"), F.lit(len(COUNTRIES))) + 1).cast("int"))
     source = F.element_at(F.array(*map(F.lit, SOURCES)), (F.pmod(F.substring("source", 4, 9).cast("int"), F.lit(len(SOURCES))) + 1).cast("int"))
+    first_line = F.explode(F.array(F.trim(F.substring_index("text", "\n", 1))))  # so it is taken once (see session.once)
     own = docs.select(
-        F.col("doc_id").alias("_ord"), F.trim(F.split_part("text", F.lit("\n"), F.lit(1))).alias("company"), country.alias("country"), F.col("text").alias("context"), source.alias("source_type"), "lang"
+        F.col("doc_id").alias("_ord"), first_line.alias("company"), country.alias("country"), F.col("text").alias("context"), source.alias("source_type"), "lang"
     )
     out = own.join(pages.select(F.col("page_id").alias("_ord"), F.col("url").alias("website"), "html"), "_ord", "left")
     out = out.join(labels.select(F.col("doc_id").alias("_ord"), (F.col("quality") * 60 - F.col("toxic") * 20).cast("double").alias("score")), "_ord", "left")

@@ -7,7 +7,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cpus: str | int = "*", partitions: int = 8, app: str = "siftlane") -> SparkSession:
@@ -50,6 +51,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are computed once a row. A plain column's expression is put into each filter that reads it, as often as it is read there, when
+    Spark moves the filter down; behind an ``explode`` of one value it isn't."""
+    for name, column in columns.items():
+        df = df.withColumn(name, F.explode(F.array(column)))
+    return df
+
+
 def shared_path(spark: SparkSession, kind: str) -> str:
     """A new place under the shared folder."""
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
