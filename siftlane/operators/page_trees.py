@@ -18,12 +18,23 @@ CONTEXT = 240
 NAME = re.compile(r"\b[A-Z][A-Za-z0-9&\-\.\s]{2,}\b")
 
 
+#: Pages whose rows a task holds at once.
+PAGES = 64
+
+
+def parts(frames: Iterable[pd.DataFrame], rows: int = PAGES) -> Iterator[pd.DataFrame]:
+    """The frames in pieces of so many rows."""
+    for frame in frames:
+        for at in range(0, len(frame), rows):
+            yield frame.iloc[at : at + rows]
+
+
 def of_trees(pages: DataFrame, key: str, html: str, each: Callable[[dom.Tree], Iterable[tuple]], schema: str) -> DataFrame:
     """(key, columns of schema): the rows that ``each`` makes of a page's tree. A null page is empty."""
     out = T.StructType([pages.schema[key], *T._parse_datatype_string(schema).fields])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in parts(frames):
             rows = [(k, *row) for k, h in zip(frame[key], frame[html]) for row in each(dom.Tree(h))]
             yield pd.DataFrame(rows, columns=out.fieldNames())
 
