@@ -50,6 +50,24 @@ def test_paced_hosts(spark, tmp_path):
     assert max(o["numRowsTotal"] for o in kept) >= 5
 
 
+def test_many_hosts_are_few_states(spark, tmp_path):
+    """A batch costs calls for each group of hosts, not for each host; quiet hosts leave their group's state."""
+    hosts.state_store(spark)
+    r = random.Random(5)
+    rows = [(f"h{r.randrange(150)}", i, 2000 * i) for i in range(600)]
+    schema = "host string, id long, ts timestamp"
+    for k in range(3):
+        part = [(h, i, START + timedelta(milliseconds=ms)) for h, i, ms in rows[k * 200 : (k + 1) * 200]]
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+    got = hosts.paced(stream, interval_s=60, burst=2, keep_s=200, late="20 seconds", groups=4)
+    run = got.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "at")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    found = {x.id: x.verdict == "go" for x in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert found == replay(rows, 60_000, 2)
+    assert max(o["numRowsTotal"] for p in run.recentProgress for o in p["stateOperators"]) <= 4 * 4
+
+
 def test_a_bucket_must_be_full_before_it_is_forgotten(spark):
     with pytest.raises(ValueError, match="keep_s"):
         hosts.paced(spark.readStream.format("rate").load(), interval_s=60, burst=5, keep_s=100)
