@@ -2,13 +2,16 @@
 
 The words make one pattern, a tree of their letters whose branches are chosen by halves, looked for at each place of the
 text; the longest word at a place is found there, and words that begin it are added from a table. What a dictionary has in
-the text then follows from the array of found words.
+the text then follows from the array of found words. Whole columns of long texts (``scanned``) are passed over in Arrow batches instead: places
+where the first three bytes of a word may stand are looked up in a table, and only these are compared letter by letter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +66,87 @@ def words_in(text: Column, words: Iterable[str]) -> Column:
     return let(F.array_distinct(found), lambda own: F.array_union(own, more(own)))
 
 
+#: Bytes of text that are looked through together.
+SLICE_BYTES = 4 << 20
+
+
+def triple(b: np.ndarray) -> np.ndarray:
+    """A number of 16 bits for each three bytes of b."""
+    b = b.astype(np.uint16)
+    return b[:-2] * np.uint16(961) + b[1:-1] * np.uint16(31) + b[2:] * np.uint16(12345)
+
+
+def finder(words: list[str]) -> Callable[[pa.Array], pa.Array]:
+    """A function from texts to the distinct words that are substrings of each; null texts have none."""
+    coded = [w.encode() for w in words]
+    sizes = np.array([len(w) for w in coded])
+    table = np.zeros((len(words), int(sizes.max())), np.uint8)
+    for i, w in enumerate(coded):
+        table[i, : len(w)] = np.frombuffer(w, np.uint8)
+    # what may stand behind words of one or two bytes is all counted
+    starts: dict[int, list[int]] = {}
+    for i, w in enumerate(coded):
+        free = 3 - min(3, len(w))
+        rest = np.indices((256,) * free).reshape(free, -1).T.astype(np.uint8) if free else np.zeros((1, 0), np.uint8)
+        for h in {int(triple(np.r_[np.frombuffer(w[:3], np.uint8), r])[0]) for r in rest}:
+            starts.setdefault(h, []).append(i)
+    many = np.zeros(1 << 16, np.int64)
+    for h, own in starts.items():
+        many[h] = len(own)
+    first, here = np.cumsum(many) - many, many > 0
+    every = np.array([i for h in sorted(starts) for i in starts[h]], np.int64)
+    names = pa.array(words, pa.string())
+
+    def of(text: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each row's found words, as sorted pairs."""
+        padded = np.r_[text, np.zeros(2, np.uint8)]
+        codes = triple(padded)
+        at = np.flatnonzero(here[codes])
+        codes = codes[at]
+        n = many[codes]
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        word, at = every[np.repeat(first[codes], n) + nth], np.repeat(at, n)
+        row = np.searchsorted(bounds, at, "right") - 1
+        fits = at + sizes[word] <= bounds[row + 1]
+        word, at, row = word[fits], at[fits], row[fits]
+        done = []
+        for j in range(table.shape[1]):
+            ends = sizes[word] == j
+            done.append(row[ends] * len(words) + word[ends])
+            go = np.flatnonzero(~ends)
+            go = go[text[at[go] + j] == table[word[go], j]]
+            word, at, row = word[go], at[go], row[go]
+        done.append(row * len(words) + word)
+        return np.divmod(np.unique(np.concatenate(done)), len(words))
+
+    def find(texts: pa.Array) -> pa.Array:
+        texts = texts.cast(pa.large_string()).fill_null("")
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        counts, found, i = [np.zeros(1, np.int64)], [], 0
+        while i < len(texts):
+            j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + SLICE_BYTES, "right")) - 1)
+            row, word = of(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])
+            counts.append(np.bincount(row, minlength=j - i))
+            found.append(word)
+            i = j
+        own = names.take(pa.array(np.concatenate(found) if found else np.zeros(0, np.int64)))
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(counts)), pa.int32()), own)
+
+    return find
+
+
+def words_of_texts(text: Column, words: Iterable[str]) -> Column:
+    """``words_in`` by Arrow batches."""
+    words = sorted({w for w in words if w})
+    held: dict[str, Callable] = {}  # made once in a task's worker
+
+    def find(texts: pa.Array) -> pa.Array:
+        return held.setdefault("f", held.get("f") or finder(words))(texts)
+
+    return F.arrow_udf(find, NONE)(text) if words else F.array().cast(NONE)
+
+
 class Words:
     """Found words, asked for by dictionary."""
 
@@ -95,7 +179,7 @@ def scanned(leads: DataFrame, columns: Iterable[str], words: Iterable[str]) -> D
         out = out.withColumn("__low", F.lower(text_of(c)))
         low = F.col("__low")
         edges = F.when(F.length(low) > 2 * most, F.concat(F.left(low, F.lit(most)), F.lit("\x01"), F.right(low, F.lit(most)))).otherwise(low)
-        out = out.withColumn(f"scan_{c}", F.struct(words_in(low, words).alias("words"), edges.alias("edges"), F.lit(len(words)).alias("of"))).drop("__low")
+        out = out.withColumn(f"scan_{c}", F.struct(words_of_texts(low, words).alias("words"), edges.alias("edges"), F.lit(len(words)).alias("of"))).drop("__low")
     return out
 
 

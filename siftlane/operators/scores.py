@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftlane import dictionaries as D
-from siftlane.functions.text import contains_any, first_word, fold_accents, language_votes, let, low, near, text_of
-from siftlane.functions.words import Words, scanned, words_of_columns
+from siftlane.functions.text import contains_any, fold_accents, language_votes, let, low, near, text_of
+from siftlane.functions.words import Words, scanned, words_of_columns, words_of_texts
 from siftlane.operators.gates import col_or_empty, has_value
 from siftlane.operators.rules import banded
 
@@ -216,12 +216,14 @@ def qualification(leads: DataFrame) -> DataFrame:
 def signals(leads: DataFrame) -> DataFrame:
     """Weighted signals of a text: signals (names), signal_words (the first word of each), signal_score, signal_confidence."""
     words = {"finishing": D.SIGNAL_FINISHING, "stenter": D.SIGNAL_STENTER, "parts": D.SIGNAL_PARTS, "facility": D.SIGNAL_FACILITY}
-    work, t = leads.withColumn("__t", fold_accents(text_of("context"))), F.col("__t")
-    work = work.withColumns({f"__{k}": first_word(t, w) for k, w in words.items()})
+    own = {w for d in (*words.values(), D.SIGNAL_NEGATIVE) for w in d}
+    work = leads.withColumn("__t", words_of_texts(fold_accents(text_of("context")), own))
+    m = Words(F.col("__t"))
+    work = work.withColumns({f"__{k}": m.first(w) for k, w in words.items()})
     named = [F.when(F.col(f"__{k}").isNotNull(), F.struct(F.lit(k).alias("name"), F.col(f"__{k}").alias("word"), F.lit(float(D.SIGNAL_WEIGHTS[k])).alias("weight"))) for k in words]
     out = work.withColumn("__s", F.array_compact(F.array(*named)))
     plain = F.aggregate("__s", F.lit(0.0), lambda acc, x: acc + x["weight"])
-    score = F.when((F.size("__s") > 0) & contains_any(t, D.SIGNAL_NEGATIVE), F.greatest(F.lit(0.0), plain - 1.5)).otherwise(plain)
+    score = F.when((F.size("__s") > 0) & m.any(D.SIGNAL_NEGATIVE), F.greatest(F.lit(0.0), plain - 1.5)).otherwise(plain)
     out = out.withColumn("signals", F.transform("__s", lambda x: x["name"])).withColumn("signal_words", F.transform("__s", lambda x: x["word"])).withColumn("signal_score", score)
     return out.drop("__s", "__t", *[f"__{k}" for k in words]).withColumn("signal_confidence", banded(F.col("signal_score"), [(6, "high"), (3, "medium")], "low"))
 

@@ -30,3 +30,25 @@ def test_scanned_columns_give_the_words_of_the_joined_text(spark):
     plain = [sorted(r[0]) for r in df.select(words_of_columns(df, ("x", "y", "z", "missing"), words)).collect()]
     assert plain == [sorted(r[0]) for r in both.select(words_of_columns(both, ("x", "y", "z", "missing"), words)).collect()]
     assert plain == [sorted(w for w in words if w in " ".join(c or "" for c in (*r, "")).lower()) for r in rows]
+
+
+def test_words_by_batches_are_those_of_the_pattern():
+    """Texts cut into slices, nulls, letters of several bytes, words of one and two bytes, and a batch that begins inside an array."""
+    import pyarrow as pa
+
+    from siftlane.functions import words as W
+
+    rng = random.Random(7)
+    words = ["a", "ab", "abc", "ü", "üb", "b c", "ç a", "cabab"]
+    texts = [None if rng.random() < 0.1 else "".join(rng.choice("aabbc üç") for _ in range(rng.randrange(30))) for _ in range(500)]
+    before, W.SLICE_BYTES = W.SLICE_BYTES, 200
+    try:
+        got = W.finder(words)(pa.array(["abc", *texts, "abc"]).slice(1, len(texts))).to_pylist()
+    finally:
+        W.SLICE_BYTES = before
+    assert [sorted(x) for x in got] == [sorted(w for w in words if w in (t or "")) for t in texts]
+
+
+def test_scans_of_whole_texts_pass_by_batches(spark):
+    plan = scanned(spark.createDataFrame([("a b",)], "x string"), ("x",), ["a b", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "regexp_extract_all" not in plan
