@@ -36,7 +36,7 @@ from siftlane.llm.token_ids import encode_rows, id_type, splits_at_spaces
 CAPACITIES = (512, 1024, 2048)
 OVERHEAD = 16
 #: Bytes of text whose words are looked up together.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 12 << 20
 
 
 def word_tokens(text: Column) -> Column:
