@@ -12,6 +12,7 @@ from siftlane.functions.text import contains_any, fold_accents, language_votes,
 from siftlane.functions.words import Words, scanned, words_of_columns, words_of_texts
 from siftlane.operators.gates import col_or_empty, has_value
 from siftlane.operators.rules import banded
+from siftlane.session import once
 
 #: Word groups, patterns and tables of the models.
 NEAR_MACHINES = ("stenter", "rama", "spannrahmen", "estiradora", "dyeing", "tintoreria", "boyahane")
@@ -183,7 +184,7 @@ def role(leads: DataFrame) -> DataFrame:
     The score is held in hundredths, so sums are exact and the limits are met as they are written.
     """
     groups = (D.ROLE_STRONG_CUSTOMER, D.ROLE_STRONG_INTERMEDIARY, D.ROLE_CUSTOMER, D.ROLE_INTERMEDIARY, D.ROLE_BRAND)
-    work = leads.withColumn("__m", words_of_columns(leads, ("company", "context", "website"), *groups))
+    work = once(leads, __m=words_of_columns(leads, ("company", "context", "website"), *groups))
     hits = Words(F.col("__m")).hits
     weights = F.create_map(*[F.lit(x) for k, v in D.ROLE_SOURCE_WEIGHTS.items() for x in (k, float(v))])
     source = F.coalesce(F.try_element_at(weights, low("source_type")), F.lit(0.3))
@@ -195,8 +196,8 @@ def role(leads: DataFrame) -> DataFrame:
         sure = F.when(kind == "BRAND", 50 + x["b"]).when(kind == "CUSTOMER", 50 + x["s"]).when(kind == "INTERMEDIARY", 50 - x["s"]).otherwise(30)
         return F.struct(kind.alias("role"), (x["s"] / 100).alias("score"), (F.least(F.lit(90), sure) / 100).alias("confidence"))
 
-    # the sums are bound once, so that a filter on the role that is pushed down doesn't repeat them
-    out = work.withColumn("__r", let(both, decided))
+    # words and sums are computed once, so that a filter on the role that is pushed down doesn't repeat them
+    out = once(work, __r=let(both, decided))
     return out.withColumns({"role": F.col("__r.role"), "role_score": F.col("__r.score"), "role_confidence": F.col("__r.confidence")}).drop("__r", "__m")
 
 

@@ -9,12 +9,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from itertools import takewhile
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siftlane.functions.text import emails, links, phones
 from siftlane.operators import dedupe, gates, more_scores, rules, scores
+from siftlane.session import shared_path
 
 Stage = Callable[[DataFrame], DataFrame]
 
@@ -91,6 +93,30 @@ class Pipeline:
         return Pipeline((*self.stages, *stages))
 
 
+#: Stages that add columns and drop no lead.
+ADDING: tuple[Stage, ...] = (with_contacts,)
+
+
+def variants(leads: DataFrame, lists: dict[str, tuple[Stage, ...]] = STAGES) -> list[tuple[str, DataFrame]]:
+    """(name, rows) of each stage list. The stages that all lists begin with run once: their rows are written as Parquet in the shared folder, but for what only
+    adds columns at the end, as a list may need none of them. Behind them each list is a lazy plan, and what several lists begin with is the same frame, which Spark computes once
+    where it shuffles."""
+    shared = [s[0] for s in takewhile(lambda s: len(set(s)) == 1, zip(*lists.values()))]
+    while shared and shared[-1] in ADDING:
+        shared.pop()
+    if shared:
+        path = shared_path(leads.sparkSession, "variants")
+        Pipeline(tuple(shared)).run(leads).write.parquet(path)
+        leads = leads.sparkSession.read.parquet(path)
+    made: dict[tuple[Stage, ...], DataFrame] = {(): leads}
+    for stages in lists.values():
+        rest = stages[len(shared) :]
+        for k in range(1, len(rest) + 1):
+            if rest[:k] not in made:
+                made[rest[:k]] = rest[k - 1](made[rest[: k - 1]])
+    return [(name, made[stages[len(shared) :]]) for name, stages in lists.items()]
+
+
 def funnel(stages: Iterable[tuple[str, DataFrame]]) -> DataFrame:
     """(stage, n) of named frames, counted in one job."""
     out = None
