@@ -128,7 +128,7 @@ def tables(counts: DataFrame) -> Tables:
     by_order = {ORDER: counts}
     for k in range(ORDER - 1, 0, -1):
         suffix = F.col("gram").bitwiseAND(F.lit((1 << BITS * k) - 1))
-        by_order[k] = few(by_order[k + 1].groupBy("lang", suffix.alias("gram")).agg(F.count("*").alias("n")))
+        by_order[k] = few(checkpointed(few(by_order[k + 1].groupBy("lang", suffix.alias("gram")).agg(F.count("*").alias("n")))))
     out = Tables()
     for k in range(1, ORDER + 1):
         own = few(by_order[k].join(discounts(by_order[k]), "lang"))

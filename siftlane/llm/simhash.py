@@ -126,6 +126,8 @@ def signed(x: int) -> int:
 
 def embedding(fingerprint: Column, segment_bits: int) -> Column:
     """The bit counts of the segments, each in unary in as many bits as its segment has."""
+    if segment_bits == 1:
+        return fingerprint
     out = F.lit(0).cast("long")
     for at in range(0, 64, segment_bits):
         count = F.bit_count(fingerprint.bitwiseAND(F.lit(signed(((1 << segment_bits) - 1) << at))))
