@@ -167,7 +167,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, most: int, *, id_col: str
                 at = np.repeat(np.arange(len(sizes)), pieces)
                 piece = np.arange(len(at)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
                 n = np.minimum(most, sizes[at] - piece * most)
-                data = pa.py_buffer(ids.astype(kind).tobytes())
+                data = pa.py_buffer(ids.astype(kind))
                 bounds = pa.py_buffer(np.r_[0, np.cumsum(n * width)].astype(np.int32).tobytes())
                 laid = pa.Array.from_buffers(pa.binary(), len(at), [None, bounds, data])
                 yield pa.RecordBatch.from_arrays([own["doc_id"].take(pa.array(at)), pa.array(row + at), pa.array(piece, pa.int32()), pa.array(piece * most), pa.array(n, pa.int32()), laid], names=schema.fieldNames())

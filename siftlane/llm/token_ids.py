@@ -90,54 +90,102 @@ def ends_word(path: str) -> tuple[bytes, str]:
     return bytes(flags), mark
 
 
-def encode_letters(words: list[str], path: str, a_line: int = 64) -> list[list[int]]:
-    """Ids of words that are letters only. Many are encoded as one line, which is then cut behind each
+def laid(flat: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """Runs laid end to end by their numbers; flat has the runs of some sizes back to back."""
+    starts, each = np.cumsum(sizes) - sizes, sizes[index]
+    ends = np.cumsum(each)
+    return flat[np.repeat(starts[index] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
+def joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Some (ids, sizes) back to back."""
+    return np.concatenate([np.zeros(0, dtype=np.uint32), *(x for x, _ in parts)]), np.concatenate([np.zeros(0, dtype=np.int64), *(n for _, n in parts)])
+
+
+def encode_plain(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words back to back, and how many each has."""
+    own = [x.ids for x in load_tokenizer(path).encode_batch_fast(words, add_special_tokens=False)]
+    sizes = np.fromiter(map(len, own), dtype=np.int64, count=len(own))
+    return np.fromiter(itertools.chain.from_iterable(own), dtype=np.uint32, count=int(sizes.sum())), sizes
+
+
+def encode_letters(words: list[str], path: str, a_line: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """The same of words that are letters only. Many are encoded as one line, which is then cut behind each
     id that ends a word; a line that doesn't come apart in as many words is encoded word by word."""
-    tokenizer, (flags, mark) = load_tokenizer(path), ends_word(path)
-    plain = lambda some: [x.ids for x in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-    if not mark:
-        return plain(words)
-    out: list[list[int]] = []
+    flags, mark = ends_word(path)
+    if not mark or not words:
+        return encode_plain(words, path)
     lines = [words[i : i + a_line] for i in range(0, len(words), a_line)]
-    for some, ids in zip(lines, plain([" ".join(x) for x in lines])):
-        cuts = [i + 1 for i, x in enumerate(ids) if flags[x]]
-        out += [ids[i:j] for i, j in zip([0, *cuts], cuts)] if len(cuts) == len(some) and cuts[-1] == len(ids) else plain(some)
-    return out
+    ids, sizes = encode_plain([" ".join(x) for x in lines], path)
+    cuts = np.flatnonzero(np.frombuffer(flags, dtype=bool)[ids]) + 1
+    ends = np.cumsum(sizes)
+    found = np.searchsorted(cuts, ends, "right")  # cuts up to each line's end
+    whole = (np.diff(found, prepend=0) == [len(x) for x in lines]) & np.isin(ends, cuts)
+    parts = []
+    for i, (some, plain) in enumerate(zip(lines, ~whole)):
+        if plain:
+            parts.append(encode_plain(some, path))
+        else:
+            own = cuts[found[i] - len(some) : found[i]]
+            parts.append((ids[ends[i] - sizes[i] : ends[i]], np.diff(own, prepend=ends[i] - sizes[i])))
+    return joined(parts)
 
 
-def encode_words(words: list[str], path: str) -> list[list[int]]:
-    """Ids of distinct words: letters, letters with marks behind them, and others."""
+def ids_of_words(words: list[str], path: str, at_once: int = 1 << 13) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of distinct words back to back, and how many each has: letters, letters with marks behind them, and others.
+
+    ``at_once`` of them are encoded together, as the tokenizer's record of a word is many times as large as its ids."""
     letters: dict[str, int] = {}
     others: dict[str, int] = {}
-    parts = []
+    stems, tails = [], []
     for word in words:
         stem = word.rstrip(TAIL_MARKS)
         if stem.isalpha():
             tail = word[len(stem) :]
-            parts.append((letters.setdefault(stem, len(letters)), others.setdefault(tail, len(others)) if tail else -1))
+            stems.append(letters.setdefault(stem, len(letters)))
+            tails.append(others.setdefault(tail, len(others)) if tail else -1)
         else:
-            parts.append((-1, others.setdefault(word, len(others))))
-    of_letters = encode_letters(list(letters), path)
-    of_others = [x.ids for x in load_tokenizer(path).encode_batch_fast(list(others), add_special_tokens=False)]
-    return [of_letters[i] if j < 0 else of_others[j] if i < 0 else of_letters[i] + of_others[j] for i, j in parts]
-
-
-def encode_rows(texts: pa.Array, path: str, end_id: int, by_word: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all rows back to back, each row closed by end_id, and the rows' ends."""
-    if by_word:
-        words, index, bounds = words_of(texts)
-        own = [*encode_words(words, path), [end_id]]
-        index = np.insert(index, bounds[1:], len(words))
+            stems.append(-1)
+            tails.append(others.setdefault(word, len(others)))
+    parts = []
+    for some, encode in ((list(letters), encode_letters), (list(others), encode_plain)):
+        parts += [encode(some[i : i + at_once], path) for i in range(0, len(some), at_once)]
+    flat, sizes = joined(parts)
+    sizes = np.append(sizes, 0)  # no stem or no tail
+    pairs = np.stack([np.array(stems, dtype=np.int64), np.array(tails, dtype=np.int64)], axis=1)
+    pairs[:, 1] += len(letters) * (pairs[:, 1] >= 0)
+    return laid(flat, sizes, pairs.ravel()), sizes[pairs].sum(axis=1)
+
+
+def encode_words(words: list[str], path: str) -> list[list[int]]:
+    """``ids_of_words`` as lists."""
+    flat, sizes = ids_of_words(words, path)
+    ends = np.cumsum(sizes)
+    return [flat[i:j].tolist() for i, j in zip(ends - sizes, ends)]
+
+
+def encode_rows(texts: pa.Array, path: str, end_id: int, by_word: bool, part_bytes: int = 2 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all rows back to back, each row closed by end_id, and the rows' ends. By word, each word of all rows is encoded
+    once, and texts are taken apart and laid out again part_bytes at a time."""
+    if not by_word:
+        flat, sizes = encode_plain(texts.to_pylist(), path)
+        row_ends = np.cumsum(sizes)
+        return np.insert(flat, row_ends, np.uint32(end_id)), row_ends + np.arange(1, len(sizes) + 1)
+    known: dict[str, int] = {}
+    parts = []
+    for rows in slices(pa.record_batch([texts], names=["text"]), "text", part_bytes):
+        words, index, bounds = words_of(rows["text"])
+        number = np.fromiter((known.setdefault(w, len(known)) for w in words), dtype=np.int32, count=len(words))
+        parts.append((number[index], bounds))
+    flat, sizes = ids_of_words(list(known), path)
+    flat, sizes = np.append(flat, np.uint32(end_id)), np.append(sizes, 1)
+    out = []
+    for index, bounds in parts:
+        index = np.insert(index, bounds[1:], len(known))
         row_ends = bounds[1:] + np.arange(1, len(bounds))
-    else:
-        own = [[*x.ids, end_id] for x in load_tokenizer(path).encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
-        index, row_ends = np.arange(len(own)), np.arange(1, len(own) + 1)
-    sizes = np.fromiter(map(len, own), dtype=np.int64, count=len(own))
-    flat = np.fromiter(itertools.chain.from_iterable(own), dtype=np.uint32, count=int(sizes.sum()))
-    starts, each = np.cumsum(sizes) - sizes, sizes[index]
-    ends = np.cumsum(each)
-    at = np.repeat(starts[index] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)
-    return flat[at], ends[row_ends - 1]
+        out.append((laid(flat, sizes, index), np.diff(np.cumsum(sizes[index])[row_ends - 1], prepend=0)))
+    ids, each = joined(out)
+    return ids, np.cumsum(each)
 
 
 def write_token_files(

@@ -1,9 +1,14 @@
 """Token counts and token files against plain encodings of each text."""
 
 import math
+import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from siftlane.llm import registry, token_counts, token_ids
@@ -123,3 +128,44 @@ def test_folder_that_tasks_cannot_open_is_told_before_any_work(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     with pytest.raises(ValueError, match="plain files"):
         token_ids.write_token_files(docs, "swift://store/tokens", vocabulary("word_bpe_49k.json"))
+
+
+def test_rows_by_parts_have_the_ids_of_whole_texts():
+    file = vocabulary("word_bpe_49k.json")
+    tokenizer = token_ids.load_tokenizer(file)
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdeéß中") for _ in range(rng.randrange(1, 9))) + rng.choice(["", ",", "'s", "...", "7"]) for _ in range(300)] + ["--", "x=1", "İ", "ﬁ"]
+    texts = ["", " ", *(" ".join(rng.choices(words, k=rng.randrange(1, 90))) for _ in range(60)), ""]
+    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    for by_word in (True, False):
+        for part_bytes in (1, 700, 1 << 20):
+            ids, ends = token_ids.encode_rows(pa.array(texts), file, 1, by_word, part_bytes)
+            assert [x.tolist() for x in np.split(ids, ends[:-1])] == want
+    for at_once in (1, 7, 1000):
+        flat, sizes = token_ids.ids_of_words(words, file, at_once)
+        assert [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] == [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    assert [len(x) for x in token_ids.encode_rows(pa.array([], pa.string()), file, 1, True)] == [0, 0]
+    assert [len(x) for x in token_ids.encode_rows(pa.array([], pa.string()), file, 1, False)] == [0, 0]
+
+
+def test_memory_of_many_different_words():
+    """What a fresh process takes above the start for 13 MB of text with 300,000 different words."""
+    code = """
+import re
+import numpy as np, pyarrow as pa
+from siftlane.llm import token_ids
+from siftlane.llm.common import vocabulary
+rng = np.random.default_rng(8)
+words = [w.tobytes().decode() + t for w, t in zip(rng.integers(97, 107, (300_000, 7), dtype=np.uint8), ["", ",", ".", "1"] * 75_000)]
+texts = pa.array([" ".join(words[i] for i in rng.integers(0, len(words), 3_000)) for _ in range(500)])
+file = vocabulary("word_bpe_49k.json")
+token_ids.encode_rows(texts[:1], file, 1, True)
+held = lambda name: int(re.search(rf"{name}:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+open("/proc/self/clear_refs", "w").write("5")
+before = held("VmRSS")
+token_ids.encode_rows(texts, file, 1, True)
+print(held("VmHWM") - before)
+"""
+    root = str(Path(token_ids.__file__).parents[2])
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout
+    assert float(out) < 220
