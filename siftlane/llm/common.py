@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from siftlane.session import checkpointed, shared_dir
 
-__all__ = ["checkpointed", "row_sums", "shared_dir", "shared_path", "slices", "vocabulary", "whole_text", "words_of"]
+__all__ = ["checkpointed", "memory_returned", "row_sums", "shared_dir", "shared_path", "slices", "vocabulary", "whole_text", "words_of"]
 
 
 def shared_path(spark: SparkSession, kind: str) -> str:
@@ -44,6 +44,13 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.R
         yield batch.slice(int(i), int(j - i))
 
 
+def memory_returned() -> None:
+    """Give the system what Arrow and numpy have freed but hold: Spark keeps workers for later tasks, and what idle ones hold
+    comes on top of theirs."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 def words_of(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct words between ASCII white space, each word's index in text order, and rows' bounds.
 

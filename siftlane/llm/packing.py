@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftlane.llm.common import checkpointed, slices, whole_text
+from siftlane.llm.common import checkpointed, memory_returned, slices, whole_text
 from siftlane.llm.token_ids import encode_rows, id_type, splits_at_spaces
 
 CAPACITIES = (512, 1024, 2048)
@@ -172,6 +172,8 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, most: int, *, id_col: str
                 laid = pa.Array.from_buffers(pa.binary(), len(at), [None, bounds, data])
                 yield pa.RecordBatch.from_arrays([own["doc_id"].take(pa.array(at)), pa.array(row + at), pa.array(piece, pa.int32()), pa.array(piece * most), pa.array(n, pa.int32()), laid], names=schema.fieldNames())
                 row += own.num_rows
+            batch = own = ids = ends = at = n = data = bounds = laid = None  # let go before the next is read
+            memory_returned()
 
     return rows.mapInArrow(run, schema)
 
@@ -206,6 +208,7 @@ def pack_tokens(
         ids = np.frombuffer(b"".join(table["ids"].to_pylist()), dtype=kind).astype(np.int32)
         listed = lambda c: pa.ListArray.from_arrays(pa.array(bounds), table[c].combine_chunks())
         base = int(table["shard"][0].as_py()) << 32
+        memory_returned()
         return pa.table(
             {
                 "bin_id": pa.array(base + np.arange(len(final), dtype=np.int64)),

@@ -35,9 +35,10 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftlane.llm.common import checkpointed, row_sums, slices, whole_text
+from siftlane.llm.common import checkpointed, memory_returned, row_sums, slices, whole_text
 
-SLICE_BYTES = 2 << 20
+#: Bytes of text that are scored at once; a dozen arrays of eight bytes a character are made of them.
+SLICE_BYTES = 1 << 19
 BITS = 16
 ORDER = 4
 #: Rows of the tables for each task that works on them: they are small beside the texts, and a shuffle writes files for each task.
@@ -86,6 +87,8 @@ def gram_counts(trusted: DataFrame, *, text_col: str = "text", lang_col: str = "
                 if sum(map(len, held.values())) > 1_000_000:
                     yield from sent(held)
                     held = {}
+            batch = rows = texts = None  # let go before the next is read
+            memory_returned()
         yield from sent(held)
 
     def sent(held: dict[str, pd.Series]) -> Iterator[pa.RecordBatch]:
@@ -229,6 +232,8 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", lang_col: st
                         codes, seen = pd.factorize(grams)
                         logp[at] = row_sums(log_probabilities(own[lang], seen)[codes], bounds)
                 yield pa.RecordBatch.from_arrays([*(rows[c] for c in kept), pa.array(n), pa.array(logp, from_pandas=True)], names=schema.fieldNames())
+            batch = rows = texts = None  # let go before the next is read
+            memory_returned()
 
     return work.mapInArrow(run, schema)
 
